@@ -1 +1,214 @@
-"""placeholder"""
+"""W1-W8 driver queries over ``events`` as landed polls.
+
+Mapping (FIXTURES.md section 4): ``event_type`` = source, day of ``ts`` = poll,
+``event_id`` = arrival position, hour of ``ts`` = publish date, ``value < 1`` =
+failed extraction (NULL body). Thresholds are the reference's (4, 100, 5, 100).
+
+The oracles are written row-by-row with window functions (``row_number``,
+running sums over rows); the Spark side uses poll-level aggregates and joins.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import order
+from ..sources.tables import table
+from .catalog import query
+
+KEYS = ("source",)
+
+
+def events_as_polls(spark, sf):
+    ev = table(spark, sf, "events").select("event_id", "ts", "event_type", "value", "props")
+    arts = ev.select(
+        F.col("event_type").alias("source"),
+        F.to_date("ts").alias("poll_no"),
+        F.col("event_id").alias("pos"),
+        F.col("event_id").cast("string").alias("title"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH").alias("publishdate"),
+        F.when(F.col("value") >= 1, F.col("props")).alias("content"),
+    )
+    polls = (arts.groupBy("source", "poll_no")
+                 .agg(F.lit(200).alias("status"), F.count(F.lit(1)).alias("total_results")))
+    return arts, polls
+
+
+def _out(df):
+    return df.select("source", F.date_format("poll_no", "yyyy-MM-dd").alias("poll_day"),
+                     F.col("pos").alias("event_id"), "publishdate")
+
+
+_A = """a AS (
+  SELECT event_type AS source, CAST(ts AS DATE) AS poll_no, event_id AS pos,
+         strftime(ts, '%Y-%m-%dT%H') AS publishdate,
+         CASE WHEN value >= 1 THEN props END AS content
+  FROM events)"""
+
+_OUT = "SELECT source, strftime(poll_no, '%Y-%m-%d') AS poll_day, pos AS event_id, publishdate"
+
+# rows kept by W1 (truncate at the first NULL body of each poll)
+_T = """t AS (
+  SELECT * FROM (
+    SELECT *, min(CASE WHEN content IS NULL THEN pos END) OVER (PARTITION BY source, poll_no) AS ff FROM a)
+  WHERE ff IS NULL OR pos < ff)"""
+
+# W2 over the truncated rows
+_N = """n AS (
+  SELECT *, row_number() OVER (PARTITION BY source, publishdate ORDER BY poll_no, pos) = 1 AS is_new FROM t)"""
+
+_ALLP = "allp AS (SELECT DISTINCT source, poll_no FROM a)"
+
+
+def _std_stop_sql(extra_cte="", extra_cond=""):
+    return f"""
+WITH {_A}, {_T}, {_N}, {_ALLP},
+p AS (SELECT source, poll_no, count(*) AS n_rows,
+             sum(CASE WHEN is_new THEN 1 ELSE 0 END) AS n_new,
+             sum(CASE WHEN is_new THEN 0 ELSE 1 END) AS n_dup
+      FROM n GROUP BY source, poll_no),
+q AS (SELECT allp.source, allp.poll_no, coalesce(n_rows, 0) AS n_rows, coalesce(n_new, 0) AS n_new,
+             coalesce(n_dup, 0) AS n_dup
+      FROM allp LEFT JOIN p ON allp.source = p.source AND allp.poll_no = p.poll_no),
+r AS (SELECT *, sum(CASE WHEN n_new = 0 THEN 1 ELSE 0 END) OVER w AS cng, sum(n_dup) OVER w AS cd
+      FROM q WINDOW w AS (PARTITION BY source ORDER BY poll_no ROWS UNBOUNDED PRECEDING)){extra_cte},
+s AS (SELECT source, min(CASE WHEN cng >= 4 OR cd > 100{extra_cond} THEN poll_no END) AS stop FROM r GROUP BY source)
+{_OUT} FROM n JOIN s USING (source) WHERE n.is_new AND (s.stop IS NULL OR n.poll_no <= s.stop)
+"""
+
+
+@query("first_seen", f"""
+WITH {_A}
+{_OUT} FROM (SELECT *, row_number() OVER (PARTITION BY source, publishdate ORDER BY poll_no, pos) AS rn FROM a)
+WHERE rn = 1
+""")
+def first_seen(spark, sf):
+    """First row per (source, publish date) in arrival order."""
+    arts, _ = events_as_polls(spark, sf)
+    r = order.PollRules(keys=KEYS)
+    return _out(order.mark_first_seen(arts, F.lit(True), r).where("_is_new"))
+
+
+@query("truncate_on_null", f"""
+WITH {_A}, {_T}
+{_OUT} FROM t
+""")
+def truncate_on_null(spark, sf):
+    """Rows at and after the first failed extraction of a poll are lost."""
+    arts, _ = events_as_polls(spark, sf)
+    r = order.PollRules(keys=KEYS)
+    return _out(order.truncate_on_failure(arts, F.col("content").isNull(), r))
+
+
+@query("poll_stop", _std_stop_sql())
+def poll_stop(spark, sf):
+    """W1 + W2 + W4 with the reference thresholds (4 polls, > 100 duplicates)."""
+    arts, polls = events_as_polls(spark, sf)
+    return _out(order.accept_articles(arts, polls, order.PollRules(keys=KEYS)))
+
+
+@query("trailing_repeat_stop", _std_stop_sql(
+    extra_cte=""",
+ix AS (SELECT source, poll_no, max(CASE WHEN is_new THEN idx END) AS mnew FROM (
+         SELECT *, row_number() OVER (PARTITION BY source ORDER BY poll_no, pos) AS idx FROM n)
+       GROUP BY source, poll_no),
+r2 AS (SELECT r.*, sum(n_rows) OVER w2 AS srows, coalesce(max(ix.mnew) OVER w2, 0) AS lastnew
+       FROM r LEFT JOIN ix ON r.source = ix.source AND r.poll_no = ix.poll_no
+       WINDOW w2 AS (PARTITION BY r.source ORDER BY r.poll_no ROWS UNBOUNDED PRECEDING))""",
+    extra_cond=" OR srows - lastnew = 5").replace("FROM r GROUP BY source", "FROM r2 GROUP BY source"))
+def trailing_repeat_stop(spark, sf):
+    """Also stop when exactly 5 duplicates follow the last new article."""
+    arts, polls = events_as_polls(spark, sf)
+    r = order.PollRules(keys=KEYS, stop_variant="trailing_repeat", require_total_results=True)
+    return _out(order.accept_articles(arts, polls, r))
+
+
+@query("cap_between_polls", f"""
+WITH {_A}, {_T}, {_N}, {_ALLP},
+p AS (SELECT source, poll_no, sum(CASE WHEN is_new THEN 1 ELSE 0 END) AS n_new,
+             sum(CASE WHEN is_new THEN 0 ELSE 1 END) AS n_dup FROM n GROUP BY source, poll_no),
+q AS (SELECT allp.source, allp.poll_no, coalesce(n_new, 0) AS n_new, coalesce(n_dup, 0) AS n_dup
+      FROM allp LEFT JOIN p ON allp.source = p.source AND allp.poll_no = p.poll_no),
+r AS (SELECT *, sum(CASE WHEN n_new = 0 THEN 1 ELSE 0 END) OVER w AS cng, sum(n_dup) OVER w AS cd,
+             coalesce(sum(n_new) OVER (PARTITION BY source ORDER BY poll_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM q WINDOW w AS (PARTITION BY source ORDER BY poll_no ROWS UNBOUNDED PRECEDING)),
+s AS (SELECT source, min(CASE WHEN cng >= 4 OR cd > 100 THEN poll_no END) AS stop,
+             min(CASE WHEN before >= 100 THEN poll_no END) AS capstop FROM r GROUP BY source)
+{_OUT} FROM n JOIN s USING (source)
+WHERE n.is_new AND (s.capstop IS NULL OR n.poll_no < s.capstop)
+  AND (s.stop IS NULL OR n.poll_no <= s.stop)
+""")
+def cap_between_polls(spark, sf):
+    """Poll only while fewer than 100 articles were collected (may overshoot)."""
+    arts, polls = events_as_polls(spark, sf)
+    r = order.PollRules(keys=KEYS, stop_variant="cap")
+    return _out(order.accept_articles(arts, polls, r))
+
+
+@query("null_as_dup", f"""
+WITH {_A}, {_ALLP},
+f AS (SELECT *, coalesce(content, '') <> '' AS elig FROM a),
+n AS (SELECT *, elig AND row_number() OVER (PARTITION BY source, elig, publishdate ORDER BY poll_no, pos) = 1 AS is_new FROM f),
+p AS (SELECT source, poll_no, sum(CASE WHEN is_new THEN 1 ELSE 0 END) AS n_new,
+             sum(CASE WHEN is_new THEN 0 ELSE 1 END) AS n_dup FROM n GROUP BY source, poll_no),
+q AS (SELECT allp.source, allp.poll_no, coalesce(n_new, 0) AS n_new, coalesce(n_dup, 0) AS n_dup
+      FROM allp LEFT JOIN p ON allp.source = p.source AND allp.poll_no = p.poll_no),
+r AS (SELECT *, sum(CASE WHEN n_new = 0 THEN 1 ELSE 0 END) OVER w AS cng, sum(n_dup) OVER w AS cd
+      FROM q WINDOW w AS (PARTITION BY source ORDER BY poll_no ROWS UNBOUNDED PRECEDING)),
+s AS (SELECT source, min(CASE WHEN cng >= 4 OR cd > 100 THEN poll_no END) AS stop FROM r GROUP BY source)
+{_OUT} FROM n JOIN s USING (source) WHERE n.is_new AND (s.stop IS NULL OR n.poll_no <= s.stop)
+""")
+def null_as_dup(spark, sf):
+    """A falsy body counts as a duplicate and the page continues."""
+    arts, polls = events_as_polls(spark, sf)
+    r = order.PollRules(keys=KEYS, null_policy="as_dup", status_policy="skip")
+    return _out(order.accept_articles(arts, polls, r))
+
+
+@query("poll_stop_inpage", f"""
+WITH {_A},
+f AS (SELECT *, coalesce(content, '') <> '' AS elig FROM a),
+n AS (SELECT *, elig AND row_number() OVER (PARTITION BY source, elig, publishdate ORDER BY poll_no, pos) = 1 AS is_new FROM f),
+g AS (SELECT *, min(CASE WHEN is_new THEN pos END) OVER (PARTITION BY source, poll_no) AS fnp FROM n),
+h AS (SELECT *, sum(CASE WHEN NOT elig AND (fnp IS NULL OR pos < fnp) THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY source ORDER BY poll_no, pos ROWS UNBOUNDED PRECEDING) AS cflag FROM g),
+st AS (SELECT source, min(poll_no) AS sp FROM h WHERE cflag >= 4 GROUP BY source),
+st2 AS (SELECT h.source, st.sp, min(h.pos) AS spos FROM h JOIN st ON h.source = st.source AND h.poll_no = st.sp
+        WHERE h.cflag >= 4 GROUP BY h.source, st.sp),
+pd AS (SELECT source, poll_no, sum(CASE WHEN elig AND NOT is_new THEN 1 ELSE 0 END) AS n_dup FROM n GROUP BY source, poll_no),
+pc AS (SELECT source, poll_no, sum(n_dup) OVER (PARTITION BY source ORDER BY poll_no ROWS UNBOUNDED PRECEDING) AS cd FROM pd),
+ds AS (SELECT source, min(CASE WHEN cd > 100 THEN poll_no END) AS dstop FROM pc GROUP BY source)
+{_OUT} FROM n LEFT JOIN st2 USING (source) LEFT JOIN ds USING (source)
+WHERE n.is_new AND (ds.dstop IS NULL OR n.poll_no <= ds.dstop)
+  AND (st2.sp IS NULL OR n.poll_no < st2.sp OR (n.poll_no = st2.sp AND n.pos < st2.spos))
+""")
+def poll_stop_inpage(spark, sf):
+    """Falsy bodies before the first new article of a poll feed a run-wide
+    counter; at 4 the run ends mid-page."""
+    arts, polls = events_as_polls(spark, sf)
+    r = order.PollRules(keys=KEYS, null_policy="skip_falsy", stop_variant="inpage")
+    return _out(order.accept_articles(arts, polls, r))
+
+
+@query("dup_counts", f"""
+WITH {_A}, {_T}, {_N}, {_ALLP},
+p AS (SELECT source, poll_no, count(*) AS n_rows, sum(CASE WHEN is_new THEN 1 ELSE 0 END) AS n_new,
+             sum(CASE WHEN is_new THEN 0 ELSE 1 END) AS n_dup FROM n GROUP BY source, poll_no),
+q AS (SELECT allp.source, allp.poll_no, coalesce(n_rows, 0) AS n_rows, coalesce(n_new, 0) AS n_new,
+             coalesce(n_dup, 0) AS n_dup
+      FROM allp LEFT JOIN p ON allp.source = p.source AND allp.poll_no = p.poll_no)
+SELECT source, strftime(poll_no, '%Y-%m-%d') AS poll_day, CAST(n_new AS BIGINT) AS n_new,
+       CAST(n_dup AS BIGINT) AS n_dup,
+       CAST(sum(n_dup) OVER w AS BIGINT) AS cum_dups,
+       CAST(sum(CASE WHEN n_new = 0 THEN 1 ELSE 0 END) OVER w AS BIGINT) AS cum_no_growth,
+       (sum(CASE WHEN n_new = 0 THEN 1 ELSE 0 END) OVER w >= 4 OR sum(n_dup) OVER w > 100) AS stop
+FROM q WINDOW w AS (PARTITION BY source ORDER BY poll_no ROWS UNBOUNDED PRECEDING)
+""")
+def dup_counts(spark, sf):
+    """Per-poll new/duplicate counts and the running counters of W4."""
+    arts, polls = events_as_polls(spark, sf)
+    rep = order.poll_report(arts, polls, order.PollRules(keys=KEYS))
+    return rep.select("source", F.date_format("poll_no", "yyyy-MM-dd").alias("poll_day"),
+                      F.col("n_new").cast("bigint").alias("n_new"), F.col("n_dup").cast("bigint").alias("n_dup"),
+                      F.col("cum_dups").cast("bigint").alias("cum_dups"),
+                      F.col("cum_no_growth").cast("bigint").alias("cum_no_growth"), "stop")
