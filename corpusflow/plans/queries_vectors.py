@@ -1 +1,106 @@
-"""placeholder"""
+"""Vector queries over ``embeddings`` as the points collection (label = source)."""
+
+from __future__ import annotations
+
+from functools import partial
+
+from pyspark.sql import functions as F
+
+from ..functions import text as tx
+from ..operators import chunk as ch
+from ..operators import embed as EM
+from ..operators import vectors as V
+from ..sources.tables import table
+from .catalog import query, sql_remove_tags, sql_word_tokens
+
+TOP_K = 10
+SCROLL_SOURCE = 3
+SCROLL_PAGE = 300  # reference page size
+
+
+def _points(spark, sf):
+    return table(spark, sf, "embeddings").select("vec_id", "embedding", "label")
+
+
+@query("points_by_source", """
+SELECT label AS source, count(*) AS n_points FROM embeddings GROUP BY label
+""")
+def points_by_source(spark, sf):
+    """A2: points per source in one pass."""
+    from ..operators.metrics import points_per_source
+    return points_per_source(_points(spark, sf), "label").withColumnRenamed("label", "source")
+
+
+@query("points_total", f"""
+WITH t AS (SELECT len({sql_word_tokens(sql_remove_tags('text'))}) AS n FROM documents),
+c AS (SELECT CAST(sum(CAST(ceil(n / {ch.DEFAULT_BUDGET}.0) AS BIGINT)) AS BIGINT) AS n_run_chunks FROM t),
+p AS (SELECT count(*) AS n_points FROM embeddings)
+SELECT n_points, n_run_chunks, n_points + n_run_chunks AS vector_count FROM p, c
+""")
+def points_total(spark, sf):
+    """A3 + A4: points before the run, chunks of this run (documents), and
+    the vector count saved for the day."""
+    before = V.count_points(_points(spark, sf))
+    docs = table(spark, sf, "documents").select(tx.remove_tags("text").alias("c"))
+    run = docs.select(F.sum(F.size(ch.word_chunk_array("c"))).cast("bigint")).scalar()
+    return before.select("n_points", run.alias("n_run_chunks"),
+                         (F.col("n_points") + run).alias("vector_count"))
+
+
+@query("scroll_source", f"""
+WITH s AS (SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) AS rn FROM embeddings WHERE label = {SCROLL_SOURCE})
+SELECT vec_id, label, (SELECT vec_id FROM s WHERE rn = {SCROLL_PAGE + 1}) AS next_offset FROM s WHERE rn <= {SCROLL_PAGE}
+""")
+def scroll_source(spark, sf):
+    """SC10 / L1 / FL3: first page (300) of one source's points, next offset."""
+    page = V.scroll(_points(spark, sf), "label", SCROLL_SOURCE, id_col="vec_id", limit=SCROLL_PAGE)
+    return page.select("vec_id", "label", "next_offset")
+
+
+@query("mean_pool", """
+WITH u AS (SELECT label, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS dim FROM embeddings)
+SELECT label, CAST(dim AS INTEGER) AS dim, round(sum(CAST(v AS DOUBLE)) / greatest(count(*), 1e-9), 6) AS value
+FROM u GROUP BY label, dim
+""")
+def mean_pool(spark, sf):
+    """V1 + M3: masked mean of each source's vectors (mask = real token)."""
+    c = V.centroids(_points(spark, sf), "label")
+    return c.select("label", "dim", F.round("value", 6).alias("value"))
+
+
+_TOPK_SQL = f"""
+WITH pts AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS v,
+                    generate_subscripts(embedding, 1) AS d FROM embeddings),
+cen AS (SELECT label AS q, d, sum(v) / count(*) AS c FROM pts GROUP BY label, d),
+qn AS (SELECT q, sqrt(sum(c * c)) AS qn FROM cen GROUP BY q),
+pn AS (SELECT vec_id, sqrt(sum(v * v)) AS pn FROM pts GROUP BY vec_id),
+dots AS (SELECT cen.q, pts.vec_id, pts.label, sum(cen.c * pts.v) AS dot
+         FROM cen JOIN pts ON cen.d = pts.d GROUP BY cen.q, pts.vec_id, pts.label),
+sc AS (SELECT q, vec_id, label, dot / (qn.qn * pn.pn) AS score FROM dots JOIN qn USING (q) JOIN pn USING (vec_id)),
+r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id) AS rank FROM sc)
+SELECT q AS query_label, CAST(rank AS INTEGER) AS rank, vec_id, label, round(score, 6) AS score
+FROM r WHERE rank <= {TOP_K}
+"""
+
+
+@query("vector_topk", _TOPK_SQL)
+def vector_topk(spark, sf):
+    """V3 / V4 / K0: for each source centroid (V1), the 10 nearest points by
+    cosine, best first, ties by id. Queries = one centroid per source: a
+    side bounded by the number of sources, size-checked before broadcast."""
+    pts = _points(spark, sf)
+    q = V.centroid_vectors(V.centroids(pts, "label"), "label")
+    res = V.topk_search(pts, q, TOP_K, id_col="vec_id", qid_col="label", payload=["label"])
+    return res.select(F.col("query_id").alias("query_label"), "rank", "vec_id", "label",
+                      F.round("score", 6).alias("score"))
+
+
+@query("semantic_search")
+def semantic_search(spark, sf):
+    """V2q + V3: every ``benchmark`` text embedded by the injected embedder
+    (hashing stand-in, 64 wide like the points) and searched top-5.
+    No SQL oracle: the embedder is Python."""
+    bench = table(spark, sf, "benchmark").select("item_id", "text")
+    qv = EM.embed_column(bench, "text", partial(EM.hashing_embedder, 64))
+    res = V.topk_search(_points(spark, sf), qv, 5, id_col="vec_id", qid_col="item_id", payload=["label"])
+    return res.select(F.col("query_id").alias("item_id"), "rank", "vec_id", "label", F.round("score", 6).alias("score"))
