@@ -9,7 +9,7 @@ from ..functions import text as tx
 from ..operators import chunk as ch
 from ..sources import envelopes
 from ..sources.tables import table
-from .catalog import query, sql_host, sql_remove_tags, sql_word_tokens
+from .catalog import WS_SQL, query, sql_host, sql_remove_tags, sql_word_tokens
 
 BUDGET = ch.DEFAULT_BUDGET
 
@@ -114,3 +114,39 @@ def page_lookup(spark, sf):
     pages = ingest.dedupe_pages(table(spark, sf, "pages").select("page_id", "url", "html"), order_col="page_id")
     j = docs.join(pages, docs.doc_id == pages.page_id, "left")
     return j.select("doc_id", "url", F.length("html").alias("n_html"), F.col("url").isNotNull().alias("has_page"))
+
+
+# named references decoded like the tree builder: with ';', or without it
+# when the next character cannot continue a name (amp last: one decode only)
+_ENT = [("lt", "<"), ("gt", ">"), ("quot", '"'), ("nbsp", "\xa0"), ("amp", "&")]
+
+
+def _sql_unescape(expr: str) -> str:
+    expr = f"replace({expr}, '&#39;', '{chr(39) * 2}')"
+    for name, ch in _ENT:
+        expr = f"regexp_replace({expr}, '&{name}(;|([^a-zA-Z0-9])|$)', '{ch}\\2', 'g')"
+    return expr
+
+
+def _extract_article_sql():
+    ws = WS_SQL
+    strip = lambda e: f"regexp_replace(regexp_replace({e}, '^{ws}+', ''), '{ws}+$', '')"
+    return f"""
+WITH a AS (SELECT page_id, regexp_extract(html, '(?s)<article>(.*)</article>', 1) AS inner_html FROM pages),
+t AS (SELECT page_id, list_filter(list_transform(regexp_split_to_array(inner_html, '<[^>]*>'),
+            lambda x: {strip(_sql_unescape('x'))}), lambda x: x <> '') AS parts FROM a)
+SELECT page_id, {strip("array_to_string(parts, '') || chr(10) || chr(10)")} AS content FROM t
+"""
+
+
+@query("extract_article", _extract_article_sql())
+def extract_article(spark, sf):
+    """X14 / XO1 / XO5 / XO10: every ``article`` element's text (each string
+    stripped, no separator), one piece per container + blank line, trimmed.
+    Tree selection in an Arrow UDF over each page, the rest native."""
+    from ..operators import extract as X
+    from ..sources import registry
+    pages = table(spark, sf, "pages").select("page_id", "html").withColumn("rule_id", F.lit("X14"))
+    rules = {"X14": registry.RULES["X14"]}
+    out = X.extract_bodies(pages, registry.rules_df(spark, rules), rules, status_col="_none")
+    return out.select("page_id", "content")
