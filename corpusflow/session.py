@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     # The embedder batches 128 rows at a time (reference batch size).
     "spark.sql.execution.arrow.maxRecordsPerBatch": "128",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # count tables keep their date key as text (yyyy-MM-dd), also as a partition column
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.ui.enabled": "false",
 }
 
@@ -32,9 +34,12 @@ def get_spark(master: str | None = None, app: str = "corpusflow",
     ``local[N]``.
     """
     b = SparkSession.builder.appName(app)
+    conf = dict(DEFAULT_CONF)
     if master:
         b = b.master(master)
-    conf = dict(DEFAULT_CONF)
+        if master.startswith("local"):
+            # local mode: the driver JVM is the only executor
+            conf["spark.driver.memory"] = os.environ.get("CF_DRIVER_MEMORY", "12g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if extra:
