@@ -32,10 +32,15 @@ DEFAULT_BUDGET = 512
 _WORD_TOKEN = r" *[^ ]+ *"
 
 
-def word_chunk_array(content, budget: int = DEFAULT_BUDGET) -> Column:
-    """ARRAY<STRING> of chunks of at most ``budget`` words (Catalyst only)."""
+def word_tokens(content) -> Column:
+    """ARRAY<STRING> of word tokens (each with its surrounding spaces)."""
     c = F.col(content) if isinstance(content, str) else content
-    toks = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(_WORD_TOKEN), 0)
+    return F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(_WORD_TOKEN), 0)
+
+
+def chunks_from_tokens(toks: Column, budget: int = DEFAULT_BUDGET) -> Column:
+    """Chunks of at most ``budget`` tokens; ``toks`` should be a column
+    reference (a lambda body re-evaluates any expression it holds)."""
     n = F.size(toks)
     n_chunks = F.floor((n + F.lit(budget - 1)) / F.lit(budget)).cast("int")
     idx = F.sequence(F.lit(0), n_chunks - 1)
@@ -43,6 +48,20 @@ def word_chunk_array(content, budget: int = DEFAULT_BUDGET) -> Column:
         F.transform(idx, lambda i: F.array_join(F.slice(toks, i * budget + 1, budget), "")))
 
 
+def word_chunk_array(content, budget: int = DEFAULT_BUDGET) -> Column:
+    """ARRAY<STRING> of chunks of at most ``budget`` words (Catalyst only).
+    Prefer ``word_chunks`` on a DataFrame: it evaluates the tokens once."""
+    return chunks_from_tokens(word_tokens(content), budget)
+
+
+def word_chunk_count(content, budget: int = DEFAULT_BUDGET) -> Column:
+    """Number of chunks the word chunker makes: ``ceil(words / budget)``,
+    counted without building any chunk string (A1 on raw text)."""
+    c = F.col(content) if isinstance(content, str) else content
+    n = F.regexp_count(F.coalesce(c, F.lit("")), F.lit("[^ ]+"))
+    return F.floor((n + F.lit(budget - 1)) / F.lit(budget)).cast("int")
+
+
 def explode_chunks(df: DataFrame, chunks: Column, keep: list[str],
                    idx_col: str = "chunk_idx", out_col: str = "content") -> DataFrame:
     """AR1: one row per chunk, carrying ``keep`` columns (title, date, ...)."""
@@ -52,7 +71,8 @@ def explode_chunks(df: DataFrame, chunks: Column, keep: list[str],
 def word_chunks(df: DataFrame, content: str = "content", keep: list[str] | None = None,
                 budget: int = DEFAULT_BUDGET) -> DataFrame:
     keep = keep if keep is not None else [c for c in df.columns if c != content]
-    return explode_chunks(df, word_chunk_array(content, budget), keep)
+    toks = df.select(*keep, word_tokens(content).alias("_toks"))
+    return explode_chunks(toks, chunks_from_tokens(F.col("_toks"), budget), keep)
 
 
 # ---------------------------------------------------------------------------

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import truthy
+from ..session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -151,27 +152,34 @@ def mark_first_seen(rows: DataFrame, eligible: Column, r: PollRules) -> DataFram
 # ---------------------------------------------------------------------------
 # the operator
 
-def _prepare(articles: DataFrame, polls: DataFrame, r: PollRules):
-    """Rows the loop processes, with ``_is_new`` and ``_dup`` flags."""
+def _prepare(articles: DataFrame, polls: DataFrame, r: PollRules, materialize: bool = True):
+    """Rows the loop processes, narrowed to keys, order and flags, with
+    ``_elig``, ``_is_new`` and ``_dup``.
+
+    The payload (title, body, ...) never enters these joins; the marked
+    narrow rows are checkpointed once (shared checkpoint folder), so the
+    poll statistics below read them instead of re-deriving the lineage.
+    """
     pp = processed_polls(polls, r)
-    rows = articles.join(pp, _pkeys(r), "left_semi")
+    if materialize:
+        pp = cut_lineage(pp)
     content = F.col(r.content)
+    cl = F.col(r.cleaned) if r.cleaned else content
+    narrow = articles.select(*_pkeys(r), "pos", *r.date_keys,
+                             content.isNull().alias("_null"), truthy(content).alias("_truthy"),
+                             truthy(cl).alias("_clean_ok"))
+    rows = narrow.join(pp, _pkeys(r), "left_semi")
     pol = r.null_policy
     if pol in ("truncate", "truncate_skip_empty"):
-        rows = truncate_on_failure(rows, content.isNull(), r)
+        rows = truncate_on_failure(rows, F.col("_null"), r)
     if pol == "truncate_skip_empty":
-        cl = F.col(r.cleaned) if r.cleaned else content
-        rows = rows.where(truthy(cl))
-    if pol in ("skip_falsy", "as_dup"):
-        eligible = truthy(content)
-    else:
-        eligible = F.lit(True)
+        rows = rows.where(F.col("_clean_ok"))
+    eligible = F.col("_truthy") if pol in ("skip_falsy", "as_dup") else F.lit(True)
     rows = mark_first_seen(rows, eligible, r)
-    if pol == "skip_falsy":
-        dup = F.col("_elig") & ~F.col("_is_new")
-    else:
-        dup = ~F.col("_is_new")
-    rows = rows.withColumn("_dup", dup)
+    dup = (F.col("_elig") & ~F.col("_is_new")) if pol == "skip_falsy" else ~F.col("_is_new")
+    rows = rows.select(*_pkeys(r), "pos", "_elig", "_is_new", dup.alias("_dup"))
+    if materialize:
+        rows = cut_lineage(rows)
     return pp, rows
 
 
@@ -188,10 +196,11 @@ def _poll_counts(pp: DataFrame, rows: DataFrame, r: PollRules) -> DataFrame:
     return p.fillna(0, subset=["n_rows", "n_new", "n_dup"])
 
 
-def poll_report(articles: DataFrame, polls: DataFrame, r: PollRules = STD) -> DataFrame:
+def poll_report(articles: DataFrame, polls: DataFrame, r: PollRules = STD,
+                materialize: bool = True) -> DataFrame:
     """W3 (+W4 counters): per processed poll, new and duplicate counts and
     the running counters the stop rule reads, plus the ``stop`` flag."""
-    pp, rows = _prepare(articles, polls, r)
+    pp, rows = _prepare(articles, polls, r, materialize)
     p = _poll_counts(pp, rows, r)
     w = _poll_window(r)
     p = (p.withColumn("cum_dups", F.sum("n_dup").over(w))
@@ -200,15 +209,15 @@ def poll_report(articles: DataFrame, polls: DataFrame, r: PollRules = STD) -> Da
             .drop("_last_new_pos", "_first_new_pos")
 
 
-def accept_articles(articles: DataFrame, polls: DataFrame, r: PollRules = STD) -> DataFrame:
+def accept_articles(articles: DataFrame, polls: DataFrame, r: PollRules = STD,
+                    materialize: bool = True) -> DataFrame:
     """The articles a fetch run collects, in the columns of ``articles``.
 
     ``articles`` holds (keys..., poll_no, pos, publishdate, content, ...);
     ``polls`` holds (keys..., poll_no, status[, total_results]) with one row
     per poll, zero-article polls included.
     """
-    cols = articles.columns
-    pp, rows = _prepare(articles, polls, r)
+    pp, rows = _prepare(articles, polls, r, materialize)
     p = _poll_counts(pp, rows, r)
     w = _poll_window(r)
     whole = Window.partitionBy(*_kcols(r))
@@ -240,9 +249,10 @@ def accept_articles(articles: DataFrame, polls: DataFrame, r: PollRules = STD) -
         keep = keep & (F.col("_inpage_poll").isNull() | (F.col("poll_no") <= F.col("_inpage_poll")))
 
     kept = p.where(keep).select(*_pkeys(r), limit_pos.alias("_limit_pos"))
-    out = rows.where("_is_new").join(kept, _pkeys(r), "inner")
-    out = out.where(F.col("_limit_pos").isNull() | (F.col("pos") < F.col("_limit_pos")))
-    return out.select(*cols)
+    acc = rows.where("_is_new").join(kept, _pkeys(r), "inner")
+    acc = acc.where(F.col("_limit_pos").isNull() | (F.col("pos") < F.col("_limit_pos")))
+    # payload back for the accepted rows only; (keys, poll_no, pos) is unique
+    return articles.join(acc.select(*_pkeys(r), "pos"), _pkeys(r) + ["pos"], "left_semi")
 
 
 def _with_trailing_repeat(p: DataFrame, rows: DataFrame, r: PollRules) -> DataFrame:

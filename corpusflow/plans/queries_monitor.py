@@ -16,6 +16,7 @@ from ..operators import chunk as ch
 from ..operators import metrics as M
 from ..operators import qa as QA
 from ..sources import sinks
+from ..session import cut_lineage, spread
 from ..sources.tables import table
 from .catalog import query, sql_remove_tags, sql_word_tokens
 
@@ -225,11 +226,13 @@ FROM k
 """)
 def incremental_points(spark, sf):
     """K1: the same documents ingested twice; the second run adds no point."""
-    docs = table(spark, sf, "documents").select(
+    docs = spread(table(spark, sf, "documents").select("doc_id", "source", "text")).select(
         "doc_id", "source", F.col("doc_id").cast("string").alias("title"),
         F.lit("").alias("publishdate"), tx.remove_tags("text").alias("content"))
     chunks = ch.word_chunks(docs, "content", keep=["doc_id", "source", "title", "publishdate"])
     batch = sinks.with_point_id(chunks)
-    run1 = sinks.new_points(batch, None)
+    # run 1 is a written table (reliable checkpoint in the shared folder);
+    # run 2 re-ingests the same documents against it
+    run1 = cut_lineage(sinks.new_points(batch, None))
     run2 = sinks.new_points(batch, run1)
     return run1.unionByName(run2).select("point_id", "source", "doc_id", "chunk_idx")

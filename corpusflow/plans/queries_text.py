@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..operators import chunk as ch
 from ..sources import envelopes
+from ..session import spread
 from ..sources.tables import table
 from .catalog import WS_SQL, query, sql_host, sql_remove_tags, sql_word_tokens
 
@@ -18,7 +19,7 @@ BUDGET = ch.DEFAULT_BUDGET
 SELECT page_id, {sql_remove_tags('html')} AS text FROM pages
 """)
 def clean_pages(spark, sf):
-    pages = table(spark, sf, "pages")
+    pages = spread(table(spark, sf, "pages").select("page_id", "html"))
     return pages.select("page_id", tx.remove_tags("html").alias("text"))
 
 
@@ -36,10 +37,10 @@ def chunks_per_source(spark, sf):
     Counting ``size(chunks)`` per page and summing per source is one
     partial+final hash aggregate; sources with no chunk still appear (0).
     """
-    pages = table(spark, sf, "pages")
+    pages = spread(table(spark, sf, "pages").select("url", "html"))
     per_page = pages.select(
         tx.host_of("url").alias("source"),
-        F.size(ch.word_chunk_array(tx.remove_tags("html"), BUDGET)).alias("n"))
+        ch.word_chunk_count(tx.remove_tags("html"), BUDGET).alias("n"))
     return per_page.groupBy("source").agg(F.sum("n").cast("bigint").alias("n_chunks"))
 
 
@@ -51,7 +52,8 @@ SELECT doc_id, CAST(i AS INTEGER) AS chunk_idx,
 FROM c
 """)
 def word_chunks(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", tx.remove_tags("text").alias("content"))
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    docs = docs.select("doc_id", tx.remove_tags("text").alias("content"))
     return ch.word_chunks(docs, "content", keep=["doc_id"], budget=BUDGET)
 
 
@@ -146,7 +148,7 @@ def extract_article(spark, sf):
     Tree selection in an Arrow UDF over each page, the rest native."""
     from ..operators import extract as X
     from ..sources import registry
-    pages = table(spark, sf, "pages").select("page_id", "html").withColumn("rule_id", F.lit("X14"))
+    pages = spread(table(spark, sf, "pages").select("page_id", "html")).withColumn("rule_id", F.lit("X14"))
     rules = {"X14": registry.RULES["X14"]}
     out = X.extract_bodies(pages, registry.rules_df(spark, rules), rules, status_col="_none")
     return out.select("page_id", "content")

@@ -10,6 +10,7 @@ from ..functions import text as tx
 from ..operators import chunk as ch
 from ..operators import embed as EM
 from ..operators import vectors as V
+from ..session import spread
 from ..sources.tables import table
 from .catalog import query, sql_remove_tags, sql_word_tokens
 
@@ -41,8 +42,8 @@ def points_total(spark, sf):
     """A3 + A4: points before the run, chunks of this run (documents), and
     the vector count saved for the day."""
     before = V.count_points(_points(spark, sf))
-    docs = table(spark, sf, "documents").select(tx.remove_tags("text").alias("c"))
-    run = docs.select(F.sum(F.size(ch.word_chunk_array("c"))).cast("bigint")).scalar()
+    docs = spread(table(spark, sf, "documents").select("text")).select(tx.remove_tags("text").alias("c"))
+    run = docs.select(F.sum(ch.word_chunk_count("c")).cast("bigint")).scalar()
     return before.select("n_points", run.alias("n_run_chunks"),
                          (F.col("n_points") + run).alias("vector_count"))
 

@@ -77,3 +77,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan over all cores when it yields fewer partitions than
+    the default parallelism (e.g. one large row group); a no-op on large
+    inputs, which already have many splits. Use before CPU-heavy per-row
+    work (regex cleaning, HTML parsing, chunking)."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
