@@ -30,7 +30,10 @@ BOILERPLATE_PATTERN = (r"© \d+ BBC\. The BBC is not responsible for the content
 # \d and \b Unicode-aware like Python; \s is replaced by the explicit class.
 _TAG_RE = r"(?d)<.*?>"
 _CLOCK_RE = "(?U)" + CLOCK_PATTERN.replace(r"\s", WS)
-_WS_RUN_RE = WS + "+"
+# a lone ' ' is already collapsed: match only runs that change the text
+# (a space followed by more whitespace, or any other whitespace character)
+_WS_NOSPACE = WS.replace(r"\x{1c}-\x{20}", r"\x{1c}-\x{1f}")
+_WS_RUN_RE = " " + WS + "+|" + _WS_NOSPACE + WS + "*"
 _BOILER_RE = "(?U)" + BOILERPLATE_PATTERN
 
 
