@@ -62,3 +62,46 @@ def date_window(publishdate: Column, run_date: Column, days: int = 1) -> Column:
     """SP1: ``to_date(publishdate)`` in ``[run_date - days, run_date]``."""
     d = F.to_date(F.try_to_timestamp(publishdate))
     return d.between(F.date_sub(run_date, days), run_date)
+
+
+def request_filter(articles: DataFrame, *, selector_col: str | None = None, selector: str | None = None,
+                   lang_col: str | None = None, lang: str | None = None,
+                   topic: str | None = None, text_cols=("title", "content"),
+                   country_col: str | None = None, country: str | None = None,
+                   page_size: int | None = None, rank_col: str = "pos") -> DataFrame:
+    """SP2-SP7 on landed data: the predicates a news API applied on request.
+
+    SP2 source/domain equality, SP3 topic as a text match on title/body
+    (relevance ranking of the API is not reproducible), SP4 language, SP5
+    country, SP7 page size as ``pos < page_size`` (position within the poll
+    answer). Every predicate is a plain Column, so Catalyst pushes the
+    equalities into the parquet scan.
+    """
+    df = articles
+    if selector is not None and selector_col:
+        df = df.where(F.col(selector_col) == selector)
+    if lang is not None and lang_col:
+        df = df.where(F.col(lang_col) == lang)
+    if country is not None and country_col:
+        df = df.where(F.col(country_col) == country)
+    if topic is not None:
+        cond = None
+        for c in text_cols:
+            if c in df.columns:
+                m = F.lower(F.col(c)).contains(topic.lower())
+                cond = m if cond is None else cond | m
+        if cond is not None:
+            df = df.where(cond)
+    if page_size is not None:
+        df = df.where(F.col(rank_col) < page_size)
+    return df
+
+
+def first_n_per_poll(rows: DataFrame, keys: list[str], order_col: str, n: int) -> DataFrame:
+    """SP7 / L2 when positions are not 0-based: the first ``n`` rows of each
+    poll answer. ``row_number() <= n`` plans as WindowGroupLimit: each map
+    task keeps at most ``n`` rows per poll before the shuffle, so even a poll
+    holding a third of all rows never lands whole in one task."""
+    from pyspark.sql import Window
+    w = Window.partitionBy(*keys).orderBy(order_col)
+    return rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")

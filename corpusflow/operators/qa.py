@@ -47,7 +47,9 @@ def pair_logits_udf(factory: Callable[[], Callable[[list, list], np.ndarray]]):
 def with_entailment(qa: DataFrame, logits: Column | None = None) -> DataFrame:
     """V5r: add ``Entailment`` = softmax(logits)[0] per row."""
     lg = logits if logits is not None else stub_pair_logits(F.col("question"), F.col("answer"))
-    return qa.withColumn("Entailment", softmax_at(lg, 0))
+    # logits land in their own column first: an injected (Python) scorer may
+    # not sit inside the higher-order functions of the native softmax
+    return qa.withColumn("_logits", lg).withColumn("Entailment", softmax_at(F.col("_logits"), 0)).drop("_logits")
 
 
 def row_state(upvote="upvote", downvote="downvote", flag="flag") -> Column:

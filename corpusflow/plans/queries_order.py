@@ -212,3 +212,18 @@ def dup_counts(spark, sf):
                       F.col("n_new").cast("bigint").alias("n_new"), F.col("n_dup").cast("bigint").alias("n_dup"),
                       F.col("cum_dups").cast("bigint").alias("cum_dups"),
                       F.col("cum_no_growth").cast("bigint").alias("cum_no_growth"), "stop")
+
+
+PAGE_SIZE = 100  # API page size of the reference fetchers
+
+
+@query("page_limit", f"""
+WITH {_A}
+{_OUT} FROM (SELECT *, row_number() OVER (PARTITION BY source, poll_no ORDER BY pos) AS rn FROM a)
+WHERE rn <= {PAGE_SIZE}
+""")
+def page_limit(spark, sf):
+    """SP7 / L2: a poll answer holds at most ``pageSize`` = 100 articles."""
+    from ..operators import ingest as J
+    arts, _ = events_as_polls(spark, sf)
+    return _out(J.first_n_per_poll(arts, ["source", "poll_no"], "pos", PAGE_SIZE))
