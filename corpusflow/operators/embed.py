@@ -52,3 +52,27 @@ def embed_udf(factory: Callable[[], Callable[[list[str]], np.ndarray]]):
 def embed_column(df: DataFrame, text_col: str, factory, out_col: str = "embedding") -> DataFrame:
     """V2: ``df`` plus ``out_col`` (V2q is the same on a queries frame)."""
     return df.withColumn(out_col, embed_udf(factory)(F.col(text_col)))
+
+
+def md5_hashing_vectors(df: DataFrame, id_col: str, text_col: str, dim: int = 64) -> DataFrame:
+    """Deterministic stand-in embedder written natively (reproducible in SQL):
+    signed feature hashing of lower-cased words by ``md5``, L2-normalised.
+
+    Relational, so it scales with the text: words are exploded once, hashed
+    once, reduced per (id, bucket) with a partial aggregate, and each id's
+    ``dim`` buckets (bounded by ``dim``) are assembled into one vector.
+    Ids without any word get no vector.
+    """
+    from ..functions.text import WS
+    words = (df.select(id_col, F.explode(F.split(F.lower(F.col(text_col)), WS + "+")).alias("w"))
+               .where(F.length("w") > 0))
+    h = F.md5("w")
+    bucket = (F.conv(F.substring(h, 1, 2), 16, 10).cast("int") % dim).alias("bucket")
+    sign = F.when(F.conv(F.substring(h, 3, 1), 16, 10).cast("int") % 2 == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
+    per = words.groupBy(id_col, bucket).agg(F.sum(sign).alias("v"))
+    m = per.groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("bucket", "v"))).alias("_m"))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda d: F.coalesce(F.try_element_at("_m", d), F.lit(0.0)))
+    vec = m.select(id_col, dense.alias("_d"))
+    norm = F.sqrt(F.aggregate("_d", F.lit(0.0), lambda a, x: a + x * x))
+    return vec.select(id_col, F.when(norm > 0, F.transform("_d", lambda x: x / norm)).alias("embedding")) \
+              .where(F.col("embedding").isNotNull())

@@ -107,13 +107,44 @@ def topk_search(points: DataFrame, queries: DataFrame, k: int, id_col: str = "po
 def centroids(points: DataFrame, group_col: str, vec_col: str = "embedding",
               mask: F.Column | None = None) -> DataFrame:
     """V1 over rows: masked mean of the vectors of each group, clamped
-    denominator (M3). Long form ``(group, dim, value)`` -- a partial+final
-    aggregate per (group, dim), so one hot group is reduced map-side."""
+    denominator (M3), in long form ``(group, dim, value)``.
+
+    Two phases: each task sums its rows per group with numpy (one
+    vectorised add per Arrow batch) and emits one partial vector per group;
+    only those partials are exploded and reduced per (group, dim). A group
+    holding a third of all rows is therefore summed inside every task, never
+    shipped whole, and no per-element hash aggregation runs on raw vectors.
+    """
     m = (mask if mask is not None else F.lit(1)).cast("double")
-    ex = points.select(group_col, m.alias("_m"), F.posexplode(vec_col).alias("dim", "_v"))
-    return (ex.groupBy(group_col, "dim")
-              .agg((F.sum(F.col("_v").cast("double") * F.col("_m")) /
-                    F.greatest(F.sum("_m"), F.lit(1e-9))).alias("value")))
+    src = points.select(F.col(group_col).alias("_g"), F.col(vec_col).alias("_v"), m.alias("_m"))
+    gtype = points.schema[group_col].dataType
+    part_schema = T.StructType([T.StructField("_g", gtype), T.StructField("_sum", T.ArrayType(T.DoubleType())),
+                                T.StructField("_msum", T.DoubleType())])
+
+    def partial(it):
+        acc: dict = {}
+        for pdf in it:
+            if pdf.empty:
+                continue
+            w = pdf["_m"].to_numpy(dtype=np.float64)
+            for g, idx in pdf.groupby("_g", dropna=False, sort=False).indices.items():
+                X = np.vstack([np.asarray(v, dtype=np.float64) for v in pdf["_v"].to_numpy()[idx]])
+                s_, ms = (X * w[idx, None]).sum(axis=0), float(w[idx].sum())
+                key = None if (isinstance(g, float) and np.isnan(g)) else g
+                if key in acc:
+                    acc[key][0] += s_
+                    acc[key][1] += ms
+                else:
+                    acc[key] = [s_, ms]
+        if acc:
+            yield pd.DataFrame({"_g": list(acc.keys()), "_sum": [v[0] for v in acc.values()],
+                                "_msum": [v[1] for v in acc.values()]})
+
+    parts = src.mapInPandas(partial, part_schema)
+    ex = parts.select("_g", "_msum", F.posexplode("_sum").alias("dim", "_s"))
+    red = ex.groupBy("_g", "dim").agg(F.sum("_s").alias("_s"), F.sum("_msum").alias("_msum"))
+    return red.select(F.col("_g").alias(group_col), "dim",
+                      (F.col("_s") / F.greatest(F.col("_msum"), F.lit(1e-9))).alias("value"))
 
 
 def centroid_vectors(long_form: DataFrame, group_col: str) -> DataFrame:
