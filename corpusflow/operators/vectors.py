@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
+
 # Largest query matrix shipped to every task (bytes of float64).
 MAX_QUERY_BYTES = 64 * 1024 * 1024
 
@@ -74,6 +76,9 @@ def topk_search(points: DataFrame, queries: DataFrame, k: int, id_col: str = "po
     payload = list(payload or [])
     spark = points.sparkSession
     qsel = queries.select(F.col(qid_col).alias("query_id"), F.col(qvec_col).alias("qvec"))
+    # the query side is derived once (it may itself be an aggregate over the
+    # points, e.g. centroids); the size checks and collects read that copy
+    qsel = cut_lineage(qsel)
     n_q = qsel.count()
     if n_q == 0:
         raise ValueError("no queries")

@@ -167,3 +167,24 @@ def test_content_ids_are_stable(spark):
     a = sinks.with_point_id(df).first().point_id
     b = sinks.with_point_id(df).first().point_id
     assert a == b and len(a) == 64
+
+
+def test_scroll_301_rows_and_empty_source(spark):
+    df = spark.createDataFrame([(i, "big") for i in range(301)] + [(1000, "other")], "point_id long, source string")
+    page = V.scroll(df, "source", "big").collect()
+    assert len(page) == 300 and {r.next_offset for r in page} == {300}
+    rest = V.scroll(df, "source", "big", offset=300).collect()
+    assert [r.point_id for r in rest] == [300] and rest[0].next_offset is None
+    assert V.scroll(df, "source", "none").count() == 0
+
+
+def test_token_packer_word_longer_than_budget():
+    text = "short " + "x" * 30 + " end"
+    parts = ch.pack_chunks(text, 10, len)  # character counter
+    assert "".join(parts) == text and all(len(p) <= 10 for p in parts)
+
+
+def test_preview_of_short_question(spark):
+    df = spark.createDataFrame([("why?", 0, 0, 0)], "question string, upvote int, downvote int, flag int")
+    r = QA.qa_table(df).first()
+    assert r.preview == "why?..." and r.state == "none"
