@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as tx
-from .ingest import small_side, status_ok
+from .ingest import status_ok
 
 VOID = frozenset("area base br col embed hr img input keygen link meta param source track wbr".split())
 HIDDEN_STRINGS = frozenset(("script", "style", "template", "rt", "rp"))
@@ -312,15 +312,26 @@ def finish_text(pieces: Column, level: Column, r: Column) -> Column:
     return F.when(level == 0, missing).otherwise(text)
 
 
-def extract_bodies(pages: DataFrame, rules_df: DataFrame, rules: dict[str, dict],
+def rules_map(rules: dict[str, dict]) -> Column:
+    """The rule table as a literal ``map<rule_id, struct>`` (fixed config of a
+    few dozen rows): looked up per row, folded once by the optimizer, no join."""
+    import json
+
+    from ..sources.registry import RULES_SCHEMA
+    ids = sorted(rules)
+    vals = [F.from_json(F.lit(json.dumps({f.name: rules[i].get(f.name) for f in RULES_SCHEMA.fields})),
+                        RULES_SCHEMA) for i in ids]
+    return F.map_from_arrays(F.array(*[F.lit(i) for i in ids]), F.array(*vals))
+
+
+def extract_bodies(pages: DataFrame, rules: dict[str, dict],
                    rule_col: str = "rule_id", status_col: str = "status") -> DataFrame:
     """Pages (with a ``rule_id`` column) -> ``content`` per page.
 
     Parse once per distinct page: callers pass pages deduplicated on url.
     Adds ``content`` (NULL = failed extraction) and ``extract_error``.
     """
-    rl = small_side(rules_df.select(F.col("rule_id").alias(rule_col), F.struct(*rules_df.columns).alias("_r")))
-    j = pages.join(rl, rule_col, "left")
+    j = pages.withColumn("_r", F.try_element_at(rules_map(rules), F.col(rule_col)))
     sel = pieces_udf(rules)(F.col("html"), F.col(rule_col))
     j = j.withColumn("_x", sel)
     body = finish_text(F.col("_x.pieces"), F.col("_x.level"), F.col("_r"))

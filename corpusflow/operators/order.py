@@ -24,7 +24,7 @@ rule itself.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -219,6 +219,8 @@ def accept_articles(articles: DataFrame, polls: DataFrame, r: PollRules = STD,
     """
     pp, rows = _prepare(articles, polls, r, materialize)
     p = _poll_counts(pp, rows, r)
+    if materialize:  # poll-level rows: small, read by several rule branches
+        p = cut_lineage(p)
     w = _poll_window(r)
     whole = Window.partitionBy(*_kcols(r))
     stop_cond = F.col("cum_dups") > r.max_dups

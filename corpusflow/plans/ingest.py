@@ -42,7 +42,7 @@ def collect_articles(spark: SparkSession, polls_raw: DataFrame, pages: DataFrame
     # extract once per distinct (url, rule): the same page polled again is parsed once
     pg = J.dedupe_pages(pages.select("url", "status", "html"))
     todo = arts.select("url", "rule_id").distinct().join(pg, "url", "left")
-    bodies = X.extract_bodies(todo, registry.rules_df(spark), registry.RULES) \
+    bodies = X.extract_bodies(todo, registry.RULES) \
               .select("url", "rule_id", F.col("content").alias("raw"), "extract_error")
     arts = arts.join(bodies, ["url", "rule_id"], "left")
 

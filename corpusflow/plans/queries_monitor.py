@@ -112,7 +112,7 @@ def upsert_counts(spark, sf):
     batch 2 does not carry, plus all of batch 2.
     """
     ev = table(spark, sf, "events").select("ts", F.col("event_type").alias("source"))
-    today = ev.select(F.max(F.to_date("ts"))).scalar()
+    today = ev.select(F.to_date(F.max("ts"))).scalar()
     cut = F.to_timestamp(F.date_sub(today, 1)) + F.expr("INTERVAL 12 HOURS")
     b1 = M.daily_counts(ev.where(F.col("ts") < cut), F.col("ts"))
     b2 = M.daily_counts(ev.where(F.to_date("ts") >= F.date_sub(today, 1)), F.col("ts"))

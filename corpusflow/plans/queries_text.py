@@ -74,7 +74,7 @@ WHERE CAST(ts AS DATE) BETWEEN (SELECT max(CAST(ts AS DATE)) FROM events) - INTE
 def window_filter(spark, sf):
     """SP1 / DT1 / DT2: keep [run_date - 1 day, run_date]; run_date = latest landing day."""
     ev = table(spark, sf, "events")
-    run_date = ev.select(F.max(F.to_date("ts"))).scalar()  # scalar subquery, no driver round trip
+    run_date = ev.select(F.to_date(F.max("ts"))).scalar()  # scalar subquery, no driver round trip
     day = F.to_date("ts")
     return (ev.where(day.between(F.date_sub(run_date, 1), run_date))
             .select("event_id", F.col("event_type").alias("source"),
@@ -150,5 +150,5 @@ def extract_article(spark, sf):
     from ..sources import registry
     pages = spread(table(spark, sf, "pages").select("page_id", "html")).withColumn("rule_id", F.lit("X14"))
     rules = {"X14": registry.RULES["X14"]}
-    out = X.extract_bodies(pages, registry.rules_df(spark, rules), rules, status_col="_none")
+    out = X.extract_bodies(pages, rules, status_col="_none")
     return out.select("page_id", "content")

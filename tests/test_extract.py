@@ -93,7 +93,7 @@ PAGES = [
 def extracted(spark):
     rows = [(n, r, s, h) for n, r, s, h, _ in PAGES]
     pages = spark.createDataFrame(rows, "url string, rule_id string, status int, html string")
-    out = X.extract_bodies(pages, registry.rules_df(spark), R)
+    out = X.extract_bodies(pages, R)
     return {r.url: r for r in out.collect()}
 
 
