@@ -67,6 +67,10 @@ class PollRules:
 # Fixed per-source behaviour of the reference collector (labels as the
 # registry names them). Thresholds: 4 polls without growth, > 100 duplicates.
 STD = PollRules()
+# Poll-level counts are re-derived from the checkpointed narrow rows by each
+# rule branch; identical aggregations are reused as exchanges, so a second
+# checkpoint only adds a job. Kept as a switch for very long runs.
+CHECKPOINT_POLL_COUNTS = False
 SOURCE_RULES = {
     "Guardian": PollRules(null_policy="never_null", status_policy="none"),
     "BBC": PollRules(null_policy="never_null"),
@@ -219,7 +223,7 @@ def accept_articles(articles: DataFrame, polls: DataFrame, r: PollRules = STD,
     """
     pp, rows = _prepare(articles, polls, r, materialize)
     p = _poll_counts(pp, rows, r)
-    if materialize:  # poll-level rows: small, read by several rule branches
+    if materialize and CHECKPOINT_POLL_COUNTS:  # poll-level rows read by several branches
         p = cut_lineage(p)
     w = _poll_window(r)
     whole = Window.partitionBy(*_kcols(r))
