@@ -114,8 +114,13 @@ def upsert_counts(spark, sf):
     ev = table(spark, sf, "events").select("ts", F.col("event_type").alias("source"))
     today = ev.select(F.to_date(F.max("ts"))).scalar()
     cut = F.to_timestamp(F.date_sub(today, 1)) + F.expr("INTERVAL 12 HOURS")
-    b1 = M.daily_counts(ev.where(F.col("ts") < cut), F.col("ts"))
-    b2 = M.daily_counts(ev.where(F.to_date("ts") >= F.date_sub(today, 1)), F.col("ts"))
+    # both batches from one pre-aggregation per (date, source): the rows are
+    # read once; the upsert itself runs on per-day rows only
+    per_day = (ev.groupBy(F.to_date("ts").alias("d"), "source")
+                 .agg(F.count(F.lit(1)).alias("full"), F.count_if(F.col("ts") < cut).alias("early")))
+    day = F.date_format("d", "yyyy-MM-dd").alias("date")
+    b1 = per_day.where(F.col("early") > 0).select(day, "source", F.col("early").alias("count"))
+    b2 = per_day.where(F.col("d") >= F.date_sub(today, 1)).select(day, "source", F.col("full").alias("count"))
     return sinks.upsert_frame(b1, b2, ["date", "source"])
 
 
