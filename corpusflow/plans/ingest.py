@@ -66,7 +66,7 @@ def collect_articles(spark: SparkSession, polls_raw: DataFrame, pages: DataFrame
         sel = (F.col("null_policy") == nullp) & (F.col("stop_variant") == stop) & (F.col("status_policy") == status)
         a = arts.where(sel)
         srcs = reg.where(sel).select("source")
-        p = polls.join(F.broadcast(srcs), "source", "left_semi")
+        p = polls.join(J.small_side(srcs), "source", "left_semi")
         r = order.PollRules(null_policy=nullp, stop_variant=stop, status_policy=status,
                             require_total_results=(stop == "trailing_repeat"),
                             content="raw", cleaned="cleaned")

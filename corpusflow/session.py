@@ -83,12 +83,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), name)
 
 
+# Inputs above this estimated size are never re-spread: they already come
+# in many splits, and a round-robin shuffle of them would cost far more than
+# it gains.
+SPREAD_MAX_BYTES = 1 << 30
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan over all cores when it yields fewer partitions than
-    the default parallelism (e.g. one large row group); a no-op on large
-    inputs, which already have many splits. Use before CPU-heavy per-row
-    work (regex cleaning, HTML parsing, chunking)."""
+    """Spread a small scan over all cores when it yields fewer partitions
+    than the default parallelism (e.g. one large row group) before CPU-heavy
+    per-row work (regex cleaning, HTML parsing, chunking).
+
+    A no-op for inputs whose estimated size exceeds ``SPREAD_MAX_BYTES``:
+    at scale the scan's own splits provide the parallelism.
+    """
     par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
-        return df.repartition(par)
-    return df
+    if df.rdd.getNumPartitions() >= par:
+        return df
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 -- no estimate: leave the plan as it is
+        return df
+    if size > SPREAD_MAX_BYTES:
+        return df
+    return df.repartition(par)
