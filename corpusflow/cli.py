@@ -44,8 +44,8 @@ def main(argv=None):
         from .plans import search
         search.search_texts(spark, args.points, args.texts, args.k).show(truncate=80)
     else:
-        from .plans import dashboard
-        for name, df in dashboard.views(spark, args.counts, args.date, args.source).items():
+        from .plans import monitor
+        for name, df in monitor.views(spark, args.counts, args.date, args.source).items():
             print(f"== {name}")
             df.show(50, truncate=False)
 

@@ -113,7 +113,7 @@ def test_stream_equals_batch(spark):
 
 
 def test_search_and_dashboard_after_ingest(spark):
-    from corpusflow.plans import dashboard, search
+    from corpusflow.plans import monitor, search
     tmp = tempfile.mkdtemp(prefix="cf-views-")
     _write_json(os.path.join(tmp, "polls"), POLLS)
     raw = envelopes.read_polls(spark, os.path.join(tmp, "polls"))
@@ -123,9 +123,9 @@ def test_search_and_dashboard_after_ingest(spark):
     res = search.search_texts(spark, pts, ["Gamma", "Zeta"], k=2).collect()
     assert [r.content for r in res if r["rank"] == 1] == ["Gamma", "Zeta"]
     assert search.count_by_source(spark.read.parquet(pts), "ABC").first()["count"] == 2
-    v = dashboard.views(spark, counts, "2024-01-01", source="CNN")
+    v = monitor.views(spark, counts, "2024-01-01", source="CNN")
     assert v["total_today"].first().total == 4
     assert {(r.source, r["count"]) for r in v["counts_by_source_today"].collect()} == {("ABC", 2), ("CNN", 2)}
     assert [r.nb_article for r in v["source_over_time"].collect()] == [2]
-    empty = dashboard.views(spark, os.path.join(tmp, "nothing"), "2024-01-01")
+    empty = monitor.views(spark, os.path.join(tmp, "nothing"), "2024-01-01")
     assert empty["total_today"].first().total is None and empty["daily_today"].count() == 0
