@@ -38,15 +38,23 @@ def new_points(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
     return b.join(ex, ["source", "point_id"], "left_anti")
 
 
-def append_points(batch: DataFrame, path: str, id_mode: str = "content") -> DataFrame:
-    """K1: append new points under ``path`` partitioned by source; returns them."""
+def append_points(batch: DataFrame, path: str, id_mode: str = "content",
+                  max_records_per_file: int | None = None) -> DataFrame:
+    """K1: append new points under ``path`` partitioned by source; returns them.
+
+    K2: file writers batch on their own; ``max_records_per_file`` bounds the
+    file size when many small appends would otherwise make large files.
+    """
     b = batch if "point_id" in batch.columns else with_point_id(batch, id_mode)
     spark = b.sparkSession
     existing = None
     if id_mode != "random" and os.path.exists(path):
         existing = spark.read.parquet(path).join(b.select("source").distinct(), "source", "left_semi")
     out = new_points(b, existing) if id_mode != "random" else b
-    out.write.mode("append").partitionBy("source").parquet(path)
+    w = out.write.mode("append").partitionBy("source")
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", max_records_per_file)
+    w.parquet(path)
     return out
 
 
