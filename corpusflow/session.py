@@ -107,3 +107,11 @@ def spread(df: DataFrame) -> DataFrame:
     if size > SPREAD_MAX_BYTES:
         return df
     return df.repartition(par)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the cluster's file system (HDFS, object
+    stores, local), not the driver's local disk."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))

@@ -13,11 +13,11 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import path_exists
+
 ID_SEP = "\u001f"
 
 
@@ -48,7 +48,7 @@ def append_points(batch: DataFrame, path: str, id_mode: str = "content",
     b = batch if "point_id" in batch.columns else with_point_id(batch, id_mode)
     spark = b.sparkSession
     existing = None
-    if id_mode != "random" and os.path.exists(path):
+    if id_mode != "random" and path_exists(spark, path):
         existing = spark.read.parquet(path).join(b.select("source").distinct(), "source", "left_semi")
     out = new_points(b, existing) if id_mode != "random" else b
     w = out.write.mode("append").partitionBy("source")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..session import path_exists
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -25,7 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     for n in names:
         p = os.path.join(sf_dir, f"{n}.parquet")
-        if os.path.exists(p):
+        if path_exists(spark, p):
             spark.read.parquet(p).createOrReplaceTempView(n)
 
 
@@ -34,7 +35,7 @@ def read_count_table(spark: SparkSession, path: str, kind: str) -> DataFrame:
     table reads as empty (the reference raised on an empty collection)."""
     schema = {"vector": schemas.VECTOR_COUNTS, "total": schemas.ARTICLE_COUNTS,
               "daily": schemas.DAILY_COUNTS}[kind]
-    if not os.path.exists(path):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     df = spark.read.parquet(path)
     if "_id" in df.columns:
