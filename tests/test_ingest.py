@@ -129,3 +129,18 @@ def test_search_and_dashboard_after_ingest(spark):
     assert [r.nb_article for r in v["source_over_time"].collect()] == [2]
     empty = monitor.views(spark, os.path.join(tmp, "nothing"), "2024-01-01")
     assert empty["total_today"].first().total is None and empty["daily_today"].count() == 0
+
+
+def test_ingest_with_guardian_inline_bodies(spark):
+    tmp = tempfile.mkdtemp(prefix="cf-guardian-")
+    _write_json(os.path.join(tmp, "polls"), POLLS[:2])
+    g = [_guardian(0, [("2024-01-01T10:00:00Z", "a", "<p>one 3.15pm GMT</p>"), ("2024-01-01T10:00:00Z", "dup", "x")]),
+         dict(_guardian(1, [("2024-01-01T12:00:00Z", "b", "two")]), status=503)]  # no status check
+    _write_json(os.path.join(tmp, "guardian"), g)
+    raw = envelopes.read_polls(spark, os.path.join(tmp, "polls"))
+    graw = envelopes.read_polls(spark, os.path.join(tmp, "guardian"), shape="guardian")
+    pages = spark.createDataFrame(PAGES, "url string, status int, html string")
+    arts = ingest.collect_articles(spark, raw, pages, guardian_raw=graw)
+    got = sorted((r.source, r.title, r.content) for r in arts.collect())
+    assert got == [("ABC", "title u1", "Alpha body text"), ("ABC", "title u3", "Gamma"),
+                   ("Guardian", "a", "one "), ("Guardian", "b", "two")]
