@@ -68,7 +68,8 @@ def counts_by_source_on(article_counts: DataFrame, day: Column) -> DataFrame:
 
 def vectors_over_time(vector_counts: DataFrame) -> DataFrame:
     """Q4 (P3 + DT3 + P6): date parsed to a timestamp axis, ``count`` series."""
-    return vector_counts.select(F.to_timestamp("date", "yyyy-MM-dd").alias("date_ts"), "date",
+    # zone-free timestamp: the axis value does not depend on the session time zone
+    return vector_counts.select(F.to_timestamp_ntz("date", F.lit("yyyy-MM-dd")).alias("date_ts"), "date",
                                 F.col("vector_count").alias("count"))
 
 
