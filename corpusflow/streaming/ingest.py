@@ -40,8 +40,14 @@ def article_stream(spark: SparkSession, landing: str, shape: str = "guardian") -
                 .dropDuplicatesWithinWatermark(["source", "publishdate"]))
 
 
-def points_sink(points_path: str, counts_root: str, budget: int = ch.DEFAULT_BUDGET):
-    """ST3: a ``foreachBatch`` function writing points and touched counts."""
+def points_sink(points_path: str, counts_root: str, budget: int = ch.DEFAULT_BUDGET,
+                run_date: str | None = None):
+    """ST3: a ``foreachBatch`` function writing points and touched counts.
+
+    K5 daily counts are recomputed for the (date, source) keys the batch
+    touched; with ``run_date`` the collection totals of that day (K4 per
+    source, K3 overall) are upserted too, computed from the stored points.
+    """
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         arts = batch.select("source", "title", "publishdate", tx.remove_tags("content").alias("content"))
@@ -56,6 +62,13 @@ def points_sink(points_path: str, counts_root: str, budget: int = ch.DEFAULT_BUD
             daily = M.daily_counts(stored.join(touched, ["date", "source"], "left_semi"),
                                    F.to_date("date"))
             sinks.upsert_counts(daily, os.path.join(counts_root, "daily_counts"), ["date", "source"])
+            if run_date is not None:
+                day = F.lit(run_date)
+                totals = M.points_per_source(stored).select(day.alias("date"), "source",
+                                                            F.col("n_points").alias("nb_article"))
+                sinks.upsert_counts(totals, os.path.join(counts_root, "article_counts"), ["date", "source"])
+                vec = stored.agg(F.count(F.lit(1)).alias("vector_count")).select(day.alias("date"), "vector_count")
+                sinks.upsert_counts(vec, os.path.join(counts_root, "vector_counts"), ["date"])
         finally:
             pts.unpersist()
 
@@ -63,10 +76,10 @@ def points_sink(points_path: str, counts_root: str, budget: int = ch.DEFAULT_BUD
 
 
 def start(spark: SparkSession, landing: str, points_path: str, counts_root: str, checkpoint: str,
-          shape: str = "guardian"):
+          shape: str = "guardian", run_date: str | None = None):
     """Run the stream over what has landed (availableNow) and return the query."""
     return (article_stream(spark, landing, shape).writeStream
-            .foreachBatch(points_sink(points_path, counts_root))
+            .foreachBatch(points_sink(points_path, counts_root, run_date=run_date))
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start())

@@ -97,12 +97,14 @@ def test_stream_equals_batch(spark):
             for r in rows:
                 f.write(json.dumps(r) + "\n")
     pts, counts, ck = (os.path.join(tmp, x) for x in ("points", "counts", "ckpt"))
-    q = stream.start(spark, land, pts, counts, ck)
-    q.awaitTermination(120)
+    q = stream.start(spark, land, pts, counts, ck, run_date="2024-01-02")
+    assert q.awaitTermination(120)
     stored = spark.read.parquet(pts)
     assert sorted(r.content for r in stored.collect()) == ["one", "three", "two"]
     daily = {(r.date, r.source, r["count"]) for r in spark.read.parquet(os.path.join(counts, "daily_counts")).collect()}
     assert daily == {("2024-01-01", "Guardian", 2), ("2024-01-02", "Guardian", 1)}
+    vec = [(r.date, r.vector_count) for r in spark.read.parquet(os.path.join(counts, "vector_counts")).collect()]
+    assert vec == [("2024-01-02", 3)]
 
     # batch form of the same landing folder gives the same first-seen rows
     raw = spark.read.schema(schemas.POLL_GUARDIAN).json(land)
