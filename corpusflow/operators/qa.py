@@ -52,6 +52,13 @@ def with_entailment(qa: DataFrame, logits: Column | None = None) -> DataFrame:
     return qa.withColumn("_logits", lg).withColumn("Entailment", softmax_at(F.col("_logits"), 0)).drop("_logits")
 
 
+def with_cosine_similarity(qa: DataFrame, question_vec: str, answer_vec: str) -> DataFrame:
+    """V4r: ``cosine_similarity`` of a question vector and an answer vector
+    (two real vectors; the token-0 / token-1 quirk is not mirrored)."""
+    from ..functions.vectors import cosine
+    return qa.withColumn("cosine_similarity", cosine(question_vec, answer_vec))
+
+
 def row_state(upvote="upvote", downvote="downvote", flag="flag") -> Column:
     """CA1: first match wins: up, down, flag, none."""
     return (F.when(F.col(upvote) == 1, "up").when(F.col(downvote) == 1, "down")

@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     # count tables keep their date key as text (yyyy-MM-dd), also as a partition column
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.ui.enabled": "false",
+    # checkpoint files of lineage cuts are removed once no longer referenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # min/max/count answered from parquet footers where the plan allows it
     "spark.sql.parquet.aggregatePushdown": "true",
 }

@@ -188,3 +188,11 @@ def test_preview_of_short_question(spark):
     df = spark.createDataFrame([("why?", 0, 0, 0)], "question string, upvote int, downvote int, flag int")
     r = QA.qa_table(df).first()
     assert r.preview == "why?..." and r.state == "none"
+
+
+def test_row_wise_cosine_and_display_format(spark):
+    from corpusflow.functions import text as tx
+    df = spark.createDataFrame([([1.0, 0.0], [1.0, 1.0], 49.995)], "q array<double>, a array<double>, x double")
+    r = QA.with_cosine_similarity(df, "q", "a").select("cosine_similarity", tx.fmt2("x").alias("t")).first()
+    assert abs(r.cosine_similarity - 2 ** -0.5) < 1e-12
+    assert r.t in ("50.00", "49.99")  # display only; Java rounds the decimal text half-up
