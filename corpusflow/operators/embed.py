@@ -1,10 +1,11 @@
 """V2 / V2q: attach vectors from an injected embedder.
 
 The embedder is a factory returning ``texts -> (n, dim) array``; it is built
-once per Python worker and fed Arrow batches of
-``spark.sql.execution.arrow.maxRecordsPerBatch`` rows (128, the reference's
-batch size). ``hashing_embedder`` is a deterministic stand-in for tests and
-the driver tables (feature hashing of words); it is not a language model.
+once per task inside an iterator Arrow UDF and called on 128 rows at a time
+(the reference's batch size) while Arrow batches stay large.
+``hashing_embedder`` (Python) and ``md5_hashing_vectors`` (native) are
+deterministic stand-ins for tests and the driver tables (feature hashing of
+words); they are not language models.
 """
 
 from __future__ import annotations
@@ -36,15 +37,24 @@ def hashing_embedder(dim: int = 64) -> Callable[[list[str]], np.ndarray]:
     return embed
 
 
-def embed_udf(factory: Callable[[], Callable[[list[str]], np.ndarray]]):
-    """Iterator Arrow UDF ``text -> ARRAY<FLOAT>``; the model loads once per task."""
+# Rows per model call (the reference's batch size); Arrow batches stay large.
+MODEL_BATCH = 128
+
+
+def embed_udf(factory: Callable[[], Callable[[list[str]], np.ndarray]], model_batch: int = MODEL_BATCH):
+    """Iterator Arrow UDF ``text -> ARRAY<FLOAT>``; the model loads once per
+    task and is called on ``model_batch`` rows at a time (padding inside a
+    model batch is the model's concern)."""
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def _embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = factory()
         for s in batches:
-            vecs = model(s.fillna("").tolist())
-            yield pd.Series([np.asarray(v, dtype=np.float32) for v in vecs])
+            texts = s.fillna("").tolist()
+            out = []
+            for i in range(0, len(texts), model_batch):
+                out.extend(np.asarray(v, dtype=np.float32) for v in model(texts[i:i + model_batch]))
+            yield pd.Series(out)
 
     return _embed
 

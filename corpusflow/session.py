@@ -16,8 +16,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # The embedder batches 128 rows at a time (reference batch size).
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "128",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # count tables keep their date key as text (yyyy-MM-dd), also as a partition column
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
