@@ -81,3 +81,17 @@ def test_pushdown_and_pruning(spark):
 def test_topk_plan_is_partial_topk_without_cartesian(spark):
     plan = QUERIES["vector_topk"](spark, SF01)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_cartesian_or_nested_loop(spark, name):
+    df = QUERIES[name](spark, SF001)
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_bounded_topk_plans(spark):
+    for name in ("vector_topk", "semantic_search", "page_limit"):
+        plan = QUERIES[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+        assert "WindowGroupLimit" in plan, name
