@@ -20,15 +20,18 @@ def small_side(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
 def dedupe_pages(pages: DataFrame, order_col: str | None = None) -> DataFrame:
     """One page per url (a url landed twice keeps its first landing).
 
-    ``min_by`` is a partial+final aggregate, so a url repeated in many files
+    ``min(struct)`` is a partial+final aggregate, so a url repeated in many files
     is reduced map-side before the shuffle.
     """
-    if order_col is None:
-        return pages.dropDuplicates(["url"])
     other = [c for c in pages.columns if c not in ("url", order_col)]
-    ordered = F.struct(F.col(order_col), *[F.col(c) for c in other])
+    # with a landing-order column the first landing wins; without one the
+    # choice is still deterministic (smallest row), so a retried task or a
+    # re-run picks the same page
+    lead = [F.col(order_col)] if order_col else []
+    ordered = F.struct(*lead, *[F.col(c) for c in other])
     first = F.min(ordered).alias("_first")
-    return pages.groupBy("url").agg(first).select("url", "_first.*")
+    out = pages.groupBy("url").agg(first).select("url", "_first.*")
+    return out.select(*pages.columns)
 
 
 def status_ok(status: Column, policy: str) -> Column:
