@@ -227,3 +227,32 @@ def page_limit(spark, sf):
     from ..operators import ingest as J
     arts, _ = events_as_polls(spark, sf)
     return _out(J.first_n_per_poll(arts, ["source", "poll_no"], "pos", PAGE_SIZE))
+
+
+def _run_chunk_counts_sql():
+    from .catalog import sql_word_tokens
+    base = _std_stop_sql().strip()
+    sel = base[base.rindex("SELECT source, strftime(poll_no"):]
+    ctes = base[:base.rindex("SELECT source, strftime(poll_no")]
+    acc_body = sel.replace(f"{_OUT} FROM n JOIN s USING (source)",
+                           "SELECT n.source, n.poll_no, n.content FROM n JOIN s USING (source)")
+    return f"""{ctes.rstrip()},
+acc AS ({acc_body.strip()})
+SELECT source, strftime(poll_no, '%Y-%m-%d') AS poll_day,
+       CAST(sum(CAST(ceil(len({sql_word_tokens('content')}) / 512.0) AS BIGINT)) AS BIGINT) AS n_chunks,
+       CAST(count(*) AS BIGINT) AS n_articles
+FROM acc GROUP BY source, poll_no
+"""
+
+
+@query("run_chunk_counts", _run_chunk_counts_sql())
+def run_chunk_counts(spark, sf):
+    """A1 on a run: the articles a run accepts (W1+W2+W4) cut into word
+    chunks (C1) and counted per source and poll day -- what K5 stores."""
+    from ..operators import chunk as ch
+    arts, polls = events_as_polls(spark, sf)
+    acc = order.accept_articles(arts, polls, order.PollRules(keys=KEYS))
+    per = acc.select("source", F.date_format("poll_no", "yyyy-MM-dd").alias("poll_day"),
+                     ch.word_chunk_count("content").alias("n"))
+    return per.groupBy("source", "poll_day").agg(F.sum("n").cast("bigint").alias("n_chunks"),
+                                                  F.count(F.lit(1)).alias("n_articles"))
