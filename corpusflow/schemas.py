@@ -67,23 +67,5 @@ TOKEN_STATES = T.StructType([
     _f("chunk_id", S), _f("states", T.ArrayType(T.ArrayType(F32))), _f("mask", T.ArrayType(I)),
 ])
 
-# D13 source registry and extraction rules.
-SOURCES = T.StructType([
-    _f("label", S), _f("fetcher", S), _f("selector_kind", S), _f("selector", S), _f("topic", S),
-    _f("lang", S), _f("country", S), _f("sort", S), _f("page_size", I), _f("window", S),
-    _f("null_policy", S), _f("stop_variant", S), _f("status_policy", S), _f("rule_id", S),
-    _f("active", B),
-])
-
-SEL = T.StructType([_f("tag", S), _f("cls", S), _f("id", S), _f("cls_contains", S)])
-RULES = T.StructType([
-    _f("rule_id", S),
-    _f("container", SEL), _f("container_all", B), _f("inner", SEL),
-    _f("fallback", SEL), _f("fallback_drop_last", I),
-    _f("drops", T.ArrayType(SEL)), _f("drop_in_para", T.ArrayType(SEL)),
-    _f("text_mode", S), _f("para", SEL), _f("strip", B), _f("separator", S),
-    _f("joiner", S), _f("suffix", S), _f("drop_last", I),
-    _f("skip_if_contains", T.ArrayType(S)), _f("literal_deletes", T.ArrayType(S)),
-    _f("regex_deletes", T.ArrayType(S)), _f("collapse", B), _f("trim", B),
-    _f("missing", S), _f("status_policy", S),
-])
+# D13 source registry and extraction rules: their schemas live with the rows
+# in ``sources/registry.py`` (SOURCES_SCHEMA, RULES_SCHEMA).
