@@ -340,6 +340,9 @@ def extract_bodies(pages: DataFrame, rules: dict[str, dict],
                .when(F.col("_r.status_policy") == "lt400", F.col(status_col) < 400)
                .otherwise(F.col(status_col) == 200))
         body = F.when(F.coalesce(ok, F.lit(False)), body)
+    # no landed page (url missing from pages) is a failed request: NULL,
+    # whatever the rule's missing-container policy says
+    body = F.when(F.col("html").isNotNull(), body)
     return (j.withColumn("content", F.when(F.col("_x.error").isNull(), body))
              .withColumn("extract_error", F.col("_x.error"))
              .drop("_x", "_r"))

@@ -84,6 +84,10 @@ PAGES = [
      "<div class='WYSIWYG articlePage'><p>By Someone</p><p>Body text (Reporting and writing by X)</p></div>",
      "Body text"),
     ("x26_drop_last", "X26", 200, "<div class='entry-content'><p>a</p><p>b</p><p>promo</p></div>", "a\nb"),
+    ("x13_nested_containers_double_count", "X13", 200,
+     "<div class='paywall'><div class='paywall'><p>a</p></div></div>", "a\na"),
+    ("x13_page_missing", "X13", None, None, None),
+    ("x14_page_missing", "X14", None, None, None),
     ("x7_leading_space_selector_never_matches", "X7", 200,
      "<div class='meteredContent grid-center'><p>a</p><div class='mb-md hide-for-print'>kept</div></div>", "a kept"),
 ]
