@@ -59,9 +59,18 @@ def embed_udf(factory: Callable[[], Callable[[list[str]], np.ndarray]], model_ba
     return _embed
 
 
-def embed_column(df: DataFrame, text_col: str, factory, out_col: str = "embedding") -> DataFrame:
-    """V2: ``df`` plus ``out_col`` (V2q is the same on a queries frame)."""
-    return df.withColumn(out_col, embed_udf(factory)(F.col(text_col)))
+def embed_column(df: DataFrame, text_col: str, factory, out_col: str = "embedding",
+                 model_limit: int | None = None) -> DataFrame:
+    """V2: ``df`` plus ``out_col`` (V2q is the same on a queries frame).
+
+    With ``model_limit`` (the embedder's own input limit, in words here) a
+    ``truncated`` flag reports chunks the model will cut, instead of hiding it.
+    """
+    out = df.withColumn(out_col, embed_udf(factory)(F.col(text_col)))
+    if model_limit is not None:
+        n = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit("[^ ]+"))
+        out = out.withColumn("truncated", n > model_limit)
+    return out
 
 
 def md5_hashing_vectors(df: DataFrame, id_col: str, text_col: str, dim: int = 64) -> DataFrame:

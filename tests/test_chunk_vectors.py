@@ -196,3 +196,12 @@ def test_row_wise_cosine_and_display_format(spark):
     r = QA.with_cosine_similarity(df, "q", "a").select("cosine_similarity", tx.fmt2("x").alias("t")).first()
     assert abs(r.cosine_similarity - 2 ** -0.5) < 1e-12
     assert r.t in ("50.00", "49.99")  # display only; Java rounds the decimal text half-up
+
+
+def test_embed_reports_truncation(spark):
+    from functools import partial
+
+    from corpusflow.operators import embed as EM
+    df = spark.createDataFrame([("a b c",), ("a b c d e f",)], "content string")
+    out = EM.embed_column(df, "content", partial(EM.hashing_embedder, 8), model_limit=4).collect()
+    assert [r.truncated for r in out] == [False, True] and all(len(r.embedding) == 8 for r in out)
