@@ -66,6 +66,8 @@ def embed_column(df: DataFrame, text_col: str, factory, out_col: str = "embeddin
     With ``model_limit`` (the embedder's own input limit, in words here) a
     ``truncated`` flag reports chunks the model will cut, instead of hiding it.
     """
+    from ..session import ship_package
+    ship_package(df.sparkSession)
     out = df.withColumn(out_col, embed_udf(factory)(F.col(text_col)))
     if model_limit is not None:
         n = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit("[^ ]+"))

@@ -331,6 +331,8 @@ def extract_bodies(pages: DataFrame, rules: dict[str, dict],
     Parse once per distinct page: callers pass pages deduplicated on url.
     Adds ``content`` (NULL = failed extraction) and ``extract_error``.
     """
+    from ..session import ship_package
+    ship_package(pages.sparkSession)
     j = pages.withColumn("_r", F.try_element_at(rules_map(rules), F.col(rule_col)))
     sel = pieces_udf(rules)(F.col("html"), F.col(rule_col))
     j = j.withColumn("_x", sel)

@@ -46,6 +46,8 @@ def pair_logits_udf(factory: Callable[[], Callable[[list, list], np.ndarray]]):
 
 def with_entailment(qa: DataFrame, logits: Column | None = None) -> DataFrame:
     """V5r: add ``Entailment`` = softmax(logits)[0] per row."""
+    from ..session import ship_package
+    ship_package(qa.sparkSession)
     lg = logits if logits is not None else stub_pair_logits(F.col("question"), F.col("answer"))
     # logits land in their own column first: an injected (Python) scorer may
     # not sit inside the higher-order functions of the native softmax

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage
+from ..session import cut_lineage, ship_package
 
 # Largest query matrix shipped to every task (bytes of float64).
 MAX_QUERY_BYTES = 64 * 1024 * 1024
@@ -75,6 +75,7 @@ def topk_search(points: DataFrame, queries: DataFrame, k: int, id_col: str = "po
     """
     payload = list(payload or [])
     spark = points.sparkSession
+    ship_package(spark)
     qsel = queries.select(F.col(qid_col).alias("query_id"), F.col(qvec_col).alias("qvec"))
     # the query side is derived once (it may itself be an aggregate over the
     # points, e.g. centroids); the size checks and collects read that copy
@@ -120,6 +121,7 @@ def centroids(points: DataFrame, group_col: str, vec_col: str = "embedding",
     holding a third of all rows is therefore summed inside every task, never
     shipped whole, and no per-element hash aggregation runs on raw vectors.
     """
+    ship_package(points.sparkSession)
     m = (mask if mask is not None else F.lit(1)).cast("double")
     src = points.select(F.col(group_col).alias("_g"), F.col(vec_col).alias("_v"), m.alias("_m"))
     gtype = points.schema[group_col].dataType

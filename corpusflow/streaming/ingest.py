@@ -31,6 +31,8 @@ WATERMARK = "2 days"
 
 def article_stream(spark: SparkSession, landing: str, shape: str = "guardian") -> DataFrame:
     """ST1 + ST2: deduplicated article stubs as a streaming DataFrame."""
+    from ..session import ship_package
+    ship_package(spark)
     schema = schemas.POLL_GUARDIAN if shape == "guardian" else schemas.POLL_NEWSAPI
     raw = spark.readStream.schema(schema).json(landing)
     arts = envelopes.guardian_articles(raw) if shape == "guardian" else envelopes.newsapi_articles(raw)
