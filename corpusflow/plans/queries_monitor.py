@@ -172,6 +172,7 @@ def qa_log(spark, sf):
 
 @query("qa_pairs", f"WITH {_PAIRS} SELECT conv_id, turn, question, answer FROM pairs")
 def qa_pairs(spark, sf):
+    """A user turn and the assistant turn right after it (equi-join)."""
     return qa_pairs_df(spark, sf)
 
 

@@ -19,6 +19,7 @@ BUDGET = ch.DEFAULT_BUDGET
 SELECT page_id, {sql_remove_tags('html')} AS text FROM pages
 """)
 def clean_pages(spark, sf):
+    """Every landed page's html through the remove-tags chain."""
     pages = spread(table(spark, sf, "pages").select("page_id", "html"))
     return pages.select("page_id", tx.remove_tags("html").alias("text"))
 
@@ -52,6 +53,8 @@ SELECT doc_id, CAST(i AS INTEGER) AS chunk_idx,
 FROM c
 """)
 def word_chunks(spark, sf):
+    """C1 / AR1: every document cleaned (T6) and cut into chunks of at most
+    512 words; chunk_idx dense, chunks concatenate back to the text."""
     docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
     docs = docs.select("doc_id", tx.remove_tags("text").alias("content"))
     return ch.word_chunks(docs, "content", keep=["doc_id"], budget=BUDGET)
