@@ -48,11 +48,18 @@ def guardian_articles(raw: DataFrame) -> DataFrame:
                      F.col("r.fields.body").alias("content"), "status")
 
 
-def strict_articles(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def strict_articles(raw: DataFrame, on_missing: str = "quarantine"):
     """SC3: the ``articles`` key is required on a successful poll.
 
-    Returns ``(good, quarantine)``: polls answering 200 without ``articles``
-    go to quarantine instead of aborting the whole run.
+    ``on_missing="quarantine"`` returns ``(good, quarantine)``: polls
+    answering 200 without ``articles`` are set aside instead of aborting the
+    whole run. ``on_missing="error"`` fails the job on the first such poll
+    (``raise_error``), like a strict key access.
     """
     bad = (F.col("status") == 200) & F.col("articles").isNull()
+    if on_missing == "error":
+        # a predicate, so the check is evaluated on every poll (never pruned)
+        fail = F.raise_error(F.concat(F.lit("poll without articles: "), F.col("source"),
+                                      F.lit(" #"), F.col("poll_no").cast("string")))
+        return newsapi_articles(raw.where(F.when(bad, fail).isNull()))
     return newsapi_articles(raw.where(~bad)), raw.where(bad)

@@ -104,3 +104,11 @@ def test_injected_pair_scorer(spark):
     e2 = np.exp(-1.0) / (np.exp(-1.0) + 2)
     got = {r.question: r.Entailment for r in out}
     assert abs(got["q1"] - e1) < 1e-12 and abs(got["q2"] - e2) < 1e-12
+
+
+def test_strict_envelope_error_mode(spark):
+    import pytest
+    d = _land([{"run_id": "r", "source": "GNews", "poll_no": 1, "status": 200}])
+    raw = envelopes.read_polls(spark, d)
+    with pytest.raises(Exception, match="poll without articles"):
+        envelopes.strict_articles(raw, on_missing="error").collect()
