@@ -205,3 +205,15 @@ def test_embed_reports_truncation(spark):
     df = spark.createDataFrame([("a b c",), ("a b c d e f",)], "content string")
     out = EM.embed_column(df, "content", partial(EM.hashing_embedder, 8), model_limit=4).collect()
     assert [r.truncated for r in out] == [False, True] and all(len(r.embedding) == 8 for r in out)
+
+
+def test_upsert_counts_partitions(spark):
+    import os
+    import tempfile
+    path = os.path.join(tempfile.mkdtemp(prefix="cf-upsert-"), "daily")
+    sch = "date string, source string, count long"
+    sinks.upsert_counts(spark.createDataFrame([("d1", "s1", 1)], sch), path, ["date", "source"])
+    sinks.upsert_counts(spark.createDataFrame([("d1", "s2", 2)], sch), path, ["date", "source"])  # new key, old date
+    sinks.upsert_counts(spark.createDataFrame([("d1", "s1", 5)], sch), path, ["date", "source"])  # same key again
+    got = sorted((r.date, r.source, r["count"]) for r in spark.read.parquet(path).collect())
+    assert got == [("d1", "s1", 5), ("d1", "s2", 2)]
