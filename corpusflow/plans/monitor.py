@@ -32,7 +32,7 @@ def views(spark: SparkSession, counts_root: str, day: str, source: str | None =
     if source is not None:
         out["source_over_time"] = M.source_over_time(tot, F.lit(source))  # Q8
     if qa is not None:
-        scored = QA.with_entailment(tables.read_qa(qa))
+        scored = qa if "Entailment" in qa.columns else QA.with_entailment(tables.read_qa(qa))
         out["qa_kpis"] = QA.kpis(scored)                              # Q9
         out["qa_table"] = QA.qa_table(scored)                         # Q10
     return out
@@ -42,3 +42,23 @@ def daily_on(spark: SparkSession, counts_root: str, day: str) -> DataFrame:
     """Q7: daily counts of a chosen date, by source."""
     daily = tables.read_count_table(spark, os.path.join(counts_root, "daily_counts"), "daily")
     return M.daily_on(daily, F.lit(day))
+
+
+def materialise_scores(qa: DataFrame, out_path: str, logits=None) -> DataFrame:
+    """Score every Q&A row once (V5r) and store it, so views read the score
+    instead of running the pair model on each render. Appends only rows not
+    scored yet (keyed by question, answer, timestamp)."""
+    from ..session import path_exists
+    base = tables.read_qa(qa)
+    spark = qa.sparkSession
+    if path_exists(spark, out_path):
+        keys = ["question", "answer", "timestamp"]
+        done = spark.read.parquet(out_path).select(*[F.col(k).alias(f"_d_{k}") for k in keys])
+        cond = None
+        for k in keys:  # null-safe: a missing timestamp is still the same row
+            c = base[k].eqNullSafe(done[f"_d_{k}"])
+            cond = c if cond is None else cond & c
+        base = base.join(done, cond, "left_anti")
+    scored = QA.with_entailment(base, logits)
+    scored.write.mode("append").parquet(out_path)
+    return spark.read.parquet(out_path)

@@ -146,3 +146,18 @@ def test_ingest_with_guardian_inline_bodies(spark):
     got = sorted((r.source, r.title, r.content) for r in arts.collect())
     assert got == [("ABC", "title u1", "Alpha body text"), ("ABC", "title u3", "Gamma"),
                    ("Guardian", "a", "one "), ("Guardian", "b", "two")]
+
+
+def test_qa_scores_materialised_once(spark):
+    from corpusflow.plans import monitor
+    tmp = tempfile.mkdtemp(prefix="cf-qa-")
+    qa = spark.createDataFrame([("why is the sky blue", "because of scattering", 1, 0, 0, None),
+                                ("q2", "a2", 0, 1, 1, None)],
+                               "question string, answer string, upvote int, downvote int, flag int, timestamp timestamp")
+    out = os.path.join(tmp, "qa_scored")
+    first = monitor.materialise_scores(qa, out).count()
+    again = monitor.materialise_scores(qa, out).count()  # nothing new to score
+    assert first == again == 2
+    v = monitor.views(spark, os.path.join(tmp, "counts"), "2024-01-01", qa=spark.read.parquet(out))
+    k = v["qa_kpis"].first()
+    assert k.n_questions == 2 and k.n_flags == 1 and abs(k.accuracy - 50.0) < 1e-9
