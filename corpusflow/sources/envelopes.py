@@ -19,8 +19,11 @@ def parse_json_col(c, ddl: str) -> Column:
 
 
 def read_polls(spark: SparkSession, path: str, shape: str = "newsapi") -> DataFrame:
+    """Poll envelopes with an explicit schema; a missing run id reads as ''
+    (the order rules join on it, and NULL keys never match)."""
     schema = schemas.POLL_GUARDIAN if shape == "guardian" else schemas.POLL_NEWSAPI
-    return spark.read.schema(schema).json(path)
+    raw = spark.read.schema(schema).json(path)
+    return raw.withColumn("run_id", F.coalesce(F.col("run_id"), F.lit("")))
 
 
 def poll_table(raw: DataFrame, shape: str = "newsapi") -> DataFrame:

@@ -112,3 +112,10 @@ def test_strict_envelope_error_mode(spark):
     raw = envelopes.read_polls(spark, d)
     with pytest.raises(Exception, match="poll without articles"):
         envelopes.strict_articles(raw, on_missing="error").collect()
+
+
+def test_missing_run_id_reads_as_empty(spark):
+    d = _land([{"source": "BBC", "poll_no": 0, "status": 200,
+                "articles": [{"title": "a", "url": "u1", "publishedAt": "t1"}]}])
+    raw = envelopes.read_polls(spark, d)
+    assert [r.run_id for r in envelopes.newsapi_articles(raw).collect()] == [""]
