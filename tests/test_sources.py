@@ -119,3 +119,10 @@ def test_missing_run_id_reads_as_empty(spark):
                 "articles": [{"title": "a", "url": "u1", "publishedAt": "t1"}]}])
     raw = envelopes.read_polls(spark, d)
     assert [r.run_id for r in envelopes.newsapi_articles(raw).collect()] == [""]
+
+
+def test_lookup_pages_keeps_article_cardinality(spark):
+    arts = spark.createDataFrame([(0, "u1"), (1, "u1"), (2, "missing")], "pos int, url string")
+    pages = spark.createDataFrame([("u1", 200, "<p>a</p>"), ("u1", 200, "<p>b</p>")], "url string, status int, html string")
+    out = sorted((r.pos, r.html) for r in J.lookup_pages(arts, pages).collect())
+    assert out == [(0, "<p>a</p>"), (1, "<p>a</p>"), (2, None)]  # one page per url, deterministic
