@@ -175,6 +175,20 @@ def scroll(points: DataFrame, source_col: str, source, id_col: str = "point_id",
                 .where(F.col("next_offset").isNull() | (F.col(id_col) < F.col("next_offset"))))
 
 
+def iter_pages(points: DataFrame, source_col: str, source, id_col: str = "point_id", limit: int = 300):
+    """SC10 keyset walk: yields successive pages (DataFrames of at most
+    ``limit`` rows) of one source in id order. Each step is a bounded top-n
+    job; only the next offset (one scalar) comes back to the driver."""
+    offset = None
+    while True:
+        page = scroll(points, source_col, source, id_col=id_col, limit=limit, offset=offset)
+        yield page.drop("next_offset")
+        nxt = page.select(F.max("next_offset")).first()[0]
+        if nxt is None:
+            return
+        offset = nxt
+
+
 def count_points(points: DataFrame) -> DataFrame:
     """SC11 / A3."""
     return points.agg(F.count(F.lit(1)).alias("n_points"))

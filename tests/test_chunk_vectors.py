@@ -217,3 +217,10 @@ def test_upsert_counts_partitions(spark):
     sinks.upsert_counts(spark.createDataFrame([("d1", "s1", 5)], sch), path, ["date", "source"])  # same key again
     got = sorted((r.date, r.source, r["count"]) for r in spark.read.parquet(path).collect())
     assert got == [("d1", "s1", 5), ("d1", "s2", 2)]
+
+
+def test_iter_pages_walks_whole_source(spark):
+    df = spark.createDataFrame([(i, "a" if i % 3 else "b") for i in range(50)], "point_id long, source string")
+    pages = [sorted(r.point_id for r in p.collect()) for p in V.iter_pages(df, "source", "a", limit=7)]
+    assert [len(p) for p in pages] == [7, 7, 7, 7, 5]
+    assert sum(pages, []) == [i for i in range(50) if i % 3]
