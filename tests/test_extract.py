@@ -88,6 +88,26 @@ PAGES = [
      "<div class='paywall'><div class='paywall'><p>a</p></div></div>", "a\na"),
     ("x13_page_missing", "X13", None, None, None),
     ("x14_page_missing", "X14", None, None, None),
+    ("x15_engadget", "X15", 200, "<div class='caas-body-content'><p> a </p><p>b</p></div>", "a\nb\n"),
+    ("x16_forbes", "X16", 200,
+     "<div class='article-body fs-article fs-responsive-text current-article'><p> a </p><figure><p>f</p></figure>"
+     "<p>b</p></div>", "ab"),
+    ("x17_cnbc", "X17", 200, "<div class='group'><p>a<em>x</em> <a href='#'>l</a>b</p></div>", "ab \n"),
+    ("x18_coindesk", "X18", 200, "<section class='at-body'><p>a<i>x</i></p><p>b</p></section>", "a\nb"),
+    ("x19_bitcoinist", "X19", 200, "<div class='content-inner extra'><p>a</p><p>b</p></div>", "a \nb"),
+    ("x21_coinjournal", "X21", 200, "<div class='post-article-content'><figure><p>f</p></figure><p>a</p></div>", "a"),
+    ("x22_wired", "X22", 200,
+     "<div class='body__inner-container'><p>a </p></div><div class='body__inner-container'><p>b</p></div>", "a b"),
+    ("x22_status", "X22", 301, "<div class='body__inner-container'><p>a</p></div>", None),
+    ("x23_usatoday_fin", "X23", 200,
+     "<div class='gnt_ar_b'><p>Submit x</p><p>Swapna Venugopal Ramaswamy is a White House Correspondent for USA TODAY."
+     "You can follow her on X @SwapnaVenugopal</p><p>y</p></div>", "x\ny"),
+    ("x24_ambcrypto", "X24", 200,
+     "<article class='single-post-wrapper'><p>a</p></article><article class='single-post-wrapper'><p>b</p></article>",
+     "a\nb"),
+    ("x25_bi_block_not_removed", "X25", 200,
+     "<div class='content-lock-content'><p>a</p><div class='content-recommendations-component in-content-recirc "
+     "three-related-posts'><p>rec</p></div></div>", "a\nrec"),
     ("x7_leading_space_selector_never_matches", "X7", 200,
      "<div class='meteredContent grid-center'><p>a</p><div class='mb-md hide-for-print'>kept</div></div>", "a kept"),
 ]
