@@ -161,3 +161,19 @@ def test_qa_scores_materialised_once(spark):
     v = monitor.views(spark, os.path.join(tmp, "counts"), "2024-01-01", qa=spark.read.parquet(out))
     k = v["qa_kpis"].first()
     assert k.n_questions == 2 and k.n_flags == 1 and abs(k.accuracy - 50.0) < 1e-9
+
+
+def test_cli_end_to_end(spark, capsys):
+    from corpusflow import cli
+    tmp = tempfile.mkdtemp(prefix="cf-cli-")
+    _write_json(os.path.join(tmp, "polls"), POLLS)
+    pages_path = os.path.join(tmp, "pages.parquet")
+    spark.createDataFrame(PAGES, "url string, status int, html string").write.parquet(pages_path)
+    pts, counts = os.path.join(tmp, "points"), os.path.join(tmp, "counts")
+    cli.main(["ingest", "--polls", os.path.join(tmp, "polls"), "--pages", pages_path,
+              "--run-date", "2024-01-01", "--points", pts, "--counts", counts])
+    assert spark.read.parquet(pts).count() == 4
+    cli.main(["search", "--points", pts, "--k", "1", "Gamma"])
+    cli.main(["dashboard", "--counts", counts, "--date", "2024-01-01", "--source", "ABC"])
+    out = capsys.readouterr().out
+    assert "Gamma" in out and "== total_today" in out and "== source_over_time" in out
