@@ -26,6 +26,20 @@ def read_polls(spark: SparkSession, path: str, shape: str = "newsapi") -> DataFr
     return raw.withColumn("run_id", F.coalesce(F.col("run_id"), F.lit("")))
 
 
+def read_polls_window(spark: SparkSession, root: str, run_date: str, days: int = 1,
+                      shape: str = "newsapi", date_col: str = "landing_date") -> DataFrame:
+    """SP1 on landed data: a landing folder partitioned by ``landing_date=``
+    read for ``[run_date - days, run_date]`` only. The predicate is on the
+    partition column, so folders outside the window are pruned, not read."""
+    from pyspark.sql import types as T
+    base = schemas.POLL_GUARDIAN if shape == "guardian" else schemas.POLL_NEWSAPI
+    schema = T.StructType(base.fields + [T.StructField(date_col, T.StringType())])
+    raw = spark.read.schema(schema).option("basePath", root).json(root)
+    d = F.to_date(F.col(date_col))
+    raw = raw.where(d.between(F.date_sub(F.to_date(F.lit(run_date)), days), F.to_date(F.lit(run_date))))
+    return raw.withColumn("run_id", F.coalesce(F.col("run_id"), F.lit("")))
+
+
 def poll_table(raw: DataFrame, shape: str = "newsapi") -> DataFrame:
     """One row per poll, zero-article polls included (needed by W4)."""
     tr = F.col("totalResults") if shape != "guardian" else F.lit(None).cast("bigint")

@@ -126,3 +126,18 @@ def test_lookup_pages_keeps_article_cardinality(spark):
     pages = spark.createDataFrame([("u1", 200, "<p>a</p>"), ("u1", 200, "<p>b</p>")], "url string, status int, html string")
     out = sorted((r.pos, r.html) for r in J.lookup_pages(arts, pages).collect())
     assert out == [(0, "<p>a</p>"), (1, "<p>a</p>"), (2, None)]  # one page per url, deterministic
+
+
+def test_landing_window_prunes_partitions(spark):
+    root = tempfile.mkdtemp(prefix="cf-landing-")
+    for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        d = os.path.join(root, f"landing_date={day}")
+        os.makedirs(d)
+        with open(os.path.join(d, "p.json"), "w") as f:
+            f.write(json.dumps({"run_id": "r", "source": "BBC", "poll_no": 0, "status": 200,
+                                "articles": [{"title": day, "url": day, "publishedAt": day}]}) + "\n")
+    raw = envelopes.read_polls_window(spark, root, "2024-01-03", days=1)
+    plan = raw._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(landing_date" in plan
+    got = sorted(r.title for r in envelopes.newsapi_articles(raw).collect())
+    assert got == ["2024-01-02", "2024-01-03"]
