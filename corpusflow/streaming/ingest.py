@@ -37,9 +37,13 @@ def article_stream(spark: SparkSession, landing: str, shape: str = "guardian") -
     raw = spark.readStream.schema(schema).json(landing)
     arts = envelopes.guardian_articles(raw) if shape == "guardian" else envelopes.newsapi_articles(raw)
     arts = arts.withColumn("ts", F.try_to_timestamp("publishdate"))
-    return (arts.where(F.col("ts").isNotNull())
-                .withWatermark("ts", WATERMARK)
-                .dropDuplicatesWithinWatermark(["source", "publishdate"]))
+    dated = (arts.where(F.col("ts").isNotNull())
+                 .withWatermark("ts", WATERMARK)
+                 .dropDuplicatesWithinWatermark(["source", "publishdate"]))
+    # rows without a parseable date have no event time for the watermark:
+    # they are kept (not dropped), outside the dedup state
+    undated = arts.where(F.col("ts").isNull())
+    return dated.unionByName(undated)
 
 
 def points_sink(points_path: str, counts_root: str, budget: int = ch.DEFAULT_BUDGET,
@@ -54,13 +58,15 @@ def points_sink(points_path: str, counts_root: str, budget: int = ch.DEFAULT_BUD
     def run(batch: DataFrame, epoch_id: int) -> None:
         arts = batch.select("source", "title", "publishdate", tx.remove_tags("content").alias("content"))
         chunks = ch.word_chunks(arts, "content", keep=["source", "title", "publishdate"], budget=budget)
-        pts = sinks.with_point_id(chunks.withColumn("date", F.substring("publishdate", 1, 10)))
+        # day key of a point (NULL when the publish date does not parse: such
+        # points are stored and counted in the totals, not in a day's count)
+        day_of = F.date_format(F.try_to_timestamp(F.col("publishdate")), "yyyy-MM-dd")
+        pts = sinks.with_point_id(chunks.withColumn("date", day_of))
         pts = pts.persist()
         try:
             sinks.append_points(pts.drop("date"), points_path)
             touched = pts.select("date", "source").distinct()
-            stored = batch.sparkSession.read.parquet(points_path) \
-                          .withColumn("date", F.substring("publishdate", 1, 10))
+            stored = batch.sparkSession.read.parquet(points_path).withColumn("date", day_of)
             daily = M.daily_counts(stored.join(touched, ["date", "source"], "left_semi"),
                                    F.to_date("date"))
             sinks.upsert_counts(daily, os.path.join(counts_root, "daily_counts"), ["date", "source"])

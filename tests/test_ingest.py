@@ -90,7 +90,8 @@ def test_stream_equals_batch(spark):
     os.makedirs(land)
     files = [
         [_guardian(0, [("2024-01-01T10:00:00Z", "a", "<p>one</p>"), ("2024-01-01T11:00:00Z", "b", "two")])],
-        [_guardian(1, [("2024-01-01T10:00:00Z", "a", "<p>one</p>"), ("2024-01-02T09:00:00Z", "c", "three")])],
+        [_guardian(1, [("2024-01-01T10:00:00Z", "a", "<p>one</p>"), ("2024-01-02T09:00:00Z", "c", "three"),
+                       ("not a date", "d", "four")])],
     ]
     for i, rows in enumerate(files):
         with open(os.path.join(land, f"poll-{i}.json"), "w") as f:
@@ -100,18 +101,18 @@ def test_stream_equals_batch(spark):
     q = stream.start(spark, land, pts, counts, ck, run_date="2024-01-02")
     assert q.awaitTermination(120)
     stored = spark.read.parquet(pts)
-    assert sorted(r.content for r in stored.collect()) == ["one", "three", "two"]
+    assert sorted(r.content for r in stored.collect()) == ["four", "one", "three", "two"]
     daily = {(r.date, r.source, r["count"]) for r in spark.read.parquet(os.path.join(counts, "daily_counts")).collect()}
     assert daily == {("2024-01-01", "Guardian", 2), ("2024-01-02", "Guardian", 1)}
     vec = [(r.date, r.vector_count) for r in spark.read.parquet(os.path.join(counts, "vector_counts")).collect()]
-    assert vec == [("2024-01-02", 3)]
+    assert vec == [("2024-01-02", 4)]
 
     # batch form of the same landing folder gives the same first-seen rows
     raw = spark.read.schema(schemas.POLL_GUARDIAN).json(land)
     b = envelopes.guardian_articles(raw)
     from corpusflow.operators import order
     firsts = order.mark_first_seen(b, F.lit(True), order.PollRules()).where("_is_new")
-    assert firsts.count() == 3
+    assert firsts.count() == 4
 
 
 def test_search_and_dashboard_after_ingest(spark):
