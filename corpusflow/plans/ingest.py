@@ -36,8 +36,18 @@ def collect_articles(spark: SparkSession, polls_raw: DataFrame, pages: DataFrame
     sources = sources if sources is not None else registry.sources_df(spark, active_only=False)
     reg = sources.select(F.col("label").alias("source"), "rule_id", "null_policy", "stop_variant", "status_policy")
     polls = envelopes.poll_table(polls_raw)
+    if guardian_raw is not None:
+        polls = polls.unionByName(envelopes.poll_table(guardian_raw, "guardian"))
+    # one policy row per polled source: registry settings, else the standard
+    # rules (a source missing from the registry is still processed, not dropped)
+    pol = (polls.select("source").distinct().join(J.small_side(reg), "source", "left")
+                .select("source", "rule_id",
+                        F.coalesce("null_policy", F.lit("truncate")).alias("null_policy"),
+                        F.coalesce("stop_variant", F.lit("std")).alias("stop_variant"),
+                        F.coalesce("status_policy", F.lit("stop")).alias("status_policy")))
+    pol = cut_lineage(pol)  # bounded by the number of sources
     arts = envelopes.newsapi_articles(polls_raw).drop("status")
-    arts = J.attach_registry(arts, reg, on="source", label_col="source")
+    arts = J.attach_registry(arts, pol, on="source", label_col="source")
 
     # extract once per distinct (url, rule): the same page polled again is parsed once
     pg = J.dedupe_pages(pages.select("url", "status", "html"))
@@ -48,9 +58,8 @@ def collect_articles(spark: SparkSession, polls_raw: DataFrame, pages: DataFrame
 
     if guardian_raw is not None:
         g = envelopes.guardian_articles(guardian_raw).drop("status").withColumnRenamed("content", "raw")
-        g = J.attach_registry(g, reg, on="source", label_col="source")
+        g = J.attach_registry(g, pol, on="source", label_col="source")
         arts = arts.unionByName(g.withColumn("extract_error", F.lit(None).cast("string")), allowMissingColumns=True)
-        polls = polls.unionByName(envelopes.poll_table(guardian_raw, "guardian"))
     arts = arts.withColumn("cleaned", tx.remove_tags("raw"))
 
     # Materialise the extracted, cleaned stubs once (reliable checkpoint in
@@ -58,14 +67,12 @@ def collect_articles(spark: SparkSession, polls_raw: DataFrame, pages: DataFrame
     # extraction lineage.
     arts = cut_lineage(arts)
     pcols = ["null_policy", "stop_variant", "status_policy"]
-    present = [tuple(r) for r in arts.select(*pcols).distinct().collect()]  # <= registry policies
+    present = [tuple(r) for r in pol.select(*pcols).distinct().collect()]  # <= registry policies
     out = None
     for nullp, stop, status in present:
-        if nullp is None:  # source not in the registry: no fetch behaviour known
-            continue
         sel = (F.col("null_policy") == nullp) & (F.col("stop_variant") == stop) & (F.col("status_policy") == status)
         a = arts.where(sel)
-        srcs = reg.where(sel).select("source")
+        srcs = pol.where(sel).select("source")
         p = polls.join(J.small_side(srcs), "source", "left_semi")
         r = order.PollRules(null_policy=nullp, stop_variant=stop, status_policy=status,
                             require_total_results=(stop == "trailing_repeat"),

@@ -178,3 +178,16 @@ def test_cli_end_to_end(spark, capsys):
     cli.main(["dashboard", "--counts", counts, "--date", "2024-01-01", "--source", "ABC"])
     out = capsys.readouterr().out
     assert "Gamma" in out and "== total_today" in out and "== source_over_time" in out
+
+
+def test_unregistered_source_uses_standard_rules(spark):
+    tmp = tempfile.mkdtemp(prefix="cf-unreg-")
+    _write_json(os.path.join(tmp, "polls"), POLLS[:1])
+    g = [dict(_guardian(0, [("2024-01-01T10:00:00Z", "a", "x"), ("2024-01-01T10:00:00Z", "dup", "y")]),
+              source="Some Blog")]
+    _write_json(os.path.join(tmp, "g"), g)
+    raw = envelopes.read_polls(spark, os.path.join(tmp, "polls"))
+    graw = envelopes.read_polls(spark, os.path.join(tmp, "g"), shape="guardian")
+    pages = spark.createDataFrame(PAGES, "url string, status int, html string")
+    got = sorted((r.source, r.title) for r in ingest.collect_articles(spark, raw, pages, guardian_raw=graw).collect())
+    assert ("Some Blog", "a") in got and ("Some Blog", "dup") not in got
