@@ -12,8 +12,11 @@ import __spark_entry__ as E
 from conftest import SF001, SF01
 from corpusflow.sources.tables import TABLES
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+from corpusflow.plans.catalog import load_all
+
+# the queries of the training-data operators have their own tests
+QUERIES = {k: v for k, v in E.queries().items() if k in load_all()[0]}
+ORACLES = {k: v for k, v in E.oracle_sql().items() if k in QUERIES}
 
 
 def _norm(v):
