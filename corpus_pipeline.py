@@ -8,9 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from corpusflow.llm import langid, packing, simhash
+from corpusflow.llm import langid, packing, simhash, toxicity
 from corpusflow.llm.common import table, written
-from corpusflow.llm.queries import byte_bpe_encoder
+from corpusflow.llm.queries import byte_bpe_encoder, toxicity_model
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents whose toxicity score is below 0.3."""
+    verdict = toxicity.scorer(toxicity_model(spark, sf_dir, docs))(F.col("text"))
+    return docs.where(verdict["score"] < 0.3)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,6 +42,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
+    ("toxicity", toxicity_stage),
     ("language id", language_stage),
     ("simhash near-dedup", simhash_stage),
     ("packing", packing_stage),

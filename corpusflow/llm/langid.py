@@ -107,10 +107,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     which bounds what comes to the driver; languages with fewer than ``least`` are not learned.
     Each sampled text counts whole and once more as a short window, so short texts are known too."""
     prepare(docs.sparkSession)
-    first = Window.partitionBy("lang").orderBy("h", "doc_id")
+    # the first of each slice of a language, then of the language: no task sees a common language whole
+    sliced, first = (Window.partitionBy("lang", *by).orderBy("h", "doc_id") for by in (["slice"], []))
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     ids = (rows.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h"))
-           .where("doc_id is not null").withColumn("r", F.row_number().over(first)).where(F.col("r") <= per_lang)
+           .where("doc_id is not null").withColumn("slice", F.pmod(F.hash("h"), F.lit(64)))
+           .withColumn("r", F.row_number().over(sliced)).where(F.col("r") <= per_lang)
+           .withColumn("r", F.row_number().over(first)).where(F.col("r") <= per_lang)
            .select("doc_id").distinct())
     keep = [r[0] for r in ids.collect()]
 

@@ -175,7 +175,8 @@ def link_fingerprints(distinct: DataFrame, radius: int = 3) -> DataFrame:
     n = distinct.count()
     per = ball_masks(radius)[1:]
     buckets = max(1, -(-n * sum(per) // (2 * BUCKET_VARIANTS)))
-    rows = distinct.select("fp").mapInArrow(_emit(radius, buckets), "bucket long, fps binary, counts binary, masks binary")
+    # a fingerprint is 8 bytes but hundreds of variants: deal them to as many tasks as there are buckets
+    rows = distinct.select("fp").repartition(buckets).mapInArrow(_emit(radius, buckets), "bucket long, fps binary, counts binary, masks binary")
     return rows.groupBy("bucket").applyInPandas(_collide(radius), "a long, b long")
 
 
