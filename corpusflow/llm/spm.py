@@ -3,11 +3,13 @@
 A text gets the segmentation into vocabulary pieces of the highest total score. Only a window of
 the longest piece's length can still be extended; whenever all paths that survive in it agree on
 the next boundary, the piece before it is committed and forgotten. Where no piece of the
-vocabulary reaches over a word start, paths always agree there, so words are remembered by worker.
+vocabulary reaches over a word's start or between letters and other characters, paths always agree,
+so words are remembered by worker; one that fits the window is decided at once.
 
 Characters outside the vocabulary become byte pieces, and so does a literal U+2581, which makes
 decoding exact. Files of merge ranks (BPE) have no probabilities: their ranks r are read as Zipf
-log-probabilities -ln((r + 1) H), H the harmonic sum over the vocabulary.
+log-probabilities -ln((r + 1) H), H the harmonic sum over the vocabulary. Scores are whole
+millionths, so equal sums are equal wherever a text is cut.
 
 Defined results: a null text has null ids, an empty text none; equal scores prefer the longer last
 piece; repeated rows are encoded alike; an empty table gives no rows; other columns are kept.
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import functools
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,29 +28,55 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import prepare
 
-SPACE = "▁"
-WORDS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-MEMO, MEMO_CHARS = 200_000, 40
+#: The mark of a space in vocabulary files; inside this module a piece has the space itself.
+MARK = "▁"
+LETTER = r"[^\W\d_²³¹¼-¾]"  # without the Latin-1 superscripts and fractions, which re counts among letters
+#: Runs of letters or of other characters, with the spaces before them.
+WORDS = re.compile(f" *{LETTER}+| *(?:(?!{LETTER})[^ ])+| +")
+MEMO, MEMO_CHARS = 400_000, 40
+
+
+class _Memo(dict):
+    """Ids of words seen, emptied when full."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, word: str) -> bytes:
+        got = self.encode(word)
+        if len(word) <= MEMO_CHARS:
+            if len(self) >= MEMO:
+                self.clear()
+            self[word] = got
+        return got
 
 
 class Vocabulary:
-    """Pieces with their ids and scores; ``raw`` has the bytes that every id decodes to."""
+    """Pieces with their ids and scores; ``raw`` has the bytes that every id decodes to. ``trie``
+    leads from character to character; a piece's score stands under the empty string."""
 
     def __init__(self, pieces: list[tuple[str, int, float]], bytes_: list[int], raw: list[bytes]):
         self.ids = {p: i for p, i, _ in pieces}
-        self.scores = {p: s for p, _, s in pieces}
+        self.scores = {p: round(s * 1_000_000) for p, _, s in pieces}
         self.bytes, self.raw = bytes_, raw
-        self.byte_score = min(self.scores.values(), default=0.0) - 10.0
+        self.byte_score = min(self.scores.values(), default=0) - 10_000_000
         self.longest = max(map(len, self.ids), default=1)
-        self.splits = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids)
-        self._memo: dict[str, bytes] = {}
+        self.splits = all(len(WORDS.findall(p)) == 1 for p in self.ids)
+        self.trie: dict = {}
+        for piece, score in self.scores.items():
+            node = self.trie
+            for ch in piece:
+                node = node.setdefault(ch, {})
+            node[""] = score
+        self._memo = _Memo(self.encode_word)
 
     def segment(self, text: str) -> Iterator[tuple[int, int]]:
         """Boundaries of the pieces, each as soon as it is certain."""
         scores, longest, base = self.scores, self.longest, 0
-        best, back, first = {0: 0.0}, {}, {}
+        best, back, first = {0: 0}, {}, {}
         for j in range(1, len(text) + 1):
-            top, at = -float("inf"), j - 1
+            top, at = -(1 << 62), j - 1
             for i in range(max(base, j - longest), j):
                 s = scores.get(text[i:j])
                 if s is None:
@@ -76,34 +105,47 @@ class Vocabulary:
             at = back[at]
         yield from reversed(path)
 
+    def _whole(self, word: str) -> list[str]:
+        """The pieces of a word that fits the window, where nothing is committed before its end."""
+        n, trie, low = len(word), self.trie, -(1 << 62)
+        best, back = [0] + [low] * n, [0] * (n + 1)
+        for i in range(n):
+            node, base = trie, best[i]
+            for j in range(i + 1, n + 1):
+                node = node.get(word[j - 1])
+                if node is None:
+                    break
+                s = node.get("")
+                if s is not None and base + s > best[j]:
+                    best[j], back[j] = base + s, i
+            if word[i] not in self.scores:
+                s = base + self.byte_score * len(word[i].encode("utf-8"))
+                if s > best[i + 1]:
+                    best[i + 1], back[i + 1] = s, i
+        out = []
+        while n:
+            out.append(word[back[n]:n])
+            n = back[n]
+        out.reverse()
+        return out
+
     def encode_word(self, word: str) -> bytes:
-        """Ids of a text without literal U+2581 of its own, as little-endian uint32."""
+        """Ids of a text without literal U+2581, as little-endian uint32."""
+        pieces = self._whole(word) if len(word) <= self.longest else (word[i:j] for i, j in self.segment(word))
         out: list[int] = []
-        for i, j in self.segment(word):
-            got = self.ids.get(word[i:j])
-            out += [got] if got is not None else [self.bytes[b] for b in word[i:j].encode("utf-8")]
-        return np.array(out, dtype="<u4").tobytes()
-
-    def _word(self, word: str) -> bytes:
-        got = self._memo.get(word)
-        if got is None:
-            got = self.encode_word(word)
-            if len(word) <= MEMO_CHARS:
-                if len(self._memo) >= MEMO:
-                    self._memo.clear()
-                self._memo[word] = got
-        return got
+        for piece in pieces:
+            got = self.ids.get(piece)
+            out += [got] if got is not None else [self.bytes[b] for b in piece.encode("utf-8")]
+        return struct.pack(f"<{len(out)}I", *out)
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        parts = text.split(SPACE)
-        literal = np.array([self.bytes[b] for b in SPACE.encode("utf-8")], dtype="<u4").tobytes()
+        literal = struct.pack("<3I", *(self.bytes[b] for b in MARK.encode("utf-8")))
         out = []
-        for k, part in enumerate(parts):
-            spaced = (SPACE if k == 0 else "") + part.replace(" ", SPACE)
-            words = WORDS.findall(spaced) if self.splits else [spaced] if spaced else []
-            out.append(b"".join(map(self._word, words)))
+        for part in (" " + text).split(MARK):
+            words = WORDS.findall(part) if self.splits else [part] if part else []
+            out.append(b"".join(map(self._memo.__getitem__, words)))
         return literal.join(out)
 
     def decode(self, ids: bytes) -> str:
@@ -128,8 +170,8 @@ def load(path: str, zipf: bool = True) -> Vocabulary:
             value = int(piece[3:5], 16)  # <0xNN>
             bytes_[value], raw[i] = i, bytes([value])
         elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
-            pieces.append((piece, i, -float(np.log((rank[i] + 1) * harmonic)) if zipf else sp.get_score(i)))
-            raw[i] = piece.replace(SPACE, " ").encode("utf-8")
+            pieces.append((piece.replace(MARK, " "), i, -float(np.log((rank[i] + 1) * harmonic)) if zipf else sp.get_score(i)))
+            raw[i] = piece.replace(MARK, " ").encode("utf-8")
     return Vocabulary(pieces, bytes_, raw)
 
 
