@@ -2,6 +2,7 @@
 
 ``run`` applies the stages to the documents table, writing and rereading each stage's rows in the
 shared checkpoint folder. Every stage but the last returns the columns of its input unchanged.
+The models are learned from the tables in ``sf_dir``, whatever documents a stage is given.
 """
 
 from __future__ import annotations
@@ -9,20 +10,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from corpusflow.llm import langid, packing, simhash, toxicity
-from corpusflow.llm.common import table, written
-from corpusflow.llm.queries import byte_bpe_encoder, toxicity_model
+from corpusflow.llm.common import prepare, table, written
+from corpusflow.llm.queries import byte_bpe_encoder, language_model, toxicity_model
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents whose toxicity score is below 0.3."""
-    verdict = toxicity.scorer(toxicity_model(spark, sf_dir, docs))(F.col("text"))
+    prepare(spark)
+    verdict = toxicity.scorer(toxicity_model(spark, sf_dir))(F.col("text"))
     return docs.where(verdict["score"] < 0.3)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents of a known language: those without text or any letter (``und``) go."""
-    model = langid.fit(docs.where(~langid.held_out("doc_id", 3, 1)))
-    verdict = langid.scorer(model)(F.col("text"))
+    prepare(spark)
+    verdict = langid.scorer(language_model(spark, sf_dir))(F.col("text"))
     return docs.where(verdict["lang"] != "und")
 
 
@@ -32,8 +34,8 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     found = simhash.near_duplicates(docs, words_per_shingle=3, radius=3)
     keep = found.where("doc_id = component_id").select("doc_id")
     once = Window.partitionBy("doc_id").orderBy("doc_id")
-    return (docs.join(keep, "doc_id", "left_semi").withColumn("_copy", F.row_number().over(once))
-            .where("_copy = 1").select(*docs.columns))
+    return (docs.join(keep, "doc_id", "left_semi").withColumn("copy of a kept row", F.row_number().over(once))
+            .where("`copy of a kept row` = 1").select(*docs.columns))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,13 +10,15 @@ formatted as ``other`` with its name, and makes the order invalid; turns are tak
 role and text (null turns first), so ties and repeated rows have a fixed place; rows with a null
 conversation id form one conversation with a null id; an empty table gives no rows; other columns
 are ignored. Every conversation is formatted, also one of invalid order (``valid`` is false).
+A formatted conversation is one string, so one conversation's turns meet in one row;
+:func:`segments` gives them as rows, for conversations of any length.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 @dataclass(frozen=True)
@@ -87,18 +89,16 @@ def segments(turns: DataFrame, template: Template = Template(), id_col: str = "c
 def format_chat(turns: DataFrame, template: Template = Template(), **columns) -> DataFrame:
     """One row per conversation: conv_id, formatted, valid, and its segments in order as
     array<struct<role, start, length, loss>> (code points of ``formatted``)."""
-    rows = segments(turns, template, **columns)
-    grouped = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text", "segment", "loss"))).alias("t"))
+    before = Window.partitionBy("conv_id").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, -1)
+    rows = segments(turns, template, **columns).withColumn("start", F.coalesce(F.sum(F.length("segment")).over(before), F.lit(0)))
+    grouped = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text", "segment", "loss", "start"))).alias("t"))
     arrows = [f"{a}>{b}" for a, after in template.then.items() for b in after]
     state = F.aggregate(F.col("t.role"), F.lit("start"),
                         lambda s, r: F.when(F.concat(s, F.lit(">"), r).isin(arrows), r).otherwise(F.lit("!")))
-    # starts: running sum of the lengths before each segment
-    ends = F.aggregate(F.col("t.segment"), F.array(F.lit(0)),
-                       lambda acc, s: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(s))))
-    return grouped.withColumn("ends", ends).select(
+    return grouped.select(
         "conv_id", F.array_join("t.segment", "").alias("formatted"), (state != "!").alias("valid"),
-        F.transform("t", lambda x, i: F.struct(x["role"].alias("role"), F.col("ends")[i].alias("start"),
-                                               F.length(x["segment"]).alias("length"), x["loss"].alias("loss"))).alias("segments"))
+        F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["start"].alias("start"),
+                                            F.length(x["segment"]).alias("length"), x["loss"].alias("loss"))).alias("segments"))
 
 
 def read_back(formatted: DataFrame, template: Template = Template()) -> DataFrame:

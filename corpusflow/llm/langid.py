@@ -6,12 +6,12 @@ lower-cased text, square-rooted and scaled to length one.
 
 Defined results: a null or empty text, or one without a letter, is ``und`` with score 0, and so is
 every text if no language could be learned; repeated rows are scored alike; an empty table gives
-no rows; a null id is kept.
+no rows; other columns are kept (one named ``language`` is replaced); rows without an id, text or
+language teach nothing.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +35,6 @@ FAMILIES = {
 FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in codes}
 
 DIM = 1 << 12
-LETTER = re.compile(r"[^\W\d_]")
 NOT_LETTERS = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 SCORED = pa.struct([("lang", pa.string()), ("score", pa.float64())])
 
@@ -52,6 +51,10 @@ def features(text: str) -> np.ndarray:
     return v / max(np.linalg.norm(v), 1e-12)
 
 
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
+
+
 class LanguageModel:
     """Family classifiers, then pairwise classifiers of the languages of each family."""
 
@@ -83,7 +86,7 @@ class LanguageModel:
         return self
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.families or not LETTER.search(text):
+        if not text or not self.families or not has_letter(text):
             return "und", 0.0
         p = sigmoid(self.scale * (self.weights @ features(text) + self.bias)).tolist()
         of_family = {h[1]: v for h, v in zip(self.heads, p) if h[0] == "family"} or {next(iter(self.families)): 1.0}
@@ -109,9 +112,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     prepare(docs.sparkSession)
     # the first of each slice of a language, then of the language: no task sees a common language whole
     sliced, first = (Window.partitionBy("lang", *by).orderBy("h", "doc_id") for by in (["slice"], []))
-    rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    ids = (rows.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h"))
-           .where("doc_id is not null").withColumn("slice", F.pmod(F.hash("h"), F.lit(64)))
+    rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+            .where("doc_id is not null and lang is not null and text is not null"))
+    ids = (rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
+           .withColumn("slice", F.pmod(F.hash("h"), F.lit(64)))
            .withColumn("r", F.row_number().over(sliced)).where(F.col("r") <= per_lang)
            .withColumn("r", F.row_number().over(first)).where(F.col("r") <= per_lang)
            .select("doc_id").distinct())
@@ -122,12 +126,11 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         out = []
         for t in texts.to_pylist():
             middle = len(t) // 3
-            out.append([features(s).astype(np.float32).tobytes() for s in (t, t[middle:middle + 80] or t)] if LETTER.search(t) else [])
+            out.append([features(s).astype(np.float32).tobytes() for s in (t, t[middle:middle + 80] or t)] if has_letter(t) else [])
         return pa.array(out, type=pa.list_(pa.binary()))
 
-    chosen = rows.join(F.broadcast(docs.sparkSession.createDataFrame([(k,) for k in keep], "keep long")),
-                       F.col(id_col) == F.col("keep"), "left_semi")
-    got = chosen.select(F.col(lang_col).alias("lang"), vectors(F.col(text_col)).alias("v")).collect()
+    chosen = rows.join(F.broadcast(docs.sparkSession.createDataFrame([(k,) for k in keep], "doc_id long")), "doc_id", "left_semi")
+    got = chosen.select("lang", vectors("text").alias("v")).collect()
     by_lang: dict[str, list] = {}
     for r in sorted(got, key=lambda r: (r["lang"], [bytes(b) for b in r["v"]])):
         by_lang.setdefault(r["lang"], []).extend(np.frombuffer(b, np.float32) for b in r["v"])

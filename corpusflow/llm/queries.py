@@ -180,17 +180,22 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.col("token_count.unknown").alias("n_unknown"))
 
 
-def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.ToxicityModel:
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.ToxicityModel:
     """Learned from the labelled documents outside the held-out fold."""
-    labels = table(spark, sf_dir, "labels")
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return toxicity.fit(docs, labels.where(~langid.held_out("doc_id", 4, 2)))
 
 
+def language_model(spark: SparkSession, sf_dir: str) -> langid.LanguageModel:
+    """Learned from the documents outside the held-out fold."""
+    return langid.fit(table(spark, sf_dir, "documents").where(~langid.held_out("doc_id", 3, 1)))
+
+
 @query("op4_toxicity")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 4 over all documents, learned from three of four folds of the labels."""
-    docs = table(spark, sf_dir, "documents")
-    scored = toxicity.score(docs, toxicity_model(spark, sf_dir, docs))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(spark, sf_dir))
     return scored.select("doc_id", langid.held_out("doc_id", 4, 2).alias("held_out"),
                          F.col("toxicity.score").alias("score"),
                          (F.col("toxicity.score") >= 0.3).cast("int").alias("predicted"),
@@ -213,9 +218,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_language_id")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 10 over all documents, learned from two of three folds."""
-    docs = table(spark, sf_dir, "documents")
-    held = langid.held_out("doc_id", 3, 1)
-    model = langid.fit(docs.where(~held))
-    return (langid.identify(docs, model)
-            .select("doc_id", held.alias("held_out"), F.col("language.lang").alias("lang_pred"),
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return (langid.identify(docs, language_model(spark, sf_dir))
+            .select("doc_id", langid.held_out("doc_id", 3, 1).alias("held_out"), F.col("language.lang").alias("lang_pred"),
                     F.col("language.score").alias("score")))

@@ -12,7 +12,8 @@ log-probabilities -ln((r + 1) H), H the harmonic sum over the vocabulary. Scores
 millionths, so equal sums are equal wherever a text is cut.
 
 Defined results: a null text has null ids, an empty text none; equal scores prefer the longer last
-piece; repeated rows are encoded alike; an empty table gives no rows; other columns are kept.
+piece; repeated rows are encoded alike; an empty table gives no rows; other columns are kept (one
+of the output's name is replaced).
 """
 
 from __future__ import annotations

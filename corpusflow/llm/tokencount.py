@@ -6,7 +6,7 @@ scanned once, character by character, and its count is known without any piece b
 
 Defined results: a null or empty text, or one of white space only, has no words and no tokens; a
 word that greedy matching cannot finish is one unknown token; repeated rows are counted alike; an
-empty table gives no rows; other columns are kept.
+empty table gives no rows; other columns are kept (one of the output's name is replaced).
 """
 
 from __future__ import annotations
@@ -118,6 +118,6 @@ def count_tokens(docs: DataFrame, vocabulary, text_col: str = "text", out_col: s
                 per_word = [memo[w] for w in (t or "").split()]
                 unknown = per_word.count(0)
                 rows.append((len(per_word), sum(per_word) + unknown, unknown))
-            yield pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], fields=list(COUNTS))
+            yield pa.StructArray.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(3)], fields=list(COUNTS))
 
     return docs.withColumn(out_col, counts(F.col(text_col)))

@@ -8,7 +8,7 @@ until the bound is below the k-th best score: exact at any size.
 
 Defined results: vectors that are null, empty or hold null or non-finite components, and rows with
 a null id, take no part; only vectors of equal length are compared; rows with the query's own id
-are not its candidates; a repeated candidate counts as often as it comes, a repeated query once;
+are not its candidates; a repeated candidate counts as often as it comes, a query id once (its smallest vector);
 ties go to the smaller id; fewer candidates than k give them all; empty tables give no rows.
 """
 
@@ -90,7 +90,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 10, pivots: int =
     """
     prepare(queries.sparkSession)
     candidates = cut_lineage(candidates.withColumn("dim", F.size("y")))
-    queries = cut_lineage(queries.dropDuplicates(["id"]).withColumn("dim", F.size("y")))
+    queries = cut_lineage(queries.groupBy("id").agg(F.min("y").alias("y")).withColumn("dim", F.size("y")))
     norm = F.aggregate("y", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     n, most_c = candidates.agg(F.count(F.lit(1)), F.max(norm)).first()
     nq, most_q = queries.agg(F.count(F.lit(1)), F.max(norm)).first()

@@ -8,7 +8,8 @@ their share gives the document score.
 
 Defined results: a null or empty text, or one without words, has no spans and the score of a text
 without any sign of toxicity; if no toxic labels are given, every score is 0; repeated rows are
-scored alike; an empty table gives no rows; other columns are kept.
+scored alike; an empty table gives no rows; other columns are kept (one named ``toxicity`` is
+replaced); labels without a document and documents without an id teach nothing.
 """
 
 from __future__ import annotations
@@ -254,7 +255,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     prepare(docs.sparkSession)
     marked = (labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
               .agg(F.max(label_col).alias("_label")))
-    size = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.length(text_col).alias("_n"))
+    docs = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).where("_text is not null")
+    size = docs.select("_id", F.length("_text").alias("_n"))
     picked = (size.join(marked, "_id").groupBy("_id").agg(F.max("_n").alias("_n"), F.max("_label").alias("_label"))
               .orderBy(F.xxhash64("_id"), "_id").limit(max_docs).collect())
     total, keep = 0, {}
@@ -265,7 +267,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if len(set(keep.values())) < 2:
         return ToxicityModel()
     chosen = F.broadcast(docs.sparkSession.createDataFrame([(k,) for k in keep], "_id long"))
-    rows = docs.join(chosen, F.col(id_col) == F.col("_id"), "left_semi").select(F.col(id_col), F.col(text_col)).collect()
+    rows = docs.join(chosen, "_id", "left_semi").collect()
     texts: dict[tuple, tuple] = {}
     for doc_id, text in sorted(rows, key=lambda r: (r[0], r[1] or "")):
         words = [w.lower() for w in WORD.findall(text or "")]
