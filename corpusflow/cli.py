@@ -1,17 +1,35 @@
 """Command line for the three entry points.
 
-  python -m corpusflow.cli ingest --polls DIR --pages PATH --run-date YYYY-MM-DD --points P --counts C
-  python -m corpusflow.cli search --points P --k 5 "query text" ...
-  python -m corpusflow.cli dashboard --counts C --date YYYY-MM-DD [--source S]
+  python -m corpusflow.cli ingest --polls DIR --pages PATH --run-date YYYY-MM-DD --points P --counts C --embedder hashing
+  python -m corpusflow.cli search --points P --embedder hashing [--k 5] [--out DIR] "query text" ...
+  python -m corpusflow.cli dashboard --counts C --date YYYY-MM-DD [--source S] [--qa PATH [--scorer lengths]] [--out DIR]
+
+Results are whole: with ``--out`` every table is written there as parquet and its
+row count printed, without it every row is printed. Models are named: ``hashing``
+and ``lengths`` are stand-ins for an embedder and a pair scorer.
 """
 
 from __future__ import annotations
 
 import argparse
+import json
+import os
 
 from .session import get_spark
 
 
+def give(name: str, df, out: str | None) -> None:
+    """Write a whole table and print its row count, or print all its rows."""
+    if out:
+        path = os.path.join(out, name)
+        df.write.mode("overwrite").parquet(path)
+        print(f"== {name}: {df.sparkSession.read.parquet(path).count()} rows in {path}")
+        return
+    print(f"== {name}")
+    for row in df.toLocalIterator():
+        print(json.dumps(row.asDict(), default=str, ensure_ascii=False))
+
+
 def main(argv=None):
     ap = argparse.ArgumentParser(prog="corpusflow")
     ap.add_argument("--master", default=None)
@@ -23,14 +41,20 @@ def main(argv=None):
     a.add_argument("--run-date", required=True)
     a.add_argument("--points", required=True)
     a.add_argument("--counts", required=True)
+    a.add_argument("--embedder", required=True)
     s = sub.add_parser("search")
     s.add_argument("--points", required=True)
     s.add_argument("--k", type=int, default=5)
+    s.add_argument("--embedder", required=True)
+    s.add_argument("--out", default=None)
     s.add_argument("texts", nargs="+")
     d = sub.add_parser("dashboard")
     d.add_argument("--counts", required=True)
     d.add_argument("--date", required=True)
     d.add_argument("--source", default=None)
+    d.add_argument("--qa", default=None)
+    d.add_argument("--scorer", default=None)
+    d.add_argument("--out", default=None)
     args = ap.parse_args(argv)
     spark = get_spark(args.master)
     if args.cmd == "ingest":
@@ -39,15 +63,15 @@ def main(argv=None):
         raw = envelopes.read_polls(spark, args.polls)
         g = envelopes.read_polls(spark, args.guardian, "guardian") if args.guardian else None
         ingest.run_ingest(spark, raw, spark.read.parquet(args.pages), args.run_date, args.points, args.counts,
-                          guardian_raw=g)
+                          args.embedder, guardian_raw=g)
     elif args.cmd == "search":
         from .plans import search
-        search.search_texts(spark, args.points, args.texts, args.k).show(truncate=80)
+        give("search", search.search_texts(spark, args.points, args.texts, args.k, embedder=args.embedder), args.out)
     else:
         from .plans import monitor
-        for name, df in monitor.views(spark, args.counts, args.date, args.source).items():
-            print(f"== {name}")
-            df.show(50, truncate=False)
+        qa = spark.read.parquet(args.qa) if args.qa else None
+        for name, df in monitor.views(spark, args.counts, args.date, args.source, qa=qa, scorer=args.scorer).items():
+            give(name, df, args.out)
 
 
 if __name__ == "__main__":

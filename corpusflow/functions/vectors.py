@@ -48,13 +48,9 @@ def masked_mean_pool(states, mask) -> Column:
     ``states``: ARRAY<ARRAY<FLOAT>> [token][dim]; ``mask``: ARRAY<INT> [token].
     """
     st, mk = _c(states), _c(mask)
-    dim = F.size(F.element_at(st, 1))
+    zero = F.transform(F.element_at(st, 1), lambda x: F.lit(0.0).cast("double"))
+    weighted = F.zip_with(st, mk, lambda h, m: F.struct(h.alias("h"), m.cast("double").alias("m")))
+    # one pass over the tokens: the running sum of all dimensions at once
+    sums = F.aggregate(weighted, zero, lambda acc, t: F.zip_with(acc, t["h"], lambda a, x: a + x.cast("double") * t["m"]))
     denom = clamp_min(F.aggregate(mk, F.lit(0.0).cast("double"), lambda a, m: a + m.cast("double")))
-    pairs = F.arrays_zip(st.alias("h"), mk.alias("m"))
-
-    def per_dim(d):
-        s = F.aggregate(pairs, F.lit(0.0).cast("double"),
-                        lambda a, p: a + F.element_at(p["h"], d + 1).cast("double") * p["m"].cast("double"))
-        return s / denom
-
-    return F.when(F.size(st) > 0, F.transform(F.sequence(F.lit(0), dim - 1), per_dim))
+    return F.when(F.size(st) > 0, F.transform(sums, lambda s: s / denom))

@@ -109,21 +109,25 @@ def pack_chunks(text: str, budget: int, count: Callable[[str], int], level: int
     if level > 3:
         return [text]
     out: list[str] = []
-    cur = ""
-    for piece in _split_level(text, level):
-        cand = cur + piece
-        if count(cand) <= budget:
-            cur = cand
-            continue
-        if cur:
-            out.append(cur)
-            cur = ""
-        if count(piece) <= budget:
-            cur = piece
+    pieces, at = _split_level(text, level), 0
+    while at < len(pieces):
+        # the longest run of pieces that fits: doubled, then bisected, so a chunk of n
+        # pieces is counted about log n times (joined, as tokenizers are not additive)
+        low, high = 0, 1
+        while at + high <= len(pieces) and count("".join(pieces[at:at + high])) <= budget:
+            low, high = high, 2 * high
+        high = min(high, len(pieces) - at + 1)
+        while high - low > 1:
+            mid = (low + high) // 2
+            if count("".join(pieces[at:at + mid])) <= budget:
+                low = mid
+            else:
+                high = mid
+        if low:
+            out.append("".join(pieces[at:at + low]))
         else:
-            out.extend(pack_chunks(piece, budget, count, level + 1))
-    if cur:
-        out.append(cur)
+            out.extend(pack_chunks(pieces[at], budget, count, level + 1))
+        at += max(low, 1)
     return out
 
 

@@ -11,6 +11,7 @@ words); they are not language models.
 from __future__ import annotations
 
 import zlib
+from functools import partial
 from typing import Callable, Iterator
 
 import numpy as np
@@ -37,6 +38,16 @@ def hashing_embedder(dim: int = 64) -> Callable[[list[str]], np.ndarray]:
     return embed
 
 
+def resolve(embedder):
+    """An embedder factory, or the stand-in that was asked for by name (``hashing``
+    or ``hashing:<width>``). There is no silent default model."""
+    if isinstance(embedder, str) and embedder.split(":")[0] == "hashing":
+        return partial(hashing_embedder, int(embedder.partition(":")[2] or 64))
+    if callable(embedder):
+        return embedder
+    raise ValueError("name an embedder: a factory, or 'hashing' for the stand-in")
+
+
 # Rows per model call (the reference's batch size); Arrow batches stay large.
 MODEL_BATCH = 128
 

@@ -36,7 +36,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as tx
-from .ingest import status_ok
 
 VOID = frozenset("area base br col embed hr img input keygen link meta param source track wbr".split())
 HIDDEN_STRINGS = frozenset(("script", "style", "template", "rt", "rp"))
@@ -91,10 +90,7 @@ class _Builder(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         self._flush()
-        d = {}
-        for k, v in attrs:
-            if k not in d:
-                d[k] = "" if v is None else v
+        d = {k: "" if v is None else v for k, v in attrs}  # of a repeated attribute the last counts
         n = Node(tag, d, self.stack[-1])
         self.stack[-1].children.append(n)
         if tag not in VOID:
@@ -142,7 +138,14 @@ class _Builder(HTMLParser):
                 ch = "\N{REPLACEMENT CHARACTER}"
         self.buf.append(ch)
 
+    def unknown_decl(self, data):
+        if data[:6].upper() == "CDATA[":
+            self.buf.append(data[6:])
+
     def handle_comment(self, data):
+        if data[:7].upper() == "[CDATA[":  # newer parsers report it as a comment
+            self.buf.append(data[7:-2] if data.endswith("]]") else data[7:])
+            return
         self._flush()
         self.stack[-1].children.append(_text(data, "comment"))
 
@@ -258,6 +261,9 @@ def select_pieces(html: str, rule: dict):
         para = rule.get("para") or {"tag": "p"}
         for c in containers:
             for p in find_all(c, para):
+                for sel in rule.get("para_drops") or []:
+                    for d in find_all(p, sel):
+                        decompose(d)
                 pieces.append(get_text(p, "", strip))
     return level, pieces
 
@@ -351,4 +357,4 @@ def extract_bodies(pages: DataFrame, rules: dict[str, dict],
 
 
 __all__ = ["parse", "find", "find_all", "get_text", "select_pieces", "extract_bodies",
-           "finish_text", "pieces_udf", "status_ok"]
+           "finish_text", "pieces_udf"]

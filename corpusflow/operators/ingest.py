@@ -2,45 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A registry or rule table is one row per source/site: a few dozen rows in
-# the reference, bounded by the number of configured sources. It is
-# broadcast only below this size; beyond it the planner's shuffle join runs.
-BROADCAST_ROW_LIMIT = 10_000
-
-
-def small_side(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast a config table only after checking its size."""
-    n = df.limit(limit + 1).count()
-    return F.broadcast(df) if n <= limit else df
-
-
 def dedupe_pages(pages: DataFrame, order_col: str | None = None) -> DataFrame:
-    """One page per url (a url landed twice keeps its first landing).
+    """One page per url: one that answered 200 before others, then the first
+    landed (``order_col``), then the smallest html, so a re-run picks the same.
 
-    ``min(struct)`` is a partial+final aggregate, so a url repeated in many files
-    is reduced map-side before the shuffle.
+    ``row_number() = 1`` plans as a group limit (a task keeps one page per url),
+    and the join on url that follows reuses its partitioning.
     """
-    other = [c for c in pages.columns if c not in ("url", order_col)]
-    # with a landing-order column the first landing wins; without one the
-    # choice is still deterministic (smallest row), so a retried task or a
-    # re-run picks the same page
-    lead = [F.col(order_col)] if order_col else []
-    ordered = F.struct(*lead, *[F.col(c) for c in other])
-    first = F.min(ordered).alias("_first")
-    out = pages.groupBy("url").agg(first).select("url", "_first.*")
-    return out.select(*pages.columns)
-
-
-def status_ok(status: Column, policy: str) -> Column:
-    """FL5 per rule: ``none`` (not checked), ``lt400`` (raise_for_status), ``eq200``."""
-    if policy == "none":
-        return F.lit(True)
-    if policy == "lt400":
-        return status < 400
-    return status == 200
+    by = [F.coalesce(F.col("status") == 200, F.lit(False)).desc()] if "status" in pages.columns else []
+    by += [F.col(order_col)] if order_col else []
+    by += [F.col("html").asc_nulls_last()] if "html" in pages.columns else []
+    w = Window.partitionBy("url").orderBy(*by)
+    return pages.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
 def lookup_pages(articles: DataFrame, pages: DataFrame) -> DataFrame:
@@ -56,9 +32,10 @@ def lookup_pages(articles: DataFrame, pages: DataFrame) -> DataFrame:
 
 def attach_registry(articles: DataFrame, sources: DataFrame, on: str = "source",
                     label_col: str = "label") -> DataFrame:
-    """Bind each article to its source settings (size-checked broadcast)."""
+    """Bind each article to its source settings (Spark broadcasts the registry
+    by its size at run time)."""
     reg = sources.withColumnRenamed(label_col, on) if label_col != on else sources
-    return articles.join(small_side(reg), on, "left")
+    return articles.join(reg, on, "left")
 
 
 def date_window(publishdate: Column, run_date: Column, days: int = 1) -> Column:
@@ -100,11 +77,12 @@ def request_filter(articles: DataFrame, *, selector_col: str | None = None, sele
     return df
 
 
-def first_n_per_poll(rows: DataFrame, keys: list[str], order_col: str, n: int) -> DataFrame:
-    """SP7 / L2 when positions are not 0-based: the first ``n`` rows of each
-    poll answer. ``row_number() <= n`` plans as WindowGroupLimit: each map
-    task keeps at most ``n`` rows per poll before the shuffle, so even a poll
-    holding a third of all rows never lands whole in one task."""
-    from pyspark.sql import Window
+def first_n_per_poll(rows: DataFrame, keys: list[str], order_col: str, n: Column | int, most: int | None = None) -> DataFrame:
+    """SP7 / L2: the first ``n`` rows of each poll answer, ``n`` a number or a
+    column of at most ``most``. ``row_number() <= most`` plans as a group limit:
+    each map task keeps at most that many rows per poll before the shuffle."""
     w = Window.partitionBy(*keys).orderBy(order_col)
-    return rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+    rows = rows.withColumn("_rn", F.row_number().over(w))
+    if most is not None:
+        rows = rows.where(F.col("_rn") <= most)
+    return rows.where(F.col("_rn") <= n).drop("_rn")

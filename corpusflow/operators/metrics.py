@@ -19,9 +19,8 @@ def chunks_per_source(chunks: DataFrame, sources: DataFrame | None = None,
     counts = chunks.groupBy(source_col).agg(F.count(F.lit(1)).alias("nb_chunks"))
     if sources is None:
         return counts
-    from .ingest import small_side
     reg = sources.select(F.col("label").alias(source_col)).distinct()
-    return small_side(reg).join(counts, source_col, "left").fillna(0, subset=["nb_chunks"])
+    return reg.join(counts, source_col, "left").fillna(0, subset=["nb_chunks"])
 
 
 def points_per_source(points: DataFrame, source_col: str = "source") -> DataFrame:

@@ -3,20 +3,21 @@
 A fetch run polls one source's API repeatedly. Each poll returns a page of
 article stubs in arrival order; the collector keeps the first article per
 publish date, counts duplicates and polls without growth, and stops on
-thresholds. Here arrival order is data, ``(poll_no, pos)``, and every rule
-is an aggregate, a join or a window over *poll-level* rows:
-
-* W1 truncation: first failed position per poll (aggregate), join back.
-* W2 first occurrence: ``min(struct(poll_no, pos))`` per (key, publish
-  date) -- a partial+final aggregate, so a publish date holding a third of
-  all rows is collapsed map-side before the shuffle -- then a join back
-  (AQE splits a skewed join partition).
-* W3/W4/W6/W7 running counters: per-poll counts (aggregate), then running
-  sums over the poll rows of one (run, source). Poll rows are few per key
-  (one per API call), so these windows never hold raw article rows.
-* W5 in-page stop: per-poll flag counts plus the k-th flagged row
-  (k <= threshold) through ``row_number() <= threshold`` (WindowGroupLimit:
-  a map-side top-k, bounded per task).
+thresholds. Here arrival order is data, ``(poll_no, pos)``, and a source's
+policy is a column of its polls, so all policies run in one pass:
+
+* polls: the status policy and W1's first failed position make one frame of
+  polls that are read at all (poll-level rows only).
+* rows: the narrow stubs (keys, order, flags) that survive W1, cut once; the
+  payload never enters a shuffle before the last step.
+* W2: the smallest arrival number per (key, publish date), one long, so a
+  hash aggregate with a map-side partial: a publish date holding a third of
+  all rows is collapsed before the shuffle. The minimum names the new rows,
+  there is no join back to the rows.
+* W3-W8: every counter of a poll (rows, eligible, new, first and last new
+  position) comes from one aggregate; the stop rules are windows over the
+  polls of one (run, source), never over articles.
+* the accepted keys are semi-joined back to the payload, once.
 
 Every rule returns whole results: no row is sampled or capped beyond the
 rule itself.
@@ -32,10 +33,13 @@ from pyspark.sql import functions as F
 from ..functions.text import truthy
 from ..session import cut_lineage
 
+# An arrival number is the poll's turn in its run above the position in it.
+POS_BITS = 40
+
 
 @dataclass(frozen=True)
 class PollRules:
-    """One source's fetch behaviour (a row of the source registry).
+    """Fetch behaviour of a source, and the names of the columns.
 
     null_policy:
       ``truncate``            NULL body ends the page (W1); '' is kept.
@@ -48,6 +52,8 @@ class PollRules:
       ``cap`` (W7).
     status_policy: ``stop`` (first non-200 poll ends the run), ``skip``
       (non-200 polls vanish), ``none`` (status not checked).
+    A column of the polls named like one of these three takes precedence;
+    W6 sources then need a positive total.
     """
 
     null_policy: str = "truncate"
@@ -64,244 +70,195 @@ class PollRules:
     cleaned: str | None = None
 
 
-# Fixed per-source behaviour of the reference collector (labels as the
-# registry names them). Thresholds: 4 polls without growth, > 100 duplicates.
+# Thresholds of the reference collector: 4 polls without growth, > 100 duplicates.
 STD = PollRules()
-# Poll-level counts are re-derived from the checkpointed narrow rows by each
-# rule branch; identical aggregations are reused as exchanges, so a second
-# checkpoint only adds a job. Kept as a switch for very long runs.
-CHECKPOINT_POLL_COUNTS = False
-# The processed-poll table is cut once: it may itself be an aggregate over the
-# articles (as for the driver tables). Measured neutral at sf0.1 either way.
-CHECKPOINT_POLLS = True
-SOURCE_RULES = {
-    "Guardian": PollRules(null_policy="never_null", status_policy="none"),
-    "BBC": PollRules(null_policy="never_null"),
-    "Al Jazeera": PollRules(stop_variant="trailing_repeat", require_total_results=True),
-    "CNN": PollRules(null_policy="as_dup", status_policy="skip"),
-    "Fortune": PollRules(null_policy="truncate_skip_empty"),
-    "USA Today": PollRules(null_policy="skip_falsy", stop_variant="inpage"),
-    "sky sports": PollRules(null_policy="skip_falsy", stop_variant="inpage"),
-    "GNews": PollRules(stop_variant="cap"),
-    "USA Today (finance)": PollRules(null_policy="keep"),
-}
-
-
-def rules_for(label: str, **over) -> PollRules:
-    base = SOURCE_RULES.get(label, STD)
-    return PollRules(**{**base.__dict__, **over}) if over else base
-
-
-# ---------------------------------------------------------------------------
-# helpers
-
-def _kcols(r: PollRules) -> list[str]:
-    return list(r.keys)
+VARIANTS = ("std", "inpage", "trailing_repeat", "cap")
 
 
 def _pkeys(r: PollRules) -> list[str]:
     return list(r.keys) + ["poll_no"]
 
 
-def _poll_window(r: PollRules, running: bool = True):
-    w = Window.partitionBy(*_kcols(r))
-    if running:
-        w = w.orderBy("poll_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return w
-
-
-def _i(c: Column) -> Column:
-    return c.cast("int")
+def _turns(r: PollRules) -> list[str]:
+    return list(r.keys) + ["_turn"]
 
 
-def processed_polls(polls: DataFrame, r: PollRules) -> DataFrame:
-    """Polls the collector actually reads, per status policy (poll-level)."""
-    bad = F.coalesce(F.col("status") != 200, F.lit(True))
-    if r.require_total_results:
-        bad = bad | (F.coalesce(F.col("total_results"), F.lit(0)) <= 0)
-    p = polls.select(*_pkeys(r), bad.alias("_bad"))
-    if r.status_policy == "none":
-        return p.select(*_pkeys(r))
-    if r.status_policy == "skip":
-        return p.where(~F.col("_bad")).select(*_pkeys(r))
-    first_bad = F.min(F.when(F.col("_bad"), F.col("poll_no"))).over(Window.partitionBy(*_kcols(r)))
-    return (p.withColumn("_first_bad", first_bad)
-             .where(F.col("_first_bad").isNull() | (F.col("poll_no") < F.col("_first_bad")))
-             .select(*_pkeys(r)))
-
+# ---------------------------------------------------------------------------
+# the rules one by one
 
 def truncate_on_failure(rows: DataFrame, failed: Column, r: PollRules) -> DataFrame:
     """Drop every row at or after the first failed extraction of its poll."""
     rows = rows.withColumn("_failed", failed)
-    ff = (rows.where("_failed").groupBy(*_pkeys(r)).agg(F.min("pos").alias("_first_fail")))
-    out = rows.join(ff, _pkeys(r), "left")
-    return out.where(F.col("_first_fail").isNull() | (F.col("pos") < F.col("_first_fail"))) \
-              .drop("_first_fail", "_failed")
-
-
-def mark_first_seen(rows: DataFrame, eligible: Column, r: PollRules) -> DataFrame:
-    """``_is_new`` = first eligible row of its (key, publish date) in
-    arrival order. NULL dates form one group, as a Python set would."""
-    rows = rows.withColumn("_elig", eligible)
-    gk = _kcols(r) + list(r.date_keys)
-    first = (rows.where("_elig").groupBy(*[F.col(k).alias(f"_g_{k}") for k in gk])
-                 .agg(F.min(F.struct("poll_no", "pos")).alias("_first")))
-    cond = None
-    for k in gk:
-        c = rows[k].eqNullSafe(first[f"_g_{k}"])
-        cond = c if cond is None else cond & c
-    j = rows.join(first, cond, "left")
-    is_new = F.col("_elig") & (F.col("_first.poll_no") == F.col("poll_no")) & (F.col("_first.pos") == F.col("pos"))
-    return j.withColumn("_is_new", F.coalesce(is_new, F.lit(False))) \
-            .drop("_first", *[f"_g_{k}" for k in gk])
+    first = rows.where("_failed").groupBy(*_pkeys(r)).agg(F.min("pos").alias("_first_fail"))
+    return (rows.join(first, _pkeys(r), "left")
+                .where(F.col("_first_fail").isNull() | (F.col("pos") < F.col("_first_fail")))
+                .drop("_first_fail", "_failed"))
+
+
+def first_seen(rows: DataFrame, r: PollRules = STD) -> DataFrame:
+    """The first row of each (key, publish date) in arrival order. NULL
+    dates form one group. ``row_number() = 1`` plans as a group limit: a task
+    keeps one row per date before the only shuffle."""
+    w = Window.partitionBy(*r.keys, *r.date_keys).orderBy("poll_no", "pos")
+    return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+
+
+# ---------------------------------------------------------------------------
+# frames
+
+def read_polls(articles: DataFrame, polls: DataFrame, r: PollRules) -> DataFrame:
+    """Polls the collector reads, with their turn, policy and W1 position."""
+    own = {c: F.col(c) if c in polls.columns else F.lit(getattr(r, c))
+           for c in ("null_policy", "stop_variant", "status_policy")}
+    bad = F.coalesce(F.col("status") != 200, F.lit(True))
+    if "stop_variant" in polls.columns:
+        needs_total = F.col("stop_variant") == "trailing_repeat"
+    else:
+        needs_total = F.lit(r.require_total_results)
+    if "total_results" in polls.columns:
+        bad = bad | (needs_total & (F.coalesce("total_results", F.lit(0)) <= 0))
+    run = Window.partitionBy(*r.keys)
+    stops = F.min(F.when(F.col("_bad") & (F.col("status_policy") == "stop"), F.col("poll_no"))).over(run)
+    p = (polls.select(*_pkeys(r), *(c.alias(n) for n, c in own.items()), bad.alias("_bad"))
+              .withColumn("_stops", stops)
+              .where((F.col("status_policy") == "none") | ~F.col("_bad"))
+              .where((F.col("status_policy") != "stop") | F.col("_stops").isNull() | (F.col("poll_no") < F.col("_stops")))
+              .withColumn("_turn", F.row_number().over(run.orderBy("poll_no")))
+              .select(*_turns(r), "poll_no", "null_policy", "stop_variant"))
+    failed = (articles.where(F.col(r.content).isNull()).groupBy(*_pkeys(r))
+                      .agg(F.min("pos").alias("_first_fail")))
+    return p.join(failed, _pkeys(r), "left")
+
+
+def surviving_rows(articles: DataFrame, polls: DataFrame, r: PollRules) -> DataFrame:
+    """Narrow rows of the polls that are read, after W1: keys, turn, position,
+    dates, eligibility (W8) and stop variant."""
+    content = F.col(r.content)
+    narrow = articles.select(*_pkeys(r), "pos", *r.date_keys, truthy(content).alias("_truthy"),
+                             truthy(F.col(r.cleaned) if r.cleaned else content).alias("_clean_ok"))
+    policy = F.col("null_policy")
+    whole = (~policy.isin("truncate", "truncate_skip_empty") | F.col("_first_fail").isNull()
+             | (F.col("pos") < F.col("_first_fail")))
+    return (narrow.join(polls, _pkeys(r))
+                  .where(whole & ((policy != "truncate_skip_empty") | F.col("_clean_ok")))
+                  .select(*_turns(r), F.col("pos").cast("long").alias("pos"), *r.date_keys,
+                          (~policy.isin("skip_falsy", "as_dup") | F.col("_truthy")).alias("_elig"), "stop_variant"))
+
+
+def new_rows(rows: DataFrame, r: PollRules) -> DataFrame:
+    """W2 on narrow rows: (keys, turn, pos) of the first eligible row per date."""
+    number = F.shiftleft(F.col("_turn").cast("long"), POS_BITS) + F.col("pos")
+    first = rows.where("_elig").groupBy(*r.keys, *r.date_keys).agg(F.min(number).alias("_n"))
+    return first.select(*r.keys, F.shiftright("_n", POS_BITS).cast("int").alias("_turn"),
+                        F.col("_n").bitwiseAND((1 << POS_BITS) - 1).alias("pos"))
+
+
+def poll_counts(polls: DataFrame, rows: DataFrame, new: DataFrame, r: PollRules) -> DataFrame:
+    """One row per poll with all its counters, polls without rows included."""
+    none = F.lit(None)
+    parts = (polls.select(*_turns(r), "poll_no", "null_policy", "stop_variant", F.lit(0).alias("row"),
+                          F.lit(0).alias("elig"), none.cast("long").alias("at"))
+             .unionByName(rows.select(*_turns(r), F.lit(1).alias("row"), F.col("_elig").cast("int").alias("elig")),
+                          allowMissingColumns=True)
+             .unionByName(new.select(*_turns(r), F.col("pos").alias("at")), allowMissingColumns=True))
+    f = parts.groupBy(*_turns(r)).agg(
+        F.max("poll_no").alias("poll_no"), F.max("null_policy").alias("null_policy"),
+        F.max("stop_variant").alias("stop_variant"), F.coalesce(F.sum("row"), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.sum("elig"), F.lit(0)).alias("_n_elig"), F.count("at").alias("n_new"),
+        F.min("at").alias("_first_new"), F.max("at").alias("_last_new"))
+    counted = F.when(F.col("null_policy") == "skip_falsy", F.col("_n_elig")).otherwise(F.col("n_rows"))
+    return f.withColumn("n_dup", counted - F.col("n_new"))
+
+
+def _row_counters(f: DataFrame, rows: DataFrame, r: PollRules, variants) -> DataFrame:
+    """What W5 and W6 need from rows, joined to the poll frame.
+
+    W6: rows after the last new one. W5: positions of falsy bodies before the
+    first new article; more than the threshold per poll cannot matter, so a
+    group limit keeps that many.
+    """
+    marks = f.select(*_turns(r), "_first_new", "_last_new")
+    if "trailing_repeat" in variants:
+        trail = (rows.where("stop_variant = 'trailing_repeat'").join(marks, _turns(r))
+                     .where("pos > _last_new").groupBy(*_turns(r)).agg(F.count(F.lit(1)).alias("_trail")))
+        f = f.join(trail, _turns(r), "left").fillna(0, subset=["_trail"])
+    if "inpage" in variants:
+        w = Window.partitionBy(*_turns(r)).orderBy("pos")
+        flagged = (rows.where("stop_variant = 'inpage' and not _elig").join(marks, _turns(r))
+                       .where("_first_new is null or pos < _first_new")
+                       .withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= r.max_no_growth)
+                       .groupBy(*_turns(r)).agg(F.sort_array(F.collect_list("pos")).alias("_flags")))
+        f = f.join(flagged, _turns(r), "left").withColumn("_n_flag", F.coalesce(F.size("_flags"), F.lit(0)))
+    return f
+
+
+def stop_rules(f: DataFrame, r: PollRules, variants) -> DataFrame:
+    """W4-W7 over the polls of a run: running counters, ``stop``, and the polls
+    kept with the position before which their rows count (NULL: all)."""
+    run = Window.partitionBy(*r.keys)
+    so_far = run.orderBy("_turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    variant = F.col("stop_variant")
+    f = (f.withColumn("cum_dups", F.sum("n_dup").over(so_far))
+          .withColumn("cum_no_growth", F.sum((F.col("n_new") == 0).cast("int")).over(so_far)))
+    stop = ((F.col("cum_dups") > r.max_dups)
+            | ((variant != "inpage") & (F.col("cum_no_growth") >= r.max_no_growth)))
+    if "trailing_repeat" in variants:
+        # repeats since the last new row = rows so far - rows up to it
+        f = f.withColumn("_rows", F.sum("n_rows").over(so_far))
+        upto = F.max(F.when(F.col("n_new") > 0, F.col("_rows") - F.col("_trail"))).over(so_far)
+        f = f.withColumn("_rep", F.col("_rows") - F.coalesce(upto, F.lit(0)))
+        stop = stop | ((variant == "trailing_repeat") & (F.col("_rep") == r.rep_stop))
+    f = f.withColumn("stop", stop)
+    last = F.min(F.when(F.col("stop"), F.col("_turn"))).over(run)
+    limit = F.lit(None).cast("long")
+    if "cap" in variants:
+        # tested before a poll: the poll that meets a full collection is not made
+        held = F.coalesce(F.sum("n_new").over(run.orderBy("_turn").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        f = f.withColumn("_full", (variant == "cap") & (held >= r.cap))
+        last = F.least(last, F.min(F.when(F.col("_full"), F.col("_turn") - 1)).over(run))
+    if "inpage" in variants:
+        f = f.withColumn("_cum_flag", F.sum("_n_flag").over(so_far))
+        f = f.withColumn("_ends", F.min(F.when((variant == "inpage") & (F.col("_cum_flag") >= r.max_no_growth),
+                                               F.col("_turn"))).over(run))
+        last = F.least(last, F.col("_ends"))
+        nth = F.lit(r.max_no_growth) - (F.col("_cum_flag") - F.col("_n_flag"))
+        limit = F.when(F.col("_turn") == F.col("_ends"), F.get("_flags", (nth - 1).cast("int")))
+    return f.withColumn("_last", last).withColumn("_limit", limit)
 
 
 # ---------------------------------------------------------------------------
 # the operator
 
-def _prepare(articles: DataFrame, polls: DataFrame, r: PollRules, materialize: bool = True):
-    """Rows the loop processes, narrowed to keys, order and flags, with
-    ``_elig``, ``_is_new`` and ``_dup``.
+def _frames(articles: DataFrame, polls: DataFrame, r: PollRules, materialize: bool, variants):
+    cut = cut_lineage if materialize else (lambda df: df)
+    p = cut(read_polls(articles, polls, r))  # poll-level: read by the rows and the counters
+    rows = cut(surviving_rows(articles, p, r))  # narrow: read by W2 and the counters
+    new = new_rows(rows, r)
+    f = poll_counts(p, rows, new, r)
+    if {"inpage", "trailing_repeat"} & set(variants):
+        new, f = cut(new), cut(f)
+        f = _row_counters(f, rows, r, variants)
+    return new, stop_rules(f, r, variants)
 
-    The payload (title, body, ...) never enters these joins; the marked
-    narrow rows are checkpointed once (shared checkpoint folder), so the
-    poll statistics below read them instead of re-deriving the lineage.
-    """
-    pp = processed_polls(polls, r)
-    if materialize and CHECKPOINT_POLLS:
-        pp = cut_lineage(pp)
-    content = F.col(r.content)
-    cl = F.col(r.cleaned) if r.cleaned else content
-    narrow = articles.select(*_pkeys(r), "pos", *r.date_keys,
-                             content.isNull().alias("_null"), truthy(content).alias("_truthy"),
-                             truthy(cl).alias("_clean_ok"))
-    rows = narrow.join(pp, _pkeys(r), "left_semi")
-    pol = r.null_policy
-    if pol in ("truncate", "truncate_skip_empty"):
-        rows = truncate_on_failure(rows, F.col("_null"), r)
-    if pol == "truncate_skip_empty":
-        rows = rows.where(F.col("_clean_ok"))
-    eligible = F.col("_truthy") if pol in ("skip_falsy", "as_dup") else F.lit(True)
-    rows = mark_first_seen(rows, eligible, r)
-    dup = (F.col("_elig") & ~F.col("_is_new")) if pol == "skip_falsy" else ~F.col("_is_new")
-    rows = rows.select(*_pkeys(r), "pos", "_elig", "_is_new", dup.alias("_dup"))
-    if materialize:
-        rows = cut_lineage(rows)
-    return pp, rows
-
-
-def _poll_counts(pp: DataFrame, rows: DataFrame, r: PollRules) -> DataFrame:
-    """Per processed poll: rows, new, duplicates (zero-row polls kept)."""
-    agg = rows.groupBy(*_pkeys(r)).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.sum(_i(F.col("_is_new"))).alias("n_new"),
-        F.sum(_i(F.col("_dup"))).alias("n_dup"),
-        F.max(F.when(F.col("_is_new"), F.col("pos"))).alias("_last_new_pos"),
-        F.min(F.when(F.col("_is_new"), F.col("pos"))).alias("_first_new_pos"),
-    )
-    p = pp.join(agg, _pkeys(r), "left")
-    return p.fillna(0, subset=["n_rows", "n_new", "n_dup"])
-
-
-def poll_report(articles: DataFrame, polls: DataFrame, r: PollRules = STD,
-                materialize: bool = True) -> DataFrame:
-    """W3 (+W4 counters): per processed poll, new and duplicate counts and
-    the running counters the stop rule reads, plus the ``stop`` flag."""
-    pp, rows = _prepare(articles, polls, r, materialize)
-    p = _poll_counts(pp, rows, r)
-    w = _poll_window(r)
-    p = (p.withColumn("cum_dups", F.sum("n_dup").over(w))
-          .withColumn("cum_no_growth", F.sum(_i(F.col("n_new") == 0)).over(w)))
-    return p.withColumn("stop", (F.col("cum_no_growth") >= r.max_no_growth) | (F.col("cum_dups") > r.max_dups)) \
-            .drop("_last_new_pos", "_first_new_pos")
-
-
-def accept_articles(articles: DataFrame, polls: DataFrame, r: PollRules = STD,
-                    materialize: bool = True) -> DataFrame:
-    """The articles a fetch run collects, in the columns of ``articles``.
 
-    ``articles`` holds (keys..., poll_no, pos, publishdate, content, ...);
-    ``polls`` holds (keys..., poll_no, status[, total_results]) with one row
-    per poll, zero-article polls included.
-    """
-    pp, rows = _prepare(articles, polls, r, materialize)
-    p = _poll_counts(pp, rows, r)
-    if materialize and CHECKPOINT_POLL_COUNTS:  # poll-level rows read by several branches
-        p = cut_lineage(p)
-    w = _poll_window(r)
-    whole = Window.partitionBy(*_kcols(r))
-    stop_cond = F.col("cum_dups") > r.max_dups
-    limit_pos = F.lit(None).cast("long")
-
-    if r.stop_variant != "inpage":
-        p = p.withColumn("cum_no_growth", F.sum(_i(F.col("n_new") == 0)).over(w))
-        stop_cond = stop_cond | (F.col("cum_no_growth") >= r.max_no_growth)
-    p = p.withColumn("cum_dups", F.sum("n_dup").over(w))
-
-    if r.stop_variant == "trailing_repeat":
-        p = _with_trailing_repeat(p, rows, r)
-        stop_cond = stop_cond | (F.col("_rep") == r.rep_stop)
-
-    if r.stop_variant == "cap":
-        # the loop tests the total *before* each poll: stop before poll p
-        before = F.coalesce(F.sum("n_new").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        p = p.withColumn("_cap_hit", before >= r.cap)
-        first_cap = F.min(F.when(F.col("_cap_hit"), F.col("poll_no"))).over(whole)
-        p = p.withColumn("_first_cap", first_cap).where(
-            F.col("_first_cap").isNull() | (F.col("poll_no") < F.col("_first_cap")))
-
-    p = p.withColumn("_stop_poll", F.min(F.when(stop_cond, F.col("poll_no"))).over(whole))
-    keep = F.col("_stop_poll").isNull() | (F.col("poll_no") <= F.col("_stop_poll"))
-
-    if r.stop_variant == "inpage":
-        p, limit_pos = _with_inpage_stop(p, rows, r)
-        keep = keep & (F.col("_inpage_poll").isNull() | (F.col("poll_no") <= F.col("_inpage_poll")))
-
-    kept = p.where(keep).select(*_pkeys(r), limit_pos.alias("_limit_pos"))
-    acc = rows.where("_is_new").join(kept, _pkeys(r), "inner")
-    acc = acc.where(F.col("_limit_pos").isNull() | (F.col("pos") < F.col("_limit_pos")))
-    # payload back for the accepted rows only; (keys, poll_no, pos) is unique
-    return articles.join(acc.select(*_pkeys(r), "pos"), _pkeys(r) + ["pos"], "left_semi")
+def poll_report(articles: DataFrame, polls: DataFrame, r: PollRules = STD, materialize: bool = True) -> DataFrame:
+    """W3 (+W4 counters): per poll that is read, new and duplicate counts, the
+    running counters the stop rule reads, and the ``stop`` flag."""
+    _, f = _frames(articles, polls, r, materialize, ())
+    return f.select(*_pkeys(r), "n_rows", "n_new", "n_dup", "cum_dups", "cum_no_growth", "stop")
 
 
-def _with_trailing_repeat(p: DataFrame, rows: DataFrame, r: PollRules) -> DataFrame:
-    """``rep`` = duplicates since the last new row, at the end of each poll.
+def accept_articles(articles: DataFrame, polls: DataFrame, r: PollRules = STD, materialize: bool = True) -> DataFrame:
+    """The articles a fetch run collects, in the columns of ``articles``.
 
-    rep(p) = S(p) - M(p): S is the running count of processed rows, M the
-    global index of the latest new row so far (0 if none).
+    ``articles`` holds (keys..., poll_no, pos, publishdate, content, ...);
+    ``polls`` holds (keys..., poll_no, status[, total_results][, policy
+    columns]) with one row per poll, zero-article polls included.
     """
-    last = p.select(*_pkeys(r), "_last_new_pos").where(F.col("_last_new_pos").isNotNull())
-    trail = (rows.join(last, _pkeys(r), "inner")
-                 .where(F.col("pos") > F.col("_last_new_pos"))
-                 .groupBy(*_pkeys(r)).agg(F.count(F.lit(1)).alias("_trail")))
-    w = _poll_window(r)
-    p = p.join(trail, _pkeys(r), "left").fillna(0, subset=["_trail"])
-    p = p.withColumn("_S", F.sum("n_rows").over(w))
-    m = F.when(F.col("n_new") > 0, F.col("_S") - F.col("_trail"))
-    p = p.withColumn("_M", F.coalesce(F.max(m).over(w), F.lit(0)))
-    return p.withColumn("_rep", F.col("_S") - F.col("_M"))
-
-
-def _with_inpage_stop(p: DataFrame, rows: DataFrame, r: PollRules):
-    """A falsy body seen before the first new article of its poll adds 1
-    to a run-wide counter; reaching the threshold ends the run at that row."""
-    fnp = p.select(*_pkeys(r), "_first_new_pos")
-    flagged = (rows.where(~F.col("_elig")).join(fnp, _pkeys(r), "inner")
-                   .where(F.col("_first_new_pos").isNull() | (F.col("pos") < F.col("_first_new_pos")))
+    variants = VARIANTS if "stop_variant" in polls.columns else (r.stop_variant,)
+    new, f = _frames(articles, polls, r, materialize, variants)
+    kept = f.where(F.col("_last").isNull() | (F.col("_turn") <= F.col("_last"))).select(*_turns(r), "poll_no", "_limit")
+    accepted = (new.join(kept, _turns(r)).where("_limit is null or pos < _limit")
                    .select(*_pkeys(r), "pos"))
-    nflag = flagged.groupBy(*_pkeys(r)).agg(F.count(F.lit(1)).alias("_nflag"))
-    w = _poll_window(r)
-    p = p.join(nflag, _pkeys(r), "left").fillna(0, subset=["_nflag"])
-    p = p.withColumn("_cum_flag", F.sum("_nflag").over(w))
-    reach = F.col("_cum_flag") >= r.max_no_growth
-    p = p.withColumn("_inpage_poll", F.min(F.when(reach, F.col("poll_no"))).over(Window.partitionBy(*_kcols(r))))
-    # k-th flagged row of the stopping poll, k = threshold - flags before it
-    stop_polls = (p.where(F.col("poll_no") == F.col("_inpage_poll"))
-                   .select(*_pkeys(r), (F.lit(r.max_no_growth) - (F.col("_cum_flag") - F.col("_nflag"))).alias("_k")))
-    rn = F.row_number().over(Window.partitionBy(*_pkeys(r)).orderBy("pos"))
-    kth = (flagged.join(stop_polls.select(*_pkeys(r)), _pkeys(r), "left_semi")
-                  .withColumn("_rn", rn).where(F.col("_rn") <= r.max_no_growth)
-                  .join(stop_polls, _pkeys(r), "inner").where(F.col("_rn") == F.col("_k"))
-                  .select(*_pkeys(r), F.col("pos").cast("long").alias("_stop_pos")))
-    p = p.join(kth, _pkeys(r), "left")
-    return p, F.col("_stop_pos")
+    # payload back for the accepted rows only; (keys, poll_no, pos) is unique
+    return articles.join(accepted, _pkeys(r) + ["pos"], "left_semi")

@@ -44,11 +44,14 @@ def pair_logits_udf(factory: Callable[[], Callable[[list, list], np.ndarray]]):
     return _score
 
 
-def with_entailment(qa: DataFrame, logits: Column | None = None) -> DataFrame:
-    """V5r: add ``Entailment`` = softmax(logits)[0] per row."""
+def with_entailment(qa: DataFrame, logits: Column | str) -> DataFrame:
+    """V5r: add ``Entailment`` = softmax(logits)[0] per row. ``logits`` is a column
+    (``pair_logits_udf``), or ``"lengths"`` for the stand-in."""
     from ..session import ship_package
     ship_package(qa.sparkSession)
-    lg = logits if logits is not None else stub_pair_logits(F.col("question"), F.col("answer"))
+    if logits is None or (isinstance(logits, str) and logits != "lengths"):
+        raise ValueError("name a pair scorer: a column, or 'lengths' for the stand-in")
+    lg = stub_pair_logits(F.col("question"), F.col("answer")) if isinstance(logits, str) else logits
     # logits land in their own column first: an injected (Python) scorer may
     # not sit inside the higher-order functions of the native softmax
     return qa.withColumn("_logits", lg).withColumn("Entailment", softmax_at(F.col("_logits"), 0)).drop("_logits")

@@ -1,66 +1,89 @@
 """V1, V3, V4, K0, SC10, SC11, A2, A3: vector search and collection scans.
 
-Exact nearest neighbours without a Cartesian product: the query set is a
-bounded side (its byte size is checked), shipped to the executors as a
-broadcast matrix; each task scans its points partition batch by batch with
-one numpy matmul per Arrow batch and keeps a running top-k per query, so a
-task emits at most ``k`` rows per query. The global top-k is then a
-``row_number() <= k`` per query (WindowGroupLimit keeps it a partial top-k
-before the shuffle). Queries beyond the broadcast budget are processed in
-blocks, one scan per block.
+Exact nearest neighbours without a Cartesian product and without a collect:
+queries are packed into blocks of bounded bytes, points into chunks, both as
+rows holding one matrix. Every chunk meets every block through an equi-join on
+(width, block, salt); Spark broadcasts the blocks when they are small by its own
+size check, and the salt spreads them where they are not. A task scores a chunk
+against slices of a block, keeps a running top-k per query and emits at most
+``k`` rows per query and flush; ``row_number() <= k`` per query finishes (a
+partial top-k before the shuffle). Payload columns are joined to the winners.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut_lineage, ship_package
 
-# Largest query matrix shipped to every task (bytes of float64).
-MAX_QUERY_BYTES = 64 * 1024 * 1024
+# Bytes of one query block's matrix, and of one slice of scores in a task.
+BLOCK_BYTES = 8 * 1024 * 1024
+SCORE_BYTES = 32 * 1024 * 1024
+CHUNK_ROWS = 2048
+# Running candidates a task holds before it passes them on.
+HELD_ROWS = 1_000_000
 
 
-def _unit_rows(m):
-    n = np.linalg.norm(m, axis=1, keepdims=True)
-    return np.where(n > 0, m / np.where(n > 0, n, 1), 0.0)
+def scorable(vec, metric: str = "cosine") -> Column:
+    """A vector that can be scored: not empty, no NULL or non-finite value, and
+    for cosine (V4) not zero. Others have no similarity and are left out."""
+    v = F.col(vec) if isinstance(vec, str) else vec
+    ok = (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    if metric == "cosine":
+        ok = ok & F.exists(v, lambda x: x != 0)
+    return F.coalesce(ok, F.lit(False))
 
 
-def _topk_partition(bq, k, id_col, vec_col, metric, payload):
-    """Task body: ``bq`` is the broadcast ``(query_ids, query_matrix)``,
-    read on the executor (never captured in the closure)."""
+def _best(cols, ids, scores, k):
+    """At most ``k`` entries per query column, best score first, ties by id."""
+    rank = np.empty(len(ids), dtype=np.int64)
+    rank[np.argsort(ids, kind="stable")] = np.arange(len(ids))
+    order = np.lexsort((rank, -scores, cols))
+    cols = cols[order]
+    first = np.flatnonzero(np.append(True, cols[1:] != cols[:-1]))
+    place = np.arange(len(cols)) - np.repeat(first, np.diff(np.append(first, len(cols))))
+    keep = order[place < k]
+    return cols[place < k], ids[keep], scores[keep]
 
+
+def _unit_rows(m):
+    return m / np.linalg.norm(m, axis=1, keepdims=True)
+
+
+def _score_blocks(k, metric):
     def run(it):
-        qids, qmat = bq.value
-        qn = _unit_rows(qmat) if metric == "cosine" else qmat
-        best = None  # running candidates: DataFrame(query_idx, id, score, payload...)
+        held: dict = {}  # block -> (its query ids, columns, ids, scores)
+
+        def emit():
+            for qids, cols, ids, scores in held.values():
+                yield pd.DataFrame({"query_id": qids[cols], "id": ids, "score": scores})
+            held.clear()
+
         for pdf in it:
-            if pdf.empty:
-                continue
-            vecs = pdf[vec_col].to_numpy()
-            X = np.vstack([np.asarray(v, dtype=np.float64) for v in vecs])
-            if metric == "cosine":
-                X = _unit_rows(X)
-            S = X @ qn.T  # (rows, queries)
-            kk = min(k, S.shape[0])
-            # candidates: all rows scoring at least the k-th best (ties kept)
-            part = np.partition(S, S.shape[0] - kk, axis=0)[S.shape[0] - kk]
-            rows, cols = np.nonzero(S >= part[None, :])
-            cand = pd.DataFrame({"_q": cols, "_id": pdf[id_col].to_numpy()[rows], "score": S[rows, cols]})
-            for c in payload:
-                cand[c] = pdf[c].to_numpy()[rows]
-            best = cand if best is None else pd.concat([best, cand], ignore_index=True)
-            best = (best.sort_values(["_q", "score", "_id"], ascending=[True, False, True])
-                        .groupby("_q", sort=False).head(k))
-        if best is not None and not best.empty:
-            out = best.rename(columns={"_id": id_col})
-            out.insert(0, "query_id", np.asarray(qids, dtype=object)[out["_q"].to_numpy()])
-            yield out.drop(columns=["_q"])
+            for row in pdf.itertuples(index=False):
+                x = np.frombuffer(row.mat).reshape(-1, row.dim)
+                q = np.frombuffer(row.qmat).reshape(-1, row.dim)
+                ids, qids = np.asarray(row.ids), np.asarray(row.qids)
+                if metric == "cosine":
+                    x, q = _unit_rows(x), _unit_rows(q)
+                kk, step = min(k, len(x)), max(1, SCORE_BYTES // (8 * len(x)))
+                for at in range(0, len(q), step):
+                    s = x @ q[at:at + step].T
+                    low = np.partition(s, len(x) - kk, axis=0)[len(x) - kk]
+                    r, c = np.nonzero(s >= low[None, :])  # ties kept
+                    c2, i2, s2 = c + at, ids[r], s[r, c]
+                    key = (row.dim, row.qb)
+                    if key in held:
+                        _, c0, i0, s0 = held[key]
+                        c2, i2, s2 = np.concatenate([c0, c2]), np.concatenate([i0, i2]), np.concatenate([s0, s2])
+                    held[key] = (qids, *_best(c2, i2, s2, k))
+                if sum(len(h[1]) for h in held.values()) > HELD_ROWS:
+                    yield from emit()
+        yield from emit()
 
     return run
 
@@ -68,50 +91,69 @@ def _topk_partition(bq, k, id_col, vec_col, metric, payload):
 def topk_search(points: DataFrame, queries: DataFrame, k: int, id_col: str = "point_id",
                 vec_col: str = "embedding", qid_col: str = "query_id", qvec_col: str = "embedding",
                 metric: str = "cosine", payload: list[str] | None = None,
-                max_query_bytes: int = MAX_QUERY_BYTES) -> DataFrame:
+                block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """V3 / K0: the ``k`` best points per query, best first, ties by id.
 
-    Returns ``query_id, rank, <id_col>, score, <payload...>``.
+    Returns ``query_id, rank, <id_col>, score, <payload...>``. Point ids are
+    unique. Vectors that cannot be scored (``scorable``), or whose width is not
+    the query's, are in no result.
     """
-    payload = list(payload or [])
+    payload = [c for c in payload or [] if c != id_col]
     spark = points.sparkSession
     ship_package(spark)
-    qsel = queries.select(F.col(qid_col).alias("query_id"), F.col(qvec_col).alias("qvec"))
-    # the query side is derived once (it may itself be an aggregate over the
-    # points, e.g. centroids); the size checks and collects read that copy
-    qsel = cut_lineage(qsel)
-    n_q = qsel.count()
-    if n_q == 0:
-        raise ValueError("no queries")
-    dim = qsel.select(F.max(F.size("qvec"))).first()[0]
-    n_blocks = max(1, math.ceil(n_q * dim * 8 / max_query_bytes))
-
-    id_type = points.schema[id_col].dataType
-    out_schema = T.StructType(
-        [T.StructField("query_id", qsel.schema["query_id"].dataType), T.StructField(id_col, id_type),
-         T.StructField("score", T.DoubleType())] + [points.schema[c] for c in payload])
-    pts = points.select(id_col, vec_col, *payload)
-    results = []
-    for b in range(n_blocks):
-        blk = qsel if n_blocks == 1 else qsel.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == b)
-        rows = blk.collect()  # bounded: at most max_query_bytes of vectors
-        if not rows:
-            continue
-        qids = [r["query_id"] for r in rows]
-        qmat = np.vstack([np.asarray(r["qvec"], dtype=np.float64) for r in rows])
-        bq = spark.sparkContext.broadcast((qids, qmat))
-        fn = _topk_partition(bq, k, id_col, vec_col, metric, payload)
-        results.append(pts.mapInPandas(fn, out_schema))
-    cand = results[0]
-    for r in results[1:]:
-        cand = cand.unionByName(r)
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(id_col).asc())
-    ranked = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    qsel = queries.select(F.col(qid_col).alias("query_id"), F.col(qvec_col).cast("array<double>").alias("v"))
+    # the query side is derived once (it may itself be an aggregate over the points)
+    qsel = cut_lineage(qsel.where(scorable("v", metric)).withColumn("dim", F.size("v")))
+    n_q, widest = qsel.agg(F.count(F.lit(1)), F.coalesce(F.max("dim"), F.lit(1))).first()
+    n_blocks = max(1, -(-n_q * widest * 8 // block_bytes))
+    salts = spark.sparkContext.defaultParallelism
+
+    def typed(field, t):
+        return T.StructField(field, t)
+
+    id_type, qid_type = points.schema[id_col].dataType, qsel.schema["query_id"].dataType
+    block_schema = T.StructType([typed("dim", T.IntegerType()), typed("qb", T.LongType()),
+                                 typed("qids", T.ArrayType(qid_type)), typed("qmat", T.BinaryType())])
+    chunk_schema = T.StructType([typed("dim", T.IntegerType()), typed("salt", T.IntegerType()),
+                                 typed("ids", T.ArrayType(id_type)), typed("mat", T.BinaryType())])
+
+    def block(pdf):
+        return pd.DataFrame({"dim": pdf["dim"].iloc[:1], "qb": pdf["qb"].iloc[:1], "qids": [pdf["query_id"].tolist()],
+                             "qmat": [np.stack(pdf["v"]).astype(np.float64).tobytes()]})
+
+    def chunk(it):
+        n = 0
+        for pdf in it:
+            for dim, own in pdf.groupby("dim"):
+                for at in range(0, len(own), CHUNK_ROWS):
+                    part = own.iloc[at:at + CHUNK_ROWS]
+                    n += 1
+                    yield pd.DataFrame({"dim": [dim], "salt": [n % salts], "ids": [part["id"].tolist()],
+                                        "mat": [np.stack(part["v"]).astype(np.float64).tobytes()]})
+
+    blocks = (qsel.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)))
+                  .groupBy("dim", "qb").applyInPandas(block, block_schema))
+    blocks = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    pts = points.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
+    chunks = (pts.where(scorable("v", metric)).withColumn("dim", F.size("v")).mapInPandas(chunk, chunk_schema)
+                 .withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long")))))
+    pairs = chunks.join(blocks, ["dim", "qb", "salt"]).select("dim", "qb", "ids", "mat", "qids", "qmat")
+    out = T.StructType([typed("query_id", qid_type), typed("id", id_type), typed("score", T.DoubleType())])
+    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id").asc())
+    ranked = (pairs.mapInPandas(_score_blocks(k, metric), out)
+                   .withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+                   .select("query_id", "rank", F.col("id").alias(id_col), "score"))
+    if payload:
+        ranked = ranked.join(points.select(id_col, *payload), id_col)
     return ranked.select("query_id", "rank", id_col, "score", *payload)
 
 
+# Groups a task sums before it passes its partial sums on.
+MAX_GROUPS = 50_000
+
+
 def centroids(points: DataFrame, group_col: str, vec_col: str = "embedding",
-              mask: F.Column | None = None) -> DataFrame:
+              mask: Column | None = None) -> DataFrame:
     """V1 over rows: masked mean of the vectors of each group, clamped
     denominator (M3), in long form ``(group, dim, value)``.
 
@@ -128,6 +170,12 @@ def centroids(points: DataFrame, group_col: str, vec_col: str = "embedding",
     part_schema = T.StructType([T.StructField("_g", gtype), T.StructField("_sum", T.ArrayType(T.DoubleType())),
                                 T.StructField("_msum", T.DoubleType())])
 
+    def partials(acc):
+        out = pd.DataFrame({"_g": list(acc.keys()), "_sum": [v[0] for v in acc.values()],
+                            "_msum": [v[1] for v in acc.values()]})
+        acc.clear()
+        return out
+
     def partial(it):
         acc: dict = {}
         for pdf in it:
@@ -143,9 +191,10 @@ def centroids(points: DataFrame, group_col: str, vec_col: str = "embedding",
                     acc[key][1] += ms
                 else:
                     acc[key] = [s_, ms]
+            if len(acc) > MAX_GROUPS:  # many small groups (one per chunk): pass them on
+                yield partials(acc)
         if acc:
-            yield pd.DataFrame({"_g": list(acc.keys()), "_sum": [v[0] for v in acc.values()],
-                                "_msum": [v[1] for v in acc.values()]})
+            yield partials(acc)
 
     parts = src.mapInPandas(partial, part_schema)
     ex = parts.select("_g", "_msum", F.posexplode("_sum").alias("dim", "_s"))
@@ -169,10 +218,10 @@ def scroll(points: DataFrame, source_col: str, source, id_col: str = "point_id",
     p = points.where(F.col(source_col) == source)
     if offset is not None:
         p = p.where(F.col(id_col) >= offset)
-    page = p.orderBy(id_col).limit(limit + 1)
-    nxt = page.select(F.when(F.count(F.lit(1)) > limit, F.max(id_col))).scalar()
-    return (page.withColumn("next_offset", nxt)
-                .where(F.col("next_offset").isNull() | (F.col(id_col) < F.col("next_offset"))))
+    # one scan: the windows run over the limit + 1 rows of the page
+    page = p.orderBy(id_col).limit(limit + 1).withColumn("_rn", F.row_number().over(Window.orderBy(id_col)))
+    after = F.max(F.when(F.col("_rn") > limit, F.col(id_col))).over(Window.partitionBy())
+    return page.withColumn("next_offset", after).where(F.col("_rn") <= limit).drop("_rn")
 
 
 def iter_pages(points: DataFrame, source_col: str, source, id_col: str = "point_id", limit: int = 300):
@@ -181,7 +230,7 @@ def iter_pages(points: DataFrame, source_col: str, source, id_col: str = "point_
     job; only the next offset (one scalar) comes back to the driver."""
     offset = None
     while True:
-        page = scroll(points, source_col, source, id_col=id_col, limit=limit, offset=offset)
+        page = cut_lineage(scroll(points, source_col, source, id_col=id_col, limit=limit, offset=offset))
         yield page.drop("next_offset")
         nxt = page.select(F.max("next_offset")).first()[0]
         if nxt is None:

@@ -1,19 +1,20 @@
 """Entry point A as one lazy plan up to the points write.
 
-read polls -> explode (SC1/SC2) -> registry join (J2) -> page lookup per
-distinct url (J1) -> extract (X*) -> clean (T6) -> arrival-order rules per
-source policy (W1-W8) -> chunk (C1) -> embed (V2) -> append points (K1)
--> counts from what was written (A1-A4, K3-K5).
-
-The embedded batch is checkpointed into the shared checkpoint folder before
-the write, so the write and the counts read one materialised batch (no
-second extraction pass, and no re-evaluation against the updated table).
+read polls -> explode (SC1/SC2/SC3) -> request settings and registry (J2, SP1,
+SP7) -> page lookup per distinct url (J1) -> extract (X*) -> clean (T6) ->
+arrival-order rules, every source's policy in one pass (W1-W8) -> chunk (C1)
+-> embed (V2) -> append points (K1) -> counts from what was written (A1-A4,
+K3-K5).
+
+The batch of new points is checkpointed into the shared checkpoint folder
+before the write, so the write and the counts read one materialised batch (no
+second extraction pass, and no re-evaluation against the updated table). The
+stream (``streaming/ingest.py``) runs the same steps on what has landed so far.
 """
 
 from __future__ import annotations
 
 import os
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,85 +26,127 @@ from ..operators import extract as X
 from ..operators import ingest as J
 from ..operators import metrics as M
 from ..operators import order
-from ..session import cut_lineage
+from ..session import cut_lineage, ship_package
 from ..sources import envelopes, registry, sinks
 
+POLICY = ["rule_id", "null_policy", "stop_variant", "status_policy", "page_size", "window_days", "strict"]
+
+
+def landed(raw: DataFrame, shape: str = "newsapi") -> tuple[DataFrame, DataFrame]:
+    """(stubs, polls) of landed answers: stubs ``run_id, source, poll_no, pos, title,
+    url, publishdate, inline``; polls with ``no_list`` (200 without the articles key)."""
+    if shape == "guardian":
+        stubs = envelopes.guardian_articles(raw).withColumnRenamed("content", "inline")
+    else:
+        stubs = envelopes.newsapi_articles(raw).withColumn("inline", F.lit(None).cast("string"))
+    return stubs.drop("status"), envelopes.poll_table(raw, shape)
+
+
+def with_policy(polls: DataFrame, sources: DataFrame) -> DataFrame:
+    """Polls of sources that are run, with their settings. A source the registry
+    lists as inactive is not run; one it does not list runs under the plain
+    settings and the default rule."""
+    reg = sources.select(F.col("label").alias("source"), "active", *POLICY)
+    plain = {"rule_id": registry.DEFAULT_RULE, "null_policy": "truncate", "stop_variant": "std",
+             "status_policy": "stop", "page_size": registry.DEFAULT_REQUEST["page_size"], "strict": False}
+    listed = F.col("active").isNotNull()
+    out = J.attach_registry(polls, reg, label_col="source").where(F.coalesce("active", F.lit(True)))
+    settings = {c: F.when(listed, F.col(c)).otherwise(F.lit(v)) for c, v in plain.items()}
+    settings["window_days"] = F.when(listed, F.col("window_days")).otherwise(F.lit(registry.DEFAULT_REQUEST["window_days"]))
+    return out.withColumns(settings).drop("active")
+
+
+def requested(stubs: DataFrame, polls: DataFrame, run_date: str | None) -> DataFrame:
+    """Stubs of ``polls`` as the source's request asks for them: its page size (SP7)
+    and, with a run date, its window of publish days (SP1; undated stubs stay)."""
+    out = stubs.join(polls.select("run_id", "source", "poll_no", "rule_id", "page_size", "window_days"),
+                     ["run_id", "source", "poll_no"]).where("pos < page_size")
+    if run_date is not None:
+        day = F.to_date(F.try_to_timestamp("publishdate"))
+        until = F.to_date(F.lit(run_date))
+        inside = (day >= F.date_sub(until, F.col("window_days"))) & (day <= until)
+        out = out.where(F.col("window_days").isNull() | F.coalesce(inside, F.lit(True)))
+    return out.drop("page_size", "window_days")
+
+
+def with_bodies(stubs: DataFrame, pages: DataFrame) -> DataFrame:
+    """Stubs with ``raw`` (inline, or extracted from the page) and ``cleaned``. The
+    same page polled again is parsed once: bodies are made per (url, rule)."""
+    todo = J.lookup_pages(stubs.where("inline is null").select("url", "rule_id").distinct(), pages)
+    bodies = (X.extract_bodies(todo, registry.RULES, status_col="page_status")
+               .select("url", "rule_id", F.col("content").alias("body"), "extract_error"))
+    out = stubs.join(bodies, ["url", "rule_id"], "left")
+    raw = F.when((F.col("rule_id") == "X0") | F.col("inline").isNotNull(), F.col("inline")).otherwise(F.col("body"))
+    return out.withColumn("raw", raw).withColumn("cleaned", tx.remove_tags("raw")).drop("body", "inline")
+
+
+def accept(arts: DataFrame, polls: DataFrame) -> DataFrame:
+    """The articles a run keeps, all policies in one pass."""
+    out = order.accept_articles(arts, polls, order.PollRules(content="raw", cleaned="cleaned"))
+    return out.select("run_id", "source", "poll_no", "pos", "title", "url", "publishdate",
+                      F.col("cleaned").alias("content"))
+
 
 def collect_articles(spark: SparkSession, polls_raw: DataFrame, pages: DataFrame,
-                     guardian_raw: DataFrame | None = None, sources: DataFrame | None = None) -> DataFrame:
+                     guardian_raw: DataFrame | None = None, sources: DataFrame | None = None,
+                     run_date: str | None = None) -> DataFrame:
     """Accepted articles of one run: ``run_id, source, poll_no, pos, title,
     url, publishdate, content`` (content = cleaned body)."""
+    return _collect(spark, polls_raw, pages, guardian_raw, sources, run_date)[0]
+
+
+def _collect(spark, polls_raw, pages, guardian_raw=None, sources=None, run_date=None):
+    """(accepted articles, polls that were read, polls set aside)."""
+    ship_package(spark)
     sources = sources if sources is not None else registry.sources_df(spark, active_only=False)
-    reg = sources.select(F.col("label").alias("source"), "rule_id", "null_policy", "stop_variant", "status_policy")
-    polls = envelopes.poll_table(polls_raw)
+    stubs, polls = landed(polls_raw)
     if guardian_raw is not None:
-        polls = polls.unionByName(envelopes.poll_table(guardian_raw, "guardian"))
-    # one policy row per polled source: registry settings, else the standard
-    # rules (a source missing from the registry is still processed, not dropped)
-    pol = (polls.select("source").distinct().join(J.small_side(reg), "source", "left")
-                .select("source", "rule_id",
-                        F.coalesce("null_policy", F.lit("truncate")).alias("null_policy"),
-                        F.coalesce("stop_variant", F.lit("std")).alias("stop_variant"),
-                        F.coalesce("status_policy", F.lit("stop")).alias("status_policy")))
-    pol = cut_lineage(pol)  # bounded by the number of sources
-    arts = envelopes.newsapi_articles(polls_raw).drop("status")
-    arts = J.attach_registry(arts, pol, on="source", label_col="source")
-
-    # extract once per distinct (url, rule): the same page polled again is parsed once
-    pg = J.dedupe_pages(pages.select("url", "status", "html"))
-    todo = arts.select("url", "rule_id").distinct().join(pg, "url", "left")
-    bodies = X.extract_bodies(todo, registry.RULES) \
-              .select("url", "rule_id", F.col("content").alias("raw"), "extract_error")
-    arts = arts.join(bodies, ["url", "rule_id"], "left")
+        g_stubs, g_polls = landed(guardian_raw, "guardian")
+        stubs, polls = stubs.unionByName(g_stubs), polls.unionByName(g_polls)
+    polls = cut_lineage(with_policy(polls, sources))  # one row per API call
+    aside = polls.where("strict and no_list")  # SC3: an answer without its list is set aside
+    polls = polls.where("not (strict and no_list)")
+    # extracted and cleaned once; the order rules and the payload join read this copy
+    arts = cut_lineage(with_bodies(requested(stubs, polls, run_date), pages))
+    return accept(arts, polls), polls, aside
 
-    if guardian_raw is not None:
-        g = envelopes.guardian_articles(guardian_raw).drop("status").withColumnRenamed("content", "raw")
-        g = J.attach_registry(g, pol, on="source", label_col="source")
-        arts = arts.unionByName(g.withColumn("extract_error", F.lit(None).cast("string")), allowMissingColumns=True)
-    arts = arts.withColumn("cleaned", tx.remove_tags("raw"))
-
-    # Materialise the extracted, cleaned stubs once (reliable checkpoint in
-    # the shared folder); every policy branch below reads that, not the
-    # extraction lineage.
-    arts = cut_lineage(arts)
-    pcols = ["null_policy", "stop_variant", "status_policy"]
-    present = [tuple(r) for r in pol.select(*pcols).distinct().collect()]  # <= registry policies
-    out = None
-    for nullp, stop, status in present:
-        sel = (F.col("null_policy") == nullp) & (F.col("stop_variant") == stop) & (F.col("status_policy") == status)
-        a = arts.where(sel)
-        srcs = pol.where(sel).select("source")
-        p = polls.join(J.small_side(srcs), "source", "left_semi")
-        r = order.PollRules(null_policy=nullp, stop_variant=stop, status_policy=status,
-                            require_total_results=(stop == "trailing_repeat"),
-                            content="raw", cleaned="cleaned")
-        acc = order.accept_articles(a, p, r)
-        out = acc if out is None else out.unionByName(acc)
-    if out is None:
-        out = arts.limit(0)
-    return out.select("run_id", "source", "poll_no", "pos", "title", "url", "publishdate",
-                      F.col("cleaned").alias("content"))
+
+def to_points(arts: DataFrame, embedder, budget: int = ch.DEFAULT_BUDGET, counter=None) -> DataFrame:
+    """Chunks of accepted articles (word mode, or ``counter``: a factory of a token
+    counter) with their vectors."""
+    keep = ["source", "title", "publishdate"]
+    if counter is None:
+        chunks = ch.word_chunks(arts.select(*keep, "content"), "content", keep=keep, budget=budget)
+    else:
+        cut = arts.select(*keep, ch.token_chunk_udf(budget, counter)(F.col("content")).alias("_chunks"))
+        chunks = ch.explode_chunks(cut, F.col("_chunks"), keep)
+    return EM.embed_column(chunks, "content", EM.resolve(embedder))
 
 
 def run_ingest(spark: SparkSession, polls_raw: DataFrame, pages: DataFrame, run_date: str,
-               points_path: str, counts_root: str, embedder=partial(EM.hashing_embedder, 64),
+               points_path: str, counts_root: str, embedder=None,
                guardian_raw: DataFrame | None = None, budget: int = ch.DEFAULT_BUDGET,
-               id_mode: str = "content") -> dict:
-    """Run one ingest; returns the written frames (points batch and counts)."""
-    arts = collect_articles(spark, polls_raw, pages, guardian_raw)
-    chunks = ch.word_chunks(arts.select("source", "title", "publishdate", "content"), "content",
-                            keep=["source", "title", "publishdate"], budget=budget)
-    batch = sinks.with_point_id(EM.embed_column(chunks, "content", embedder), id_mode)
-    batch = cut_lineage(batch)
-    sinks.append_points(batch, points_path, id_mode)
+               id_mode: str = "content", counter=None, sources: DataFrame | None = None) -> dict:
+    """Run one ingest; returns the written frames (new points, daily counts) and the
+    polls set aside for their missing list."""
+    EM.resolve(embedder)  # before any work
+    sources = sources if sources is not None else registry.sources_df(spark, active_only=False)
+    arts, polls, aside = _collect(spark, polls_raw, pages, guardian_raw, sources, run_date)
+    batch = cut_lineage(sinks.with_point_id(to_points(arts, embedder, budget, counter), id_mode))
+    sinks.append_points(cut_lineage(sinks.unstored(batch, points_path, id_mode)), points_path)
 
+    # every source that is run reports, with 0 if it has nothing: the active ones of
+    # the registry, those polled, and those stored
     day = F.lit(run_date)
-    reg = registry.sources_df(spark).select("label")
-    daily = M.chunks_per_source(batch, reg).select(day.alias("date"), "source", F.col("nb_chunks").alias("count"))
-    stored = spark.read.parquet(points_path)
-    totals = M.points_per_source(stored).select(day.alias("date"), "source", F.col("n_points").alias("nb_article"))
-    vec = stored.agg(F.count(F.lit(1)).alias("vector_count")).select(day.alias("date"), "vector_count")
+    run = sources.where("active").select(F.col("label").alias("source")).union(polls.select("source")).distinct()
+    daily = (M.chunks_per_source(batch, run.withColumnRenamed("source", "label"))
+              .select(day.alias("date"), "source", F.col("nb_chunks").alias("count")))
+    stored = M.points_per_source(sinks.read_points(spark, points_path))
+    totals = (stored.join(run, "source", "full")
+                    .select(day.alias("date"), "source", F.coalesce("n_points", F.lit(0)).cast("long").alias("nb_article")))
+    totals = cut_lineage(totals)  # one row per source
+    vec = totals.agg(F.sum("nb_article").alias("vector_count")).select(day.alias("date"), "vector_count")
     sinks.upsert_counts(daily, os.path.join(counts_root, "daily_counts"), ["date", "source"])
     sinks.upsert_counts(totals, os.path.join(counts_root, "article_counts"), ["date", "source"])
     sinks.upsert_counts(vec, os.path.join(counts_root, "vector_counts"), ["date"])
-    return {"batch": batch, "daily": daily}
+    return {"batch": batch, "daily": daily, "set_aside": aside}

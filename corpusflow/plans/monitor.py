@@ -13,9 +13,10 @@ from ..sources import tables
 
 
 def views(spark: SparkSession, counts_root: str, day: str, source: str | None = None,
-          qa: DataFrame | None = None) -> dict[str, DataFrame]:
+          qa: DataFrame | None = None, scorer=None) -> dict[str, DataFrame]:
     """All dashboard views for ``day`` (and a chosen source); empty tables
-    give empty views (FL7: the caller shows "no data")."""
+    give empty views (FL7: the caller shows "no data"). A Q&A table without
+    stored scores needs a pair scorer."""
     vec = tables.read_count_table(spark, os.path.join(counts_root, "vector_counts"), "vector")
     tot = tables.read_count_table(spark, os.path.join(counts_root, "article_counts"), "total")
     daily = tables.read_count_table(spark, os.path.join(counts_root, "daily_counts"), "daily")
@@ -32,7 +33,7 @@ def views(spark: SparkSession, counts_root: str, day: str, source: str | None =
     if source is not None:
         out["source_over_time"] = M.source_over_time(tot, F.lit(source))  # Q8
     if qa is not None:
-        scored = qa if "Entailment" in qa.columns else QA.with_entailment(tables.read_qa(qa))
+        scored = qa if "Entailment" in qa.columns else QA.with_entailment(tables.read_qa(qa), scorer)
         out["qa_kpis"] = QA.kpis(scored)                              # Q9
         out["qa_table"] = QA.qa_table(scored)                         # Q10
     return out
@@ -44,7 +45,7 @@ def daily_on(spark: SparkSession, counts_root: str, day: str) -> DataFrame:
     return M.daily_on(daily, F.lit(day))
 
 
-def materialise_scores(qa: DataFrame, out_path: str, logits=None) -> DataFrame:
+def materialise_scores(qa: DataFrame, out_path: str, logits) -> DataFrame:
     """Score every Q&A row once (V5r) and store it, so views read the score
     instead of running the pair model on each render. Appends only rows not
     scored yet (keyed by question, answer, timestamp)."""

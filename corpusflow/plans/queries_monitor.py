@@ -16,7 +16,7 @@ from ..operators import chunk as ch
 from ..operators import metrics as M
 from ..operators import qa as QA
 from ..sources import sinks
-from ..session import cut_lineage, spread
+from ..session import cut_lineage
 from ..sources.tables import table
 from .catalog import query, sql_remove_tags, sql_word_tokens
 
@@ -35,8 +35,16 @@ def _daily(spark, sf):
     return M.daily_counts(ev, F.col("ts"))
 
 
-def _today(daily):
-    return daily.select(F.max("date")).scalar()
+def _points(spark, sf):
+    """Landed points and the day of the latest one (a scalar subquery)."""
+    ev = table(spark, sf, "events").select("ts", F.col("event_type").alias("source"))
+    return ev, ev.select(F.to_date(F.max("ts"))).scalar()
+
+
+def _before(day, days=0):
+    """Points that landed before ``day + days``: a range on the raw column, so it
+    reaches the scan."""
+    return F.col("ts") < F.date_add(day, days).cast("timestamp")
 
 
 @query("daily_counts", f"WITH {_D} SELECT date, source, count FROM d")
@@ -61,17 +69,22 @@ def totals_over_time(spark, sf):
 @query("total_today", f"""WITH {_D}, {_VEC}
 SELECT CAST(sum(vector_count) AS BIGINT) AS total FROM vec WHERE date = {_TODAY}""")
 def total_today(spark, sf):
-    """Q1 (FL1 + A5)."""
-    d = _daily(spark, sf)
-    return M.total_today(M.vector_totals(d), _today(d))
+    """Q1 (FL1 + A5): the collection's size on its latest day, one pass, no history."""
+    ev, today = _points(spark, sf)
+    vec = (ev.where(_before(today, 1)).agg(F.count(F.lit(1)).alias("vector_count"))
+             .withColumn("date", F.date_format(today, "yyyy-MM-dd")))
+    return M.total_today(vec, F.col("date"))
 
 
 @query("counts_today", f"""WITH {_D}, {_TOT}
 SELECT source, nb_article AS count FROM tot WHERE date = {_TODAY}""")
 def counts_today(spark, sf):
     """Q2 / Q3: per-source totals of today, date dropped, renamed."""
-    d = _daily(spark, sf)
-    return M.counts_by_source_on(M.article_totals(d), _today(d))
+    ev, today = _points(spark, sf)
+    per = (ev.where(_before(today, 1)).groupBy("source")
+             .agg(F.count(F.lit(1)).alias("nb_article"), F.count_if(~_before(today)).alias("_landed"))
+             .where("_landed > 0").select(F.date_format(today, "yyyy-MM-dd").alias("date"), "source", "nb_article"))
+    return M.counts_by_source_on(per, F.col("date"))
 
 
 @query("daily_on_date", f"""WITH {_D}
@@ -79,8 +92,9 @@ SELECT date, source, count FROM d
 WHERE CAST(date AS DATE) = CAST({_TODAY} AS DATE) - INTERVAL 1 DAY""")
 def daily_on_date(spark, sf):
     """Q7 (FL2 + DT4): daily counts on a chosen date (the day before today)."""
-    d = _daily(spark, sf)
-    return M.daily_on(d, F.date_sub(F.to_date(_today(d)), 1))
+    ev, today = _points(spark, sf)
+    day = ev.where(_before(today) & ~_before(today, -1))
+    return M.daily_on(M.daily_counts(day, F.col("ts")), F.date_sub(today, 1))
 
 
 @query("source_over_time", f"""WITH {_D}, {_TOT}
@@ -189,7 +203,7 @@ SELECT upvotes, downvotes, round(avg_entailment, 6) AS avg_entailment, n_questio
 FROM k""")
 def qa_kpis(spark, sf):
     """Q9: accuracy (M1), mean entailment above 0.2 (FL4), questions, flags, levels (CA2)."""
-    k = QA.kpis(QA.with_entailment(qa_log(spark, sf)))
+    k = QA.kpis(QA.with_entailment(qa_log(spark, sf), "lengths"))
     return k.select("upvotes", "downvotes", F.round("avg_entailment", 6).alias("avg_entailment"),
                     "n_questions", "n_flags", F.round("accuracy", 6).alias("accuracy"),
                     "accuracy_level", "entailment_level", "flags_level")
@@ -202,21 +216,21 @@ SELECT conv_id, turn, substring(question, 1, 50) || '...' AS preview,
 FROM sc""")
 def qa_rows(spark, sf):
     """Q10 (V5r + CA1 + T8)."""
-    t = QA.qa_table(QA.with_entailment(qa_log(spark, sf)))
+    t = QA.qa_table(QA.with_entailment(qa_log(spark, sf), "lengths"))
     return t.select("conv_id", "turn", "preview", "state", F.round("Entailment", 6).alias("entailment"),
                     "upvote", "downvote", "flag")
 
 
 @query("softmax0", """
-SELECT vec_id, round(exp(l0 - m) / (exp(l0 - m) + exp(l1 - m) + exp(l2 - m)), 6) AS p0
-FROM (SELECT vec_id, l0, l1, l2, greatest(l0, l1, l2) AS m FROM (
-        SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS l0, CAST(embedding[2] AS DOUBLE) AS l1,
-               CAST(embedding[3] AS DOUBLE) AS l2 FROM embeddings))
+WITH l AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS l, generate_subscripts(embedding, 1) AS d FROM embeddings),
+m AS (SELECT vec_id, max(l) AS m FROM l GROUP BY vec_id)
+SELECT vec_id, round(sum(CASE WHEN d = 1 THEN exp(l - m) ELSE 0 END) / sum(exp(l - m)), 6) AS p0
+FROM l JOIN m USING (vec_id) GROUP BY vec_id
 """)
 def softmax0(spark, sf):
-    """M2: class-0 probability of the first three values taken as logits."""
+    """M2: class-0 probability of all values taken as logits."""
     e = table(spark, sf, "embeddings").select("vec_id", "embedding")
-    return e.select("vec_id", F.round(softmax_at(F.slice("embedding", 1, 3), 0), 6).alias("p0"))
+    return e.select("vec_id", F.round(softmax_at("embedding", 0), 6).alias("p0"))
 
 
 # --- K1 ------------------------------------------------------------------
@@ -232,7 +246,7 @@ FROM k
 """)
 def incremental_points(spark, sf):
     """K1: the same documents ingested twice; the second run adds no point."""
-    docs = spread(table(spark, sf, "documents").select("doc_id", "source", "text")).select(
+    docs = table(spark, sf, "documents").select("doc_id", "source", "text").select(
         "doc_id", "source", F.col("doc_id").cast("string").alias("title"),
         F.lit("").alias("publishdate"), tx.remove_tags("text").alias("content"))
     chunks = ch.word_chunks(docs, "content", keep=["doc_id", "source", "title", "publishdate"])

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..operators import chunk as ch
 from ..sources import envelopes
-from ..session import spread
 from ..sources.tables import table
 from .catalog import WS_SQL, query, sql_host, sql_remove_tags, sql_word_tokens
 
@@ -20,7 +19,7 @@ SELECT page_id, {sql_remove_tags('html')} AS text FROM pages
 """)
 def clean_pages(spark, sf):
     """Every landed page's html through the remove-tags chain."""
-    pages = spread(table(spark, sf, "pages").select("page_id", "html"))
+    pages = table(spark, sf, "pages").select("page_id", "html")
     return pages.select("page_id", tx.remove_tags("html").alias("text"))
 
 
@@ -38,7 +37,7 @@ def chunks_per_source(spark, sf):
     Counting ``size(chunks)`` per page and summing per source is one
     partial+final hash aggregate; sources with no chunk still appear (0).
     """
-    pages = spread(table(spark, sf, "pages").select("url", "html"))
+    pages = table(spark, sf, "pages").select("url", "html")
     per_page = pages.select(
         tx.host_of("url").alias("source"),
         ch.word_chunk_count(tx.remove_tags("html"), BUDGET).alias("n"))
@@ -55,7 +54,7 @@ FROM c
 def word_chunks(spark, sf):
     """C1 / AR1: every document cleaned (T6) and cut into chunks of at most
     512 words; chunk_idx dense, chunks concatenate back to the text."""
-    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    docs = table(spark, sf, "documents").select("doc_id", "text")
     docs = docs.select("doc_id", tx.remove_tags("text").alias("content"))
     return ch.word_chunks(docs, "content", keep=["doc_id"], budget=BUDGET)
 
@@ -78,10 +77,11 @@ def window_filter(spark, sf):
     """SP1 / DT1 / DT2: keep [run_date - 1 day, run_date]; run_date = latest landing day."""
     ev = table(spark, sf, "events")
     run_date = ev.select(F.to_date(F.max("ts"))).scalar()  # scalar subquery, no driver round trip
-    day = F.to_date("ts")
-    return (ev.where(day.between(F.date_sub(run_date, 1), run_date))
+    # a range on the raw column, so it reaches the scan
+    since, until = (F.date_add(run_date, k).cast("timestamp") for k in (-1, 1))
+    return (ev.where((F.col("ts") >= since) & (F.col("ts") < until))
             .select("event_id", F.col("event_type").alias("source"),
-                    F.date_format(day, "yyyy-MM-dd").alias("day")))
+                    F.date_format("ts", "yyyy-MM-dd").alias("day")))
 
 
 @query("envelope_parse", """
@@ -114,11 +114,12 @@ def page_lookup(spark, sf):
     gives NULL html (handled by the null policy). Status is 200 for every
     landed stand-in page, so FL5 passes them all.
     """
-    from ..operators import ingest
     docs = table(spark, sf, "documents").select("doc_id")
-    pages = ingest.dedupe_pages(table(spark, sf, "pages").select("page_id", "url", "html"), order_col="page_id")
+    # only the length travels, not the html
+    pages = (table(spark, sf, "pages").select("page_id", "url", F.length("html").alias("n_html"))
+             .groupBy("url").agg(F.min("page_id").alias("page_id"), F.min_by("n_html", "page_id").alias("n_html")))
     j = docs.join(pages, docs.doc_id == pages.page_id, "left")
-    return j.select("doc_id", "url", F.length("html").alias("n_html"), F.col("url").isNotNull().alias("has_page"))
+    return j.select("doc_id", "url", "n_html", F.col("url").isNotNull().alias("has_page"))
 
 
 # named references decoded like the tree builder: with ';', or without it
@@ -151,7 +152,7 @@ def extract_article(spark, sf):
     Tree selection in an Arrow UDF over each page, the rest native."""
     from ..operators import extract as X
     from ..sources import registry
-    pages = spread(table(spark, sf, "pages").select("page_id", "html")).withColumn("rule_id", F.lit("X14"))
+    pages = table(spark, sf, "pages").select("page_id", "html").withColumn("rule_id", F.lit("X14"))
     rules = {"X14": registry.RULES["X14"]}
     out = X.extract_bodies(pages, rules, status_col="_none")
     return out.select("page_id", "content")

@@ -8,13 +8,12 @@ from ..functions import text as tx
 from ..operators import chunk as ch
 from ..operators import embed as EM
 from ..operators import vectors as V
-from ..session import spread
 from ..sources.tables import table
 from .catalog import query, sql_remove_tags, sql_word_tokens
 
 TOP_K = 10
 SCROLL_SOURCE = 3
-SCROLL_PAGE = 300  # reference page size
+SCROLL_PAGE = 20  # below the smallest source, so that the page ends and an offset follows
 
 
 def _points(spark, sf):
@@ -40,7 +39,7 @@ def points_total(spark, sf):
     """A3 + A4: points before the run, chunks of this run (documents), and
     the vector count saved for the day."""
     before = V.count_points(_points(spark, sf))
-    docs = spread(table(spark, sf, "documents").select("text")).select(tx.remove_tags("text").alias("c"))
+    docs = table(spark, sf, "documents").select("text").select(tx.remove_tags("text").alias("c"))
     run = docs.select(F.sum(ch.word_chunk_count("c")).cast("bigint")).scalar()
     return before.select("n_points", run.alias("n_run_chunks"),
                          (F.col("n_points") + run).alias("vector_count"))
@@ -51,19 +50,20 @@ WITH s AS (SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) AS rn FROM
 SELECT vec_id, label, (SELECT vec_id FROM s WHERE rn = {SCROLL_PAGE + 1}) AS next_offset FROM s WHERE rn <= {SCROLL_PAGE}
 """)
 def scroll_source(spark, sf):
-    """SC10 / L1 / FL3: first page (300) of one source's points, next offset."""
+    """SC10 / L1 / FL3: first page of one source's points, next offset."""
     page = V.scroll(_points(spark, sf), "label", SCROLL_SOURCE, id_col="vec_id", limit=SCROLL_PAGE)
     return page.select("vec_id", "label", "next_offset")
 
 
 @query("mean_pool", """
-WITH u AS (SELECT label, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS dim FROM embeddings)
-SELECT label, CAST(dim AS INTEGER) AS dim, round(sum(CAST(v AS DOUBLE)) / greatest(count(*), 1e-9), 6) AS value
+WITH u AS (SELECT label, CASE WHEN vec_id % 3 <> 0 THEN 1 ELSE 0 END AS m, unnest(embedding) AS v,
+                  generate_subscripts(embedding, 1) - 1 AS dim FROM embeddings)
+SELECT label, CAST(dim AS INTEGER) AS dim, round(sum(CAST(v AS DOUBLE) * m) / greatest(sum(m), 1e-9), 6) AS value
 FROM u GROUP BY label, dim
 """)
 def mean_pool(spark, sf):
-    """V1 + M3: masked mean of each source's vectors (mask = real token)."""
-    c = V.centroids(_points(spark, sf), "label")
+    """V1 + M3: masked mean of each source's vectors (every third is padding)."""
+    c = V.centroids(_points(spark, sf), "label", mask=(F.col("vec_id") % 3 != 0).cast("int"))
     return c.select("label", "dim", F.round("value", 6).alias("value"))
 
 

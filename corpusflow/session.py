@@ -24,8 +24,6 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     # checkpoint files of lineage cuts are removed once no longer referenced
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-    # min/max/count answered from parquet footers where the plan allows it
-    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 
@@ -67,7 +65,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="corpusflow-ckpt-")
     sc.setCheckpointDir(d)
@@ -80,37 +78,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written tables."""
-    return os.path.join(checkpoint_dir(spark), name)
-
-
-# Inputs above this estimated size are never re-spread: they already come
-# in many splits, and a round-robin shuffle of them would cost far more than
-# it gains.
-SPREAD_MAX_BYTES = 1 << 30
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a small scan over all cores when it yields fewer partitions
-    than the default parallelism (e.g. one large row group) before CPU-heavy
-    per-row work (regex cleaning, HTML parsing, chunking).
-
-    A no-op for inputs whose estimated size exceeds ``SPREAD_MAX_BYTES``:
-    at scale the scan's own splits provide the parallelism.
-    """
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= par:
-        return df
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 -- no estimate: leave the plan as it is
-        return df
-    if size > SPREAD_MAX_BYTES:
-        return df
-    return df.repartition(par)
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the cluster's file system (HDFS, object
     stores, local), not the driver's local disk."""

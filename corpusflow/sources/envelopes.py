@@ -41,9 +41,12 @@ def read_polls_window(spark: SparkSession, root: str, run_date: str, days: int =
 
 
 def poll_table(raw: DataFrame, shape: str = "newsapi") -> DataFrame:
-    """One row per poll, zero-article polls included (needed by W4)."""
-    tr = F.col("totalResults") if shape != "guardian" else F.lit(None).cast("bigint")
-    return raw.select("run_id", "source", "poll_no", "status", tr.alias("total_results"))
+    """One row per poll, zero-article polls included (needed by W4); ``no_list``
+    marks an answer of 200 without its ``articles`` key (SC3)."""
+    tr, missing = F.lit(None).cast("bigint"), F.lit(False)
+    if shape != "guardian":
+        tr, missing = F.col("totalResults"), F.coalesce((F.col("status") == 200) & F.col("articles").isNull(), F.lit(False))
+    return raw.select("run_id", "source", "poll_no", "status", tr.alias("total_results"), missing.alias("no_list"))
 
 
 def newsapi_articles(raw: DataFrame) -> DataFrame:

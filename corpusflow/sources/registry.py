@@ -2,8 +2,7 @@
 
 One operator plus these rows replaces one hand-written fetcher and scraper
 per site: adding a site is adding a row. Both tables are small config
-(bounded by the number of configured sites) and are joined with a
-size-checked broadcast.
+(bounded by the number of configured sites); Spark broadcasts them by size.
 """
 
 from __future__ import annotations
@@ -31,7 +30,7 @@ _R = [
     dict(rule_id="X3", container=_sel("div", "xvlfx ZRifP TKoO eaKKC bOdfO"), text_mode="all", separator="\n",
          strip=True, collapse=True, status_policy="none"),
     dict(rule_id="X4", container=_sel("div", "LayoutContainer_container__jw05j Article_body__y7ykc"),
-         drops=[_sel("em")], text_mode="para", strip=False, joiner="\n", missing="empty", status_policy="lt400"),
+         para_drops=[_sel("em")], text_mode="para", strip=False, joiner="\n", missing="empty", status_policy="lt400"),
     dict(rule_id="X5", container=_sel("div", "article__content-container"),
          para=_sel("p", "paragraph inline-placeholder"), text_mode="para", strip=False, joiner="",
          status_policy="eq200"),
@@ -90,7 +89,7 @@ _R = [
 # ---------------------------------------------------------------------------
 
 _DEFAULTS = dict(container=None, container_all=False, inner=None, fallback=None, fallback_drop_last=0,
-                 drops=[], text_mode="para", para=P, strip=False, separator="", joiner="", suffix="",
+                 drops=[], para_drops=[], text_mode="para", para=P, strip=False, separator="", joiner="", suffix="",
                  drop_last=0, skip_if_contains=[], piece_deletes=[], literal_deletes=[], regex_deletes=[],
                  collapse=False, trim=False, missing="null", status_policy="eq200")
 
@@ -102,7 +101,7 @@ RULES_SCHEMA = T.StructType([
     T.StructField("rule_id", T.StringType()), T.StructField("container", _SEL_T),
     T.StructField("container_all", T.BooleanType()), T.StructField("inner", _SEL_T),
     T.StructField("fallback", _SEL_T), T.StructField("fallback_drop_last", T.IntegerType()),
-    T.StructField("drops", T.ArrayType(_SEL_T)), T.StructField("text_mode", T.StringType()),
+    T.StructField("drops", T.ArrayType(_SEL_T)), T.StructField("para_drops", T.ArrayType(_SEL_T)), T.StructField("text_mode", T.StringType()),
     T.StructField("para", _SEL_T), T.StructField("strip", T.BooleanType()),
     T.StructField("separator", T.StringType()), T.StructField("joiner", T.StringType()),
     T.StructField("suffix", T.StringType()), T.StructField("drop_last", T.IntegerType()),
@@ -152,14 +151,36 @@ _S = [
 ]
 # ---------------------------------------------------------------------------
 
+# Request settings. Page size 100, a window of one day and language en
+# unless listed; the topic asked for; GNews and CNN need the articles key.
+DEFAULT_REQUEST = {"page_size": 100, "window_days": 1, "lang": "en", "topic": None, "country": None, "sort": "popularity", "strict": False}
+REQUEST = {
+    "Guardian": {"page_size": 200, "sort": "newest"},
+    "Al Jazeera": {"topic": "general"},
+    "ABC": {"topic": "general"},
+    "CNN": {"strict": True},
+    "Fortune": {"topic": "business"},
+    "ABC AU": {"topic": "general", "window_days": None},
+    "Fox News": {"topic": "general"},
+    "sky sports": {"sort": "publishedAt"},
+    "GNews": {"country": "us", "strict": True},
+}
+# A source missing from the registry is fetched like the plain ones: all paragraphs of the page.
+DEFAULT_RULE = "X1"
+
 SOURCES_SCHEMA = T.StructType([
     T.StructField("label", T.StringType()), T.StructField("selector_kind", T.StringType()),
     T.StructField("selector", T.StringType()), T.StructField("rule_id", T.StringType()),
     T.StructField("null_policy", T.StringType()), T.StructField("stop_variant", T.StringType()),
     T.StructField("status_policy", T.StringType()), T.StructField("active", T.BooleanType()),
+    T.StructField("page_size", T.IntegerType()), T.StructField("window_days", T.IntegerType()),
+    T.StructField("lang", T.StringType()), T.StructField("topic", T.StringType()),
+    T.StructField("country", T.StringType()), T.StructField("sort", T.StringType()),
+    T.StructField("strict", T.BooleanType()),
 ])
 
 
 def sources_df(spark: SparkSession, active_only: bool = True) -> DataFrame:
-    df = spark.createDataFrame(_S, SOURCES_SCHEMA)
+    rows = [(*s, *(DEFAULT_REQUEST | REQUEST.get(s[0], {})).values()) for s in _S]
+    df = spark.createDataFrame(rows, SOURCES_SCHEMA)
     return df.where("active") if active_only else df

@@ -1,93 +1,154 @@
-"""ST1-ST3: incremental ingest with Structured Streaming.
-
-* ST1: ``readStream`` over the landing folder of poll answers (explicit
-  schema), trigger ``availableNow`` for the daily run.
-* ST2: first-seen per (source, publishdate) kept as streaming state with a
-  watermark of two days (the one-day overlap window of the API query plus
-  one day of slack): ``dropDuplicatesWithinWatermark``.
-* ST3: ``foreachBatch`` appends the batch's chunk points with content ids
-  (idempotent when a micro-batch is retried) and recomputes only the
-  touched (date, source) count keys from the points table (K3-K5).
-
-Exact W2 arrival-order parity needs the batch job (the stream keeps the
-first row *processed*); with landed polls in arrival order they agree.
+"""ST1-ST3: incremental ingest with Structured Streaming, for every source.
+
+* ST1: ``readStream`` over the landing folder of poll answers (explicit schema),
+  trigger ``availableNow`` for the daily run.
+* ST2: what has landed of a run is kept as narrow tables in a state folder, one
+  folder per micro-batch, written with overwrite: a retried batch replaces its
+  own. The arrival-order rules of the batch job run over the landed polls of the
+  runs this batch touches; they are causal, so what they accepted before stays
+  accepted, and polls may arrive in any file, batch or order. A poll whose
+  predecessor has not landed waits, and the gap is reported.
+* ST3: ``foreachBatch`` chunks, embeds and appends the newly accepted articles
+  with content ids, and adds the batch's own new points to the counts.
+
+State folder: ``rows`` (stubs with extracted bodies), ``polls``, ``accepted``
+(keys), ``added`` (new points per publish day and source), ``base`` (the same of
+a store that was there before), ``gaps`` (runs that wait for a missing poll).
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
-from ..functions import text as tx
 from ..operators import chunk as ch
-from ..operators import metrics as M
-from ..sources import envelopes, sinks
+from ..operators import embed as EM
+from ..plans import ingest as plan
+from ..session import cut_lineage, path_exists, ship_package
+from ..sources import registry, sinks
 
-WATERMARK = "2 days"
+RUN = ["run_id", "source"]
+POLL = RUN + ["poll_no"]
 
 
-def article_stream(spark: SparkSession, landing: str, shape: str = "guardian") -> DataFrame:
-    """ST1 + ST2: deduplicated article stubs as a streaming DataFrame."""
-    from ..session import ship_package
-    ship_package(spark)
-    schema = schemas.POLL_GUARDIAN if shape == "guardian" else schemas.POLL_NEWSAPI
-    raw = spark.readStream.schema(schema).json(landing)
-    arts = envelopes.guardian_articles(raw) if shape == "guardian" else envelopes.newsapi_articles(raw)
-    arts = arts.withColumn("ts", F.try_to_timestamp("publishdate"))
-    dated = (arts.where(F.col("ts").isNotNull())
-                 .withWatermark("ts", WATERMARK)
-                 .dropDuplicatesWithinWatermark(["source", "publishdate"]))
-    # rows without a parseable date have no event time for the watermark:
-    # they are kept (not dropped), outside the dedup state
-    undated = arts.where(F.col("ts").isNull())
-    return dated.unionByName(undated)
-
-
-def points_sink(points_path: str, counts_root: str, budget: int = ch.DEFAULT_BUDGET,
-                run_date: str | None = None):
-    """ST3: a ``foreachBatch`` function writing points and touched counts.
-
-    K5 daily counts are recomputed for the (date, source) keys the batch
-    touched; with ``run_date`` the collection totals of that day (K4 per
-    source, K3 overall) are upserted too, computed from the stored points.
+def landing_stream(spark: SparkSession, landing: str, shape: str = "newsapi", files_per_batch: int | None = None) -> DataFrame:
+    """ST1: landed poll answers as a streaming DataFrame."""
+    reader = spark.readStream.schema(schemas.POLL_GUARDIAN if shape == "guardian" else schemas.POLL_NEWSAPI)
+    raw = (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).json(landing)
+    return raw.withColumn("run_id", F.coalesce(F.col("run_id"), F.lit("")))
+
+
+def contiguous(polls: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(polls up to the first missing number of their run, runs that wait with the
+    number they wait for). Poll-level rows only."""
+    w = Window.partitionBy(*RUN).orderBy("poll_no")
+    placed = polls.withColumn("_place", F.row_number().over(w) - 1)
+    gap = F.min(F.when(F.col("poll_no") != F.col("_place"), F.col("_place"))).over(Window.partitionBy(*RUN))
+    placed = placed.withColumn("_gap", gap)
+    ready = placed.where("_gap is null or poll_no < _gap").drop("_place", "_gap")
+    waits = placed.where("_gap is not null").groupBy(*RUN).agg(F.min("_gap").alias("missing_poll"), F.max("poll_no").alias("last_landed"))
+    return ready, waits
+
+
+class State:
+    """Tables of the state folder, one sub-folder per micro-batch."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+
+    def path(self, name: str) -> str:
+        return os.path.join(self.root, name)
+
+    def put(self, name: str, df: DataFrame, epoch: int) -> None:
+        df.write.mode("overwrite").parquet(os.path.join(self.path(name), f"epoch={epoch}"))
+
+    def has(self, name: str, epoch: int | None = None) -> bool:
+        return path_exists(self.spark, self.path(name) if epoch is None else os.path.join(self.path(name), f"epoch={epoch}"))
+
+    def get(self, name: str, like: DataFrame, before: int | None = None) -> DataFrame:
+        """All batches of a table with the columns of ``like``, or those before one."""
+        if not self.has(name):
+            return like.limit(0)
+        schema = T.StructType([*like.schema.fields, T.StructField("epoch", T.LongType())])
+        t = self.spark.read.schema(schema).option("basePath", self.path(name)).parquet(self.path(name))
+        return (t if before is None else t.where(F.col("epoch") < before)).select(*like.columns)
+
+
+def points_sink(pages_path: str | None, points_path: str, counts_root: str, state_root: str, embedder,
+                shape: str = "newsapi", run_date: str | None = None, budget: int = ch.DEFAULT_BUDGET, counter=None):
+    """ST2 + ST3: a ``foreachBatch`` function from landed answers to points and counts.
+
+    Daily counts (K5) are keyed by publish day; with ``run_date`` that day's
+    collection totals (K4 per source, K3 overall) are upserted too.
     """
 
-    def run(batch: DataFrame, epoch_id: int) -> None:
-        arts = batch.select("source", "title", "publishdate", tx.remove_tags("content").alias("content"))
-        chunks = ch.word_chunks(arts, "content", keep=["source", "title", "publishdate"], budget=budget)
-        # day key of a point (NULL when the publish date does not parse: such
-        # points are stored and counted in the totals, not in a day's count)
-        day_of = F.date_format(F.try_to_timestamp(F.col("publishdate")), "yyyy-MM-dd")
-        pts = sinks.with_point_id(chunks.withColumn("date", day_of))
-        pts = pts.persist()
-        try:
-            sinks.append_points(pts.drop("date"), points_path)
-            touched = pts.select("date", "source").distinct()
-            stored = batch.sparkSession.read.parquet(points_path).withColumn("date", day_of)
-            daily = M.daily_counts(stored.join(touched, ["date", "source"], "left_semi"),
-                                   F.to_date("date"))
-            sinks.upsert_counts(daily, os.path.join(counts_root, "daily_counts"), ["date", "source"])
-            if run_date is not None:
-                day = F.lit(run_date)
-                totals = M.points_per_source(stored).select(day.alias("date"), "source",
-                                                            F.col("n_points").alias("nb_article"))
-                sinks.upsert_counts(totals, os.path.join(counts_root, "article_counts"), ["date", "source"])
-                vec = stored.agg(F.count(F.lit(1)).alias("vector_count")).select(day.alias("date"), "vector_count")
-                sinks.upsert_counts(vec, os.path.join(counts_root, "vector_counts"), ["date"])
-        finally:
-            pts.unpersist()
+    def run(raw: DataFrame, epoch: int) -> None:
+        spark = raw.sparkSession
+        state = State(spark, state_root)
+        sources = registry.sources_df(spark, active_only=False)
+        pages = (spark.read.parquet(pages_path).select("url", "status", "html") if pages_path
+                 else spark.createDataFrame([], schemas.PAGES))
+        raw = cut_lineage(raw)
+        stubs, polls = plan.landed(raw, shape)
+        # an answer that landed twice is one poll
+        polls = cut_lineage(plan.with_policy(polls, sources).where("not (strict and no_list)").dropDuplicates(POLL))
+        stubs = stubs.dropDuplicates([*POLL, "pos"])
+        rows = cut_lineage(plan.with_bodies(plan.requested(stubs, polls, run_date), pages))
+        state.put("polls", polls, epoch)
+        state.put("rows", rows, epoch)
+
+        touched = polls.select(*RUN).distinct()
+        known = state.get("polls", polls).join(touched, RUN, "left_semi").dropDuplicates(POLL)
+        ready, waits = contiguous(known)
+        waits.write.mode("overwrite").parquet(state.path("gaps"))
+        landed = state.get("rows", rows).join(touched, RUN, "left_semi").dropDuplicates([*POLL, "pos"])
+        accepted = cut_lineage(plan.accept(landed, ready))
+        keys = accepted.select(*POLL, "pos")
+        fresh = accepted.join(state.get("accepted", keys, before=epoch), [*POLL, "pos"], "left_anti")
+        state.put("accepted", fresh.select(*POLL, "pos"), epoch)
+
+        points = sinks.with_point_id(plan.to_points(fresh, embedder, budget, counter))
+        if not state.has("base"):
+            before = (sinks.read_points(spark, points_path).groupBy(*sinks.PARTITIONS).agg(F.count(F.lit(1)).alias("n"))
+                      if path_exists(spark, points_path) else spark.createDataFrame([], "source string, publishday string, n long"))
+            state.put("base", before, 0)
+        new = cut_lineage(sinks.unstored(points, points_path))
+        if not state.has("added", epoch):  # a retry keeps what the first try counted, before it stored
+            state.put("added", new.groupBy(*sinks.PARTITIONS).agg(F.count(F.lit(1)).alias("n")), epoch)
+        sinks.append_points(new, points_path)
+        counts(spark, state, counts_root, epoch, run_date)
 
     return run
 
 
-def start(spark: SparkSession, landing: str, points_path: str, counts_root: str, checkpoint: str,
-          shape: str = "guardian", run_date: str | None = None):
-    """Run the stream over what has landed (availableNow) and return the query."""
-    return (article_stream(spark, landing, shape).writeStream
-            .foreachBatch(points_sink(points_path, counts_root, run_date=run_date))
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start())
+def counts(spark: SparkSession, state: State, counts_root: str, epoch: int, run_date: str | None) -> None:
+    """K3-K5 from the batches' own additions; the store is not read."""
+    like = spark.createDataFrame([], "source string, publishday string, n long")
+    added = state.get("base", like).unionByName(state.get("added", like))
+    touched = spark.read.parquet(os.path.join(state.path("added"), f"epoch={epoch}")).select(*sinks.PARTITIONS).distinct()
+    per_day = added.groupBy(*sinks.PARTITIONS).agg(F.sum("n").alias("n"))
+    daily = (per_day.join(touched, sinks.PARTITIONS, "left_semi").where(F.col("publishday") != sinks.UNDATED)
+                    .select(F.col("publishday").alias("date"), "source", F.col("n").alias("count")))
+    sinks.upsert_counts(daily, os.path.join(counts_root, "daily_counts"), ["date", "source"])
+    if run_date is not None:
+        day = F.lit(run_date)
+        totals = added.groupBy("source").agg(F.sum("n").alias("nb_article")).select(day.alias("date"), "source", "nb_article")
+        sinks.upsert_counts(totals, os.path.join(counts_root, "article_counts"), ["date", "source"])
+        vec = added.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("vector_count")).select(day.alias("date"), "vector_count")
+        sinks.upsert_counts(vec, os.path.join(counts_root, "vector_counts"), ["date"])
+
+
+def start(spark: SparkSession, landing: str, points_path: str, counts_root: str, checkpoint: str, embedder,
+          shape: str = "newsapi", pages_path: str | None = None, run_date: str | None = None,
+          budget: int = ch.DEFAULT_BUDGET, counter=None, files_per_batch: int | None = None):
+    """Run the stream over what has landed (availableNow) and return the query. The
+    state tables live beside the stream's checkpoint."""
+    ship_package(spark)
+    EM.resolve(embedder)
+    sink = points_sink(pages_path, points_path, counts_root, os.path.join(checkpoint, "run-state"), embedder, shape, run_date, budget, counter)
+    return (landing_stream(spark, landing, shape, files_per_batch).writeStream.foreachBatch(sink).option("checkpointLocation", os.path.join(checkpoint, "stream"))
+            .trigger(availableNow=True).start())

@@ -75,7 +75,7 @@ def test_topk_equals_brute_force(spark):
                                 "point_id long, embedding array<float>, source int").repartition(5)
     qdf = spark.createDataFrame([(j, qs[j].tolist()) for j in range(4)], "query_id int, embedding array<double>")
     k = 7
-    got = V.topk_search(pdf, qdf, k, payload=["source"], max_query_bytes=100).collect()
+    got = V.topk_search(pdf, qdf, k, payload=["source"], block_bytes=100).collect()
     for j in range(4):
         scores = [(_cos(qs[j], pts[i].astype("float64")), i) for i in range(300)]
         scores = [(s, i) for s, i in scores if s is not None]
@@ -224,3 +224,33 @@ def test_iter_pages_walks_whole_source(spark):
     pages = [sorted(r.point_id for r in p.collect()) for p in V.iter_pages(df, "source", "a", limit=7)]
     assert [len(p) for p in pages] == [7, 7, 7, 7, 5]
     assert sum(pages, []) == [i for i in range(50) if i % 3]
+
+
+def test_unscorable_vectors_are_left_out(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(i, [float(i + 1), 1.0]) for i in range(20)] + [(100 + i, [nan, 1.0]) for i in range(40)]
+    rows += [(200, None), (201, [None, 1.0]), (202, [0.0, 0.0]), (203, [1.0]), (204, [inf, 1.0]), (205, [])]
+    pts = spark.createDataFrame(rows, "point_id long, embedding array<float>")
+    qs = spark.createDataFrame([(0, [1.0, 1.0]), (1, [0.0, 0.0]), (2, [nan, 1.0]), (3, None)], "query_id int, embedding array<double>")
+    for metric in ("cosine", "dot"):
+        got = V.topk_search(pts, qs, 5, metric=metric).collect()
+        best = sorted((r["rank"], r.point_id) for r in got if r.query_id == 0)
+        want = [19, 18, 17, 16, 15] if metric == "dot" else [0, 1, 2, 3, 4]
+        assert [p for _, p in best] == want
+        assert {r.query_id for r in got} == ({0} if metric == "cosine" else {0, 1})
+    assert V.topk_search(pts, qs.limit(0), 5).count() == 0
+    for r in pts.select(VF.cosine("embedding", "embedding").alias("c"), V.scorable("embedding").alias("s")).collect():
+        assert r.s == (r.c is not None and r.c == r.c)
+
+
+def test_many_queries_in_blocks(spark):
+    rng = np.random.default_rng(0)
+    p, q = rng.normal(size=(500, 6)), rng.normal(size=(300, 6))
+    pts = spark.createDataFrame([(f"p{i:03d}", p[i].tolist()) for i in range(500)], "point_id string, embedding array<double>")
+    qs = spark.createDataFrame([(i, q[i].tolist()) for i in range(300)], "query_id int, embedding array<double>")
+    got = V.topk_search(pts, qs, 3, metric="dot", block_bytes=2000).collect()
+    mine = {}
+    for r in sorted(got, key=lambda r: (r.query_id, r["rank"])):
+        mine.setdefault(r.query_id, []).append(int(r.point_id[1:]))
+    s = q @ p.T
+    assert all(mine[i] == np.argsort(-s[i], kind="stable")[:3].tolist() for i in range(300))

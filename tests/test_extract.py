@@ -127,3 +127,18 @@ def test_rule_pages(extracted, case):
     row = extracted[name]
     assert row.extract_error is None
     assert row.content == expected
+
+
+def test_last_of_a_repeated_attribute_counts():
+    root = X.parse('<div class="x" class="paywall">a</div>')
+    assert X.find(root, {"tag": "div", "cls": "paywall"}) is not None
+
+
+def test_cdata_is_text():
+    assert X.get_text(X.parse("<article>a<![CDATA[b]]>c</article>")) == "abc"
+
+
+def test_paragraph_inside_a_dropped_tag_is_kept():
+    from corpusflow.sources.registry import RULES
+    page = "<div class='LayoutContainer_container__jw05j Article_body__y7ykc'><em><p>kept <em>gone</em></p></em></div>"
+    assert X.select_pieces(page, RULES["X4"]) == (1, ["kept "])

@@ -5,11 +5,10 @@ import json
 import os
 import tempfile
 
-from pyspark.sql import functions as F
+import pytest
 
-from corpusflow import schemas
 from corpusflow.plans import ingest
-from corpusflow.sources import envelopes
+from corpusflow.sources import envelopes, registry
 from corpusflow.streaming import ingest as stream
 
 
@@ -62,7 +61,9 @@ def test_collect_and_run_ingest(spark):
                    ("CNN", "u4", "Delta"), ("CNN", "u7", "Zeta")]
 
     pts, counts = os.path.join(tmp, "points"), os.path.join(tmp, "counts")
-    ingest.run_ingest(spark, raw, pages, "2024-01-01", pts, counts)
+    with pytest.raises(ValueError, match="name an embedder"):
+        ingest.run_ingest(spark, raw, pages, "2024-01-01", pts, counts)
+    ingest.run_ingest(spark, raw, pages, "2024-01-01", pts, counts, "hashing")
     assert spark.read.parquet(pts).count() == 4
     daily = {(r.source, r["count"]) for r in spark.read.parquet(os.path.join(counts, "daily_counts")).collect()}
     assert ("ABC", 2) in daily and ("CNN", 2) in daily and ("BBC", 0) in daily
@@ -70,12 +71,13 @@ def test_collect_and_run_ingest(spark):
     assert [(r.date, r.vector_count) for r in vec] == [("2024-01-01", 4)]
 
     # re-run: content ids make the append idempotent; counts are replaced, not added
-    ingest.run_ingest(spark, raw, pages, "2024-01-01", pts, counts)
+    ingest.run_ingest(spark, raw, pages, "2024-01-01", pts, counts, "hashing")
     assert spark.read.parquet(pts).count() == 4
     vec = spark.read.parquet(os.path.join(counts, "vector_counts")).collect()
     assert [(r.date, r.vector_count) for r in vec] == [("2024-01-01", 4)]
-    tot = spark.read.parquet(os.path.join(counts, "article_counts")).where("source = 'ABC'").collect()
-    assert [r.nb_article for r in tot] == [2]
+    tot = {r.source: r.nb_article for r in spark.read.parquet(os.path.join(counts, "article_counts")).collect()}
+    active = {r.label for r in registry.sources_df(spark).collect()}
+    assert tot == dict.fromkeys(active, 0) | {"ABC": 2, "CNN": 2}  # a source without points reports 0
 
 
 def _guardian(poll_no, items):
@@ -84,35 +86,65 @@ def _guardian(poll_no, items):
                                      for d, h, b in items]}}
 
 
-def test_stream_equals_batch(spark):
-    tmp = tempfile.mkdtemp(prefix="cf-stream-")
-    land = os.path.join(tmp, "landing")
-    os.makedirs(land)
-    files = [
-        [_guardian(0, [("2024-01-01T10:00:00Z", "a", "<p>one</p>"), ("2024-01-01T11:00:00Z", "b", "two")])],
-        [_guardian(1, [("2024-01-01T10:00:00Z", "a", "<p>one</p>"), ("2024-01-02T09:00:00Z", "c", "three"),
-                       ("not a date", "d", "four")])],
-    ]
+def _land(folder, files):
+    os.makedirs(folder)
     for i, rows in enumerate(files):
-        with open(os.path.join(land, f"poll-{i}.json"), "w") as f:
+        with open(os.path.join(folder, f"poll-{i:03d}.json"), "w") as f:
             for r in rows:
                 f.write(json.dumps(r) + "\n")
-    pts, counts, ck = (os.path.join(tmp, x) for x in ("points", "counts", "ckpt"))
-    q = stream.start(spark, land, pts, counts, ck, run_date="2024-01-02")
-    assert q.awaitTermination(120)
+
+
+def test_guardian_stream(spark):
+    tmp = tempfile.mkdtemp(prefix="cf-stream-")
+    land, pts, counts, ck = (os.path.join(tmp, x) for x in ("landing", "points", "counts", "ckpt"))
+    _land(land, [
+        [_guardian(0, [("2024-01-01T10:00:00Z", "a", "<p>one</p>"), ("2024-01-01T11:00:00Z", "b", "two")])],
+        [_guardian(1, [("2024-01-01T10:00:00Z", "a", "<p>one</p>"), ("2024-01-02T09:00:00Z", "c", "three"),
+                       ("not a date", "d", "four")])]])
+    go = lambda: stream.start(spark, land, pts, counts, ck, "hashing", shape="guardian", run_date="2024-01-02", files_per_batch=1)
+    assert go().awaitTermination(240)
     stored = spark.read.parquet(pts)
     assert sorted(r.content for r in stored.collect()) == ["four", "one", "three", "two"]
-    daily = {(r.date, r.source, r["count"]) for r in spark.read.parquet(os.path.join(counts, "daily_counts")).collect()}
+    daily = {(str(r.date), r.source, r["count"]) for r in spark.read.parquet(os.path.join(counts, "daily_counts")).collect()}
     assert daily == {("2024-01-01", "Guardian", 2), ("2024-01-02", "Guardian", 1)}
-    vec = [(r.date, r.vector_count) for r in spark.read.parquet(os.path.join(counts, "vector_counts")).collect()]
+    vec = [(str(r.date), r.vector_count) for r in spark.read.parquet(os.path.join(counts, "vector_counts")).collect()]
     assert vec == [("2024-01-02", 4)]
 
-    # batch form of the same landing folder gives the same first-seen rows
-    raw = spark.read.schema(schemas.POLL_GUARDIAN).json(land)
-    b = envelopes.guardian_articles(raw)
-    from corpusflow.operators import order
-    firsts = order.mark_first_seen(b, F.lit(True), order.PollRules()).where("_is_new")
-    assert firsts.count() == 4
+
+def test_stream_equals_batch_for_page_sources(spark):
+    """Polls in reverse order of landing, two a batch; the same points as the batch job."""
+    tmp = tempfile.mkdtemp(prefix="cf-stream-")
+    land, pts, counts, ck = (os.path.join(tmp, x) for x in ("landing", "points", "counts", "ckpt"))
+    pages = spark.createDataFrame(PAGES, "url string, status int, html string")
+    pages.write.parquet(os.path.join(tmp, "pages"))
+    extra = dict(run_id="r1", source="Fox News", poll_no=1, status=200, totalResults=1, articles=[_stub("u3", "2024-01-01T10:00:00Z")])
+    _land(land, [[p] for p in POLLS[::-1]] + [[extra]])
+    q = stream.start(spark, land, pts, counts, ck, "hashing", pages_path=os.path.join(tmp, "pages"), run_date="2024-01-01", files_per_batch=2)
+    assert q.awaitTermination(240)
+    raw = envelopes.read_polls(spark, land)
+    ingest.run_ingest(spark, raw.where("source <> 'Fox News'"), pages, "2024-01-01", os.path.join(tmp, "p2"), os.path.join(tmp, "c2"), "hashing")
+    key = lambda path: sorted((r.point_id, r.content, len(r.embedding)) for r in spark.read.parquet(path).collect())
+    assert key(pts) == key(os.path.join(tmp, "p2")) and len(key(pts)) == 4
+    totals = {r.source: r.nb_article for r in spark.read.parquet(os.path.join(counts, "article_counts")).collect()}
+    assert totals == {"ABC": 2, "CNN": 2}
+    # the run that misses its first poll waits and is reported
+    gaps = [(r.source, r.missing_poll) for r in spark.read.parquet(os.path.join(ck, "run-state", "gaps")).collect()]
+    assert gaps == [("Fox News", 0)]
+    # streamed points can be searched
+    from corpusflow.plans import search
+    assert search.search_texts(spark, pts, ["Gamma"], k=1, embedder="hashing").first().content == "Gamma"
+
+
+def test_a_retried_batch_adds_nothing(spark):
+    tmp = tempfile.mkdtemp(prefix="cf-retry-")
+    land, pts, counts, state = (os.path.join(tmp, x) for x in ("landing", "points", "counts", "state"))
+    _land(land, [[_guardian(0, [("2024-01-01T10:00:00Z", "a", "one"), ("2024-01-01T11:00:00Z", "b", "two")])]])
+    raw = envelopes.read_polls(spark, land, shape="guardian")
+    sink = stream.points_sink(None, pts, counts, state, "hashing", "guardian", "2024-01-01")
+    for _ in range(2):
+        sink(raw, 0)
+    assert spark.read.parquet(pts).count() == 2
+    assert spark.read.parquet(os.path.join(counts, "vector_counts")).first().vector_count == 2
 
 
 def test_search_and_dashboard_after_ingest(spark):
@@ -122,13 +154,13 @@ def test_search_and_dashboard_after_ingest(spark):
     raw = envelopes.read_polls(spark, os.path.join(tmp, "polls"))
     pages = spark.createDataFrame(PAGES, "url string, status int, html string")
     pts, counts = os.path.join(tmp, "points"), os.path.join(tmp, "counts")
-    ingest.run_ingest(spark, raw, pages, "2024-01-01", pts, counts)
-    res = search.search_texts(spark, pts, ["Gamma", "Zeta"], k=2).collect()
+    ingest.run_ingest(spark, raw, pages, "2024-01-01", pts, counts, "hashing")
+    res = search.search_texts(spark, pts, ["Gamma", "Zeta"], k=2, embedder="hashing").collect()
     assert [r.content for r in res if r["rank"] == 1] == ["Gamma", "Zeta"]
     assert search.count_by_source(spark.read.parquet(pts), "ABC").first()["count"] == 2
     v = monitor.views(spark, counts, "2024-01-01", source="CNN")
     assert v["total_today"].first().total == 4
-    assert {(r.source, r["count"]) for r in v["counts_by_source_today"].collect()} == {("ABC", 2), ("CNN", 2)}
+    assert {(r.source, r["count"]) for r in v["counts_by_source_today"].collect() if r["count"]} == {("ABC", 2), ("CNN", 2)}
     assert [r.nb_article for r in v["source_over_time"].collect()] == [2]
     empty = monitor.views(spark, os.path.join(tmp, "nothing"), "2024-01-01")
     assert empty["total_today"].first().total is None and empty["daily_today"].count() == 0
@@ -156,8 +188,8 @@ def test_qa_scores_materialised_once(spark):
                                 ("q2", "a2", 0, 1, 1, None)],
                                "question string, answer string, upvote int, downvote int, flag int, timestamp timestamp")
     out = os.path.join(tmp, "qa_scored")
-    first = monitor.materialise_scores(qa, out).count()
-    again = monitor.materialise_scores(qa, out).count()  # nothing new to score
+    first = monitor.materialise_scores(qa, out, "lengths").count()
+    again = monitor.materialise_scores(qa, out, "lengths").count()  # nothing new to score
     assert first == again == 2
     v = monitor.views(spark, os.path.join(tmp, "counts"), "2024-01-01", qa=spark.read.parquet(out))
     k = v["qa_kpis"].first()
@@ -172,12 +204,18 @@ def test_cli_end_to_end(spark, capsys):
     spark.createDataFrame(PAGES, "url string, status int, html string").write.parquet(pages_path)
     pts, counts = os.path.join(tmp, "points"), os.path.join(tmp, "counts")
     cli.main(["ingest", "--polls", os.path.join(tmp, "polls"), "--pages", pages_path,
-              "--run-date", "2024-01-01", "--points", pts, "--counts", counts])
+              "--run-date", "2024-01-01", "--points", pts, "--counts", counts, "--embedder", "hashing"])
     assert spark.read.parquet(pts).count() == 4
-    cli.main(["search", "--points", pts, "--k", "1", "Gamma"])
-    cli.main(["dashboard", "--counts", counts, "--date", "2024-01-01", "--source", "ABC"])
+    cli.main(["search", "--points", pts, "--k", "1", "--embedder", "hashing", "Gamma"])
+    qa = os.path.join(tmp, "qa")
+    spark.createDataFrame([(f"q{i}", "a", 1, 0, 0, None) for i in range(60)],
+                          "question string, answer string, upvote int, downvote int, flag int, timestamp timestamp").write.parquet(qa)
+    cli.main(["dashboard", "--counts", counts, "--date", "2024-01-01", "--source", "ABC", "--qa", qa, "--scorer", "lengths"])
+    cli.main(["dashboard", "--counts", counts, "--date", "2024-01-01", "--out", os.path.join(tmp, "out")])
+    assert spark.read.parquet(os.path.join(tmp, "out", "totals_by_source")).count() == 24
     out = capsys.readouterr().out
     assert "Gamma" in out and "== total_today" in out and "== source_over_time" in out
+    assert out.count('"preview"') == 60  # every row, also beyond a screenful
 
 
 def test_unregistered_source_uses_standard_rules(spark):
@@ -191,3 +229,49 @@ def test_unregistered_source_uses_standard_rules(spark):
     pages = spark.createDataFrame(PAGES, "url string, status int, html string")
     got = sorted((r.source, r.title) for r in ingest.collect_articles(spark, raw, pages, guardian_raw=graw).collect())
     assert ("Some Blog", "a") in got and ("Some Blog", "dup") not in got
+
+
+def test_run_rules(spark):
+    """Unlisted sources run under the plain rules, inactive ones do not run, a strict
+    source's answer without its list is set aside, requests bound page and window."""
+    tmp = tempfile.mkdtemp(prefix="cf-rules-")
+    many = [_stub(f"m{i}", f"2024-01-01T{i // 60:02d}:{i % 60:02d}:00Z") for i in range(130)]
+    polls = [
+        dict(run_id="r", source="Unlisted", poll_no=0, status=200, totalResults=1, articles=[_stub("x", "2024-01-01T10:00:00Z")]),
+        dict(run_id="r", source="GNews", poll_no=0, status=200, totalResults=1, articles=[_stub("x", "2024-01-01T10:00:00Z")]),
+        dict(run_id="r", source="CNN", poll_no=0, status=200, totalResults=None, articles=None),
+        dict(run_id="r", source="CNN", poll_no=1, status=200, totalResults=1, articles=[_stub("u4", "2024-01-01T10:00:00Z")]),
+        dict(run_id="r", source="ABC", poll_no=0, status=200, totalResults=1,
+             articles=[_stub("u1", "2023-12-01T10:00:00Z"), _stub("u3", "2023-12-31T10:00:00Z")]),
+        dict(run_id="r", source="BBC", poll_no=0, status=200, totalResults=130, articles=many),
+    ]
+    _write_json(os.path.join(tmp, "polls"), polls)
+    raw = envelopes.read_polls(spark, os.path.join(tmp, "polls"))
+    rows = PAGES + [("x", 200, "<html><p>plain</p></html>")] + [(f"m{i}", 200, f"<p>body {i}</p>") for i in range(130)]
+    pages = spark.createDataFrame(rows, "url string, status int, html string")
+    counter = lambda: (lambda s: len(s.split()))
+    out = ingest.run_ingest(spark, raw, pages, "2024-01-01", os.path.join(tmp, "p"), os.path.join(tmp, "c"), "hashing:16", counter=counter)
+    points = spark.read.parquet(os.path.join(tmp, "p")).collect()
+    by = {}
+    for r in points:
+        by.setdefault(r.source, []).append(r.content)
+    assert by["Unlisted"] == ["plain"] and "GNews" not in by and by["CNN"] == ["Delta"] and by["ABC"] == ["Gamma"]
+    assert len(by["BBC"]) == 100 and all(len(r.embedding) == 16 for r in points)
+    daily = {r.source: r["count"] for r in out["daily"].collect()}
+    assert daily["Unlisted"] == 1 and daily["Wired"] == 0 and "GNews" not in daily
+    assert [(r.source, r.poll_no) for r in out["set_aside"].collect()] == [("CNN", 0)]
+
+
+def test_append_reads_only_the_batchs_folders(spark):
+    from corpusflow.sources import sinks
+    path = os.path.join(tempfile.mkdtemp(prefix="cf-store-"), "points")
+    sch = "source string, publishdate string, title string, chunk_idx int, content string"
+    first = sinks.with_point_id(spark.createDataFrame([("s", f"2024-01-0{d}T00:00:00Z", "t", 0, f"c{d}") for d in range(1, 6)]
+                                                      + [("s", None, "t", 0, "c"), ("s", "", "t", 0, "c")], sch))
+    sinks.append_points(sinks.unstored(first, path), path)
+    assert spark.read.parquet(path).count() == 7  # a missing date and an empty one are two contents
+    again = sinks.unstored(first.where("publishdate like '2024-01-03%'").unionByName(
+        sinks.with_point_id(spark.createDataFrame([("s", "2024-01-03T00:00:00Z", "t", 1, "more")], sch))), path)
+    assert [r.content for r in again.collect()] == ["more"]
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "publishday" in plan

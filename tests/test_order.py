@@ -101,5 +101,60 @@ def test_first_seen_keeps_arrival_order(spark):
         [("r", "s", 1, 0, "d1"), ("r", "s", 0, 5, "d1"), ("r", "s", 0, 7, "d1"), ("r", "s", 0, 1, None),
          ("r", "s", 2, 0, None), ("r", "t", 3, 0, "d1")],
         "run_id string, source string, poll_no int, pos int, publishdate string")
-    out = order.mark_first_seen(rows, F.lit(True), order.STD).where("_is_new")
+    out = order.first_seen(rows)
     assert sorted((r.source, r.poll_no, r.pos) for r in out.collect()) == [("s", 0, 1), ("s", 0, 5), ("t", 3, 0)]
+
+
+def test_policies_as_columns_equal_one_pass_each(spark):
+    """All policies in one pass: polls carry their source's policy as columns."""
+    import itertools
+    pairs = [("truncate", "std"), ("never_null", "std"), ("truncate", "trailing_repeat"), ("as_dup", "std"),
+             ("truncate_skip_empty", "std"), ("skip_falsy", "inpage"), ("truncate", "cap"), ("keep", "cap")]
+    policies = [(n, v, s) for (n, v), s in itertools.product(pairs, ("stop", "skip", "none"))]
+    by_src, polls, arts = _gen(42, n_sources=96)
+    own = {src: policies[i % len(policies)] for i, src in enumerate(sorted(by_src))}
+    a = spark.createDataFrame(arts, ART_SCHEMA)
+    p = spark.createDataFrame([(*row, *own[row[1]]) for row in polls],
+                              POLL_SCHEMA + ", null_policy string, stop_variant string, status_policy string")
+    limits = dict(max_dups=15, rep_stop=3, cap=20, cleaned="cleaned")
+    got = {}
+    for row in order.accept_articles(a, p, order.PollRules(**limits)).select("source", "poll_no", "pos").collect():
+        got.setdefault(row.source, set()).add((row.poll_no, row.pos))
+    for src, plist in by_src.items():
+        n, v, s = own[src]
+        r = order.PollRules(null_policy=n, stop_variant=v, status_policy=s, require_total_results=v == "trailing_repeat", **limits)
+        assert got.get(src, set()) == set(simulate(plist, r)), (src, own[src])
+
+
+def _no(sql, old, new):
+    assert old in sql
+    return sql.replace(old, new)
+
+
+def test_every_stop_rule_decides_its_query():
+    """Dropping a rule from its query's SQL changes the result at the gate's scale."""
+    import duckdb
+
+    from conftest import SF01
+    from corpusflow.plans import queries_order as Q
+    from corpusflow.plans.catalog import ORACLES, load_all
+    load_all()
+    con = duckdb.connect()
+    for t in ("events", "embeddings"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF01}/{t}.parquet'")
+    rows = lambda sql: sorted(con.sql(sql).fetchall(), key=repr)
+    without = {
+        "poll_stop": _no(ORACLES["poll_stop"], "cng >= 4 OR cd > 100", "false"),
+        "poll_stop_no_growth": _no(ORACLES["poll_stop_no_growth"], "cng >= 4 OR ", ""),
+        "trailing_repeat_stop": _no(ORACLES["trailing_repeat_stop"], " OR srows - lastnew = 5", ""),
+        "cap_between_polls": _no(ORACLES["cap_between_polls"], "s.capstop IS NULL OR n.poll_no < s.capstop", "true"),
+        "poll_stop_inpage": _no(ORACLES["poll_stop_inpage"], "h.cflag >= 4 GROUP", "h.cflag >= 4000 GROUP"),
+        "page_limit": _no(ORACLES["page_limit"], "WHERE rn <= ", "WHERE rn <= 1000000 + "),
+        "mean_pool": _no(ORACLES["mean_pool"], "vec_id % 3 <> 0", "true"),
+        "scroll_source": _no(ORACLES["scroll_source"], "rn <= 20", "rn <= 300"),
+    }
+    without["poll_stop_inpage"] = _no(without["poll_stop_inpage"], "WHERE cflag >= 4 GROUP", "WHERE cflag >= 4000 GROUP")
+    for name, sql in without.items():
+        assert rows(ORACLES[name]) != rows(sql), name
+    assert all(r[-1] is not None for r in rows(ORACLES["scroll_source"]))  # an offset follows
+    assert Q.PAGE_SIZE < Q.PAGE_SIZES["view"]

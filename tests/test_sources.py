@@ -61,14 +61,20 @@ def test_registry_rows_and_rules():
     assert len(registry.RULES) == 26
 
 
-def test_registry_join_is_broadcast(spark):
+def test_registry_join(spark):
     arts = spark.createDataFrame([("BBC", 1), ("CNN", 2), ("nobody", 3)], "source string, pos int")
     reg = registry.sources_df(spark).select(F.col("label").alias("source"), "rule_id")
     j = J.attach_registry(arts, reg, on="source", label_col="source")
-    assert "BroadcastHashJoin" in j._jdf.queryExecution().executedPlan().toString()
     assert sorted((r.source, r.rule_id) for r in j.collect()) == [("BBC", "X1"), ("CNN", "X5"), ("nobody", None)]
 
 
+def test_request_settings(spark):
+    rows = {r["label"]: r for r in registry.sources_df(spark, active_only=False).collect()}
+    assert rows["Guardian"]["page_size"] == 200 and rows["BBC"]["page_size"] == 100
+    assert rows["ABC AU"]["window_days"] is None and rows["BBC"]["window_days"] == 1
+    assert {k for k, r in rows.items() if r["strict"]} == {"GNews", "CNN"} and rows["Fortune"]["topic"] == "business"
+
+
 def test_count_table_readers(spark):
     d = tempfile.mkdtemp(prefix="cf-counts-")
     empty = tables.read_count_table(spark, os.path.join(d, "missing"), "vector")
@@ -123,9 +129,10 @@ def test_missing_run_id_reads_as_empty(spark):
 
 def test_lookup_pages_keeps_article_cardinality(spark):
     arts = spark.createDataFrame([(0, "u1"), (1, "u1"), (2, "missing")], "pos int, url string")
-    pages = spark.createDataFrame([("u1", 200, "<p>a</p>"), ("u1", 200, "<p>b</p>")], "url string, status int, html string")
+    pages = spark.createDataFrame([("u1", 200, "<p>a</p>"), ("u1", 200, "<p>b</p>"), ("u1", None, "<p>0</p>"), ("u1", 404, "")],
+                                  "url string, status int, html string")
     out = sorted((r.pos, r.html) for r in J.lookup_pages(arts, pages).collect())
-    assert out == [(0, "<p>a</p>"), (1, "<p>a</p>"), (2, None)]  # one page per url, deterministic
+    assert out == [(0, "<p>a</p>"), (1, "<p>a</p>"), (2, None)]  # one page per url, one that answered 200
 
 
 def test_landing_window_prunes_partitions(spark):
