@@ -33,7 +33,9 @@ _CLOCK_RE = "(?U)" + CLOCK_PATTERN.replace(r"\s", WS)
 # a lone ' ' is already collapsed: match only runs that change the text
 # (a space followed by more whitespace, or any other whitespace character)
 _WS_NOSPACE = WS.replace(r"\x{1c}-\x{20}", r"\x{1c}-\x{1f}")
-_WS_RUN_RE = " " + WS + "+|" + _WS_NOSPACE + WS + "*"
+# the lookahead turns away what nearly every position is, a letter or a space before
+# one, by plain ranges before the union of the whitespace class is tried
+_WS_RUN_RE = r"(?! ?[!-~\x{c0}-\x{24f}])(?: " + WS + "+|" + _WS_NOSPACE + WS + "*)"
 _BOILER_RE = "(?U)" + BOILERPLATE_PATTERN
 
 
@@ -43,7 +45,8 @@ def _c(c) -> Column:
 
 def strip_tags(c) -> Column:
     """Delete ``<.*?>`` (non-greedy, never across a newline)."""
-    return F.regexp_replace(_c(c), _TAG_RE, "")
+    text = _c(c)  # most texts have no tag: a byte search tells before the pattern runs
+    return F.when(F.contains(text, F.lit("<")), F.regexp_replace(text, _TAG_RE, "")).otherwise(text)
 
 
 def strip_clock(c) -> Column:
@@ -76,22 +79,6 @@ def squeeze(c) -> Column:
     return trim_ws(collapse_ws(c))
 
 
-def delete_literals(c, literals) -> Column:
-    """T9 / XO8: delete literal substrings (inside words too)."""
-    out = _c(c)
-    for lit in literals or []:
-        out = F.replace(out, F.lit(lit), F.lit(""))
-    return out
-
-
-def delete_regexes(c, patterns) -> Column:
-    """XO8: delete regex matches, in order."""
-    out = _c(c)
-    for p in patterns or []:
-        out = F.regexp_replace(out, p, "")
-    return out
-
-
 def preview(c, n: int = 50) -> Column:
     """``question[:50] + '...'``."""
     return F.concat(F.substring(_c(c), 1, n), F.lit("..."))
