@@ -115,7 +115,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
             .where("doc_id is not null and lang is not null and text is not null"))
     ids = (rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
-           .withColumn("slice", F.pmod(F.hash("h"), F.lit(64)))
+           .withColumn("slice", F.pmod(F.hash("h"), F.lit(16)))
            .withColumn("r", F.row_number().over(sliced)).where(F.col("r") <= per_lang)
            .withColumn("r", F.row_number().over(first)).where(F.col("r") <= per_lang)
            .select("doc_id").distinct())
