@@ -26,7 +26,7 @@ def query(name: str, sql: str | None = None):
 
 
 # ---------------------------------------------------------------------------
-# SQL building blocks for the oracle side (DuckDB / RE2 spelling).
+# SQL building blocks for the oracle side (DuckDB / RE2 spelling). The patterns.
 
 WS_SQL = (r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
           r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
@@ -53,5 +53,5 @@ def sql_word_tokens(expr: str) -> str:
 
 def load_all():
     """Import every module that registers queries."""
-    from . import queries_text, queries_order, queries_vectors, queries_monitor  # noqa: F401
+    from . import queries_gates, queries_monitor, queries_order, queries_text, queries_vectors  # noqa: F401
     return QUERIES, ORACLES
