@@ -85,8 +85,7 @@ FROM r WHERE rank <= {TOP_K}
 @query("vector_topk", _TOPK_SQL)
 def vector_topk(spark, sf):
     """V3 / V4 / K0: for each source centroid (V1), the 10 nearest points by
-    cosine, best first, ties by id. Queries = one centroid per source: a
-    side bounded by the number of sources, size-checked before broadcast."""
+    cosine, best first, ties by id. Queries = one centroid per source."""
     pts = _points(spark, sf)
     q = V.centroid_vectors(V.centroids(pts, "label"), "label")
     res = V.topk_search(pts, q, TOP_K, id_col="vec_id", qid_col="label", payload=["label"])
