@@ -113,8 +113,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     # the first of each slice of a language, then of the language: no task sees a common language whole
     sliced, first = (Window.partitionBy("lang", *by).orderBy("h", "doc_id") for by in (["slice"], []))
     rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-            .where("doc_id is not null and lang is not null and text is not null"))
-    ids = (rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
+            .where("doc_id is not null and lang is not null"))
+    ids = (rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))  # texts are not read yet
            .withColumn("slice", F.pmod(F.hash("h"), F.lit(16)))
            .withColumn("r", F.row_number().over(sliced)).where(F.col("r") <= per_lang)
            .withColumn("r", F.row_number().over(first)).where(F.col("r") <= per_lang)
@@ -130,7 +130,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         return pa.array(out, type=pa.list_(pa.binary()))
 
     chosen = rows.join(F.broadcast(docs.sparkSession.createDataFrame([(k,) for k in keep], "doc_id long")), "doc_id", "left_semi")
-    got = chosen.select("lang", vectors("text").alias("v")).collect()
+    got = chosen.where("text is not null").select("lang", vectors("text").alias("v")).collect()
     by_lang: dict[str, list] = {}
     for r in sorted(got, key=lambda r: (r["lang"], [bytes(b) for b in r["v"]])):
         by_lang.setdefault(r["lang"], []).extend(np.frombuffer(b, np.float32) for b in r["v"])
@@ -162,4 +162,5 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
 
 
 def held_out(id_col: str, folds: int, fold: int) -> Column:
-    return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == fold
+    """True for rows of the fold by the CRC-32 of the id as text; a null id is in no fold."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == fold, F.lit(False))

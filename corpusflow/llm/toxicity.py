@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import prepare
+from .common import cut_lineage, prepare
 from .linear import logistic, sigmoid
 
 WORD = re.compile(r"\w+")
@@ -255,19 +255,24 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     prepare(docs.sparkSession)
     marked = (labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
               .agg(F.max(label_col).alias("_label")))
-    docs = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).where("_text is not null")
-    size = docs.select("_id", F.length("_text").alias("_n"))
-    picked = (size.join(marked, "_id").groupBy("_id").agg(F.max("_n").alias("_n"), F.max("_label").alias("_label"))
-              .orderBy(F.xxhash64("_id"), "_id").limit(max_docs).collect())
+    docs = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    picked = (docs.select("_id").join(marked, "_id").groupBy("_id").agg(F.max("_label").alias("_label"))
+              .orderBy(F.xxhash64("_id"), "_id").limit(max_docs).collect())  # ids only: texts are read once, below
+    label_of = {r["_id"]: int(r["_label"] > 0) for r in picked}
+
+    def only(ids) -> DataFrame:
+        return F.broadcast(docs.sparkSession.createDataFrame([(k,) for k in ids], "_id long"))
+
+    sample = cut_lineage(docs.where("_text is not null").join(only(label_of), "_id", "left_semi"))
+    length = {r["_id"]: r["_n"] for r in sample.groupBy("_id").agg(F.sum(F.length("_text")).alias("_n")).collect()}
     total, keep = 0, {}
-    for r in picked:
-        total += r["_n"]
-        if total <= max_chars:
-            keep[r["_id"]] = int(r["_label"] > 0)
+    for k, label in label_of.items():
+        total += length.get(k, 0)
+        if k in length and total <= max_chars:
+            keep[k] = label
     if len(set(keep.values())) < 2:
         return ToxicityModel()
-    chosen = F.broadcast(docs.sparkSession.createDataFrame([(k,) for k in keep], "_id long"))
-    rows = docs.join(chosen, "_id", "left_semi").collect()
+    rows = sample.join(only(keep), "_id", "left_semi").collect()
     texts: dict[tuple, tuple] = {}
     for doc_id, text in sorted(rows, key=lambda r: (r[0], r[1] or "")):
         words = [w.lower() for w in WORD.findall(text or "")]
