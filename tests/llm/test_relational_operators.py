@@ -3,6 +3,7 @@
 import datetime as dt
 import hashlib
 import random
+import re
 
 import duckdb
 import numpy as np
@@ -92,10 +93,15 @@ def test_chat_reads_back_what_was_formatted(spark):
         assert d["turns_sha256"] == hashlib.sha256(told.encode()).hexdigest() and d["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
         assert (d["n_turns"], d["loss_chars"], d["formatted_chars"]) == (len(want), len(loss), len(r["formatted"]))
         at = 0
+        masked = []
         for s in r["segments"]:
-            assert s["start"] == at and s["loss"] == (s["role"] == "assistant")
+            assert s["start"] == at and s["loss"] == (s["role"] == "assistant" and s["part"] == "text")
             at += s["length"]
+            masked += [r["formatted"][s["start"]:at]] if s["loss"] else []
         assert at == len(r["formatted"])
+        for c in chat.Template().control():  # what the mask covers is the assistant texts, escaped
+            masked = [re.sub(re.escape(c[0]) + r"\\(\\*)" + re.escape(c[1:]), lambda k: c[0] + k[1] + c[1:], m) for m in masked]
+        assert masked == [b for a, b in want if a == "assistant"]
     assert got[100]["valid"] and not got[101]["valid"] and not got[102]["valid"]
     assert chat.format_chat(made.sparkSession.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
