@@ -105,15 +105,23 @@ class LanguageModel:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        per_lang: int = 300, least: int = 3) -> LanguageModel:
-    """Learn from at most ``per_lang`` documents of each language (the first by a hash of the id),
-    which bounds what comes to the driver; languages with fewer than ``least`` are not learned.
+        per_lang: int = 300, least: int = 3, max_docs: int = 4800, max_langs: int = 256) -> LanguageModel:
+    """Learn from at most ``per_lang`` documents of each language (the first by a hash of the id)
+    and about ``max_docs`` in all, shared evenly by the languages; languages with fewer than
+    ``least`` documents and those beyond the ``max_langs`` most frequent are not learned. So what
+    comes to the driver is bounded however many languages, and however often an id, there are.
     Each sampled text counts whole and once more as a short window, so short texts are known too."""
     prepare(docs.sparkSession)
     # the first of each slice of a language, then of the language: no task sees a common language whole
     sliced, first = (Window.partitionBy("lang", *by).orderBy("h", "doc_id") for by in (["slice"], []))
     rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
             .where("doc_id is not null and lang is not null"))
+    known = [r["lang"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+             .orderBy(F.desc("n"), "lang").limit(max_langs).collect()]
+    if not known:
+        return LanguageModel([])
+    per_lang = max(least, min(per_lang, max_docs // len(known)))
+    rows = rows.where(F.col("lang").isin(known))
     ids = (rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))  # texts are not read yet
            .withColumn("slice", F.pmod(F.hash("h"), F.lit(16)))
            .withColumn("r", F.row_number().over(sliced)).where(F.col("r") <= per_lang)
@@ -130,7 +138,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         return pa.array(out, type=pa.list_(pa.binary()))
 
     chosen = rows.join(F.broadcast(docs.sparkSession.createDataFrame([(k,) for k in keep], "doc_id long")), "doc_id", "left_semi")
-    got = chosen.where("text is not null").select("lang", vectors("text").alias("v")).collect()
+    chosen = chosen.where("text is not null").groupBy("lang", "doc_id").agg(F.min("text").alias("text"))  # an id that repeats counts once
+    got = chosen.select("lang", vectors("text").alias("v")).collect()
     by_lang: dict[str, list] = {}
     for r in sorted(got, key=lambda r: (r["lang"], [bytes(b) for b in r["v"]])):
         by_lang.setdefault(r["lang"], []).extend(np.frombuffer(b, np.float32) for b in r["v"])

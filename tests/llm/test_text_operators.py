@@ -117,6 +117,16 @@ def test_language_held_out_accuracy(spark):
     assert all(h == (zlib.crc32(str(i).encode()) % 3 == 1) for i, h in zip(got.doc_id, got.held_out))
 
 
+def test_language_sample_is_bounded(spark):
+    words = {"en": "the thing with those", "de": "der schein auf dich", "fr": "eau les deux chez", "aa": "qzq zzz", "ab": "kwk www"}
+    rows = [(i, f"{words[k]} {i}", k) for i, k in enumerate(["en"] * 40 + ["de"] * 30 + ["fr"] * 20 + ["aa"] * 9 + ["ab"] * 2)]
+    table = spark.createDataFrame(rows + [rows[0]] * 500, "doc_id long, text string, lang string")
+    learned = lambda **kw: {m for f in langid.fit(table, **kw).families.values() for m in f}
+    assert learned() == {"en", "de", "fr", "aa"} and learned(max_langs=2) == {"en", "de"}
+    model = langid.fit(table, max_docs=12)
+    assert [model.predict(words[k] + " 5")[0] for k in ("en", "de", "fr", "aa")] == ["en", "de", "fr", "aa"]
+
+
 def test_families_with_single_and_unlisted_languages():
     rng = random.Random(0)
     words = {"en": ["the", "thing"], "de": ["der", "schein"], "fr": ["eau", "les"], "xx": ["qzq", "zzz"]}
