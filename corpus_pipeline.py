@@ -29,12 +29,15 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each SimHash component, once if its row repeats;
-    a row without an id cannot stand for a group and goes."""
-    found = simhash.near_duplicates(docs, words_per_shingle=3, radius=3)
-    keep = found.where("doc_id = component_id").select("doc_id")
-    once = Window.partitionBy("doc_id").orderBy("doc_id")
-    return (docs.join(keep, "doc_id", "left_semi").withColumn("copy of a kept row", F.row_number().over(once))
+    """Keep one document of each SimHash component: the one with the smallest id, once if its row
+    repeats (rows of one id are one document); of a component without ids, one of its rows."""
+    # a row without an id is told by its text; such keys follow those of rows with an id
+    by_text = F.shiftrightunsigned(F.xxhash64("text"), 2).bitwiseOR(F.lit(1 << 62))
+    keyed = docs.withColumn("key of the row", F.coalesce("doc_id", by_text))
+    found = simhash.near_duplicates(keyed, id_col="key of the row", words_per_shingle=3, radius=3)
+    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias("key of the row"))
+    once = Window.partitionBy("key of the row").orderBy(F.xxhash64("text"))
+    return (keyed.join(keep, "key of the row", "left_semi").withColumn("copy of a kept row", F.row_number().over(once))
             .where("`copy of a kept row` = 1").select(*docs.columns))
 
 

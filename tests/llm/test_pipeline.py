@@ -34,6 +34,15 @@ def test_stages_keep_columns_and_decide(spark):
         assert stage(spark, docs.where("false"), SF01).count() == 0
 
 
+def test_dedup_stage_keeps_documents_without_an_id(spark):
+    one, two, three = ("one text that stands for itself", "another text and nothing like it", "a third one with other words in it")
+    rows = [(None, one), (4, one), (None, two), (None, two), (9, three), (9, three), (None, None), (3, "")]
+    docs = spark.createDataFrame([(i, t, None, "s", 1, 0.1, 2, "x") for i, t in rows], SCHEMA)
+    kept = corpus_pipeline.STAGES[2][1](spark, docs, SF01)
+    assert kept.columns == docs.columns
+    assert sorted(((r[0] or 0), r[1]) for r in kept.select("doc_id", "text").collect()) == [(0, two), (3, ""), (4, one), (9, three)]
+
+
 def test_language_stage_drops_only_what_has_no_letter(spark):
     table = spark.read.parquet(f"{SF01}/documents.parquet")
     extra = spark.createDataFrame([(10**6, None, None, None, None), (10**6 + 1, "", None, None, None), (10**6 + 2, "1 + 1", None, None, None)], table.schema)
