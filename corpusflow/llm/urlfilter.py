@@ -27,7 +27,8 @@ RANK = {"remove": 0, "allow": 1, "block": 2}
 
 
 def host_of(url: Column) -> Column:
-    return F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)", 1))
+    """Lower-case host of a URL, without user, port and the dots behind a rooted name."""
+    return F.rtrim(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?([^/?#:@]+)", 1)), F.lit("."))
 
 
 def segment_of(url: Column) -> Column:

@@ -38,6 +38,7 @@ def test_url_filter_against_brute_force(spark):
     hosts = ["a.example.com", "b.example.com", "example.com", "x.org", "y.x.org", "hot.net"]
     caps = [(i, f"https://{rng.choice(hosts + ['hot.net'] * 6)}/{rng.choice(['en', 'fr', ''])}", at()) for i in range(400)]
     caps += [(1000, None, at()), (1001, "not a url", at()), (1002, "http://hot.net/en", None), (None, "http://hot.net/en?x=1", at()), caps[0]]
+    caps += [(2000 + i, u, at()) for i, u in enumerate(["http://me@hot.net/en", "http://a:b@c@HOT.net:80/en", "https://hot.net./en", "https://x.org:8080/fr?a@b"] * 9)]
     patterns = hosts + ["hot.net/en", "x.org/fr", "com"]
     entries = [(rng.choice(patterns), at(), rng.choice(["block", "allow", "remove"])) for _ in range(300)]
     entries += [(None, at(), "block"), ("x.org", None, "block"), ("x.org", at(), "other")]
@@ -51,7 +52,7 @@ def test_url_filter_against_brute_force(spark):
             latest[key] = max(latest.get(key, "remove"), a, key=urlfilter.RANK.get)
 
     def want(url, when):
-        host = url.split("://")[1].split("/")[0] if url and "://" in url else ""
+        host = url.split("://")[1].split("/")[0].split("@")[-1].split(":")[0].lower().rstrip(".") if url and "://" in url else ""
         if not host or when is None:
             return True, None, None
         labels = host.split(".")
