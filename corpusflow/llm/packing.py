@@ -143,14 +143,15 @@ def pack(docs: DataFrame, encoder: Callable[[], Callable[[str], np.ndarray]], id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, packer = encoder(), DotProductPacker(max_tokens, max_segments, most_loss, window, cut)
         base = TaskContext.get().partitionId() << 33
-        held: dict[int, list] = {}  # key -> [id, ids, tokens not yet placed]
+        held: dict[int, list] = {}  # key -> [id, its last ids, tokens not yet placed, tokens in all]
         rows: list[tuple] = []
         end = np.array([] if end_id is None else [end_id], dtype=np.uint32)
 
         def place(placements):
             for key, start, length, loss, bin_, offset in placements:
                 doc = held[key]
-                rows.append((doc[0], start, doc[1][start:start + length].tobytes(), len(doc[1]), loss, base + bin_, offset))
+                at = start - (doc[3] - len(doc[1]))
+                rows.append((doc[0], start, doc[1][at:at + length].tobytes(), doc[3], loss, base + bin_, offset))
                 doc[2] -= length
                 if not doc[2]:
                     del held[key]
@@ -167,8 +168,10 @@ def pack(docs: DataFrame, encoder: Callable[[], Callable[[str], np.ndarray]], id
                 ids = np.concatenate([encode(text.as_py() or ""), end]).astype("<u4", copy=False)
                 loss = len(ids) if losses is None else min(max(losses[i].as_py() or 0, 0), len(ids))
                 if len(ids):
-                    held[key] = [doc_id, ids, len(ids)]
+                    held[key] = doc = [doc_id, ids, len(ids), len(ids)]
                     place(packer.add(key, len(ids), loss))
+                    if doc[2] < len(ids):  # only the end of a long document waits in the window
+                        doc[1] = ids[len(ids) - doc[2]:].copy()
                     key += 1
                 if len(rows) >= 1024:
                     yield taken()
