@@ -51,16 +51,17 @@ def intervals(entries: DataFrame, bucket: str = "day") -> DataFrame:
                     F.coalesce("following", "later").alias("valid_to")))
 
 
-def patterns_of(url: Column) -> Column:
-    """array<struct<pattern, specific>> a URL falls under: its host and parent domains of at least
-    two labels, and host/first segment; ``specific`` orders them."""
-    host, segment = host_of(url), segment_of(url)
-    labels = F.split(host, r"\.")
-    n = F.size(labels)
+def with_patterns(captures: DataFrame, url_col: str = "url") -> DataFrame:
+    """``captures`` with one row for each pattern its URL falls under (a null one if there is none):
+    its host and parent domains of at least two labels, and host/first segment; ``specific``
+    orders them. Host and labels are columns, so that each URL is taken apart once."""
+    url, n = F.col(url_col), F.size("labels")
+    taken = captures.withColumns({"host": host_of(url), "segment": segment_of(url)}).withColumn("labels", F.split("host", r"\."))
     domains = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.struct(
-        F.array_join(F.slice(labels, i, n), ".").alias("pattern"), (n - i + 1).alias("specific")))
-    path = F.when(segment != "", F.array(F.struct(F.concat(host, F.lit("/"), segment).alias("pattern"), (n + 1).alias("specific"))))
-    return F.when(F.coalesce(host, F.lit("")) != "", F.concat(domains, F.coalesce(path, F.slice(domains, 1, 0))))
+        F.array_join(F.slice("labels", i, n), ".").alias("pattern"), (n - i + 1).alias("specific")))
+    path = F.when(F.col("segment") != "", F.array(F.struct(F.concat("host", F.lit("/"), "segment").alias("pattern"), (n + 1).alias("specific"))))
+    under = F.when(F.coalesce("host", F.lit("")) != "", F.concat(domains, F.coalesce(path, F.slice(domains, 1, 0))))
+    return taken.withColumn("p", F.explode_outer(under)).select(*captures.columns, "p.pattern", "p.specific")
 
 
 def evaluate(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", url_col: str = "url", time_col: str = "fetch_ts",
@@ -69,8 +70,7 @@ def evaluate(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", u
     pattern, action and valid_from (null if none)."""
     prepare(captures.sparkSession)
     caps = captures.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(time_col).alias("fetch_ts")).distinct()
-    keyed = (caps.withColumn("p", F.explode_outer(patterns_of(F.col("url"))))
-             .select("id", "url", "fetch_ts", "p.pattern", "p.specific"))
+    keyed = with_patterns(caps)
     spans = intervals(entries, bucket)
     # as of the fetch time, within a bucket; equal pattern, time and bucket are one lookup
     looked = keyed.where("pattern is not null and fetch_ts is not null").select("pattern", F.col("fetch_ts").alias("ts")).distinct()
