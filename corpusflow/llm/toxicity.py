@@ -250,8 +250,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         label_col: str = "toxic", max_docs: int = 4000, max_chars: int = 12_000_000, max_windows: int = 2400) -> ToxicityModel:
     """Learn from at most ``max_docs`` labelled documents (the first by a hash of the id) and at
     most ``max_chars`` of their characters, taken as whole texts in that order; both bound what
-    comes to the driver. One document of each group of near copies (same smallest shingle hash)
-    counts, so that copies do not make their rare words look like a rule."""
+    comes to the driver. A text that does not fit into what is left of the characters is passed
+    over and those after it are still taken; rows of one id count as one document (the greatest
+    text). One document of each group of near copies (same smallest shingle hash) counts, so that
+    copies do not make their rare words look like a rule."""
     prepare(docs.sparkSession)
     marked = (labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
               .agg(F.max(label_col).alias("_label")))
@@ -263,12 +265,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def only(ids) -> DataFrame:
         return F.broadcast(docs.sparkSession.createDataFrame([(k,) for k in ids], "_id long"))
 
-    sample = cut_lineage(docs.where("_text is not null").join(only(label_of), "_id", "left_semi"))
-    length = {r["_id"]: r["_n"] for r in sample.groupBy("_id").agg(F.sum(F.length("_text")).alias("_n")).collect()}
+    sample = cut_lineage(docs.where("_text is not null").join(only(label_of), "_id", "left_semi")
+                         .groupBy("_id").agg(F.max("_text").alias("_text")))
+    length = {r["_id"]: r["_n"] for r in sample.select("_id", F.length("_text").alias("_n")).collect()}
     total, keep = 0, {}
     for k, label in label_of.items():
-        total += length.get(k, 0)
-        if k in length and total <= max_chars:
+        if k in length and total + length[k] <= max_chars:
+            total += length[k]
             keep[k] = label
     if len(set(keep.values())) < 2:
         return ToxicityModel()

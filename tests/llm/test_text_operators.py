@@ -183,6 +183,22 @@ def test_toxicity_held_out(spark):
     assert (held.predicted == held.toxic).mean() > 0.92 and held[held.toxic == 0].predicted.mean() < 0.02
 
 
+def test_toxicity_sample_passes_over_what_does_not_fit(spark):
+    table, labels = spark.read.parquet(f"{SF01}/documents.parquet"), spark.read.parquet(f"{SF01}/labels.parquet")
+    F = queries.F
+    marked = table.join(labels.where("toxic is not null"), "doc_id").select("doc_id", F.length("text").alias("n"))
+    (first, n1), (second, n2) = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(2).collect()
+    bound = marked.agg(F.sum("n")).first()[0]
+    rest = table.where(F.col("doc_id") != first)
+    want = toxicity.fit(rest, labels)
+    assert want.weights
+    # in the order of the sample an over-long text comes first, an id of very many rows next
+    long = table.where(F.col("doc_id") == first).withColumn("text", F.repeat("text", 1 + bound // n1))
+    often = table.where(F.col("doc_id") == second).crossJoin(spark.range(1 + bound // n2).select())
+    got = toxicity.fit(rest.unionByName(long).unionByName(often), labels, max_chars=bound)
+    assert got.weights == want.weights and np.array_equal(got.head, want.head)
+
+
 # --- SentencePiece ---
 
 @pytest.fixture(scope="module")
