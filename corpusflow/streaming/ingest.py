@@ -7,13 +7,17 @@
   own. The arrival-order rules of the batch job run over the landed polls of the
   runs this batch touches; they are causal, so what they accepted before stays
   accepted, and polls may arrive in any file, batch or order. A poll whose
-  predecessor has not landed waits, and the gap is reported.
+  predecessor has not landed waits, and the gap is reported. A strict source's
+  answer without its list (SC3) has landed, so nothing waits for it; it is set
+  aside before the rules and reported, as in the batch job.
 * ST3: ``foreachBatch`` chunks, embeds and appends the newly accepted articles
   with content ids, and adds the batch's own new points to the counts.
 
-State folder: ``rows`` (stubs with extracted bodies), ``polls``, ``accepted``
-(keys), ``added`` (new points per publish day and source), ``base`` (the same of
-a store that was there before), ``gaps`` (runs that wait for a missing poll).
+State folder: ``rows`` (stubs with extracted bodies), ``polls`` (those set aside
+are flagged), ``set_aside`` (these alone), ``accepted`` (keys), ``added`` (new
+points per publish day and source), ``base`` (the same of a store that was there
+before), ``waits`` (what the runs of a batch wait for, if anything), ``gaps`` (all
+runs that wait for a missing poll).
 """
 
 from __future__ import annotations
@@ -54,6 +58,13 @@ def contiguous(polls: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ready, waits
 
 
+def one_answer(polls: DataFrame) -> DataFrame:
+    """One row of each poll: an answer that landed twice is one poll, set aside only if
+    every answer is."""
+    w = Window.partitionBy(*POLL).orderBy("set_aside")
+    return polls.withColumn("_copy", F.row_number().over(w)).where("_copy = 1").drop("_copy")
+
+
 class State:
     """Tables of the state folder, one sub-folder per micro-batch."""
 
@@ -94,17 +105,21 @@ def points_sink(pages_path: str | None, points_path: str, counts_root: str, stat
                  else spark.createDataFrame([], schemas.PAGES))
         raw = cut_lineage(raw)
         stubs, polls = plan.landed(raw, shape)
-        # an answer that landed twice is one poll
-        polls = cut_lineage(plan.with_policy(polls, sources).where("not (strict and no_list)").dropDuplicates(POLL))
+        polls = cut_lineage(one_answer(plan.with_policy(polls, sources).withColumn("set_aside", F.expr("strict and no_list"))))
         stubs = stubs.dropDuplicates([*POLL, "pos"])
         rows = cut_lineage(plan.with_bodies(plan.requested(stubs, polls, run_date), pages))
         state.put("polls", polls, epoch)
+        state.put("set_aside", polls.where("set_aside").drop("set_aside"), epoch)
         state.put("rows", rows, epoch)
 
         touched = polls.select(*RUN).distinct()
-        known = state.get("polls", polls).join(touched, RUN, "left_semi").dropDuplicates(POLL)
-        ready, waits = contiguous(known)
-        waits.write.mode("overwrite").parquet(state.path("gaps"))
+        # a state written before answers were flagged holds none that is set aside
+        known = state.get("polls", polls).withColumn("set_aside", F.coalesce("set_aside", F.lit(False)))
+        ready, waits = contiguous(one_answer(known.join(touched, RUN, "left_semi")))
+        ready = ready.where("not set_aside").drop("set_aside")
+        waits = touched.join(waits, RUN, "left").withColumn("batch", F.lit(epoch).cast("long"))
+        state.put("waits", waits, epoch)
+        gaps(state.get("waits", waits)).write.mode("overwrite").parquet(state.path("gaps"))
         landed = state.get("rows", rows).join(touched, RUN, "left_semi").dropDuplicates([*POLL, "pos"])
         accepted = cut_lineage(plan.accept(landed, ready))
         keys = accepted.select(*POLL, "pos")
@@ -119,12 +134,19 @@ def points_sink(pages_path: str | None, points_path: str, counts_root: str, stat
         new = cut_lineage(sinks.unstored(points, points_path))
         if not state.has("added", epoch):  # a retry keeps what the first try counted, before it stored
             state.put("added", new.groupBy(*sinks.PARTITIONS).agg(F.count(F.lit(1)).alias("n")), epoch)
-        sinks.append_points(new, points_path)
+        if not new.isEmpty():  # a folder without a file could not be read by the next batch
+            sinks.append_points(new, points_path)
         counts(spark, state, counts_root, epoch, run_date)
 
     return run
 
 
+def gaps(waits: DataFrame) -> DataFrame:
+    """Runs that wait for a poll, by what the last batch that touched them found."""
+    last = waits.groupBy(*RUN).agg(F.max_by(F.struct("missing_poll", "last_landed"), "batch").alias("_last"))
+    return last.select(*RUN, "_last.*").where("missing_poll is not null")
+
+
 def counts(spark: SparkSession, state: State, counts_root: str, epoch: int, run_date: str | None) -> None:
     """K3-K5 from the batches' own additions; the store is not read."""
     like = spark.createDataFrame([], "source string, publishday string, n long")

@@ -135,6 +135,31 @@ def test_stream_equals_batch_for_page_sources(spark):
     assert search.search_texts(spark, pts, ["Gamma"], k=1, embedder="hashing").first().content == "Gamma"
 
 
+def test_stream_sets_answers_without_a_list_aside(spark):
+    """The case of test_run_rules over several batches: the poll after the one set aside is kept, and
+    every run that waits stays in the report until its poll lands."""
+    tmp = tempfile.mkdtemp(prefix="cf-stream-")
+    land, pts, counts, ck = (os.path.join(tmp, x) for x in ("landing", "points", "counts", "ckpt"))
+    pages = spark.createDataFrame(PAGES, "url string, status int, html string")
+    pages.write.parquet(os.path.join(tmp, "pages"))
+    poll = lambda source, no, url: dict(run_id="r", source=source, poll_no=no, status=200, totalResults=1,
+                                        articles=[_stub(url, f"2024-01-01T1{no}:00:00Z")] if url else None)
+    aside = poll("CNN", 0, None)
+    _land(land, [[poll("Fox News", 1, "u3"), poll("ABC", 1, "u1")], [poll("CNN", 1, "u4")], [aside],
+                 [poll("CNN", 2, "u7"), aside, poll("ABC", 0, "u3")]])
+    q = stream.start(spark, land, pts, counts, ck, "hashing", pages_path=os.path.join(tmp, "pages"), run_date="2024-01-01", files_per_batch=1)
+    assert q.awaitTermination(240)
+    raw = envelopes.read_polls(spark, land).where("source <> 'Fox News'").dropDuplicates(["source", "poll_no"])
+    out = ingest.run_ingest(spark, raw, pages, "2024-01-01", os.path.join(tmp, "p2"), os.path.join(tmp, "c2"), "hashing")
+    key = lambda path: sorted((r.point_id, r.content) for r in spark.read.parquet(path).collect())
+    assert key(pts) == key(os.path.join(tmp, "p2"))
+    assert sorted(c for _, c in key(pts)) == ["Alpha body text", "Delta", "Gamma", "Zeta"]
+    told = lambda name: spark.read.parquet(os.path.join(ck, "run-state", name)).select("source", "poll_no").distinct().collect()
+    assert told("set_aside") == out["set_aside"].select("source", "poll_no").collect() == [("CNN", 0)]
+    gaps = spark.read.parquet(os.path.join(ck, "run-state", "gaps")).collect()
+    assert [(r.source, r.missing_poll, r.last_landed) for r in gaps] == [("Fox News", 0, 1)]
+
+
 def test_a_retried_batch_adds_nothing(spark):
     tmp = tempfile.mkdtemp(prefix="cf-retry-")
     land, pts, counts, state = (os.path.join(tmp, x) for x in ("landing", "points", "counts", "state"))
