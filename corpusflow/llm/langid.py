@@ -6,8 +6,9 @@ lower-cased text, square-rooted and scaled to length one.
 
 Defined results: a null or empty text, or one without a letter, is ``und`` with score 0, and so is
 every text if no language could be learned; repeated rows are scored alike; an empty table gives
-no rows; other columns are kept (one named ``language`` is replaced); rows without an id, text or
-language teach nothing.
+no rows; other columns are kept (one named ``language`` is replaced); rows without an id, language
+or a letter in their text teach nothing and take no place in the sample, and copies of a text count
+once.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import prepare
+from .common import cut_lineage, prepare
 from .linear import linear_svm, logistic, sigmoid
 
 # Families of ISO 639-1 codes; a code not listed is a family by itself.
@@ -107,7 +108,8 @@ class LanguageModel:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         per_lang: int = 300, least: int = 3, max_docs: int = 4800, max_langs: int = 256) -> LanguageModel:
     """Learn from at most ``per_lang`` documents of each language (the first by a hash of the id)
-    and about ``max_docs`` in all, shared evenly by the languages; languages with fewer than
+    and about ``max_docs`` in all, shared evenly by the languages. A document is a different text
+    with a letter; rows of one id and language are one. Languages with fewer than
     ``least`` documents and those beyond the ``max_langs`` most frequent are not learned. So what
     comes to the driver is bounded however many languages, and however often an id, there are.
     Each sampled text counts whole and once more as a short window, so short texts are known too."""
@@ -115,19 +117,21 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     # the first of each slice of a language, then of the language: no task sees a common language whole
     sliced, first = (Window.partitionBy("lang", *by).orderBy("h", "doc_id") for by in (["slice"], []))
     rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-            .where("doc_id is not null and lang is not null"))
-    known = [r["lang"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+            .where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+            .withColumn("t", F.xxhash64("text")))
+    # one text of each id, then one id of each text: narrow rows, and both aggregates collapse a hot key before the shuffle
+    told = rows.groupBy("lang", "doc_id").agg(F.min("t").alias("t")).withColumn("h", F.xxhash64("doc_id"))
+    told = cut_lineage(told.groupBy("lang", "t").agg(F.min_by("doc_id", "h").alias("doc_id"), F.min("h").alias("h")))
+    known = [r["lang"] for r in told.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
              .orderBy(F.desc("n"), "lang").limit(max_langs).collect()]
     if not known:
         return LanguageModel([])
     per_lang = max(least, min(per_lang, max_docs // len(known)))
-    rows = rows.where(F.col("lang").isin(known))
-    ids = (rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))  # texts are not read yet
-           .withColumn("slice", F.pmod(F.hash("h"), F.lit(16)))
+    ids = (told.where(F.col("lang").isin(known)).withColumn("slice", F.pmod(F.hash("h"), F.lit(16)))
            .withColumn("r", F.row_number().over(sliced)).where(F.col("r") <= per_lang)
            .withColumn("r", F.row_number().over(first)).where(F.col("r") <= per_lang)
-           .select("doc_id").distinct())
-    keep = [r[0] for r in ids.collect()]
+           .select("lang", "doc_id"))
+    keep = [tuple(r) for r in ids.collect()]
 
     @F.arrow_udf("array<binary>")
     def vectors(texts: pa.Array) -> pa.Array:
@@ -137,8 +141,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
             out.append([features(s).astype(np.float32).tobytes() for s in (t, t[middle:middle + 80] or t)] if has_letter(t) else [])
         return pa.array(out, type=pa.list_(pa.binary()))
 
-    chosen = rows.join(F.broadcast(docs.sparkSession.createDataFrame([(k,) for k in keep], "doc_id long")), "doc_id", "left_semi")
-    chosen = chosen.where("text is not null").groupBy("lang", "doc_id").agg(F.min("text").alias("text"))  # an id that repeats counts once
+    chosen = rows.join(F.broadcast(docs.sparkSession.createDataFrame(keep, "lang string, doc_id long")), ["lang", "doc_id"], "left_semi")
+    chosen = chosen.groupBy("lang", "doc_id").agg(F.min_by("text", "t").alias("text"))  # the text its id was told by
     got = chosen.select("lang", vectors("text").alias("v")).collect()
     by_lang: dict[str, list] = {}
     for r in sorted(got, key=lambda r: (r["lang"], [bytes(b) for b in r["v"]])):

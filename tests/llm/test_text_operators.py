@@ -127,6 +127,19 @@ def test_language_sample_is_bounded(spark):
     assert [model.predict(words[k] + " 5")[0] for k in ("en", "de", "fr", "aa")] == ["en", "de", "fr", "aa"]
 
 
+def test_language_sample_holds_different_texts(spark):
+    """Rows without a letter, copies and repeated ids take no place of the sample."""
+    words = {"en": "the thing with those", "de": "der schein auf dich"}
+    good = [(i, f"{words[k]} {i}", k) for i, k in enumerate(["en", "de"] * 20)]
+    empty = [(1000 + i, (None, "", "12 + 34")[i % 3], "en") for i in range(3000)] + [(9000 + i, None, "xx") for i in range(50)]
+    copies = [(5000 + i, "der schein auf dich 1", "de") for i in range(3000)] + [(10_000 + i, "qzq zzz", "yy") for i in range(50)]
+    often = [good[0]] * 500
+    fit = lambda rows: langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_lang=30)
+    want, got = fit(good), fit(good + empty + copies + often)
+    assert got.families == want.families == {"germanic": ["de", "en"]}
+    assert np.allclose(got.weights, want.weights, atol=1e-6) and np.allclose(got.bias, want.bias, atol=1e-6)
+
+
 def test_families_with_single_and_unlisted_languages():
     rng = random.Random(0)
     words = {"en": ["the", "thing"], "de": ["der", "schein"], "fr": ["eau", "les"], "xx": ["qzq", "zzz"]}
