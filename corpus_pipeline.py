@@ -29,15 +29,18 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each SimHash component: the one with the smallest id, once if its row
-    repeats (rows of one id are one document); of a component without ids, one of its rows."""
+    """Keep one row of each SimHash component: one with the smallest id whose own text lies in the
+    component, or, of a component without ids, one of its rows. Different texts under one id that
+    are no near copies of each other are in components of their own, and each has a row kept."""
     # a row without an id is told by its text; such keys follow those of rows with an id
     by_text = F.shiftrightunsigned(F.xxhash64("text"), 2).bitwiseOR(F.lit(1 << 62))
-    keyed = docs.withColumn("key of the row", F.coalesce("doc_id", by_text))
-    found = simhash.near_duplicates(keyed, id_col="key of the row", words_per_shingle=3, radius=3)
-    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias("key of the row"))
-    once = Window.partitionBy("key of the row").orderBy(F.xxhash64("text"))
-    return (keyed.join(keep, "key of the row", "left_semi").withColumn("copy of a kept row", F.row_number().over(once))
+    keyed = docs.withColumns({"key of the row": F.coalesce("doc_id", by_text), "hash of the text": F.xxhash64("text")})
+    found = simhash.components(keyed, id_col="key of the row", words_per_shingle=3, radius=3, also=("hash of the text",))
+    keep = (found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("key of the row"), "root")
+            .agg(F.min("hash of the text").alias("hash of the text")).drop("root"))
+    same = ["key of the row", "hash of the text"]
+    once = Window.partitionBy(*same).orderBy("hash of the text")
+    return (keyed.join(keep, same, "left_semi").withColumn("copy of a kept row", F.row_number().over(once))
             .where("`copy of a kept row` = 1").select(*docs.columns))
 
 

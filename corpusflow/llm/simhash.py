@@ -50,10 +50,11 @@ def fingerprint(text: str | None, words_per_shingle: int, digest) -> int:
     return int(sum(1 << b for b in np.flatnonzero(2 * counts > n).tolist()))
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 3) -> DataFrame:
-    """``doc_id`` and ``fp`` (the fingerprint's 64 bits as a signed long) of every row."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 3,
+                 also: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, ``fp`` (the fingerprint's 64 bits as a signed long) and the long columns ``also`` of every row."""
     prepare(docs.sparkSession)
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "fp", *also)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -61,10 +62,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for b in batches:
             fp = np.array([fingerprint(t.as_py(), words_per_shingle, xxhash.xxh64_intdigest) for t in b.column(1)],
                           dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], schema=schema)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64)), *b.columns[2:]], schema=schema)
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, fp long"))
+    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *also)
+            .mapInArrow(run, ", ".join(f"`{c}` long" for c in schema.names)))
 
 
 def ball_masks(radius: int) -> tuple[np.ndarray, int, int]:
@@ -187,15 +188,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Copies meet in one fingerprint first (partial aggregate), so only distinct fingerprints are
     expanded; components are found on fingerprints and joined back to the rows.
     """
-    rows = written(fingerprints(docs, id_col, text_col, words_per_shingle), "simhash")
+    return components(docs, id_col, text_col, words_per_shingle, radius).select("doc_id", "fp", "component_id")
+
+
+def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 3,
+               radius: int = 3, also: tuple[str, ...] = ()) -> DataFrame:
+    """:func:`near_duplicates` with ``root``, the smallest fingerprint of the component (components
+    of different texts under one id may share their ``component_id``), and the columns ``also``."""
+    rows = written(fingerprints(docs, id_col, text_col, words_per_shingle, also), "simhash")
     distinct = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("low")))
     roots = connected_components(link_fingerprints(distinct, radius))
     rooted = (distinct.join(roots, F.col("fp") == F.col("node"), "left")
               .select("fp", "low", F.coalesce("root", "fp").alias("root")))
     smallest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    component = rooted.join(smallest, "root").select(F.col("fp").alias("cfp"), "component_id")
-    return (rows.join(component, F.col("fp") == F.col("cfp"))
-            .select("doc_id", "fp", "component_id"))
+    component = rooted.join(smallest, "root").select(F.col("fp").alias("cfp"), "root", "component_id")
+    return rows.join(component, F.col("fp") == F.col("cfp")).select("doc_id", "fp", *also, "root", "component_id")
 
 
 def hex16(fp: str) -> Column:

@@ -43,6 +43,18 @@ def test_dedup_stage_keeps_documents_without_an_id(spark):
     assert sorted(((r[0] or 0), r[1]) for r in kept.select("doc_id", "text").collect()) == [(0, two), (3, ""), (4, one), (9, three)]
 
 
+def test_dedup_stage_keeps_a_row_of_every_component(spark):
+    """One id with several texts, of which some are copies of other ids' rows."""
+    one, two, three = ("one text that stands for itself", "another text and nothing like it", "a third one with other words in it")
+    rows = [(2, one), (2, two), (2, two), (5, two), (5, three), (7, three), (1, one)]
+    docs = spark.createDataFrame([(i, t, None, "s", 1, 0.1, 2, "x") for i, t in rows], SCHEMA)
+    kept = corpus_pipeline.STAGES[2][1](spark, docs, SF01)
+    assert sorted(map(tuple, kept.select("doc_id", "text").collect())) == [(1, one), (2, two), (5, three)]
+    apart = docs.where("doc_id = 2")
+    kept = corpus_pipeline.STAGES[2][1](spark, apart, SF01)
+    assert sorted(map(tuple, kept.select("doc_id", "text").collect())) == sorted([(2, one), (2, two)])
+
+
 def test_language_stage_drops_only_what_has_no_letter(spark):
     table = spark.read.parquet(f"{SF01}/documents.parquet")
     extra = spark.createDataFrame([(10**6, None, None, None, None), (10**6 + 1, "", None, None, None), (10**6 + 2, "1 + 1", None, None, None)], table.schema)
