@@ -22,7 +22,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents of a known language: those without text or any letter (``und``) go."""
+    """Drop documents without text or any letter (``und``). Which language is predicted, and with
+    what score, has no effect here: a text with letters in no learned language passes."""
     prepare(spark)
     verdict = langid.scorer(language_model(spark, sf_dir))(F.col("text"))
     return docs.where(verdict["lang"] != "und")
