@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, langid, neardup, packing, simhash, spm, tokencount, topk, toxicity, urlfilter
+from . import chat, langid, neardup, packing, prefixtrie, quality, simhash, spm, tokencount, topk, toxicity, urlfilter, whitening
 from .common import table
 
 QUERIES: dict = {}
@@ -222,3 +222,70 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (langid.identify(docs, language_model(spark, sf_dir))
             .select("doc_id", langid.held_out("doc_id", 3, 1).alias("held_out"), F.col("language.lang").alias("lang_pred"),
                     F.col("language.score").alias("score")))
+
+
+@query("op11_embedding_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 11 over all embeddings: eight components."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=8)
+
+
+@query("op12_quality_rules")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 12 over all documents: hard floor, then robust distances per language and source."""
+    return quality.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
+# crc32 of the decimal number: eight shifts for every character
+CRC_SQL = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+    string_split(conv_id::VARCHAR, ''), lambda ch: [256 + ord(ch), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda acc, e: CASE WHEN e >= 0 THEN xor(acc, e - 256) ELSE xor(acc >> 1, 3988292384 * (acc & 1)) END))"""
+
+OP13_SQL = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+         sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT conv_id, {CRC_SQL} % 6 AS h, conv_id - conv_id % 100 AS anchor FROM (SELECT DISTINCT conv_id FROM t)),
+rebuilt AS (
+  SELECT c.conv_id, a.pos, a.role, a.text FROM convs c JOIN t a ON a.conv_id = c.anchor AND a.pos < c.h
+  UNION ALL SELECT c.conv_id, o.pos, o.role, o.text FROM convs c JOIN t o ON o.conv_id = c.conv_id AND o.pos >= c.h),
+seqs AS (
+  SELECT convs.conv_id, coalesce(list({{'role': role, 'text': text}} ORDER BY pos) FILTER (pos IS NOT NULL), []) AS seq
+  FROM convs LEFT JOIN rebuilt ON convs.conv_id = rebuilt.conv_id GROUP BY convs.conv_id),
+prefixes AS (SELECT conv_id, seq, unnest(range(len(seq) + 1)) AS depth FROM seqs),
+nodes AS (
+  SELECT depth, seq[1:depth] AS path, min(conv_id) AS conv_id, count(*) AS n_convs,
+         string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = len(seq)) AS ends
+  FROM prefixes GROUP BY ALL),
+linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND c.path[1:n.depth] = n.path) AS n_children
+  FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]),
+under AS (
+  SELECT a.depth, a.path, count(*) FILTER (d.n_children = 0) AS n_leaves,
+         sum(CASE WHEN d.depth = 0 THEN 0 ELSE (d.n_convs - 1) * length(d.path[d.depth].text) END)::BIGINT AS saved_tokens
+  FROM linked d JOIN nodes a ON a.depth <= d.depth AND a.path = d.path[1:a.depth] GROUP BY ALL)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
+FROM linked JOIN under USING (depth, path)
+"""
+
+
+@query("op13_conversation_prefix_trie", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 13 over all conversations, each rebuilt to begin like the one its hundred begins with."""
+    turns = prefixtrie.encode(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    members = turns.select("conv_id").distinct()
+    opening = turns.where((F.col("conv_id") % 100 == 0) & (F.col("pos") < 5)).withColumnRenamed("conv_id", "anchor")
+    known = opening.groupBy("anchor").agg(F.count(F.lit(1)).alias("there"))
+    head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    plans = (members.withColumns({"h": head, "anchor": F.col("conv_id") - F.col("conv_id") % 100}).join(known, "anchor", "left")
+             .withColumn("taken", F.least("h", F.coalesce("there", F.lit(0)))))
+    begun = plans.join(opening, "anchor").where("pos < h").select("conv_id", "pos", "token", "chars")
+    own = (turns.join(plans.select("conv_id", "h", "taken"), "conv_id").where("pos >= h")
+           .select("conv_id", (F.col("pos") - F.col("h") + F.col("taken")).alias("pos"), "token", "chars"))
+    nodes, ends = prefixtrie.build(begun.unionByName(own), members)
+    digests = prefixtrie.digest_of_ends(ends)
+    ended = nodes.where("end_key is not null").join(digests, "end_key")
+    rest = nodes.where("end_key is null").withColumn("ends_sha256", F.sha2(F.lit("").cast("binary"), 256))
+    return ended.unionByName(rest).drop("end_key")
