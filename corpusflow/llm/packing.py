@@ -6,7 +6,8 @@ themselves; the rest goes through :class:`DotProductPacker`.
 
 Defined results: a null text is the empty text (with ``end_id`` it is one token; without, it has
 no piece); a null id stays null and is packed like any other; repeated rows are packed as often as
-they come; an empty table gives no rows; other columns are ignored.
+they come; an empty table gives no rows; other columns are ignored. Texts are encoded whole, whatever
+their length: those with runs of white space beyond the fast engine's stack by the file's own library.
 """
 
 from __future__ import annotations
@@ -30,24 +31,35 @@ PLACED_DDL = ("doc_id long, start long, ids binary, doc_tokens long, loss_tokens
 
 @functools.lru_cache(maxsize=2)
 def byte_bpe(path: str) -> Callable[[str], np.ndarray]:
-    """Encoder of a byte-level BPE vocabulary file (JSON): text -> uint32 ids, no special tokens.
+    """Encoder of a byte-level BPE vocabulary file (JSON): text -> uint32 ids; none are added, and the
+    string of an added token within a text is that token.
 
     The vocabulary's own ids rank its merges, so the file is run by the faster of the two
-    installed engines; tests hold its ids against the file's own library.
+    installed engines; tests hold its ids against the file's own library, which encodes what the
+    fast one gives up on.
     """
     import tiktoken
     from public_tokenizers import PATTERN
+    from tokenizers import Tokenizer
 
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    special = {t["content"] for t in spec.get("added_tokens", [])}
+    special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
     # byte-level files write byte b as a printable character: itself, or 256 + its turn
     plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
     byte_of = {chr(b): b for b in plain}
     byte_of |= {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(plain))}
     ranks = {bytes(byte_of[c] for c in piece): i for piece, i in spec["model"]["vocab"].items() if piece not in special}
-    engine = tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return lambda text: engine.encode_to_numpy(text, disallowed_special=())
+    engine = tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    library = functools.cache(lambda: Tokenizer.from_file(path))
+
+    def encode(text: str) -> np.ndarray:
+        try:
+            return engine.encode_to_numpy(text, allowed_special="all")
+        except ValueError:  # its pattern backtracks through a run of white space of some 100,000 characters
+            return np.array(library().encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+
+    return encode
 
 
 class DotProductPacker:
