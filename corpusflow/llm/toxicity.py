@@ -7,15 +7,18 @@ over a whole text give its spans, and a small logistic regression on their maxim
 their share gives the document score.
 
 Defined results: a null or empty text, or one without words, has no spans and the score of a text
-without any sign of toxicity; if no toxic labels are given, every score is 0; repeated rows are
-scored alike; an empty table gives no rows; other columns are kept (one named ``toxicity`` is
-replaced); labels without a document and documents without an id teach nothing.
+without any sign of toxicity; if nothing can be learned (a class without a text that has a word and
+fits the bounds, or no feature that marks the toxic ones) every score is 0 and ``fit`` warns; repeated
+rows are scored alike; an empty table gives no rows; other columns are kept (one named ``toxicity`` is
+replaced); labels without a document and documents without an id or a word teach nothing and take no
+place in the sample.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import warnings
 from collections import Counter
 from collections.abc import Iterator
 
@@ -248,48 +251,60 @@ def fit_crf(ids: np.ndarray, tags: np.ndarray, n_features: int, steps: int = 120
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", max_docs: int = 4000, max_chars: int = 12_000_000, max_windows: int = 2400) -> ToxicityModel:
-    """Learn from at most ``max_docs`` labelled documents (the first by a hash of the id) and at
-    most ``max_chars`` of their characters, taken as whole texts in that order; both bound what
-    comes to the driver. A text that does not fit into what is left of the characters is passed
-    over and those after it are still taken; rows of one id count as one document (the greatest
-    text). One document of each group of near copies (same smallest shingle hash) counts, so that
-    copies do not make their rare words look like a rule. Of their windows at most ``max_windows``
-    fit the CRF (half around labelled tokens, half clean, each thinned by a fixed stride), over the
-    4,000 lexicon features of the greatest likelihood ratio. All this bounds training only: whole
-    texts are scored."""
+    """Learn from at most ``max_docs`` labelled documents and at most ``max_chars`` of their
+    characters, taken as whole texts; both bound what comes to the driver. A document is a different
+    text with a word: texts are looked at before places are given, rows of one id are one document
+    (the text of the greatest hash) and so are copies under one label. Places go by a hash of the id,
+    over both classes alike but for a tenth of them, which each class has if it has so many documents;
+    the score's intercept is set back to the classes' rates among all labelled documents. The rarer
+    class may take half of the characters, the other what is left; a text that does not fit is passed
+    over and those after it are still taken. One document of each group of near copies (same smallest
+    shingle hash) counts, so that copies do not make their rare words look like a rule. Of their windows
+    at most ``max_windows`` fit the CRF (half around labelled tokens, half clean, each thinned by a fixed
+    stride), over the 4,000 lexicon features of the greatest likelihood ratio. All this bounds training
+    only: whole texts are scored. If nothing can be learned, a warning says why."""
     prepare(docs.sparkSession)
     marked = (labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
               .agg(F.max(label_col).alias("_label")))
-    docs = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    picked = (docs.select("_id").join(marked, "_id").groupBy("_id").agg(F.max("_label").alias("_label"))
-              .orderBy(F.xxhash64("_id"), "_id").limit(max_docs).collect())  # ids only: texts are read once, below
-    label_of = {r["_id"]: int(r["_label"] > 0) for r in picked}
-
-    def only(ids) -> DataFrame:
-        return F.broadcast(docs.sparkSession.createDataFrame([(k,) for k in ids], "_id long"))
-
-    sample = cut_lineage(docs.where("_text is not null").join(only(label_of), "_id", "left_semi")
-                         .groupBy("_id").agg(F.max("_text").alias("_text")))
-    length = {r["_id"]: r["_n"] for r in sample.select("_id", F.length("_text").alias("_n")).collect()}
-    total, keep = 0, {}
-    for k, label in label_of.items():
-        if k in length and total + length[k] <= max_chars:
-            total += length[k]
-            keep[k] = label
+    docs = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
+            .where(F.col("_id").isNotNull() & F.col("_text").rlike(r"(?U)\w")).withColumn("_t", F.xxhash64("_text")))
+    # narrow rows: one text of each id, then one id of each text and label
+    told = (docs.select("_id", "_t", F.length("_text").alias("_n")).join(marked, "_id").groupBy("_id")
+            .agg(F.max(F.struct("_t", "_n")).alias("of"), F.max(F.col("_label") > 0).cast("int").alias("label")))
+    told = cut_lineage(told.groupBy(F.col("of._t").alias("_t"), "label").agg(F.min(F.struct(F.xxhash64("_id").alias("h"), "_id")).alias("at"), F.max("of._n").alias("n")))
+    rates = {r["label"]: r["count"] for r in told.groupBy("label").count().collect()}
+    if len(rates) < 2:
+        return _nothing("no labelled text with a word in each class")
+    chosen = {k: [(r["at"]["h"], r["at"]["_id"], r["_t"], r["n"]) for r in told.where(F.col("label") == k).orderBy("at.h", "at._id").limit(max_docs).collect()]
+              for k in (0, 1)}
+    first = sorted([(*row, k) for k in chosen for row in chosen[k]])[:max_docs]
+    least = max(1, max_docs // 10)
+    rare = min(rates, key=lambda k: (rates[k], k))
+    places = {rare: max(sum(row[-1] == rare for row in first), min(rates[rare], least))}
+    places[1 - rare] = max_docs - places[rare]
+    keep, room = {}, max_chars // 2
+    left = max_chars
+    for k in (rare, 1 - rare):
+        for _, doc_id, t, n in chosen[k][:places[k]]:
+            if n <= room:
+                room, left = room - n, left - n
+                keep[doc_id, t] = k
+        room = left
     if len(set(keep.values())) < 2:
-        return ToxicityModel()
-    rows = sample.join(only(keep), "_id", "left_semi").collect()
+        return _nothing("no text that fits into the characters in each class")
+    wanted = F.broadcast(docs.sparkSession.createDataFrame([(*key, k) for key, k in keep.items()], "_id long, _t long, _label int"))
+    rows = docs.join(wanted, ["_id", "_t"]).groupBy("_id", "_t", "_label").agg(F.min("_text").alias("_text")).select("_id", "_text", "_label").collect()
     texts: dict[tuple, tuple] = {}
-    for doc_id, text in sorted(rows, key=lambda r: (r[0], r[1] or "")):
-        words = [w.lower() for w in WORD.findall(text or "")]
+    for _, text, label in sorted(rows):
+        words = [w.lower() for w in WORD.findall(text)]
         if words:
             copy_of = min(hash_of(" ".join(words[i:i + 5])) for i in range(max(1, len(words) - 4)))
-            texts.setdefault((copy_of, keep[doc_id]), (words, keep[doc_id]))
+            texts.setdefault((copy_of, label), (words, label))
     del rows
     sample = [texts[k] for k in sorted(texts)]
     names = lexicon([(Counter(words), label) for words, label in sample])
     if not names:
-        return ToxicityModel()
+        return _nothing("no feature of the texts marks the toxic ones")
     index = {f: i + 1 for i, f in enumerate(names)}
     ids, tags = _windows(sample, index, max_windows)
     weights, bias, start, trans = fit_crf(ids, tags, len(names))
@@ -297,11 +312,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     evidence = []
     for at in range(0, len(sample), 500):
         evidence.append(model.evidence(model.marginals([words for words, _ in sample[at:at + 500]])))
-    model.head = logistic(np.concatenate(evidence), np.array([label for _, label in sample], dtype=float))
+    truth = np.array([label for _, label in sample], dtype=float)
+    model.head = logistic(np.concatenate(evidence), truth)
+    if rates[rare] > places[rare] > sum(row[-1] == rare for row in first):  # the rarer class was given more places than its share
+        model.head[-1] += math.log(rates[1] / rates[0]) - math.log(truth.sum() / (len(truth) - truth.sum()))
     model._memo = {}
     return model
 
 
+def _nothing(why: str) -> ToxicityModel:
+    warnings.warn(f"toxicity: nothing learned, every score is 0: {why}", RuntimeWarning, stacklevel=3)
+    return ToxicityModel()
+
+
 def hash_of(shingle: str) -> int:
     import xxhash
 
