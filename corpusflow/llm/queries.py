@@ -38,7 +38,7 @@ def word_piece_automaton() -> tokencount.LongestMatch:
     return tokencount.load(public_tokenizers.path("piece_bpe_32k.model"))
 
 
-HOST_SQL = r"rtrim(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?([^/?#:@]+)', 1)), '.')"
+HOST_SQL = r"regexp_replace(rtrim(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?([^/?#:@]+)', 1)), '.'), '(?s)^.{254,}$', '')"
 SEGMENT_SQL = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)', 1)"
 
 OP1_SQL = f"""

@@ -11,7 +11,8 @@ and what a bucket starts with comes from one summary row per pattern and bucket.
 with a third of all captures nor a pattern with most entries meets in one task.
 
 Defined results: a null or unparsable URL falls under no pattern, a null fetch time under no
-interval: both are allowed with no pattern. Entries with a null pattern, time or unknown action
+interval: both are allowed with no pattern. A host of more than 253 characters, which no domain name
+has, is unparsable; a URL may be of any length. Entries with a null pattern, time or unknown action
 are ignored; of several entries of a pattern at one time ``block`` wins over ``allow`` over
 ``remove``; an entry is active at its own time. Repeated captures give one row; empty tables of
 captures give no rows; other columns are ignored.
@@ -27,8 +28,10 @@ RANK = {"remove": 0, "allow": 1, "block": 2}
 
 
 def host_of(url: Column) -> Column:
-    """Lower-case host of a URL, without user, port and the dots behind a rooted name."""
-    return F.rtrim(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?([^/?#:@]+)", 1)), F.lit("."))
+    """Lower-case host of a URL, without user, port and the dots behind a rooted name; empty if it
+    is longer than a domain name can be."""
+    host = F.rtrim(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?([^/?#:@]+)", 1)), F.lit("."))
+    return F.regexp_replace(host, r"(?s)^.{254,}$", "")
 
 
 def segment_of(url: Column) -> Column:
