@@ -35,13 +35,33 @@ def check_sequences(pdf, limit=2048):
 def test_ids_equal_the_files_own_library():
     from tokenizers import Tokenizer
     own = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    own.encode_special_tokens = True
     encode = packing.byte_bpe(P.path("byte_bpe_50k.json"))
     rng = random.Random(3)
     texts = [t or "" for t in EDGES] + ["".join(chr(rng.choice([rng.randrange(32, 127), rng.randrange(160, 0xD800), rng.randrange(0x10000, 0x1F900), 10, 32])) for _ in range(60)) for _ in range(200)]
+    texts += ["<|endoftext|>", "a<|endoftext|><|endoftext|> b", " <|endoftext|>\n\n c", "<|endoftext|", "x \n <|endoftext|>y"]
     assert [encode(t).tolist() for t in texts] == [e.ids for e in own.encode_batch(texts, add_special_tokens=False)]
 
 
+@pytest.mark.parametrize("run", [" ", "\n", " \n\t\u3000", "a", "1", "!?"])
+def test_ids_of_very_long_runs(run):
+    from tokenizers import Tokenizer
+    own = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    encode = queries.byte_bpe_encoder()
+    for text in (run * (2_000_000 // len(run)), "x" + run * (1_000_000 // len(run)) + "y <|endoftext|> z"):
+        assert np.array_equal(encode(text), own.encode(text, add_special_tokens=False).ids)
+
+
+def test_ids_of_every_document(spark):
+    from tokenizers import Tokenizer
+    own = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    rows = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text").toPandas()
+    ids = {d: np.array([*own.encode(t or "", add_special_tokens=False).ids, 1], dtype="<u4") for d, t in zip(rows.doc_id, rows.text)}
+    got = queries.op8(spark, SF01).toPandas()
+    assert set(got.doc_id) == set(ids)
+    for d, start, length, crc, whole in zip(got.doc_id, got.start, got.length, got.ids_crc32, got.doc_tokens):
+        assert whole == len(ids[d]) and zlib.crc32(ids[d][start:start + length].tobytes()) == crc
+
+
 def test_packing_edges(spark, edges):
     got = packing.pieces(packing.pack(edges, queries.byte_bpe_encoder, end_id=1, cut=True)).toPandas()
     check_sequences(got)
@@ -196,6 +216,37 @@ def test_toxicity_held_out(spark):
     assert (held.predicted == held.toxic).mean() > 0.92 and held[held.toxic == 0].predicted.mean() < 0.02
 
 
+def test_toxicity_places_go_to_texts(spark):
+    F = queries.F
+    table, labels = spark.read.parquet(f"{SF01}/documents.parquet"), spark.read.parquet(f"{SF01}/labels.parquet")
+    columns = labels.select("doc_id", "toxic")
+    empty = spark.range(10_000, 14_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, "").alias("text"))
+    more = columns.unionByName(empty.select("doc_id", F.lit(1).alias("toxic")))
+    want = toxicity.fit(table, columns, max_docs=400)
+    got = toxicity.fit(table.select("doc_id", "text").unionByName(empty), more, max_docs=400)
+    assert len(want.weights) > 20 and got.weights == want.weights and np.allclose(got.head, want.head)
+
+
+def test_toxicity_learns_a_rare_class(spark):
+    F = queries.F
+    table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    rare = labels.where((F.col("toxic") == 0) | (F.pmod(F.hash("doc_id"), F.lit(10)) == 0))  # about 1 %
+    model = toxicity.fit(table, rare, max_docs=300)
+    assert len(model.weights) > 10
+    score = F.col("toxicity.score")
+    said = toxicity.score(table.join(labels, "doc_id"), model).groupBy("toxic").agg(F.avg((score >= 0.3).cast("int")).alias("share")).collect()
+    said = {r["toxic"]: r["share"] for r in said}
+    assert said[0] < 0.02 and said[1] > 0.3
+
+
+def test_toxicity_says_when_it_learned_nothing(spark):
+    table = docs(spark, ["good text", "bad text", None])
+    for marks in ([(0, 0), (1, 0)], [(0, 0), (2, 1)], [(0, 0), (1, 1)]):
+        with pytest.warns(RuntimeWarning, match="nothing learned"):
+            assert not toxicity.fit(table, spark.createDataFrame(marks, "doc_id long, toxic int")).weights
+
+
 def test_toxicity_sample_passes_over_what_does_not_fit(spark):
     table, labels = spark.read.parquet(f"{SF01}/documents.parquet"), spark.read.parquet(f"{SF01}/labels.parquet")
     F = queries.F
