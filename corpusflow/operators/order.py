@@ -19,6 +19,10 @@ policy is a column of its polls, so all policies run in one pass:
   polls of one (run, source), never over articles.
 * the accepted keys are semi-joined back to the payload, once.
 
+A run can be taken up again (``continue_run``): what the rules need of the polls
+before is one row of counters per run and the publish dates it has seen, so the
+polls that came since are judged without those before.
+
 Every rule returns whole results: no row is sampled or capped beyond the
 rule itself.
 """
@@ -106,25 +110,39 @@ def first_seen(rows: DataFrame, r: PollRules = STD) -> DataFrame:
 # ---------------------------------------------------------------------------
 # frames
 
-def read_polls(articles: DataFrame, polls: DataFrame, r: PollRules) -> DataFrame:
-    """Polls the collector reads, with their turn, policy and W1 position."""
+def _bad(polls: DataFrame, r: PollRules) -> Column:
+    """A poll that failed, or lacks the total its source needs."""
+    bad = F.coalesce(F.col("status") != 200, F.lit(True))
+    if "total_results" not in polls.columns:
+        return bad
+    needs_total = F.col("stop_variant") == "trailing_repeat" if "stop_variant" in polls.columns else F.lit(r.require_total_results)
+    return bad | (needs_total & (F.coalesce("total_results", F.lit(0)) <= 0))
+
+
+#: What a run's later polls need of those before: polls read, duplicates, polls without
+#: growth, rows, rows up to the last new one less those behind it, new rows, falsy bodies
+#: counted by W5; and whether a rule has ended the run.
+COUNTERS = ["turns", "dups", "no_growth", "rows", "rows_at_new", "news", "flags"]
+
+
+def read_polls(articles: DataFrame, polls: DataFrame, r: PollRules, before: DataFrame | None = None) -> DataFrame:
+    """Polls the collector reads, with their turn, policy and W1 position. ``before``
+    holds the counters of runs that are taken up again: one that ended reads nothing."""
     own = {c: F.col(c) if c in polls.columns else F.lit(getattr(r, c))
            for c in ("null_policy", "stop_variant", "status_policy")}
-    bad = F.coalesce(F.col("status") != 200, F.lit(True))
-    if "stop_variant" in polls.columns:
-        needs_total = F.col("stop_variant") == "trailing_repeat"
-    else:
-        needs_total = F.lit(r.require_total_results)
-    if "total_results" in polls.columns:
-        bad = bad | (needs_total & (F.coalesce("total_results", F.lit(0)) <= 0))
+    bad = _bad(polls, r)
     run = Window.partitionBy(*r.keys)
     stops = F.min(F.when(F.col("_bad") & (F.col("status_policy") == "stop"), F.col("poll_no"))).over(run)
-    p = (polls.select(*_pkeys(r), *(c.alias(n) for n, c in own.items()), bad.alias("_bad"))
-              .withColumn("_stops", stops)
-              .where((F.col("status_policy") == "none") | ~F.col("_bad"))
-              .where((F.col("status_policy") != "stop") | F.col("_stops").isNull() | (F.col("poll_no") < F.col("_stops")))
-              .withColumn("_turn", F.row_number().over(run.orderBy("poll_no")))
-              .select(*_turns(r), "poll_no", "null_policy", "stop_variant"))
+    p = polls.select(*_pkeys(r), *(c.alias(n) for n, c in own.items()), bad.alias("_bad"))
+    turn = F.row_number().over(run.orderBy("poll_no"))
+    if before is not None:
+        p = p.join(before.select(*r.keys, "turns", "ended"), list(r.keys), "left").where(~F.coalesce("ended", F.lit(False)))
+        turn = (turn + F.coalesce("turns", F.lit(0))).cast("int")
+    p = (p.withColumn("_stops", stops)
+          .where((F.col("status_policy") == "none") | ~F.col("_bad"))
+          .where((F.col("status_policy") != "stop") | F.col("_stops").isNull() | (F.col("poll_no") < F.col("_stops")))
+          .withColumn("_turn", turn)
+          .select(*_turns(r), "poll_no", "null_policy", "stop_variant"))
     failed = (articles.where(F.col(r.content).isNull()).groupBy(*_pkeys(r))
                       .agg(F.min("pos").alias("_first_fail")))
     return p.join(failed, _pkeys(r), "left")
@@ -145,11 +163,18 @@ def surviving_rows(articles: DataFrame, polls: DataFrame, r: PollRules) -> DataF
                           (~policy.isin("skip_falsy", "as_dup") | F.col("_truthy")).alias("_elig"), "stop_variant"))
 
 
-def new_rows(rows: DataFrame, r: PollRules) -> DataFrame:
-    """W2 on narrow rows: (keys, turn, pos) of the first eligible row per date."""
+def new_rows(rows: DataFrame, r: PollRules, seen: DataFrame | None = None) -> DataFrame:
+    """W2 on narrow rows: (keys, date, turn, pos) of the first eligible row per date,
+    without the dates a run has ``seen`` before: these came first, as number -1."""
     number = F.shiftleft(F.col("_turn").cast("long"), POS_BITS) + F.col("pos")
-    first = rows.where("_elig").groupBy(*r.keys, *r.date_keys).agg(F.min(number).alias("_n"))
-    return first.select(*r.keys, F.shiftright("_n", POS_BITS).cast("int").alias("_turn"),
+    dated = [*r.keys, *r.date_keys]
+    numbered = rows.where("_elig").select(*dated, number.alias("_n"))
+    if seen is not None:
+        numbered = numbered.unionByName(seen.select(*dated, F.lit(-1).cast("long").alias("_n")))
+    first = numbered.groupBy(*dated).agg(F.min("_n").alias("_n"))
+    if seen is not None:
+        first = first.where("_n >= 0")
+    return first.select(*dated, F.shiftright("_n", POS_BITS).cast("int").alias("_turn"),
                         F.col("_n").bitwiseAND((1 << POS_BITS) - 1).alias("pos"))
 
 
@@ -192,21 +217,30 @@ def _row_counters(f: DataFrame, rows: DataFrame, r: PollRules, variants) -> Data
     return f
 
 
-def stop_rules(f: DataFrame, r: PollRules, variants) -> DataFrame:
+def stop_rules(f: DataFrame, r: PollRules, variants, before: DataFrame | None = None) -> DataFrame:
     """W4-W7 over the polls of a run: running counters, ``stop``, and the polls
-    kept with the position before which their rows count (NULL: all)."""
+    kept with the position before which their rows count (NULL: all). The counters
+    of a run that is taken up again start at those ``before``."""
     run = Window.partitionBy(*r.keys)
     so_far = run.orderBy("_turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     variant = F.col("stop_variant")
-    f = (f.withColumn("cum_dups", F.sum("n_dup").over(so_far))
-          .withColumn("cum_no_growth", F.sum((F.col("n_new") == 0).cast("int")).over(so_far)))
+    if before is not None:
+        was = before.select(*r.keys, *(F.col(c).alias(f"_was_{c}") for c in COUNTERS))
+        f = f.join(was, list(r.keys), "left").fillna(0, subset=[f"_was_{c}" for c in COUNTERS])
+
+    def carried(name: str, value: Column) -> Column:
+        return value if before is None else value + F.col(f"_was_{name}")
+
+    f = (f.withColumn("cum_dups", carried("dups", F.sum("n_dup").over(so_far)))
+          .withColumn("cum_no_growth", carried("no_growth", F.sum((F.col("n_new") == 0).cast("int")).over(so_far))))
     stop = ((F.col("cum_dups") > r.max_dups)
             | ((variant != "inpage") & (F.col("cum_no_growth") >= r.max_no_growth)))
     if "trailing_repeat" in variants:
         # repeats since the last new row = rows so far - rows up to it
-        f = f.withColumn("_rows", F.sum("n_rows").over(so_far))
+        f = f.withColumn("_rows", carried("rows", F.sum("n_rows").over(so_far)))
         upto = F.max(F.when(F.col("n_new") > 0, F.col("_rows") - F.col("_trail"))).over(so_far)
-        f = f.withColumn("_rep", F.col("_rows") - F.coalesce(upto, F.lit(0)))
+        f = f.withColumn("_upto", F.coalesce(upto, F.lit(0) if before is None else F.col("_was_rows_at_new")))
+        f = f.withColumn("_rep", F.col("_rows") - F.col("_upto"))
         stop = stop | ((variant == "trailing_repeat") & (F.col("_rep") == r.rep_stop))
     f = f.withColumn("stop", stop)
     last = F.min(F.when(F.col("stop"), F.col("_turn"))).over(run)
@@ -214,10 +248,10 @@ def stop_rules(f: DataFrame, r: PollRules, variants) -> DataFrame:
     if "cap" in variants:
         # tested before a poll: the poll that meets a full collection is not made
         held = F.coalesce(F.sum("n_new").over(run.orderBy("_turn").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        f = f.withColumn("_full", (variant == "cap") & (held >= r.cap))
+        f = f.withColumn("_full", (variant == "cap") & (carried("news", held) >= r.cap))
         last = F.least(last, F.min(F.when(F.col("_full"), F.col("_turn") - 1)).over(run))
     if "inpage" in variants:
-        f = f.withColumn("_cum_flag", F.sum("_n_flag").over(so_far))
+        f = f.withColumn("_cum_flag", carried("flags", F.sum("_n_flag").over(so_far)))
         f = f.withColumn("_ends", F.min(F.when((variant == "inpage") & (F.col("_cum_flag") >= r.max_no_growth),
                                                F.col("_turn"))).over(run))
         last = F.least(last, F.col("_ends"))
@@ -229,16 +263,17 @@ def stop_rules(f: DataFrame, r: PollRules, variants) -> DataFrame:
 # ---------------------------------------------------------------------------
 # the operator
 
-def _frames(articles: DataFrame, polls: DataFrame, r: PollRules, materialize: bool, variants):
+def _frames(articles: DataFrame, polls: DataFrame, r: PollRules, materialize: bool, variants,
+            before: DataFrame | None = None, seen: DataFrame | None = None):
     cut = cut_lineage if materialize else (lambda df: df)
-    p = cut(read_polls(articles, polls, r))  # poll-level: read by the rows and the counters
+    p = cut(read_polls(articles, polls, r, before))  # poll-level: read by the rows and the counters
     rows = cut(surviving_rows(articles, p, r))  # narrow: read by W2 and the counters
-    new = new_rows(rows, r)
+    new = new_rows(rows, r, seen)
     f = poll_counts(p, rows, new, r)
     if {"inpage", "trailing_repeat"} & set(variants):
         new, f = cut(new), cut(f)
         f = _row_counters(f, rows, r, variants)
-    return new, stop_rules(f, r, variants)
+    return new, stop_rules(f, r, variants, before)
 
 
 def poll_report(articles: DataFrame, polls: DataFrame, r: PollRules = STD, materialize: bool = True) -> DataFrame:
@@ -248,6 +283,14 @@ def poll_report(articles: DataFrame, polls: DataFrame, r: PollRules = STD, mater
     return f.select(*_pkeys(r), "n_rows", "n_new", "n_dup", "cum_dups", "cum_no_growth", "stop")
 
 
+def _collected(articles: DataFrame, new: DataFrame, f: DataFrame, r: PollRules) -> DataFrame:
+    kept = f.where(F.col("_last").isNull() | (F.col("_turn") <= F.col("_last"))).select(*_turns(r), "poll_no", "_limit")
+    accepted = (new.join(kept, _turns(r)).where("_limit is null or pos < _limit")
+                   .select(*_pkeys(r), "pos"))
+    # payload back for the accepted rows only; (keys, poll_no, pos) is unique
+    return articles.join(accepted, _pkeys(r) + ["pos"], "left_semi")
+
+
 def accept_articles(articles: DataFrame, polls: DataFrame, r: PollRules = STD, materialize: bool = True) -> DataFrame:
     """The articles a fetch run collects, in the columns of ``articles``.
 
@@ -257,8 +300,31 @@ def accept_articles(articles: DataFrame, polls: DataFrame, r: PollRules = STD, m
     """
     variants = VARIANTS if "stop_variant" in polls.columns else (r.stop_variant,)
     new, f = _frames(articles, polls, r, materialize, variants)
-    kept = f.where(F.col("_last").isNull() | (F.col("_turn") <= F.col("_last"))).select(*_turns(r), "poll_no", "_limit")
-    accepted = (new.join(kept, _turns(r)).where("_limit is null or pos < _limit")
-                   .select(*_pkeys(r), "pos"))
-    # payload back for the accepted rows only; (keys, poll_no, pos) is unique
-    return articles.join(accepted, _pkeys(r) + ["pos"], "left_semi")
+    return _collected(articles, new, f, r)
+
+
+def continue_run(articles: DataFrame, polls: DataFrame, before: DataFrame, seen: DataFrame,
+                 r: PollRules = STD) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """W1-W8 on the polls that came since: (articles collected, counters after them, dates
+    they add to those seen).
+
+    ``before`` has one row per run (keys, ``COUNTERS``, ``ended``; a run without a row
+    begins), ``seen`` its dates. ``polls`` come after all that ``before`` counts. Runs
+    without a poll here have no row in the counters after.
+    """
+    before, seen = cut_lineage(before), cut_lineage(seen)
+    new, f = _frames(articles, polls, r, True, VARIANTS, before, seen)
+    new, f = cut_lineage(new), cut_lineage(f)
+    # a poll of a bad status ends its run where the policy says so, read or not
+    policy = F.col("status_policy") if "status_policy" in polls.columns else F.lit(r.status_policy)
+    stopped = polls.groupBy(*r.keys).agg(F.max(_bad(polls, r) & (policy == "stop")).alias("_stopped"))
+    counted = f.groupBy(*r.keys).agg(
+        F.max("_turn").alias("turns"), F.max("cum_dups").alias("dups"), F.max("cum_no_growth").alias("no_growth"),
+        F.max("_rows").alias("rows"), F.max("_upto").alias("rows_at_new"),
+        (F.sum("n_new") + F.max("_was_news")).alias("news"), F.max("_cum_flag").alias("flags"),
+        F.max(F.col("_last").isNotNull()).alias("_over"))
+    was = before.select(*r.keys, *(F.col(c).alias(f"_was_{c}") for c in [*COUNTERS, "ended"]))
+    after = (stopped.join(counted, list(r.keys), "left").join(was, list(r.keys), "left")
+             .select(*r.keys, *(F.coalesce(c, f"_was_{c}", F.lit(0)).cast("long").alias(c) for c in COUNTERS),
+                     F.expr("coalesce(_stopped, false) or coalesce(_over, false) or coalesce(_was_ended, false)").alias("ended")))
+    return _collected(articles, new, f, r), after, new.select(*r.keys, *r.date_keys)

@@ -126,6 +126,37 @@ def test_policies_as_columns_equal_one_pass_each(spark):
         assert got.get(src, set()) == set(simulate(plist, r)), (src, own[src])
 
 
+def test_continued_runs_equal_whole_runs(spark):
+    """Polls that come in several instalments, judged from counters and seen dates, collect what
+    the whole run collects; after its end a run collects nothing."""
+    import itertools
+    pairs = [("truncate", "std"), ("truncate", "trailing_repeat"), ("as_dup", "std"), ("skip_falsy", "inpage"), ("truncate", "cap")]
+    policies = [(n, v, s) for (n, v), s in itertools.product(pairs, ("stop", "skip", "none"))]
+    by_src, polls, arts = _gen(77, n_sources=90)
+    own = {src: policies[i % len(policies)] for i, src in enumerate(sorted(by_src))}
+    rnd = random.Random(3)
+    cuts = {src: sorted(rnd.sample(range(13), 2)) for src in by_src}
+    turn = lambda src, no: sum(no >= c for c in cuts[src])  # noqa: E731  the instalment of a poll
+    limits = dict(max_dups=15, rep_stop=3, cap=20, cleaned="cleaned")
+    rules = order.PollRules(**limits)
+    before = spark.createDataFrame([], "run_id string, source string, " + ", ".join(f"{c} long" for c in order.COUNTERS) + ", ended boolean")
+    seen = spark.createDataFrame([], "run_id string, source string, publishdate string")
+    got = {}
+    for part in range(3):
+        a = spark.createDataFrame([x for x in arts if turn(x[1], x[2]) == part], ART_SCHEMA)
+        p = spark.createDataFrame([(*x, *own[x[1]]) for x in polls if turn(x[1], x[2]) == part],
+                                  POLL_SCHEMA + ", null_policy string, stop_variant string, status_policy string")
+        kept, after, dates = order.continue_run(a, p, before, seen, rules)
+        for row in kept.select("source", "poll_no", "pos").collect():
+            got.setdefault(row.source, set()).add((row.poll_no, row.pos))
+        before = spark.createDataFrame(before.join(after, ["run_id", "source"], "left_anti").unionByName(after).collect(), before.schema)
+        seen = spark.createDataFrame(seen.unionByName(dates).collect(), seen.schema)
+    for src, plist in by_src.items():
+        n, v, s = own[src]
+        r = order.PollRules(null_policy=n, stop_variant=v, status_policy=s, require_total_results=v == "trailing_repeat", **limits)
+        assert got.get(src, set()) == set(simulate(plist, r)), (src, own[src], cuts[src])
+
+
 def _no(sql, old, new):
     assert old in sql
     return sql.replace(old, new)
