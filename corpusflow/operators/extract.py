@@ -1,8 +1,11 @@
 """X0-X26 / XO1-XO10: article body extraction with a rule table.
 
 Only tree selection runs in Python: an Arrow ``pandas_udf`` parses each page
-(stdlib ``html.parser``) and returns the text *pieces* a rule selects
-(paragraph texts, or one text per container) plus which container matched.
+once (stdlib ``html.parser``), whatever the number of rules asked of it, and
+returns for every rule the text *pieces* it selects (paragraph texts, or one
+text per container) plus which container matched. Elements are numbered in
+document order and kept by tag, so a selector looks at the elements of its tag
+only, and what a rule drops is left out of its own view of the tree.
 Everything after that -- dropping the last paragraphs, skipping paragraphs
 that contain a phrase, literal and regex deletes, joiners and suffixes,
 whitespace collapsing, trimming, the missing-container and status policies
@@ -47,13 +50,16 @@ _ENTITIES = {k[:-1]: v for k, v in _HTML5.items() if k.endswith(";")}
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "parent", "classes")
+    """An element; its descendants are those numbered ``order + 1`` to ``end``. ``by_tag`` is its
+    page's list of elements per tag, in document order (None: of any tag)."""
+    __slots__ = ("tag", "attrs", "children", "classes", "order", "end", "by_tag")
 
-    def __init__(self, tag, attrs, parent):
+    def __init__(self, tag, attrs, order, by_tag):
+        self.by_tag = by_tag
         self.tag = tag
         self.attrs = attrs
-        self.parent = parent
         self.children = []
+        self.order = self.end = order
         cls = attrs.get("class")
         self.classes = cls.split() if cls is not None else None
 
@@ -72,7 +78,8 @@ def _text(s, kind):
 class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=False)
-        self.root = Node("[document]", {}, None)
+        self.n, self.by_tag = 0, {None: []}
+        self.root = Node("[document]", {}, 0, self.by_tag)
         self.stack = [self.root]
         self.buf = []
 
@@ -91,7 +98,10 @@ class _Builder(HTMLParser):
     def handle_starttag(self, tag, attrs):
         self._flush()
         d = {k: "" if v is None else v for k, v in attrs}  # of a repeated attribute the last counts
-        n = Node(tag, d, self.stack[-1])
+        self.n += 1
+        n = Node(tag, d, self.n, self.by_tag)
+        self.by_tag[None].append(n)
+        self.by_tag.setdefault(tag, []).append(n)
         self.stack[-1].children.append(n)
         if tag not in VOID:
             self.stack.append(n)
@@ -109,9 +119,14 @@ class _Builder(HTMLParser):
     def _pop_to(self, tag):
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag == tag:
-                del self.stack[i:]
+                self._end(i)
                 return
 
+    def _end(self, i):
+        for n in self.stack[i:]:
+            n.end = self.n
+        del self.stack[i:]
+
     def handle_data(self, data):
         self.buf.append(data)
 
@@ -152,6 +167,7 @@ class _Builder(HTMLParser):
     def close(self):
         super().close()
         self._flush()
+        self._end(0)
 
 
 def parse(html: str) -> Node:
@@ -161,16 +177,6 @@ def parse(html: str) -> Node:
     return b.root
 
 
-def _iter_nodes(node):
-    """Descendant elements in document order (pre-order)."""
-    stack = list(reversed(node.children))
-    while stack:
-        n = stack.pop()
-        if isinstance(n, Node):
-            yield n
-            stack.extend(reversed(n.children))
-
-
 def _matches(n: Node, sel: dict) -> bool:
     if sel.get("tag") and n.tag != sel["tag"]:
         return False
@@ -189,31 +195,27 @@ def _matches(n: Node, sel: dict) -> bool:
     return True
 
 
-def find_all(node: Node, sel: dict) -> list:
-    return [n for n in _iter_nodes(node) if _matches(n, sel)]
+def find_all(node: Node, sel: dict, without=()) -> list:
+    """Matching descendants in document order; ``without``: elements left out, with all below
+    them, where they are below ``node``."""
+    own = [n for n in node.by_tag.get(sel.get("tag"), ()) if node.order < n.order <= node.end and _matches(n, sel)]
+    gone = [d for d in without if node.order < d.order <= node.end]
+    return [n for n in own if not any(d.order <= n.order <= d.end for d in gone)] if gone else own
 
 
 def find(node: Node, sel: dict):
-    for n in _iter_nodes(node):
-        if _matches(n, sel):
-            return n
-    return None
-
-
-def decompose(n: Node) -> None:
-    if n.parent is not None:
-        n.parent.children = [c for c in n.parent.children if c is not n]
-        n.parent = None
+    return next(iter(find_all(node, sel)), None)
 
 
-def get_text(node: Node, separator: str = "", strip: bool = False) -> str:
+def get_text(node: Node, separator: str = "", strip: bool = False, without=()) -> str:
     own_hidden = node.tag in HIDDEN_STRINGS
     out = []
     stack = list(reversed(node.children))
     while stack:
         c = stack.pop()
         if isinstance(c, Node):
-            stack.extend(reversed(c.children))
+            if c not in without:
+                stack.extend(reversed(c.children))
             continue
         if c.kind == "comment" or (c.kind == "hidden" and not own_hidden):
             continue
@@ -226,71 +228,74 @@ def get_text(node: Node, separator: str = "", strip: bool = False) -> str:
     return separator.join(out)
 
 
-def select_pieces(html: str, rule: dict):
+def select_pieces(page: Node | str, rule: dict):
     """Apply a rule's tree part: ``(level, pieces)``; level 0 = no container,
-    1 = main container, 2 = fallback container."""
-    root = parse(html)
+    1 = main container, 2 = fallback container. A parsed page is left as it is."""
+    root, gone = parse(page) if isinstance(page, str) else page, set()
     level = 1
     cont = rule.get("container")
     if cont is None:
         containers = [root]
-    elif rule.get("container_all"):
-        containers = find_all(root, cont)
     else:
-        c = find(root, cont)
-        containers = [c] if c is not None else []
+        containers = find_all(root, cont)[:None if rule.get("container_all") else 1]
     if containers and rule.get("inner"):
-        c = find(containers[0], rule["inner"])
-        containers = [c] if c is not None else []
+        containers = find_all(containers[0], rule["inner"])[:1]
     if not containers and rule.get("fallback"):
-        c = find(root, rule["fallback"])
-        containers = [c] if c is not None else []
+        containers = find_all(root, rule["fallback"])[:1]
         level = 2
     if not containers:
         return 0, []
     for c in containers:
         for sel in rule.get("drops") or []:
-            for d in find_all(c, sel):
-                decompose(d)
+            gone.update(find_all(c, sel, gone))
     strip = bool(rule.get("strip"))
     pieces = []
     if rule.get("text_mode") == "all":
         for c in containers:
-            pieces.append(get_text(c, rule.get("separator") or "", strip))
+            pieces.append(get_text(c, rule.get("separator") or "", strip, gone))
     else:
         para = rule.get("para") or {"tag": "p"}
         for c in containers:
-            for p in find_all(c, para):
+            for p in find_all(c, para, gone):
                 for sel in rule.get("para_drops") or []:
-                    for d in find_all(p, sel):
-                        decompose(d)
-                pieces.append(get_text(p, "", strip))
+                    gone.update(find_all(p, sel, gone))
+                pieces.append(get_text(p, "", strip, gone))
     return level, pieces
 
 
-PIECES = T.StructType([T.StructField("level", T.IntegerType()),
-                       T.StructField("pieces", T.ArrayType(T.StringType())),
-                       T.StructField("error", T.StringType())])
+SELECTED = T.ArrayType(T.StructType([T.StructField("rule_id", T.StringType()), T.StructField("level", T.IntegerType()),
+                                     T.StructField("pieces", T.ArrayType(T.StringType())), T.StructField("error", T.StringType())]))
 
 
 def pieces_udf(rules: dict[str, dict]):
-    """Arrow UDF ``(html, rule_id) -> struct(level, pieces, error)``; the rule
-    dict is small config shipped with the function."""
-
-    @F.pandas_udf(PIECES)
-    def _pieces(html: pd.Series, rule_id: pd.Series) -> pd.DataFrame:
-        lv, ps, er = [], [], []
-        for h, rid in zip(html, rule_id):
-            rule = rules.get(rid)
-            if rule is None or h is None:
-                lv.append(0), ps.append([]), er.append(None if h is None else "unknown rule")
-                continue
-            try:
-                a, b = select_pieces(h, rule)
-                lv.append(a), ps.append(b), er.append(None)
-            except Exception as e:  # noqa: BLE001 -- quarantined, not fatal
-                lv.append(0), ps.append([]), er.append(f"{type(e).__name__}: {e}")
-        return pd.DataFrame({"level": lv, "pieces": ps, "error": er})
+    """Arrow UDF ``(html, rule ids) -> array of (rule_id, level, pieces, error)``: one parse a
+    page. The rule dict is small config shipped with the function."""
+
+    def select(page, rule_id):
+        rule = rules.get(rule_id)
+        if page is None or rule is None:
+            return {"rule_id": rule_id, "level": 0, "pieces": [], "error": None if page is None else "unknown rule"}
+        try:
+            if isinstance(page, Exception):
+                raise page
+            level, pieces = select_pieces(page, rule)
+            return {"rule_id": rule_id, "level": level, "pieces": pieces, "error": None}
+        except Exception as e:  # noqa: BLE001 -- quarantined, not fatal
+            return {"rule_id": rule_id, "level": 0, "pieces": [], "error": f"{type(e).__name__}: {e}"}
+
+    def parsed(html):
+        try:
+            return None if html is None else parse(html)
+        except Exception as e:  # noqa: BLE001
+            return e
+
+    @F.pandas_udf(SELECTED)
+    def _pieces(html: pd.Series, asked: pd.Series) -> pd.Series:
+        out = []
+        for h, ids in zip(html, asked):
+            page = parsed(h)
+            out.append([select(page, i) for i in ids])
+        return pd.Series(out, dtype=object)
 
     return _pieces
 
@@ -330,31 +335,45 @@ def rules_map(rules: dict[str, dict]) -> Column:
     return F.map_from_arrays(F.array(*[F.lit(i) for i in ids]), F.array(*vals))
 
 
+def _body(r: Column, x: Column, status: Column | None, landed: Column) -> Column:
+    """Content by a rule row ``r`` from what was selected ``x``; NULL is a failed extraction."""
+    body = finish_text(x["pieces"], x["level"], r)
+    if status is not None:
+        ok = F.when(r["status_policy"] == "none", F.lit(True)).when(r["status_policy"] == "lt400", status < 400).otherwise(status == 200)
+        body = F.when(F.coalesce(ok, F.lit(False)), body)
+    # no landed page (url missing from pages) is a failed request: NULL,
+    # whatever the rule's missing-container policy says
+    return F.when(landed & x["error"].isNull(), body)
+
+
+def extract_all(pages: DataFrame, rules: dict[str, dict], asked_col: str = "rules", status_col: str = "status") -> DataFrame:
+    """Pages with the rules asked of each (``ARRAY<STRING>``) -> one row per page and rule:
+    ``rule_id``, ``content`` (NULL = failed extraction) and ``extract_error``. Callers pass pages
+    deduplicated on url; a page is parsed once, and its html is not copied to the rule rows."""
+    from ..session import ship_package
+    ship_package(pages.sparkSession)
+    keep = [c for c in pages.columns if c not in ("html", asked_col)]
+    asked = F.coalesce(F.col(asked_col), F.array().cast("array<string>"))
+    one = pages.select(*keep, F.col("html").isNotNull().alias("_landed"), pieces_udf(rules)(F.col("html"), asked).alias("_all"))
+    rows = one.select(*keep, "_landed", F.explode("_all").alias("_x"))
+    rows = rows.withColumn("_r", F.try_element_at(rules_map(rules), F.col("_x.rule_id")))
+    status = F.col(status_col) if status_col in pages.columns else None
+    return rows.select(*keep, F.col("_x.rule_id").alias("rule_id"), _body(F.col("_r"), F.col("_x"), status, F.col("_landed")).alias("content"),
+                       F.col("_x.error").alias("extract_error"))
+
+
 def extract_bodies(pages: DataFrame, rules: dict[str, dict],
                    rule_col: str = "rule_id", status_col: str = "status") -> DataFrame:
-    """Pages (with a ``rule_id`` column) -> ``content`` per page.
-
-    Parse once per distinct page: callers pass pages deduplicated on url.
-    Adds ``content`` (NULL = failed extraction) and ``extract_error``.
-    """
+    """Pages with one rule each -> the same rows with ``content`` (NULL = failed extraction)
+    and ``extract_error``."""
     from ..session import ship_package
     ship_package(pages.sparkSession)
     j = pages.withColumn("_r", F.try_element_at(rules_map(rules), F.col(rule_col)))
-    sel = pieces_udf(rules)(F.col("html"), F.col(rule_col))
-    j = j.withColumn("_x", sel)
-    body = finish_text(F.col("_x.pieces"), F.col("_x.level"), F.col("_r"))
-    if status_col in j.columns:
-        ok = (F.when(F.col("_r.status_policy") == "none", F.lit(True))
-               .when(F.col("_r.status_policy") == "lt400", F.col(status_col) < 400)
-               .otherwise(F.col(status_col) == 200))
-        body = F.when(F.coalesce(ok, F.lit(False)), body)
-    # no landed page (url missing from pages) is a failed request: NULL,
-    # whatever the rule's missing-container policy says
-    body = F.when(F.col("html").isNotNull(), body)
-    return (j.withColumn("content", F.when(F.col("_x.error").isNull(), body))
+    j = j.withColumn("_x", F.get(pieces_udf(rules)(F.col("html"), F.array(rule_col)), 0))
+    status = F.col(status_col) if status_col in pages.columns else None
+    return (j.withColumn("content", _body(F.col("_r"), F.col("_x"), status, F.col("html").isNotNull()))
              .withColumn("extract_error", F.col("_x.error"))
              .drop("_x", "_r"))
 
 
-__all__ = ["parse", "find", "find_all", "get_text", "select_pieces", "extract_bodies",
-           "finish_text", "pieces_udf"]
+__all__ = ["parse", "find", "find_all", "get_text", "select_pieces", "extract_all", "extract_bodies", "finish_text", "pieces_udf"]

@@ -70,16 +70,23 @@ def requested(stubs: DataFrame, polls: DataFrame, run_date: str | None) -> DataF
 
 
 def with_bodies(stubs: DataFrame, pages: DataFrame) -> DataFrame:
-    """Stubs with ``raw`` (inline, or extracted from the page) and ``cleaned``. The
-    same page polled again is parsed once: bodies are made per (url, rule)."""
-    todo = J.lookup_pages(stubs.where("inline is null").select("url", "rule_id").distinct(), pages)
-    bodies = (X.extract_bodies(todo, registry.RULES, status_col="page_status")
+    """Stubs with ``raw`` (inline, or extracted from the page), ``cleaned`` and
+    ``extract_error`` (why an extraction failed). A page polled again, or wanted under
+    several rules, is looked up and parsed once."""
+    asked = stubs.where("inline is null").groupBy("url").agg(F.collect_set("rule_id").alias("rules"))
+    todo = J.lookup_pages(asked, pages)
+    bodies = (X.extract_all(todo, registry.RULES, status_col="page_status")
                .select("url", "rule_id", F.col("content").alias("body"), "extract_error"))
     out = stubs.join(bodies, ["url", "rule_id"], "left")
     raw = F.when((F.col("rule_id") == "X0") | F.col("inline").isNotNull(), F.col("inline")).otherwise(F.col("body"))
     return out.withColumn("raw", raw).withColumn("cleaned", tx.remove_tags("raw")).drop("body", "inline")
 
 
+def failures(rows: DataFrame) -> DataFrame:
+    """Quarantine of a batch: every page whose extraction failed, once per rule, with the reason."""
+    return rows.where("extract_error is not null").select("source", "url", "rule_id", "extract_error").distinct()
+
+
 def accept(arts: DataFrame, polls: DataFrame) -> DataFrame:
     """The articles a run keeps, all policies in one pass."""
     out = order.accept_articles(arts, polls, order.PollRules(content="raw", cleaned="cleaned"))
@@ -87,6 +94,13 @@ def accept(arts: DataFrame, polls: DataFrame) -> DataFrame:
                       F.col("cleaned").alias("content"))
 
 
+def resume(arts: DataFrame, polls: DataFrame, before: DataFrame, seen: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``accept`` for polls that came since: (articles, counters after them, dates they add)."""
+    out, after, dates = order.continue_run(arts, polls, before, seen, order.PollRules(content="raw", cleaned="cleaned"))
+    out = out.select("run_id", "source", "poll_no", "pos", "title", "url", "publishdate", F.col("cleaned").alias("content"))
+    return out, after, dates
+
+
 def collect_articles(spark: SparkSession, polls_raw: DataFrame, pages: DataFrame,
                      guardian_raw: DataFrame | None = None, sources: DataFrame | None = None,
                      run_date: str | None = None) -> DataFrame:
@@ -96,7 +110,7 @@ def collect_articles(spark: SparkSession, polls_raw: DataFrame, pages: DataFrame
 
 
 def _collect(spark, polls_raw, pages, guardian_raw=None, sources=None, run_date=None):
-    """(accepted articles, polls that were read, polls set aside)."""
+    """(accepted articles, polls that were read, polls set aside, failed extractions)."""
     ship_package(spark)
     sources = sources if sources is not None else registry.sources_df(spark, active_only=False)
     stubs, polls = landed(polls_raw)
@@ -108,7 +122,7 @@ def _collect(spark, polls_raw, pages, guardian_raw=None, sources=None, run_date=
     polls = polls.where("not (strict and no_list)")
     # extracted and cleaned once; the order rules and the payload join read this copy
     arts = cut_lineage(with_bodies(requested(stubs, polls, run_date), pages))
-    return accept(arts, polls), polls, aside
+    return accept(arts, polls), polls, aside, failures(arts)
 
 
 def to_points(arts: DataFrame, embedder, budget: int = ch.DEFAULT_BUDGET, counter=None) -> DataFrame:
@@ -127,13 +141,15 @@ def run_ingest(spark: SparkSession, polls_raw: DataFrame, pages: DataFrame, run_
                points_path: str, counts_root: str, embedder=None,
                guardian_raw: DataFrame | None = None, budget: int = ch.DEFAULT_BUDGET,
                id_mode: str = "content", counter=None, sources: DataFrame | None = None) -> dict:
-    """Run one ingest; returns the written frames (new points, daily counts) and the
-    polls set aside for their missing list."""
+    """Run one ingest; returns the written frames (new points, daily counts), the polls
+    set aside for their missing list and the pages whose extraction failed."""
     EM.resolve(embedder)  # before any work
     sources = sources if sources is not None else registry.sources_df(spark, active_only=False)
-    arts, polls, aside = _collect(spark, polls_raw, pages, guardian_raw, sources, run_date)
+    arts, polls, aside, failed = _collect(spark, polls_raw, pages, guardian_raw, sources, run_date)
     batch = cut_lineage(sinks.with_point_id(to_points(arts, embedder, budget, counter), id_mode))
-    sinks.append_points(cut_lineage(sinks.unstored(batch, points_path, id_mode)), points_path)
+    new = cut_lineage(sinks.unstored(batch, points_path, id_mode))
+    if not new.isEmpty():  # a first run without an article leaves no store, not a folder that cannot be read
+        sinks.append_points(new, points_path)
 
     # every source that is run reports, with 0 if it has nothing: the active ones of
     # the registry, those polled, and those stored
@@ -141,7 +157,7 @@ def run_ingest(spark: SparkSession, polls_raw: DataFrame, pages: DataFrame, run_
     run = sources.where("active").select(F.col("label").alias("source")).union(polls.select("source")).distinct()
     daily = (M.chunks_per_source(batch, run.withColumnRenamed("source", "label"))
               .select(day.alias("date"), "source", F.col("nb_chunks").alias("count")))
-    stored = M.points_per_source(sinks.read_points(spark, points_path))
+    stored = M.points_per_source(sinks.read_points(spark, points_path, batch))
     totals = (stored.join(run, "source", "full")
                     .select(day.alias("date"), "source", F.coalesce("n_points", F.lit(0)).cast("long").alias("nb_article")))
     totals = cut_lineage(totals)  # one row per source
@@ -149,4 +165,4 @@ def run_ingest(spark: SparkSession, polls_raw: DataFrame, pages: DataFrame, run_
     sinks.upsert_counts(daily, os.path.join(counts_root, "daily_counts"), ["date", "source"])
     sinks.upsert_counts(totals, os.path.join(counts_root, "article_counts"), ["date", "source"])
     sinks.upsert_counts(vec, os.path.join(counts_root, "vector_counts"), ["date"])
-    return {"batch": batch, "daily": daily, "set_aside": aside}
+    return {"batch": batch, "daily": daily, "set_aside": aside, "failed": failed}

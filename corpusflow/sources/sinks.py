@@ -30,8 +30,11 @@ def publish_day(publishdate) -> Column:
     return F.coalesce(F.date_format(F.try_to_timestamp(publishdate), "yyyy-MM-dd"), F.lit(UNDATED))
 
 
-def read_points(spark: SparkSession, path: str) -> DataFrame:
-    """The stored points; partition values stay text whatever the session infers."""
+def read_points(spark: SparkSession, path: str, like: DataFrame | None = None) -> DataFrame:
+    """The stored points; partition values stay text whatever the session infers. A store
+    that is not there yet is one without points, with the columns of ``like``."""
+    if like is not None and not path_exists(spark, path):
+        return like.limit(0)
     stored = spark.read.parquet(path)
     return stored.withColumns({c: F.col(c).cast("string") for c in PARTITIONS if c in stored.columns})
 

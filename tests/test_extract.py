@@ -142,3 +142,25 @@ def test_paragraph_inside_a_dropped_tag_is_kept():
     from corpusflow.sources.registry import RULES
     page = "<div class='LayoutContainer_container__jw05j Article_body__y7ykc'><em><p>kept <em>gone</em></p></em></div>"
     assert X.select_pieces(page, RULES["X4"]) == (1, ["kept "])
+
+
+def test_all_rules_of_a_page_on_one_parse(spark, monkeypatch):
+    """Every rule of the registry on one tree gives what it gives on a tree of its own: what a rule
+    drops is there for the next one. Unknown rules and broken pages are reported per rule."""
+    pages = [p[3] for p in PAGES] + ["<p>a<div class='x'><p>b</div><span>c", "", "<div>" * 300]
+    for html in filter(None, pages):
+        tree = X.parse(html)
+        for rule in [*R.values(), *R.values()]:
+            assert X.select_pieces(tree, rule) == X.select_pieces(html, rule)
+    asked = sorted(R) + ["no such rule"]
+    df = spark.createDataFrame([(i, h, 200, asked) for i, h in enumerate(pages)] + [(99, None, None, asked), (100, "<p>x", 200, None)],
+                               "page int, html string, status int, rules array<string>")
+    got = {(r.page, r.rule_id): r for r in X.extract_all(df, R).collect()}
+    assert len(got) == (len(pages) + 1) * len(asked)
+    one = X.extract_bodies(df.select("page", "html", "status", X.F.explode("rules").alias("rule_id")), R).collect()
+    assert {(r.page, r.rule_id): (r.content, r.extract_error) for r in one} == {k: (r.content, r.extract_error) for k, r in got.items()}
+    assert got[0, "no such rule"].extract_error == "unknown rule" and got[99, "X14"].content is None
+    parsed = []
+    monkeypatch.setattr(X, "parse", lambda html: parsed.append(html) or (_ for _ in ()).throw(ValueError("broken")))
+    out = X.pieces_udf(R).func(X.pd.Series(["<p>"]), X.pd.Series([["X13", "X14"]]))
+    assert len(parsed) == 1 and [x["error"] for x in out[0]] == ["ValueError: broken"] * 2

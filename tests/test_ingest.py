@@ -92,6 +92,7 @@ def _land(folder, files):
         with open(os.path.join(folder, f"poll-{i:03d}.json"), "w") as f:
             for r in rows:
                 f.write(json.dumps(r) + "\n")
+        os.utime(f.name, (1_700_000_000 + i,) * 2)  # the stream takes files in the order of their times
 
 
 def test_guardian_stream(spark):
@@ -125,8 +126,11 @@ def test_stream_equals_batch_for_page_sources(spark):
     ingest.run_ingest(spark, raw.where("source <> 'Fox News'"), pages, "2024-01-01", os.path.join(tmp, "p2"), os.path.join(tmp, "c2"), "hashing")
     key = lambda path: sorted((r.point_id, r.content, len(r.embedding)) for r in spark.read.parquet(path).collect())
     assert key(pts) == key(os.path.join(tmp, "p2")) and len(key(pts)) == 4
-    totals = {r.source: r.nb_article for r in spark.read.parquet(os.path.join(counts, "article_counts")).collect()}
-    assert totals == {"ABC": 2, "CNN": 2}
+    # the count tables of a source that has nothing, too: 24 sources report in both
+    told = lambda root, name: sorted(tuple(r) for r in spark.read.parquet(os.path.join(root, name)).select("*").collect())
+    for name in ("article_counts", "vector_counts"):
+        assert told(counts, name) == told(os.path.join(tmp, "c2"), name)
+    assert len(told(counts, "article_counts")) == 24
     # the run that misses its first poll waits and is reported
     gaps = [(r.source, r.missing_poll) for r in spark.read.parquet(os.path.join(ck, "run-state", "gaps")).collect()]
     assert gaps == [("Fox News", 0)]
@@ -160,6 +164,78 @@ def test_stream_sets_answers_without_a_list_aside(spark):
     assert [(r.source, r.missing_poll, r.last_landed) for r in gaps] == [("Fox News", 0, 1)]
 
 
+def test_first_run_without_an_article(spark):
+    """Nothing is accepted: no store, and every source reports 0, in batch and stream; the next run
+    finds its articles."""
+    tmp = tempfile.mkdtemp(prefix="cf-empty-")
+    land, pts, counts, ck = (os.path.join(tmp, x) for x in ("landing", "points", "counts", "ckpt"))
+    failed = dict(run_id="r0", source="ABC", poll_no=0, status=500, totalResults=None, articles=None)
+    _land(land, [[failed]])
+    raw, pages = envelopes.read_polls(spark, land), spark.createDataFrame(PAGES, "url string, status int, html string")
+    ingest.run_ingest(spark, raw, pages, "2024-01-01", pts, counts, "hashing")
+    assert not os.path.exists(pts)
+    told = lambda root, name: sorted(tuple(r) for r in spark.read.parquet(os.path.join(root, name)).collect())
+    assert {r[0] for r in told(counts, "article_counts")} == {0} and told(counts, "vector_counts")[0][0] == 0
+    pages.write.parquet(os.path.join(tmp, "pages"))
+    go = lambda: stream.start(spark, land, os.path.join(tmp, "p2"), os.path.join(tmp, "c2"), ck, "hashing", pages_path=os.path.join(tmp, "pages"), run_date="2024-01-01")
+    assert go().awaitTermination(240)
+    for name in ("article_counts", "vector_counts"):
+        assert told(counts, name) == told(os.path.join(tmp, "c2"), name)
+    with open(os.path.join(land, "more.json"), "w") as f:
+        f.writelines(json.dumps(r) + "\n" for r in POLLS[:2])
+    out = ingest.run_ingest(spark, envelopes.read_polls(spark, land), pages, "2024-01-01", pts, counts, "hashing")
+    assert go().awaitTermination(240)
+    assert spark.read.parquet(pts).count() == spark.read.parquet(os.path.join(tmp, "p2")).count() == 2
+    for name in ("article_counts", "vector_counts"):
+        assert told(counts, name) == told(os.path.join(tmp, "c2"), name)
+    # u2 has no container under ABC's rule, which makes it empty, not failed
+    assert out["failed"].count() == 0
+
+
+def test_failed_extractions_are_reported(spark, monkeypatch):
+    tmp = tempfile.mkdtemp(prefix="cf-failed-")
+    land, ck = os.path.join(tmp, "landing"), os.path.join(tmp, "ckpt")
+    _land(land, [POLLS[:2]])
+    pages = spark.createDataFrame(PAGES, "url string, status int, html string")
+    pages.write.parquet(os.path.join(tmp, "pages"))
+    sources = registry.sources_df(spark, active_only=False).replace({"X1": "no such rule"}, subset=["rule_id"])
+    rule = {r.label: r.rule_id for r in sources.collect()}["ABC"]
+    sources = sources.replace({rule: "no such rule"}, subset=["rule_id"])
+    out = ingest.run_ingest(spark, envelopes.read_polls(spark, land), pages, "2024-01-01", os.path.join(tmp, "p"), os.path.join(tmp, "c"), "hashing", sources=sources)
+    want = [("ABC", u, "no such rule", "unknown rule") for u in ("u1", "u2", "u3")]
+    assert sorted(tuple(r) for r in out["failed"].collect()) == want
+    monkeypatch.setattr(registry, "sources_df", lambda *a, **k: sources)
+    q = stream.start(spark, land, os.path.join(tmp, "p2"), os.path.join(tmp, "c2"), ck, "hashing", pages_path=os.path.join(tmp, "pages"))
+    assert q.awaitTermination(240)
+    told = spark.read.parquet(os.path.join(ck, "run-state", "failed")).select("source", "url", "rule_id", "extract_error")
+    assert sorted(tuple(r) for r in told.collect()) == want
+
+
+def test_a_batch_reads_only_its_runs_buckets(spark):
+    """State reads carry partition filters on epoch and bucket, and a batch leaves no article behind
+    that it judged: only those ahead of a gap wait."""
+    tmp = tempfile.mkdtemp(prefix="cf-buckets-")
+    land, pts, counts, ck = (os.path.join(tmp, x) for x in ("landing", "points", "counts", "ckpt"))
+    poll = lambda source, no: _guardian(no, [(f"2024-01-01T{10 + no}:00:00Z", "t", f"{source} {no}")]) | {"source": source}
+    _land(land, [[poll("A", 0), poll("B", 0)], [poll("A", 1), poll("B", 2)], [poll("A", 2), poll("C", 1)]])
+    q = stream.start(spark, land, pts, counts, ck, "hashing", shape="guardian", files_per_batch=1)
+    assert q.awaitTermination(240)
+    assert sorted(r.content for r in spark.read.parquet(pts).collect()) == ["A 0", "A 1", "A 2", "B 0"]
+    state = stream.State(spark, os.path.join(ck, "run-state"))
+    schema = spark.createDataFrame([], stream.RUN_STATE).schema
+    last = {r.source: (r.next_poll, r.last_landed, r.turns, r.epoch) for r in stream.as_of(state.get("runs", schema)).collect()}
+    assert last == {"A": (3, 2, 3, 2), "B": (1, 2, 1, 1), "C": (0, 1, 0, 2)}
+    waiting = spark.read.parquet(state.path("waiting_rows"))
+    assert sorted((r.source, r.poll_no) for r in waiting.collect()) == [("B", 2), ("C", 1)]
+    one = state.get("runs", schema, before=2, buckets=[r[0] for r in waiting.where("source = 'B'").select(stream.bucket_of(waiting)).collect()])
+    assert {("B", 0), ("B", 1)} <= {(r.source, r.epoch) for r in one.collect()}
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters"):]
+    assert "bucket" in filters[:300] and "epoch" in filters[:300]
+    gaps = spark.read.parquet(state.path("gaps")).collect()
+    assert sorted((r.source, r.missing_poll, r.last_landed) for r in gaps) == [("B", 1, 2), ("C", 0, 1)]
+
+
 def test_a_retried_batch_adds_nothing(spark):
     tmp = tempfile.mkdtemp(prefix="cf-retry-")
     land, pts, counts, state = (os.path.join(tmp, x) for x in ("landing", "points", "counts", "state"))
