@@ -1,6 +1,7 @@
 """Command line for the three entry points.
 
   python -m corpusflow.cli ingest --polls DIR --pages PATH --run-date YYYY-MM-DD --points P --counts C --embedder hashing
+                                [--budget 512] [--counter words|bytes|chars|tokenizer:PATH]
   python -m corpusflow.cli search --points P --embedder hashing [--k 5] [--out DIR] "query text" ...
   python -m corpusflow.cli dashboard --counts C --date YYYY-MM-DD [--source S] [--qa PATH [--scorer lengths]] [--out DIR]
 
@@ -15,6 +16,7 @@ import argparse
 import json
 import os
 
+from .operators import chunk as ch
 from .session import get_spark
 
 
@@ -42,6 +44,8 @@ def main(argv=None):
     a.add_argument("--points", required=True)
     a.add_argument("--counts", required=True)
     a.add_argument("--embedder", required=True)
+    a.add_argument("--budget", type=int, default=ch.DEFAULT_BUDGET, help="tokens of a chunk at most")
+    a.add_argument("--counter", default=None, help="token counter by name; without it chunks are of words")
     s = sub.add_parser("search")
     s.add_argument("--points", required=True)
     s.add_argument("--k", type=int, default=5)
@@ -63,7 +67,7 @@ def main(argv=None):
         raw = envelopes.read_polls(spark, args.polls)
         g = envelopes.read_polls(spark, args.guardian, "guardian") if args.guardian else None
         ingest.run_ingest(spark, raw, spark.read.parquet(args.pages), args.run_date, args.points, args.counts,
-                          args.embedder, guardian_raw=g)
+                          args.embedder, guardian_raw=g, budget=args.budget, counter=ch.counter(args.counter) if args.counter else None)
     elif args.cmd == "search":
         from .plans import search
         give("search", search.search_texts(spark, args.points, args.texts, args.k, embedder=args.embedder), args.out)

@@ -6,11 +6,15 @@ Two counters:
   characters with the spaces around it (after T6 the only whitespace left is
   the single space), so the chunks concatenate back to the input exactly
   (``trim_chunks=False``) and every chunk holds at most ``budget`` words.
-* an injected token counter (``token_chunk_udf``): greedy packing by the
-  largest semantic level that fits (sentences, then words, then
-  characters), counting the joined candidate because real tokenizers are not
-  additive. Runs as an Arrow ``pandas_udf``: one article at a time in a
-  Python worker, batches of articles per Arrow transfer.
+* an injected token counter (``token_chunk_udf``, ``token_chunks``): greedy
+  packing by the largest semantic level that fits (lines, sentences, words,
+  then grapheme clusters: a letter with its marks or a composed emoji is never
+  cut, even if it is over the budget by itself). A counter that adds up over
+  pieces (``additive``) is asked once per piece, and chunks are found in the
+  prefix sums; of any other the joined candidate is counted, because real
+  tokenizers are not additive. Runs as an Arrow ``pandas_udf``: one article at
+  a time in a Python worker, batches of articles per Arrow transfer. Counters
+  go by name (``counter``) or are given as a factory.
 
 Empty content gives no chunk, so such an article vanishes on the explode,
 like the reference loop.
@@ -18,10 +22,13 @@ like the reference loop.
 
 from __future__ import annotations
 
+import functools
 import re
 from typing import Callable
 
+import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,6 +86,8 @@ def word_chunks(df: DataFrame, content: str = "content", keep: list[str] | None
 # Token-counter mode (injected tokenizer).
 
 _SENT = re.compile(r"(?<=[.!?])\s+")
+_GRAPHEME = regex.compile(r"\X")
+LEVELS = 4  # lines, sentences, words, grapheme clusters
 
 
 def _split_level(text: str, level: int) -> list[str]:
@@ -91,28 +100,29 @@ def _split_level(text: str, level: int) -> list[str]:
             parts.append(text[last:m.end()])
             last = m.end()
         parts.append(text[last:])
-    elif level == 2:  # words with trailing whitespace
+    elif level == 2:  # words with the white space around them
         parts = re.findall(r"\s*\S+\s*|\s+", text)
-    else:  # characters
-        parts = list(text)
+    else:
+        parts = _GRAPHEME.findall(text)
     return [p for p in parts if p]
 
 
-def pack_chunks(text: str, budget: int, count: Callable[[str], int], level: int = 0) -> list[str]:
-    """Greedy packing: merge pieces of the coarsest level while the joined
-    candidate fits the budget; a piece that does not fit alone is split at
-    the next finer level. ``''.join(result) == text``."""
-    if not text:
-        return []
-    if count(text) <= budget:
-        return [text]
-    if level > 3:
-        return [text]
-    out: list[str] = []
-    pieces, at = _split_level(text, level), 0
+def _runs_of_sums(sizes: list[int], budget: int):
+    """Greedy runs (first, last + 1) of additive sizes within the budget, from prefix sums; a piece
+    over the budget is a run of its own."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    at, before = 0, 0
+    while at < len(sizes):
+        upto = max(int(np.searchsorted(ends, before + budget, side="right")), at + 1)
+        yield at, upto, int(ends[upto - 1]) - before
+        at, before = upto, int(ends[upto - 1])
+
+
+def _runs_of_joined(pieces: list[str], budget: int, count: Callable[[str], int]):
+    """The same with every candidate counted as it is joined: the run is doubled, then bisected, so
+    a chunk of n pieces is counted about log n times."""
+    at = 0
     while at < len(pieces):
-        # the longest run of pieces that fits: doubled, then bisected, so a chunk of n
-        # pieces is counted about log n times (joined, as tokenizers are not additive)
         low, high = 0, 1
         while at + high <= len(pieces) and count("".join(pieces[at:at + high])) <= budget:
             low, high = high, 2 * high
@@ -123,11 +133,26 @@ def pack_chunks(text: str, budget: int, count: Callable[[str], int], level: int
                 low = mid
             else:
                 high = mid
-        if low:
-            out.append("".join(pieces[at:at + low]))
-        else:
-            out.extend(pack_chunks(pieces[at], budget, count, level + 1))
+        yield at, at + max(low, 1), budget if low else budget + 1
         at += max(low, 1)
+
+
+def pack_chunks(text: str, budget: int, count: Callable[[str], int], level: int = 0) -> list[str]:
+    """Greedy packing: pieces of the coarsest level are joined while they fit the budget; a piece
+    that does not fit alone is split at the next finer level, and its chunks stay its own. A
+    grapheme cluster is the smallest chunk. ``''.join(result) == text``."""
+    if not text:
+        return []
+    if level >= LEVELS or count(text) <= budget:
+        return [text]
+    out: list[str] = []
+    pieces = _split_level(text, level)
+    runs = _runs_of_sums([count(p) for p in pieces], budget) if getattr(count, "additive", False) else _runs_of_joined(pieces, budget, count)
+    for first, last, size in runs:
+        if size <= budget:
+            out.append("".join(pieces[first:last]))
+        else:
+            out.extend(pack_chunks(pieces[first], budget, count, level + 1))
     return out
 
 
@@ -135,6 +160,36 @@ def whitespace_token_count(s: str) -> int:
     return len(s.split())
 
 
+def utf8_bytes(s: str) -> int:
+    return len(s.encode("utf-8", "surrogatepass"))
+
+
+def code_points(s: str) -> int:
+    return len(s)
+
+
+utf8_bytes.additive = code_points.additive = True
+
+
+def _tokenizer(path: str) -> Callable[[str], int]:
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(path)
+    return lambda s: len(model.encode(s, add_special_tokens=False).ids)
+
+
+def counter(name: str) -> Callable[[], Callable[[str], int]]:
+    """Factory of a token counter by name: ``words``, ``bytes``, ``chars``, or
+    ``tokenizer:<path of a tokenizer file>`` (loaded once per Python worker)."""
+    kind, _, path = name.partition(":")
+    known = {"words": whitespace_token_count, "bytes": utf8_bytes, "chars": code_points}
+    if kind == "tokenizer" and path:
+        return functools.partial(_tokenizer, path)
+    if name in known:
+        return lambda: known[name]
+    raise ValueError(f"no token counter named {name}: words, bytes, chars or tokenizer:<path>")
+
+
 def token_chunk_udf(budget: int = DEFAULT_BUDGET,
                     counter_factory: Callable[[], Callable[[str], int]] = lambda: whitespace_token_count):
     """Arrow UDF ``content -> ARRAY<STRING>``; the counter is built once per
@@ -149,3 +204,13 @@ def token_chunk_udf(budget: int = DEFAULT_BUDGET,
         return s.map(lambda t: pack_chunks(t, budget, cnt) if isinstance(t, str) else [])
 
     return _chunk
+
+
+def token_chunks(df: DataFrame, content: str = "content", keep: list[str] | None = None, budget: int = DEFAULT_BUDGET,
+                 counter_factory: Callable[[], Callable[[str], int]] = lambda: whitespace_token_count) -> DataFrame:
+    """C1 under a token counter: one row per chunk with ``keep``, ``chunk_idx`` and ``content``."""
+    from ..session import ship_package
+    ship_package(df.sparkSession)
+    keep = keep if keep is not None else [c for c in df.columns if c != content]
+    cut = df.select(*keep, token_chunk_udf(budget, counter_factory)(F.col(content)).alias("_chunks"))
+    return explode_chunks(cut, F.col("_chunks"), keep)

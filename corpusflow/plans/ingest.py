@@ -132,8 +132,7 @@ def to_points(arts: DataFrame, embedder, budget: int = ch.DEFAULT_BUDGET, counte
     if counter is None:
         chunks = ch.word_chunks(arts.select(*keep, "content"), "content", keep=keep, budget=budget)
     else:
-        cut = arts.select(*keep, ch.token_chunk_udf(budget, counter)(F.col("content")).alias("_chunks"))
-        chunks = ch.explode_chunks(cut, F.col("_chunks"), keep)
+        chunks = ch.token_chunks(arts.select(*keep, "content"), "content", keep, budget, counter)
     return EM.embed_column(chunks, "content", EM.resolve(embedder))
 
 

@@ -3,7 +3,8 @@ Q&A figures (D11, V5, M1, M2, CA1, CA2, A6-A10, Q9, Q10) and the K1 sink rule.
 
 Count tables come from ``events`` as landed points: one event = one point
 stored on ``date(ts)`` for source ``event_type``. "Today" is the latest
-landing day (a scalar subquery), never the wall clock.
+landing day, never the wall clock; it is read first, as the run date of a daily
+job is given, so that ranges of it are literals that reach the scan.
 """
 
 from __future__ import annotations
@@ -36,14 +37,19 @@ def _daily(spark, sf):
 
 
 def _points(spark, sf):
-    """Landed points and the day of the latest one (a scalar subquery)."""
+    """Landed points and the day of the latest one, as a literal."""
     ev = table(spark, sf, "events").select("ts", F.col("event_type").alias("source"))
-    return ev, ev.select(F.to_date(F.max("ts"))).scalar()
+    return ev, run_day(ev)
+
+
+def run_day(events):
+    """Day of the latest event: one value comes to the driver and goes back as a literal."""
+    return F.lit(events.agg(F.to_date(F.max("ts"))).first()[0]).cast("date")
 
 
 def _before(day, days=0):
-    """Points that landed before ``day + days``: a range on the raw column, so it
-    reaches the scan."""
+    """Points that landed before ``day + days``: a range of literals on the raw column,
+    so it reaches the scan."""
     return F.col("ts") < F.date_add(day, days).cast("timestamp")
 
 
@@ -126,7 +132,7 @@ def upsert_counts(spark, sf):
     batch 2 does not carry, plus all of batch 2.
     """
     ev = table(spark, sf, "events").select("ts", F.col("event_type").alias("source"))
-    today = ev.select(F.to_date(F.max("ts"))).scalar()
+    today = run_day(ev)
     cut = F.to_timestamp(F.date_sub(today, 1)) + F.expr("INTERVAL 12 HOURS")
     # both batches from one pre-aggregation per (date, source): the rows are
     # read once; the upsert itself runs on per-day rows only

@@ -76,8 +76,9 @@ WHERE CAST(ts AS DATE) BETWEEN (SELECT max(CAST(ts AS DATE)) FROM events) - INTE
 def window_filter(spark, sf):
     """SP1 / DT1 / DT2: keep [run_date - 1 day, run_date]; run_date = latest landing day."""
     ev = table(spark, sf, "events")
-    run_date = ev.select(F.to_date(F.max("ts"))).scalar()  # scalar subquery, no driver round trip
-    # a range on the raw column, so it reaches the scan
+    from .queries_monitor import run_day
+    run_date = run_day(ev)
+    # a range of literals on the raw column, so it reaches the scan
     since, until = (F.date_add(run_date, k).cast("timestamp") for k in (-1, 1))
     return (ev.where((F.col("ts") >= since) & (F.col("ts") < until))
             .select("event_id", F.col("event_type").alias("source"),
@@ -156,3 +157,37 @@ def extract_article(spark, sf):
     rules = {"X14": registry.RULES["X14"]}
     out = X.extract_bodies(pages, rules, status_col="_none")
     return out.select("page_id", "content")
+
+
+# Fixed value: clusters of several code points (marks, a joined family, a flag, a syllable of letters).
+CLUSTERS = "e\u0301a\u0308o\u0323\u0302" + "\U0001f469\u200d\U0001f469\u200d\U0001f467" + "\U0001f1eb\U0001f1f7" + "\U0001f44d\U0001f3fd" + "n\u0303"
+TOKEN_BUDGET = 12
+
+
+def _greedy_sql(pieces: str, budget: int) -> str:
+    """Pieces joined from the left while the bytes fit (a fold over lists of chunks)."""
+    return (f"list_reduce(list_transform({pieces}, lambda p: [p]), lambda acc, x: CASE WHEN strlen(acc[-1]) + strlen(x[1]) <= {budget} "
+            "THEN list_concat(acc[:-2], [acc[-1] || x[1]]) ELSE list_concat(acc, x) END)")
+
+
+def _token_chunks_sql():
+    b = TOKEN_BUDGET
+    return f"""
+WITH t AS (SELECT conv_id, turn, {sql_remove_tags(f"text || '{CLUSTERS}' || text")} AS c FROM conversations),
+s AS (SELECT conv_id, turn, c, {_greedy_sql("regexp_extract_all(c, '(?s).*?[.!?] +|.+$')", b)} AS runs FROM t WHERE c <> ''),
+r AS (SELECT conv_id, turn, c, unnest(runs) AS run, generate_subscripts(runs, 1) AS i FROM s),
+w AS (SELECT conv_id, turn, i, CASE WHEN strlen(run) <= {b} THEN [run] ELSE {_greedy_sql("regexp_extract_all(run, ' *[^ ]+ *| +')", b)} END AS words FROM r),
+x AS (SELECT conv_id, turn, i, unnest(words) AS word, generate_subscripts(words, 1) AS j FROM w),
+g AS (SELECT conv_id, turn, i, j, CASE WHEN strlen(word) <= {b} THEN [word]
+        ELSE {_greedy_sql("list_transform(range(1, length_grapheme(word) + 1), lambda k: substring_grapheme(word, k, 1))", b)} END AS parts FROM x),
+p AS (SELECT conv_id, turn, i, j, unnest(parts) AS content, generate_subscripts(parts, 1) AS k FROM g)
+SELECT conv_id, turn, CAST(row_number() OVER (PARTITION BY conv_id, turn ORDER BY i, j, k) - 1 AS INTEGER) AS chunk_idx, content FROM p
+"""
+
+
+@query("token_chunks", _token_chunks_sql())
+def token_chunks(spark, sf):
+    """C1 under a token counter (bytes, 12 a chunk): sentences, words and grapheme clusters decide; every
+    text holds clusters of several code points, none of which is cut."""
+    c = table(spark, sf, "conversations").select("conv_id", "turn", tx.remove_tags(F.concat("text", F.lit(CLUSTERS), "text")).alias("content"))
+    return ch.token_chunks(c, "content", ["conv_id", "turn"], TOKEN_BUDGET, ch.counter("bytes"))

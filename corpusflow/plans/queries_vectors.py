@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..operators import ann
 from ..operators import chunk as ch
 from ..operators import embed as EM
 from ..operators import vectors as V
@@ -123,3 +124,34 @@ def semantic_search(spark, sf):
     qv = EM.md5_hashing_vectors(bench, "item_id", "text", 64)
     res = V.topk_search(_points(spark, sf), qv, 5, id_col="vec_id", qid_col="item_id", payload=["label"])
     return res.select(F.col("query_id").alias("item_id"), "rank", "vec_id", "label", F.round("score", 6).alias("score"))
+
+
+_PLANE = ("list_transform(range(64), lambda d: CASE WHEN strpos('02468ace', substr(md5(t || '-' || p || '-' || d), 1, 1)) > 0 THEN 1.0 ELSE -1.0 END)")
+
+_APPROX_SQL = f"""
+WITH planes AS (SELECT t, p, {_PLANE} AS plane FROM range({ann.TABLES}) a(t), range({ann.PLANES}) b(p)),
+pts AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+dims AS (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM pts),
+means AS (SELECT label, d, sum(x) / count(*) AS c FROM dims GROUP BY ALL),
+cen AS (SELECT label AS q, list(c ORDER BY d) AS c FROM means GROUP BY label),
+held AS (SELECT vec_id, t, sum(CASE WHEN list_dot_product(v, plane) >= 0 THEN 1 << p ELSE 0 END) AS bucket FROM pts, planes GROUP BY ALL),
+sides AS (SELECT q, t, p, list_dot_product(c, plane) AS side FROM cen, planes),
+own AS (SELECT q, t, sum(CASE WHEN side >= 0 THEN 1 << p ELSE 0 END) AS bucket FROM sides GROUP BY ALL),
+near AS (SELECT q, t, p FROM sides QUALIFY row_number() OVER (PARTITION BY q, t ORDER BY abs(side)) <= {ann.PROBES}),
+probes AS (SELECT q, t, CAST(bucket AS BIGINT) AS bucket FROM own
+           UNION ALL SELECT q, t, xor(CAST(bucket AS BIGINT), CAST(1 << p AS BIGINT)) FROM own JOIN near USING (q, t)),
+met AS (SELECT DISTINCT probes.q, vec_id FROM probes JOIN held ON probes.t = held.t AND probes.bucket = held.bucket),
+sc AS (SELECT q, vec_id, label, list_dot_product(c, v) / (sqrt(list_dot_product(c, c)) * sqrt(list_dot_product(v, v))) AS score
+       FROM met JOIN cen USING (q) JOIN pts USING (vec_id)),
+r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id) AS rank FROM sc)
+SELECT q AS query_label, CAST(rank AS INTEGER) AS rank, vec_id, round(score, 6) AS score FROM r WHERE rank <= {TOP_K}
+"""
+
+
+@query("vector_topk_approx", _APPROX_SQL)
+def vector_topk_approx(spark, sf):
+    """V3, approximate mode: the queries of ``vector_topk`` through the hash index, found points scored exactly."""
+    pts = _points(spark, sf)
+    q = V.centroid_vectors(V.centroids(pts, "label"), "label")
+    res = ann.approx_topk(pts, q, TOP_K, id_col="vec_id", qid_col="label")
+    return res.select(F.col("query_id").alias("query_label"), "rank", "vec_id", F.round("score", 6).alias("score"))

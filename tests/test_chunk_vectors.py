@@ -254,3 +254,62 @@ def test_many_queries_in_blocks(spark):
         mine.setdefault(r.query_id, []).append(int(r.point_id[1:]))
     s = q @ p.T
     assert all(mine[i] == np.argsort(-s[i], kind="stable")[:3].tolist() for i in range(300))
+
+
+# --- token budget with the grapheme level -----------------------------------------
+
+CLUSTERS = ["e\u0301", "\U0001f469\u200d\U0001f469\u200d\U0001f467", "\U0001f1eb\U0001f1f7", "\U0001f44d\U0001f3fd", "n\u0303", "a", "\r\n", "ก็", "각"]
+
+
+@pytest.mark.parametrize("budget", [1, 2, 5, 30])
+@pytest.mark.parametrize("name", ["bytes", "chars", "words"])
+def test_no_cluster_is_cut(name, budget):
+    import random
+
+    import regex
+    rng = random.Random(budget)
+    count = ch.counter(name)()
+    for _ in range(60):
+        text = "".join(rng.choice(CLUSTERS + [" ", ". ", "\n", "word"]) for _ in range(rng.randrange(1, 60)))
+        chunks = ch.pack_chunks(text, budget, count)
+        assert "".join(chunks) == text and all(chunks)
+        ends = {m.end() for m in regex.finditer(r"\X", text)}
+        at = 0
+        for c in chunks:
+            at += len(c)
+            assert at in ends
+            # over the budget only what cannot be cut
+            assert count(c) <= budget or len(regex.findall(r"\X", c)) == 1
+
+
+def test_prefix_sums_equal_counting_joined():
+    import random
+    rng = random.Random(1)
+    plain = lambda s: len(s.encode())  # noqa: E731  the same counter, asked of every joined candidate
+    for _ in range(80):
+        text = "".join(rng.choice(["ab", "é", ". ", " ", "\n", "x" * 20]) for _ in range(rng.randrange(1, 200)))
+        budget = rng.randrange(1, 40)
+        assert ch.pack_chunks(text, budget, ch.utf8_bytes) == ch.pack_chunks(text, budget, plain)
+
+
+def test_additive_counter_is_asked_once_a_piece():
+    asked = []
+
+    def count(s):
+        asked.append(s)
+        return len(s)
+    count.additive = True
+    text = "w " * 5000
+    assert "".join(ch.pack_chunks(text, 50, count)) == text and len(asked) < 5010
+
+
+def test_counters_by_name(spark):
+    import public_tokenizers as P
+    with pytest.raises(ValueError, match="no token counter named"):
+        ch.counter("gpt")
+    count = ch.counter("tokenizer:" + P.path("byte_bpe_50k.json"))
+    df = spark.createDataFrame([(1, "One sentence here. " * 20 + "e\u0301" * 30), (2, ""), (3, None)], "id int, content string")
+    rows = ch.token_chunks(df, "content", ["id"], 16, count).orderBy("chunk_idx").collect()
+    assert {r.id for r in rows} == {1} and "".join(r.content for r in rows) == "One sentence here. " * 20 + "e\u0301" * 30
+    own = count()
+    assert all(own(r.content) <= 16 for r in rows) and len(rows) < 20

@@ -307,6 +307,9 @@ def test_cli_end_to_end(spark, capsys):
     cli.main(["ingest", "--polls", os.path.join(tmp, "polls"), "--pages", pages_path,
               "--run-date", "2024-01-01", "--points", pts, "--counts", counts, "--embedder", "hashing"])
     assert spark.read.parquet(pts).count() == 4
+    cli.main(["ingest", "--polls", os.path.join(tmp, "polls"), "--pages", pages_path, "--run-date", "2024-01-01", "--points", pts + "2",
+              "--counts", counts + "2", "--embedder", "hashing", "--budget", "5", "--counter", "chars"])
+    assert max(len(r.content) for r in spark.read.parquet(pts + "2").collect()) == 5
     cli.main(["search", "--points", pts, "--k", "1", "--embedder", "hashing", "Gamma"])
     qa = os.path.join(tmp, "qa")
     spark.createDataFrame([(f"q{i}", "a", 1, 0, 0, None) for i in range(60)],
