@@ -1,11 +1,15 @@
 """Command line for the three entry points.
 
   python -m corpusflow.cli ingest --polls DIR --pages PATH --run-date YYYY-MM-DD --points P --counts C --embedder hashing
-                                [--budget 512] [--counter words|bytes|chars|tokenizer:PATH]
+                                [--budget 512] [--counter words|bytes|chars|tokenizer:PATH] [--by-day]
+  python -m corpusflow.cli pages --points P --index I [--limit 300]
+  python -m corpusflow.cli scroll --points P --index I --source S [--page 0] [--out DIR]
   python -m corpusflow.cli search --points P --embedder hashing [--k 5] [--out DIR] "query text" ...
   python -m corpusflow.cli dashboard --counts C --date YYYY-MM-DD [--source S] [--qa PATH [--scorer lengths]] [--out DIR]
 
-Results are whole: with ``--out`` every table is written there as parquet and its
+``--by-day``: the landing folder is laid out as landing_date=/source=, and only the folders
+of each source's request window are read. ``pages`` stores the index of all pages, ``scroll``
+reads one. Results are whole: with ``--out`` every table is written there as parquet and its
 row count printed, without it every row is printed. Models are named: ``hashing``
 and ``lengths`` are stand-ins for an embedder and a pair scorer.
 """
@@ -46,6 +50,17 @@ def main(argv=None):
     a.add_argument("--embedder", required=True)
     a.add_argument("--budget", type=int, default=ch.DEFAULT_BUDGET, help="tokens of a chunk at most")
     a.add_argument("--counter", default=None, help="token counter by name; without it chunks are of words")
+    a.add_argument("--by-day", action="store_true")
+    i = sub.add_parser("pages")
+    i.add_argument("--points", required=True)
+    i.add_argument("--index", required=True)
+    i.add_argument("--limit", type=int, default=300)
+    w = sub.add_parser("scroll")
+    w.add_argument("--points", required=True)
+    w.add_argument("--index", required=True)
+    w.add_argument("--source", required=True)
+    w.add_argument("--page", type=int, default=0)
+    w.add_argument("--out", default=None)
     s = sub.add_parser("search")
     s.add_argument("--points", required=True)
     s.add_argument("--k", type=int, default=5)
@@ -64,10 +79,23 @@ def main(argv=None):
     if args.cmd == "ingest":
         from .plans import ingest
         from .sources import envelopes
-        raw = envelopes.read_polls(spark, args.polls)
+        if args.by_day:
+            from .sources import registry
+            raw = envelopes.read_polls_window(spark, args.polls, args.run_date, registry.DEFAULT_REQUEST["window_days"], windows=registry.request_windows())
+        else:
+            raw = envelopes.read_polls(spark, args.polls)
         g = envelopes.read_polls(spark, args.guardian, "guardian") if args.guardian else None
         ingest.run_ingest(spark, raw, spark.read.parquet(args.pages), args.run_date, args.points, args.counts,
                           args.embedder, guardian_raw=g, budget=args.budget, counter=ch.counter(args.counter) if args.counter else None)
+    elif args.cmd == "pages":
+        from .operators import vectors
+        from .sources import sinks
+        vectors.page_index(sinks.read_points(spark, args.points), limit=args.limit).write.mode("overwrite").parquet(args.index)
+    elif args.cmd == "scroll":
+        from .operators import vectors
+        from .sources import sinks
+        page = vectors.read_page(sinks.read_points(spark, args.points), spark.read.parquet(args.index), args.source, args.page)
+        give("scroll", page, args.out)
     elif args.cmd == "search":
         from .plans import search
         give("search", search.search_texts(spark, args.points, args.texts, args.k, embedder=args.embedder), args.out)

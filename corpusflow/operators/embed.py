@@ -6,6 +6,13 @@ once per task inside an iterator Arrow UDF and called on 128 rows at a time
 ``hashing_embedder`` (Python) and ``md5_hashing_vectors`` (native) are
 deterministic stand-ins for tests and the driver tables (feature hashing of
 words); they are not language models.
+
+A model that gives one state per token goes through ``pool_states`` (V1 over
+V2): texts are cut at the model's limit, sorted by length within the Arrow
+batch so that a model batch is padded to its own longest text only, and the
+states are pooled under the attention mask in one array operation; the result
+is a flat Arrow array, no object per row. ``digest_states`` is the
+deterministic stand-in of such a model.
 """
 
 from __future__ import annotations
@@ -16,6 +23,7 @@ from typing import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -86,6 +94,88 @@ def embed_column(df: DataFrame, text_col: str, factory, out_col: str = "embeddin
     return out
 
 
+class TokenStates:
+    """What ``pool_states`` asks of a model: ``tokens(text)`` ids of one text, ``limit`` the tokens it
+    takes at most, ``states(ids, mask)`` an array (texts, tokens, width) for padded ids and their mask."""
+
+    limit: int = 512
+    width: int
+
+    def tokens(self, text: str) -> list[int]:
+        raise NotImplementedError
+
+    def states(self, ids: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        raise NotImplementedError
+
+
+class DigestStates(TokenStates):
+    """Stand-in: a token is a word, its state the digits of its digest. Padding has a state, too, that
+    a pooling without the mask would take in."""
+
+    def __init__(self, width: int = 16, limit: int = 64):
+        self.width, self.limit = width, limit
+        self.number: dict[str, int] = {}
+        self.table = [[100.0] * width]  # number 0 is padding
+
+    def tokens(self, text: str) -> list[int]:
+        import hashlib
+        ids = []
+        for word in text.split():
+            at = self.number.get(word)
+            if at is None:
+                at = self.number[word] = len(self.table)
+                self.table.append([int(c, 16) - 7.5 for c in hashlib.md5(word.encode()).hexdigest()[:self.width]])
+            ids.append(at)
+        return ids
+
+    def states(self, ids: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        return np.array(self.table)[ids]
+
+
+def digest_states(width: int = 16, limit: int = 64) -> TokenStates:
+    return DigestStates(width, limit)
+
+
+def pooled(model: TokenStates, texts: list[str], model_batch: int = MODEL_BATCH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Masked means of the token states of texts (M3: no token gives zeros), tokens taken, and whether
+    the limit cut the text."""
+    ids = [model.tokens(t) for t in texts]
+    lengths = np.array([len(i) for i in ids], dtype=np.int64)
+    taken = np.minimum(lengths, model.limit)
+    out = np.zeros((len(texts), model.width))
+    order = np.argsort(taken, kind="stable")  # equal lengths beside each other: little padding
+    for at in range(0, len(order), model_batch):
+        rows = order[at:at + model_batch]
+        longest = int(taken[rows].max())
+        if not longest:
+            continue
+        mask = np.arange(longest)[None, :] < taken[rows][:, None]
+        padded = np.zeros(mask.shape, dtype=np.int64)
+        padded[mask] = np.concatenate([np.asarray(ids[i][:model.limit], dtype=np.int64) for i in rows])
+        states = model.states(padded, mask)
+        out[rows] = np.einsum("ntd,nt->nd", states, mask.astype(float)) / np.maximum(mask.sum(axis=1), 1e-9)[:, None]
+    return out, taken, lengths > model.limit
+
+
+def pool_states(df: DataFrame, text_col: str, factory: Callable[[], TokenStates] = digest_states, out_col: str = "pooled",
+                model_batch: int = MODEL_BATCH) -> DataFrame:
+    """V2 + V1: ``df`` with ``out_col`` = struct<embedding array<double>, n_tokens int, truncated boolean>.
+    A null or empty text has no token and the zero vector. The model is loaded once per task."""
+    from ..session import ship_package
+    ship_package(df.sparkSession)
+
+    @F.arrow_udf("embedding array<double>, n_tokens int, truncated boolean")
+    def states(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = factory()
+        for texts in batches:
+            vectors, taken, cut = pooled(model, [t or "" for t in texts.to_pylist()], model_batch)
+            ends = np.arange(len(vectors) + 1, dtype=np.int32) * model.width
+            flat = pa.ListArray.from_arrays(pa.array(ends), pa.array(vectors.ravel()))
+            yield pa.StructArray.from_arrays([flat, pa.array(taken.astype(np.int32)), pa.array(cut)], names=["embedding", "n_tokens", "truncated"])
+
+    return df.withColumn(out_col, states(F.col(text_col)))
+
+
 def md5_hashing_vectors(df: DataFrame, id_col: str, text_col: str, dim: int = 64) -> DataFrame:
     """Deterministic stand-in embedder written natively (reproducible in SQL):
     signed feature hashing of lower-cased words by ``md5``, L2-normalised.

@@ -238,6 +238,35 @@ def iter_pages(points: DataFrame, source_col: str, source, id_col: str = "point_
         offset = nxt
 
 
+def page_index(points: DataFrame, source_col: str = "source", id_col: str = "point_id", limit: int = 300) -> DataFrame:
+    """SC10 for whole sources: ``source, page`` (from 0), ``first_id, last_id, n_rows`` of every page of
+    ``limit`` points in id order, from one pass over the ids.
+
+    Ids are range-partitioned by (source, id), so a source of any size is spread over many tasks; a
+    point's place is its rank within its part plus the rows of its source in the parts before, a prefix
+    sum over one row per source and part. Ids are unique within a source; rows without one are in no
+    page. The index has one row per page and can be stored; ``read_page`` then reads any page alone.
+    """
+    ids = points.select(F.col(source_col), F.col(id_col).alias("_id")).where(F.col("_id").isNotNull())
+    ranged = cut_lineage(ids.repartitionByRange(source_col, "_id").withColumn("_part", F.spark_partition_id()))
+    part = ranged.groupBy(source_col, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(source_col).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = part.select(F.col(source_col).alias("_s"), F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy(source_col, "_part").orderBy("_id"))
+    placed = ranged.withColumn("_rank", inside).join(offsets, F.col(source_col).eqNullSafe(F.col("_s")) & (F.col("_part") == F.col("_p")))
+    page = F.floor((F.col("_before") + F.col("_rank") - 1) / limit).cast("bigint")
+    return placed.groupBy(source_col, page.alias("page")).agg(F.min("_id").alias("first_id"), F.max("_id").alias("last_id"), F.count(F.lit(1)).alias("n_rows"))
+
+
+def read_page(points: DataFrame, index: DataFrame, source, page: int, source_col: str = "source", id_col: str = "point_id") -> DataFrame:
+    """One page of a source in id order: its bounds are looked up, then one pruned read (the source's
+    folder, the id range pushed to the scan). A page that is not there is empty."""
+    at = index.where((F.col(source_col) == source) & (F.col("page") == page)).select("first_id", "last_id").first()
+    if at is None:
+        return points.limit(0)
+    return points.where((F.col(source_col) == source) & F.col(id_col).between(at["first_id"], at["last_id"])).orderBy(id_col)
+
+
 def count_points(points: DataFrame) -> DataFrame:
     """SC11 / A3."""
     return points.agg(F.count(F.lit(1)).alias("n_points"))

@@ -10,7 +10,7 @@ from ..operators import chunk as ch
 from ..operators import embed as EM
 from ..operators import vectors as V
 from ..sources.tables import table
-from .catalog import query, sql_remove_tags, sql_word_tokens
+from .catalog import WS_SQL, query, sql_remove_tags, sql_word_tokens
 
 TOP_K = 10
 SCROLL_SOURCE = 3
@@ -155,3 +155,41 @@ def vector_topk_approx(spark, sf):
     q = V.centroid_vectors(V.centroids(pts, "label"), "label")
     res = ann.approx_topk(pts, q, TOP_K, id_col="vec_id", qid_col="label")
     return res.select(F.col("query_id").alias("query_label"), "rank", "vec_id", F.round("score", 6).alias("score"))
+
+
+STATE_WIDTH, STATE_LIMIT = 16, 64
+
+_STATES_SQL = f"""
+WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(CASE WHEN doc_id % 10 = 3 THEN '' ELSE text END, '{WS_SQL}+'), lambda w: w <> '') AS words FROM documents),
+cut AS (SELECT doc_id, words[1:{STATE_LIMIT}] AS words, len(words) > {STATE_LIMIT} AS truncated FROM t),
+d AS (SELECT unnest(range({STATE_WIDTH})) AS dim),
+hashed AS (SELECT doc_id, unnest(list_transform(words, lambda w: md5(w))) AS h FROM cut),
+means AS (SELECT doc_id, dim, sum(strpos('0123456789abcdef', substr(h, dim + 1, 1)) - 8.5) / count(*) AS value FROM hashed, d GROUP BY ALL)
+SELECT cut.doc_id, CAST(d.dim AS INTEGER) AS dim, round(coalesce(value, 0), 6) AS value, CAST(len(words) AS INTEGER) AS n_tokens, truncated
+FROM cut CROSS JOIN d LEFT JOIN means ON means.doc_id = cut.doc_id AND means.dim = d.dim
+"""
+
+
+@query("pooled_states", _STATES_SQL)
+def pooled_states(spark, sf):
+    """V2 + V1 + M3: token states of every document by the digest stand-in, cut at the model's limit,
+    padded by length and pooled under the mask; every tenth text is emptied, its mask is all zeros."""
+    docs = table(spark, sf, "documents").select("doc_id", F.when(F.col("doc_id") % 10 == 3, "").otherwise(F.col("text")).alias("text"))
+    out = EM.pool_states(docs, "text", lambda: EM.digest_states(STATE_WIDTH, STATE_LIMIT))
+    return (out.select("doc_id", F.posexplode("pooled.embedding").alias("dim", "value"), "pooled.n_tokens", "pooled.truncated")
+            .withColumn("value", F.round("value", 6)))
+
+
+PAGE_ROWS = 20
+
+_PAGES_SQL = f"""
+WITH r AS (SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS rn FROM embeddings WHERE label IS NOT NULL)
+SELECT label, CAST(rn // {PAGE_ROWS} AS BIGINT) AS page, min(vec_id) AS first_id, max(vec_id) AS last_id, count(*) AS n_rows FROM r GROUP BY ALL
+"""
+
+
+@query("scroll_pages", _PAGES_SQL)
+def scroll_pages(spark, sf):
+    """SC10: the page index of every source, in one pass: where each page of 20 points begins and ends."""
+    pts = _points(spark, sf).where("label is not null")
+    return V.page_index(pts, "label", "vec_id", PAGE_ROWS)

@@ -26,17 +26,38 @@ def read_polls(spark: SparkSession, path: str, shape: str = "newsapi") -> DataFr
     return raw.withColumn("run_id", F.coalesce(F.col("run_id"), F.lit("")))
 
 
-def read_polls_window(spark: SparkSession, root: str, run_date: str, days: int = 1,
-                      shape: str = "newsapi", date_col: str = "landing_date") -> DataFrame:
-    """SP1 on landed data: a landing folder partitioned by ``landing_date=``
-    read for ``[run_date - days, run_date]`` only. The predicate is on the
-    partition column, so folders outside the window are pruned, not read."""
+def asked_folders(windows: dict[str, int | None], run_date: str, default: int | None, date_col: str = "landing_date") -> Column:
+    """Folders (``landing_date``, ``source``) that a run of ``run_date`` reads: for each source those of
+    its own request window in days, all of one without a window, and those of the ``default`` for
+    sources that are not listed. Literals on partition columns, so the rest is pruned."""
+    import datetime as dt
+
+    day = dt.date.fromisoformat(run_date)
+    by_window: dict[int | None, list[str]] = {}
+    for source, days in windows.items():
+        by_window.setdefault(days, []).append(source)
+
+    def inside(days: int | None) -> Column:
+        if days is None:
+            return F.col(date_col) <= run_date
+        return F.col(date_col).between((day - dt.timedelta(days=days)).isoformat(), run_date)
+
+    asked = ~F.col("source").isin(sorted(windows)) & inside(default)
+    for days, names in by_window.items():
+        asked = asked | (F.col("source").isin(sorted(names)) & inside(days))
+    return asked
+
+
+def read_polls_window(spark: SparkSession, root: str, run_date: str, days: int | None = 1, shape: str = "newsapi",
+                      date_col: str = "landing_date", windows: dict[str, int | None] | None = None) -> DataFrame:
+    """SP1 / SP2 on landed data: a landing folder partitioned by ``landing_date=`` (yyyy-MM-dd), and
+    below it by ``source=`` if ``windows`` gives each source its own, read for the days that are asked
+    for only. The predicates are on the partition columns, so other folders are pruned, not read."""
     from pyspark.sql import types as T
     base = schemas.POLL_GUARDIAN if shape == "guardian" else schemas.POLL_NEWSAPI
     schema = T.StructType(base.fields + [T.StructField(date_col, T.StringType())])
     raw = spark.read.schema(schema).option("basePath", root).json(root)
-    d = F.to_date(F.col(date_col))
-    raw = raw.where(d.between(F.date_sub(F.to_date(F.lit(run_date)), days), F.to_date(F.lit(run_date))))
+    raw = raw.where(asked_folders(windows or {}, run_date, days, date_col))
     return raw.withColumn("run_id", F.coalesce(F.col("run_id"), F.lit("")))
 
 

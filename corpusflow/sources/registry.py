@@ -184,3 +184,8 @@ def sources_df(spark: SparkSession, active_only: bool = True) -> DataFrame:
     rows = [(*s, *(DEFAULT_REQUEST | REQUEST.get(s[0], {})).values()) for s in _S]
     df = spark.createDataFrame(rows, SOURCES_SCHEMA)
     return df.where("active") if active_only else df
+
+
+def request_windows() -> dict[str, int | None]:
+    """Days each source's daily request reaches back (SP1); None: no limit."""
+    return {s[0]: (DEFAULT_REQUEST | REQUEST.get(s[0], {}))["window_days"] for s in _S}

@@ -313,3 +313,63 @@ def test_counters_by_name(spark):
     assert {r.id for r in rows} == {1} and "".join(r.content for r in rows) == "One sentence here. " * 20 + "e\u0301" * 30
     own = count()
     assert all(own(r.content) <= 16 for r in rows) and len(rows) < 20
+
+
+# --- token states and pages ----------------------------------------------------------
+
+def test_states_are_pooled_under_the_mask(spark):
+    from corpusflow.functions.vectors import masked_mean_pool
+    from corpusflow.operators import embed as EM
+    texts = ["a b c", "", None, " ".join(f"w{i}" for i in range(100)), "b", "c a", "x " * 64, "x " * 65]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    for batch in (1, 3, 128):
+        got = {r.i: r.pooled for r in EM.pool_states(df, "text", lambda: EM.digest_states(8, 64), model_batch=batch).collect()}
+        model = EM.digest_states(8, 64)
+        for i, t in enumerate(texts):
+            ids = model.tokens(t or "")[:64]
+            rows = [model.table[k] for k in ids]
+            want = [sum(c) / len(rows) for c in zip(*rows)] if rows else [0.0] * 8
+            assert np.allclose(got[i].embedding, want) and got[i].n_tokens == len(ids)
+            assert got[i].truncated == (len((t or "").split()) > 64)
+    # the row-wise form agrees, padding and all
+    model = EM.digest_states(8, 64)
+    ids = [*model.tokens("a b c"), 0, 0]
+    one = spark.createDataFrame([([list(model.table[k]) for k in ids], [1, 1, 1, 0, 0])], "s array<array<double>>, m array<int>")
+    assert np.allclose(one.select(masked_mean_pool("s", "m")).first()[0], got[0].embedding)
+
+
+def test_model_batches_are_of_like_length():
+    from corpusflow.operators import embed as EM
+    seen = []
+
+    class Counted(EM.DigestStates):
+        def states(self, ids, mask):
+            seen.append((mask.shape, int(mask.sum())))
+            return super().states(ids, mask)
+
+    texts = [" ".join(["w"] * (1 + 60 * (i % 2))) for i in range(64)]
+    EM.pooled(Counted(4, 512), texts, model_batch=32)
+    assert sum(a * b for (a, b), _ in seen) == sum(n for _, n in seen)  # no padding at all
+
+
+def test_pages_cover_their_source(spark, tmp_path):
+    import random
+    from corpusflow.operators import vectors as V
+    rng = random.Random(2)
+    ids = rng.sample(range(100_000), 1500)
+    rows = [(f"id{i:06d}", "hot" if k % 3 else f"s{k % 7}", k) for k, i in enumerate(ids)] + [(None, "hot", 0)]
+    spark.createDataFrame(rows, "point_id string, source string, n int").repartition(5).write.partitionBy("source").parquet(str(tmp_path / "p"))
+    pts = spark.read.parquet(str(tmp_path / "p"))
+    V.page_index(pts, limit=64).write.parquet(str(tmp_path / "i"))
+    index = spark.read.parquet(str(tmp_path / "i"))
+    for source in {r[1] for r in rows}:
+        own = sorted(r[0] for r in rows if r[1] == source and r[0])
+        walked = []
+        for page in range(-(-len(own) // 64)):
+            got = V.read_page(pts, index, source, page)
+            walked.append([r.point_id for r in got.collect()])
+        assert [x for p in walked for x in p] == own and all(len(p) == 64 for p in walked[:-1])
+        assert V.read_page(pts, index, source, len(walked)).count() == 0
+    plan = V.read_page(pts, index, "hot", 2)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(point_id" in plan and "source" in plan[plan.index("PartitionFilters"):][:80]
+    assert V.page_index(pts.limit(0)).count() == 0

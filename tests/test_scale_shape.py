@@ -15,6 +15,7 @@ ROOT = os.path.join(os.path.dirname(os.path.abspath(__file__)), "..", "corpusflo
 ALLOWED = {
     ("operators/vectors.py", "F.count(F.lit(1)), F.coalesce(F.max"),  # one row of two numbers
     ("operators/vectors.py", "next_offset\")).first()"),  # one scalar per page
+    ("operators/vectors.py", "\"first_id\", \"last_id\").first()"),  # the bounds of one page
     ("streaming/ingest.py", "bucket_of(touched)).distinct().collect()"),  # at most as many numbers as buckets
     ("plans/queries_monitor.py", "F.to_date(F.max(\"ts\"))).first()"),  # one day
 }

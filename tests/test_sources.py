@@ -148,3 +148,25 @@ def test_landing_window_prunes_partitions(spark):
     assert "PartitionFilters: [isnotnull(landing_date" in plan
     got = sorted(r.title for r in envelopes.newsapi_articles(raw).collect())
     assert got == ["2024-01-02", "2024-01-03"]
+
+
+def test_each_source_reads_its_own_window(spark, tmp_path):
+    """Folders outside a source's request window are pruned; ABC AU has no window and reads all days
+    up to the run's; a source that is not listed has the default."""
+    import json
+    for day in ("2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04"):
+        for source in ("CNN", "ABC AU", "Some Blog"):
+            d = tmp_path / f"landing_date={day}" / f"source={source}"
+            d.mkdir(parents=True)
+            (d / "p.json").write_text(json.dumps(dict(run_id="r", source=source, poll_no=0, status=200, totalResults=0, articles=[])) + "\n")
+    windows = registry.request_windows()
+    assert windows["ABC AU"] is None and windows["CNN"] == 1
+    raw = envelopes.read_polls_window(spark, str(tmp_path), "2024-01-03", 0, windows=windows)
+    got = sorted((r.source, r.landing_date) for r in raw.select("source", "landing_date").collect())
+    assert got == [("ABC AU", "2024-01-01"), ("ABC AU", "2024-01-02"), ("ABC AU", "2024-01-03"),
+                   ("CNN", "2024-01-02"), ("CNN", "2024-01-03"), ("Some Blog", "2024-01-03")]
+    plan = raw._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
+    assert "landing_date" in filters and "source" in filters
+    files = raw._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in files
