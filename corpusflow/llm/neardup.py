@@ -5,7 +5,9 @@ compared a slice of leading dimensions at a time: the partial products plus the
 suffix norms bounds the cosine, rows and columns that cannot reach the threshold are dropped after
 each slice, and a pair of tiles without any is given up. What is left is decided by the cosine of
 the vectors as given, in double precision. A cosine of t also bounds the difference of the first
-coordinate by sqrt(2 - 2t), so tiles of cells farther apart than that are never paired.
+coordinate by sqrt(2 - 2t), so tiles of cells farther apart than that are never paired. Tiles meet
+in pairs of blocks of 16, which bounds what one group holds (two blocks of vectors) and how often a
+tile is sent.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, and
 rows with a null label or id, link with nothing; only vectors of equal length are compared; equal
@@ -15,11 +17,8 @@ too); an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import connected_components, cut_lineage, prepare
@@ -68,7 +67,7 @@ def local_roots(adjacent: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
-                    threshold: float = 0.93, tile_rows: int = 512, sample_rows: int = 4096) -> DataFrame:
+                    threshold: float = 0.93, tile_rows: int = 512, block_tiles: int = 16, sample_rows: int = 4096) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id. The axes come from at most
     ``sample_rows`` vectors, which affects speed only."""
     spark = vectors.sparkSession
@@ -106,36 +105,55 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     label_type = rows.schema["label"].dataType.simpleString()
     tiles = cut_lineage(tile.groupBy(*group, "tile").applyInPandas(
         pack, f"label {label_type}, dim int, cell long, tile long, ids binary, copies binary, rows binary"))
-    spread = cells.select(*group, F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("tile"), "tiles")
-    same = spread.select(*group, "tile", F.col("cell").alias("cell_b"), F.explode(F.sequence("tile", F.col("tiles") - 1)).alias("tile_b"))
-    beside = (spread.join(cells.select("label", "dim", (F.col("cell") - 1).alias("cell"), F.col("tiles").alias("tiles_b")), group)
-              .select(*group, "tile", (F.col("cell") + 1).alias("cell_b"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles_b") - 1)).alias("tile_b")))
-    other = tiles.select("label", "dim", *(F.col(c).alias(f"{c}_b") for c in ("cell", "tile", "ids", "copies", "rows")))
-    pairs = (same.unionByName(beside).join(tiles, [*group, "tile"]).join(other, ["label", "dim", "cell_b", "tile_b"])
-             .select("dim", ((F.col("cell") == F.col("cell_b")) & (F.col("tile") == F.col("tile_b"))).alias("own"),
-                     "ids", "copies", "rows", "ids_b", "copies_b", "rows_b"))
-    schema = pa.schema([("cid", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):
-                dim, own, ia, ka, va, ib, kb, vb = (c[at].as_py() for c in batch.columns)
-                ia, ka, ib, kb = (np.frombuffer(x, np.int64) for x in (ia, ka, ib, kb))
-                a, b = (np.frombuffer(v, np.float32 if len(v) == 4 * dim * n else np.float64).reshape(n, dim).astype(float)
-                        for v, n in ((va, len(ia)), (vb, len(ib))))
-                near = linked(a, b, axes.get(dim, np.eye(dim)), threshold)
+    # blocks of tiles are paired, so a tile is sent once per pair of blocks, not once per pair of tiles
+    tiles = tiles.withColumn("block", F.floor(F.col("tile") / block_tiles))
+    blocks = cells.select(*group, F.ceil(F.col("tiles") / block_tiles).alias("blocks"))
+    zero = F.lit(0).cast("long")
+    spread = blocks.select(*group, "blocks", F.explode(F.sequence(zero, F.col("blocks") - 1)).alias("block"))
+    same = spread.select(*group, "block", F.col("cell").alias("cell_b"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("block_b"))
+    above = blocks.select("label", "dim", (F.col("cell") - 1).alias("cell"), F.col("blocks").alias("others"))
+    beside = (spread.join(above, group)
+              .select(*group, "block", (F.col("cell") + 1).alias("cell_b"), F.explode(F.sequence(zero, F.col("others") - 1)).alias("block_b")))
+    pairs = same.unionByName(beside)
+    pair = [*group, "block", "cell_b", "block_b"]
+    payload = ["ids", "copies", "rows"]
+    one = pairs.join(tiles, [*group, "block"]).select(*pair, F.lit(0).alias("side"), *payload)
+    other = tiles.select("label", "dim", F.col("cell").alias("cell_b"), F.col("block").alias("block_b"), *payload)
+    two = (pairs.where("cell <> cell_b or block <> block_b").join(other, ["label", "dim", "cell_b", "block_b"])
+           .select(*pair, F.lit(1).alias("side"), *payload))
+
+    def unpacked(f: pd.DataFrame, dim: int) -> list[tuple]:
+        out = []
+        for ids, copies, rows in zip(f["ids"], f["copies"], f["rows"]):
+            ids, copies = np.frombuffer(ids, np.int64), np.frombuffer(copies, np.int64)
+            kind = np.float32 if len(rows) == 4 * dim * len(ids) else np.float64
+            out.append((ids, copies, np.frombuffer(rows, kind).reshape(len(ids), dim)))
+        return out
+
+    def compare(f: pd.DataFrame) -> pd.DataFrame:
+        """All pairs of tiles of a pair of blocks (of one block with itself: each pair once)."""
+        dim = int(f["dim"].iloc[0])
+        left, right = (unpacked(f[f["side"] == k], dim) for k in (0, 1))
+        turn = axes.get(dim, np.eye(dim))
+        got: list[tuple] = []
+        for i, (ia, ka, va) in enumerate(left):
+            for j, (ib, kb, vb) in enumerate(right or left):
+                own = not right and i == j
+                if not right and j < i:
+                    continue
+                near = linked(va.astype(float), vb.astype(float), turn, threshold)
                 if own:
                     near |= near.T
                     np.fill_diagonal(near, False)
                 if not near.any():
                     continue
                 root_a, root_b = local_roots(near, ia, ib)
-                links_a, links_b = near @ kb, ka @ near
-                sides = [(ia, links_a, root_a)] + ([] if own else [(ib, links_b, root_b)])
-                got = [np.concatenate(x) for x in zip(*((i[n > 0], n[n > 0], r[n > 0]) for i, n, r in sides))]
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in got], schema=schema)
+                for ids, links, root in [(ia, near @ kb, root_a)] + ([] if own else [(ib, ka @ near, root_b)]):
+                    got.append((ids[links > 0], links[links > 0], root[links > 0]))
+        columns = [np.concatenate(x) for x in zip(*got)] if got else [np.empty(0, np.int64)] * 3
+        return pd.DataFrame(dict(zip(("cid", "links", "root"), columns)))
 
-    found = cut_lineage(pairs.mapInArrow(compare, "cid long, links long, root long"))
+    found = cut_lineage(one.unionByName(two).groupBy(*pair).applyInPandas(compare, "cid long, links long, root long"))
     counted = found.groupBy("cid").agg(F.sum("links").alias("links"))
     roots = connected_components(found.select(F.col("cid").alias("a"), F.col("root").alias("b")))
     decided = (classes.select("label", "v", "cid", "copies").join(counted, "cid", "left").join(roots, F.col("cid") == F.col("node"), "left")
