@@ -23,11 +23,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as a table in the shared checkpoint folder and reread it."""
+    """Write ``df`` once as a table in the shared checkpoint folder and reread it. The table goes
+    when the session's file system closes, or before, by ``removed``."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    folder, fs = _folder(spark, path)
+    fs.deleteOnExit(folder)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def removed(table: DataFrame) -> None:
+    """Delete the table behind what ``written`` returned, once nothing will read it again; any other
+    frame is left alone."""
+    path = vars(table).get("written_at")
+    if path:
+        folder, fs = _folder(table.sparkSession, path)
+        fs.delete(folder, True)
+
+
+def _folder(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, sc
 
 def test_registered():
     names = E.queries()
-    assert {"pipeline", *queries.QUERIES} <= set(names) and len([n for n in names if n.startswith("op")]) == 10
+    assert {"pipeline", *queries.QUERIES} <= set(names) and len([n for n in names if n.startswith("op")]) == 13
     assert [len(s) for s in corpus_pipeline.STAGES] == [2] * 4 and corpus_pipeline.ORACLE_SQL is None
 
 
@@ -62,8 +62,22 @@ def test_language_stage_drops_only_what_has_no_letter(spark):
     assert kept.count() == 1000
 
 
+def test_dedup_stage_carries_columns_of_any_name(spark):
+    names = ["key of the row", "Hash of the text", "copy of a kept row", "copy of a kept row_"]
+    docs = spark.createDataFrame([(1, "one text here", 1, 2, 3, 4), (2, "one text here", 5, 6, 7, 8)], ["doc_id", "text", *names])
+    kept = corpus_pipeline.STAGES[2][1](spark, docs, SF01)
+    assert kept.columns == docs.columns and [tuple(r)[2:] for r in kept.collect()] == [(1, 2, 3, 4)]
+
+
 def test_run_equals_its_stages(spark):
+    import os
+    from corpusflow.session import checkpoint_dir
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    there = set(os.listdir(folder))
     got = corpus_pipeline.run(spark, SF01).toPandas()
+    # of the stages' tables only the one the result reads is left
+    left = {n for n in set(os.listdir(folder)) - there if n.startswith(("toxicity-", "language-id-", "simhash-near-dedup-"))}
+    assert len(left) == 1 and left.pop().startswith("simhash-near-dedup-")
     toxic = {r[0] for r in queries.op4(spark, SF01).where("predicted = 1").select("doc_id").collect()}
     left = spark.read.parquet(f"{SF01}/documents.parquet").where(~simhash.F.col("doc_id").isin(list(toxic)))
     keep = {r[0] for r in simhash.near_duplicates(left).where("doc_id = component_id").select("doc_id").collect()}
