@@ -1,8 +1,14 @@
 """Documents to training sequences: toxicity, language, near-duplicates, packing.
 
 ``run`` applies the stages to the documents table, writing and rereading each stage's rows in the
-shared checkpoint folder. Every stage but the last returns the columns of its input unchanged.
-The models are learned from the tables in ``sf_dir``, whatever documents a stage is given.
+shared checkpoint folder; a stage's input goes once its output is written. Every stage but the last
+returns the columns of its input unchanged. The models are learned from the tables in ``sf_dir``,
+whatever documents a stage is given.
+
+Defined results: a null text is an empty one to every stage (not toxic, no language, so it ends at the
+second stage); a document without an id is a document of its own, told by its text; of repeated rows
+the SimHash stage keeps one; texts are taken whole, whatever their length; an empty table gives an
+empty result; other columns are carried through and may have any name.
 """
 
 from __future__ import annotations
@@ -10,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from corpusflow.llm import langid, packing, simhash, toxicity
-from corpusflow.llm.common import prepare, table, written
+from corpusflow.llm.common import prepare, removed, table, written
 from corpusflow.llm.queries import byte_bpe_encoder, language_model, toxicity_model
 
 
@@ -33,16 +39,24 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Keep one row of each SimHash component: one with the smallest id whose own text lies in the
     component, or, of a component without ids, one of its rows. Different texts under one id that
     are no near copies of each other are in components of their own, and each has a row kept."""
+    key, text_hash, turn = (_unused(docs, name) for name in ("key of the row", "hash of the text", "copy of a kept row"))
     # a row without an id is told by its text; such keys follow those of rows with an id
     by_text = F.shiftrightunsigned(F.xxhash64("text"), 2).bitwiseOR(F.lit(1 << 62))
-    keyed = docs.withColumns({"key of the row": F.coalesce("doc_id", by_text), "hash of the text": F.xxhash64("text")})
-    found = simhash.components(keyed, id_col="key of the row", words_per_shingle=3, radius=3, also=("hash of the text",))
-    keep = (found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("key of the row"), "root")
-            .agg(F.min("hash of the text").alias("hash of the text")).drop("root"))
-    same = ["key of the row", "hash of the text"]
-    once = Window.partitionBy(*same).orderBy("hash of the text")
-    return (keyed.join(keep, same, "left_semi").withColumn("copy of a kept row", F.row_number().over(once))
-            .where("`copy of a kept row` = 1").select(*docs.columns))
+    keyed = docs.withColumns({key: F.coalesce("doc_id", by_text), text_hash: F.xxhash64("text")})
+    found = simhash.components(keyed, id_col=key, words_per_shingle=3, radius=3, also=(text_hash,))
+    keep = (found.where("doc_id = component_id").groupBy(F.col("doc_id").alias(key), "root")
+            .agg(F.min(text_hash).alias(text_hash)).drop("root"))
+    same = [key, text_hash]
+    once = Window.partitionBy(*same).orderBy(text_hash)
+    return (keyed.join(keep, same, "left_semi").withColumn(turn, F.row_number().over(once))
+            .where(F.col(turn) == 1).select(*docs.columns))
+
+
+def _unused(docs: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``docs`` has it."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,5 +78,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        kept = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        removed(docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
