@@ -4,12 +4,16 @@ from the given rows (SC1, SC3) and an append to a store that holds part of a bat
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import text as tx
 from ..operators import chunk as ch
 from ..operators import extract as X
+from ..operators import qa as QA
+from ..session import checkpoint_dir, cut_lineage
 from ..sources import envelopes, registry, sinks
 from ..sources.tables import table
 from .catalog import WS_SQL, query, sql_remove_tags, sql_word_tokens
@@ -126,12 +130,14 @@ SELECT doc_id, CAST(i AS INTEGER) AS chunk_idx
 FROM (SELECT doc_id, unnest(range(0, CAST(ceil(len(toks) / {ch.DEFAULT_BUDGET}.0) AS BIGINT))) AS i FROM t)
 """)
 def incremental_stored(spark, sf):
-    """K1: a batch of all documents onto a store that holds a third of them already."""
+    """K1: a batch of all documents onto a store that holds a third of them already, written and read."""
     docs = table(spark, sf, "documents").select("doc_id", "source", F.col("doc_id").cast("string").alias("title"),
                                                 F.lit("").alias("publishdate"), tx.remove_tags("text").alias("content"))
     chunks = ch.word_chunks(docs, "content", keep=["doc_id", "source", "title", "publishdate"])
-    batch = sinks.with_point_id(chunks).select("source", "point_id", "doc_id", "chunk_idx")
-    return sinks.new_points(batch, batch.where(F.col("doc_id") % 3 == 0)).select("doc_id", "chunk_idx")
+    batch = cut_lineage(sinks.with_point_id(chunks).select("source", "publishdate", "point_id", "doc_id", "chunk_idx"))
+    store = f"{checkpoint_dir(spark)}/store-{uuid.uuid4().hex}"
+    sinks.append_points(sinks.unstored(batch.where(F.col("doc_id") % 3 == 0), store), store)
+    return sinks.unstored(batch, store).select("doc_id", "chunk_idx")
 
 
 # --- a whole run ---------------------------------------------------------------------
@@ -170,3 +176,65 @@ def ingest_run(spark, sf):
     sources = spark.createDataFrame([(f"s{i}", True, "X14", "truncate", "std", "stop", 100, None, False) for i in range(3)], settings)
     run = ingest.collect_articles(spark, polls, pages.drop("page_id"), sources=sources)
     return run.select("source", "poll_no", "url", "publishdate", "content")
+
+
+class _Inline:
+    """Documents as articles with their body inline: forty numbers a poll, the half-hour of the event of
+    its number as publish date."""
+
+    @staticmethod
+    def sql() -> str:
+        return f"""a AS (SELECT 'g' || (doc_id % 3) AS source, CAST(floor(doc_id / 40) AS INTEGER) AS poll_no, doc_id AS pos, 'd' || doc_id AS url,
+             strftime(ts, '%Y-%m-%dT%H:') || CASE WHEN minute(ts) < 30 THEN '00' ELSE '30' END || ':00Z' AS publishdate, text AS content
+      FROM documents JOIN events ON event_id = doc_id)"""
+
+
+@query("ingest_inline", _std_stop_sql(mapping=_Inline).replace(_OUT, f"SELECT source, poll_no, url AS title, publishdate, {sql_remove_tags('content')} AS content"))
+def ingest_inline(spark, sf):
+    """SC2 / X0 / U1: the run over answers that carry their bodies, beside a page source without any poll:
+    envelopes of the other shape, no lookup, cleaning and the arrival-order rules."""
+    from . import ingest
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    ts = F.col("ts")
+    half = F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:"), F.when(F.minute(ts) < 30, "00").otherwise("30"), F.lit(":00Z"))
+    events = table(spark, sf, "events").select(F.col("event_id").alias("doc_id"), half.alias("webPublicationDate"))
+    item = F.struct("doc_id", F.struct("webPublicationDate", F.struct(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("headline"),
+                                                                      F.col("text").alias("body")).alias("fields")).alias("s"))
+    polls = (docs.join(events, "doc_id")
+             .groupBy(F.concat(F.lit("g"), (F.col("doc_id") % 3).cast("string")).alias("source"), F.floor(F.col("doc_id") / 40).cast("int").alias("poll_no"))
+             .agg(F.struct(F.transform(F.sort_array(F.collect_list(item)), lambda x: x["s"]).alias("results")).alias("response"))
+             .select(F.lit("r").alias("run_id"), "source", "poll_no", F.lit(200).alias("status"), "response"))
+    settings = "label string, active boolean, rule_id string, null_policy string, stop_variant string, status_policy string, page_size int, window_days int, strict boolean"
+    sources = spark.createDataFrame([(f"g{i}", True, "X0", "truncate", "std", "stop", 100, None, False) for i in range(3)], settings)
+    no_polls, no_pages = spark.createDataFrame([], schemas.POLL_NEWSAPI), spark.createDataFrame([], schemas.PAGES)
+    run = ingest.collect_articles(spark, no_polls, no_pages, guardian_raw=polls, sources=sources)
+    return run.select("source", "poll_no", "title", "publishdate", "content")
+
+
+# --- V5 ------------------------------------------------------------------------------
+
+def _overlap_scorer():
+    """A pair scorer as it is injected: logits from the words a question and its answer share."""
+    import numpy as np
+
+    def logits(questions, answers):
+        shared = [len(set(q.split(" ")) & set(a.split(" "))) for q, a in zip(questions, answers)]
+        return np.array([[s, 1.0, len(a) / 200.0] for s, a in zip(shared, answers)])
+
+    return logits
+
+
+@query("qa_injected", """
+WITH p AS (SELECT q.conv_id, q.turn, q.text AS question, a.text AS answer FROM conversations q
+           JOIN conversations a ON a.conv_id = q.conv_id AND a.turn = q.turn + 1 WHERE q.role = 'user' AND a.role = 'assistant'),
+l AS (SELECT conv_id, turn, len(list_intersect(list_distinct(string_split(question, ' ')), list_distinct(string_split(answer, ' '))))::DOUBLE AS l0,
+             1.0::DOUBLE AS l1, length(answer) / 200.0::DOUBLE AS l2 FROM p)
+SELECT conv_id, turn, round(exp(l0 - greatest(l0, l1, l2)) / (exp(l0 - greatest(l0, l1, l2)) + exp(l1 - greatest(l0, l1, l2))
+       + exp(l2 - greatest(l0, l1, l2))), 6) AS entailment FROM l
+""")
+def qa_injected(spark, sf):
+    """V5 / V5r: an injected pair scorer over every question and answer, its first class as probability."""
+    from .queries_monitor import qa_pairs_df
+    pairs = qa_pairs_df(spark, sf)
+    scored = QA.with_entailment(pairs, QA.pair_logits_udf(_overlap_scorer)(F.col("question"), F.col("answer")))
+    return scored.select("conv_id", "turn", F.round("Entailment", 6).alias("entailment"))
