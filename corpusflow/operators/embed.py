@@ -95,8 +95,8 @@ def embed_column(df: DataFrame, text_col: str, factory, out_col: str = "embeddin
 
 
 class TokenStates:
-    """What ``pool_states`` asks of a model: ``tokens(text)`` ids of one text, ``limit`` the tokens it
-    takes at most, ``states(ids, mask)`` an array (texts, tokens, width) for padded ids and their mask."""
+    """What ``pool_states`` asks of a model: ``tokens(text)`` ids of one text (all of them, or the first
+    beyond the limit), ``limit`` the tokens it takes at most, ``states(ids, mask)`` an array (texts, tokens, width) for padded ids and their mask."""
 
     limit: int = 512
     width: int
@@ -115,21 +115,23 @@ class DigestStates(TokenStates):
     def __init__(self, width: int = 16, limit: int = 64):
         self.width, self.limit = width, limit
         self.number: dict[str, int] = {}
-        self.table = [[100.0] * width]  # number 0 is padding
+        self.table = np.full((1024, width), 100.0)  # number 0 is padding
 
     def tokens(self, text: str) -> list[int]:
         import hashlib
         ids = []
-        for word in text.split():
+        for word in text.split()[:self.limit + 1]:  # one beyond the limit tells that the text is cut
             at = self.number.get(word)
             if at is None:
-                at = self.number[word] = len(self.table)
-                self.table.append([int(c, 16) - 7.5 for c in hashlib.md5(word.encode()).hexdigest()[:self.width]])
+                at = self.number[word] = len(self.number) + 1
+                if at == len(self.table):
+                    self.table = np.concatenate([self.table, np.empty_like(self.table)])
+                self.table[at] = [int(c, 16) - 7.5 for c in hashlib.md5(word.encode()).hexdigest()[:self.width]]
             ids.append(at)
         return ids
 
     def states(self, ids: np.ndarray, mask: np.ndarray) -> np.ndarray:
-        return np.array(self.table)[ids]
+        return self.table[ids]
 
 
 def digest_states(width: int = 16, limit: int = 64) -> TokenStates:

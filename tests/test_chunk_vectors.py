@@ -334,7 +334,7 @@ def test_states_are_pooled_under_the_mask(spark):
     # the row-wise form agrees, padding and all
     model = EM.digest_states(8, 64)
     ids = [*model.tokens("a b c"), 0, 0]
-    one = spark.createDataFrame([([list(model.table[k]) for k in ids], [1, 1, 1, 0, 0])], "s array<array<double>>, m array<int>")
+    one = spark.createDataFrame([([model.table[k].tolist() for k in ids], [1, 1, 1, 0, 0])], "s array<array<double>>, m array<int>")
     assert np.allclose(one.select(masked_mean_pool("s", "m")).first()[0], got[0].embedding)
 
 
