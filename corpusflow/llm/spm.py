@@ -4,7 +4,7 @@ A text gets the segmentation into vocabulary pieces of the highest total score.
 the longest piece's length can still be extended; whenever all paths that survive in it agree on
 the next boundary, the piece before it is committed and forgotten. Where no piece of the
 vocabulary reaches over a word's start or between letters and other characters, paths always agree,
-so words are remembered by worker; one that fits the window is decided at once.
+so words are remembered by worker.
 
 Characters outside the vocabulary become byte pieces, and so does a literal U+2581, which makes
 decoding exact. Files of merge ranks (BPE) have no probabilities: their ranks r are read as Zipf
@@ -12,7 +12,7 @@ log-probabilities -ln((r + 1) H), H the harmonic sum over the vocabulary. Scores
 millionths, so equal sums are equal wherever a text is cut.
 
 Defined results: a null text has null ids, an empty text none; equal scores prefer the longer last
-piece; repeated rows are encoded alike; an empty table gives no rows; other columns are kept (one
+piece; a text of any length is encoded whole; repeated rows are encoded alike; an empty table gives no rows; other columns are kept (one
 of the output's name is replaced).
 """
 
@@ -73,68 +73,61 @@ class Vocabulary:
         self._memo = _Memo(self.encode_word)
 
     def segment(self, text: str) -> Iterator[tuple[int, int]]:
-        """Boundaries of the pieces, each as soon as it is certain."""
-        scores, longest, base = self.scores, self.longest, 0
-        best, back, first = {0: 0}, {}, {}
-        for j in range(1, len(text) + 1):
-            top, at = -(1 << 62), j - 1
-            for i in range(max(base, j - longest), j):
-                s = scores.get(text[i:j])
-                if s is None:
-                    if i < j - 1:
-                        continue
-                    s = self.byte_score * len(text[i:j].encode("utf-8"))
-                if best[i] + s > top:
-                    top, at = best[i] + s, i
-            best[j], back[j] = top, at
-            first[j] = j if at == base else first[at]
-            while j - base >= longest:  # the committed boundary itself can no longer be extended
-                live = range(max(base + 1, j - longest + 1), j + 1)
-                agreed = first[j]
-                if any(first[k] != agreed for k in live):
-                    break
-                yield base, agreed
-                for k in range(base, agreed):
-                    best.pop(k, None), back.pop(k, None), first.pop(k, None)
-                base = agreed
-                for k in range(base + 1, j + 1):  # others cannot lie on a surviving path
-                    first[k] = k if back[k] <= base else first[back[k]]
-        path = []
-        at = len(text)
-        while at > base:
-            path.append((back[at], at))
-            at = back[at]
-        yield from reversed(path)
-
-    def _whole(self, word: str) -> list[str]:
-        """The pieces of a word that fits the window, where nothing is committed before its end."""
-        n, trie, low = len(word), self.trie, -(1 << 62)
-        best, back = [0] + [low] * n, [0] * (n + 1)
+        """Boundaries of the pieces, each as soon as it is certain.
+
+        ``best`` and ``back`` hold the boundaries from ``base``, the last committed one, to the longest
+        piece's reach. Every path goes on through a boundary that is reached but not passed; these are
+        followed back until they meet, once in a window's length, and all before that is committed.
+        """
+        trie, scores, reach, low = self.trie, self.scores, self.longest, -(1 << 62)
+        n, base, due = len(text), 0, self.longest
+        best, back = [0] + [low] * reach, [0] * (reach + 1)
         for i in range(n):
-            node, base = trie, best[i]
+            here, node = best[i - base], trie
             for j in range(i + 1, n + 1):
-                node = node.get(word[j - 1])
+                node = node.get(text[j - 1])
                 if node is None:
                     break
                 s = node.get("")
-                if s is not None and base + s > best[j]:
-                    best[j], back[j] = base + s, i
-            if word[i] not in self.scores:
-                s = base + self.byte_score * len(word[i].encode("utf-8"))
-                if s > best[i + 1]:
-                    best[i + 1], back[i + 1] = s, i
+                if s is not None and here + s > best[j - base]:
+                    best[j - base], back[j - base] = here + s, i
+            if text[i] not in scores:
+                s = here + self.byte_score * len(text[i].encode("utf-8"))
+                if s > best[i + 1 - base]:
+                    best[i + 1 - base], back[i + 1 - base] = s, i
+            best.append(low)
+            back.append(0)
+            if i >= due:
+                due = i + reach
+                met = self._meeting(best, back, base, i + 1)
+                yield from self._path(back, base, met)
+                best, back, base = best[met - base:], back[met - base:], met
+        yield from self._path(back, base, n)
+
+    @staticmethod
+    def _meeting(best: list[int], back: list[int], base: int, open_from: int) -> int:
+        """The last boundary that the paths to all reached boundaries from ``open_from`` on share."""
+        live = {base + k for k in range(open_from - base, len(best)) if best[k] > -(1 << 62)}
+        while len(live) > 1:
+            last = max(live)
+            live.remove(last)
+            live.add(back[last - base])
+        return live.pop()
+
+    @staticmethod
+    def _path(back: list[int], base: int, end: int) -> list[tuple[int, int]]:
+        """The pieces of the path from ``base`` to ``end``."""
         out = []
-        while n:
-            out.append(word[back[n]:n])
-            n = back[n]
-        out.reverse()
-        return out
+        while end > base:
+            out.append((back[end - base], end))
+            end = back[end - base]
+        return out[::-1]
 
     def encode_word(self, word: str) -> bytes:
         """Ids of a text without literal U+2581, as little-endian uint32."""
-        pieces = self._whole(word) if len(word) <= self.longest else (word[i:j] for i, j in self.segment(word))
         out: list[int] = []
-        for piece in pieces:
+        for i, j in self.segment(word):
+            piece = word[i:j]
             got = self.ids.get(piece)
             out += [got] if got is not None else [self.bytes[b] for b in piece.encode("utf-8")]
         return struct.pack(f"<{len(out)}I", *out)
