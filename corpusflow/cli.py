@@ -1,14 +1,15 @@
 """Command line for the three entry points.
 
   python -m corpusflow.cli ingest --polls DIR --pages PATH --run-date YYYY-MM-DD --points P --counts C --embedder hashing
-                                [--budget 512] [--counter words|bytes|chars|tokenizer:PATH] [--by-day]
+                                [--budget 512] [--counter words|bytes|chars|tokenizer:PATH] [--by-day] [--newest-first]
   python -m corpusflow.cli pages --points P --index I [--limit 300]
   python -m corpusflow.cli scroll --points P --index I --source S [--page 0] [--out DIR]
   python -m corpusflow.cli search --points P --embedder hashing [--k 5] [--out DIR] "query text" ...
   python -m corpusflow.cli dashboard --counts C --date YYYY-MM-DD [--source S] [--qa PATH [--scorer lengths]] [--out DIR]
 
 ``--by-day``: the landing folder is laid out as landing_date=/source=, and only the folders
-of each source's request window are read. ``pages`` stores the index of all pages, ``scroll``
+of each source's request window are read. ``--newest-first``: answers of sources that ask for the
+newest articles first are put in that order; without it every answer is taken as it landed. ``pages`` stores the index of all pages, ``scroll``
 reads one. Results are whole: with ``--out`` every table is written there as parquet and its
 row count printed, without it every row is printed. Models are named: ``hashing``
 and ``lengths`` are stand-ins for an embedder and a pair scorer.
@@ -51,6 +52,7 @@ def main(argv=None):
     a.add_argument("--budget", type=int, default=ch.DEFAULT_BUDGET, help="tokens of a chunk at most")
     a.add_argument("--counter", default=None, help="token counter by name; without it chunks are of words")
     a.add_argument("--by-day", action="store_true")
+    a.add_argument("--newest-first", action="store_true")
     i = sub.add_parser("pages")
     i.add_argument("--points", required=True)
     i.add_argument("--index", required=True)
@@ -86,7 +88,7 @@ def main(argv=None):
             raw = envelopes.read_polls(spark, args.polls)
         g = envelopes.read_polls(spark, args.guardian, "guardian") if args.guardian else None
         ingest.run_ingest(spark, raw, spark.read.parquet(args.pages), args.run_date, args.points, args.counts,
-                          args.embedder, guardian_raw=g, budget=args.budget, counter=ch.counter(args.counter) if args.counter else None)
+                          args.embedder, guardian_raw=g, budget=args.budget, counter=ch.counter(args.counter) if args.counter else None, newest_first=args.newest_first)
     elif args.cmd == "pages":
         from .operators import vectors
         from .sources import sinks

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
+
 def dedupe_pages(pages: DataFrame, order_col: str | None = None) -> DataFrame:
     """One page per url: one that answered 200 before others, then the first
     landed (``order_col``), then the smallest html, so a re-run picks the same.
@@ -77,6 +80,29 @@ def request_filter(articles: DataFrame, *, selector_col: str | None = None, sele
     return df
 
 
+def newest_positions(rows: DataFrame, keys: list[str], time_col: str, id_col: str) -> DataFrame:
+    """SP6 over any rows: ``keys``, ``id_col`` and ``position``, the row's place (from 0) among the rows of
+    its keys by time, newest first; equal times go by the smaller id, rows without a time come last.
+
+    Rows are range-partitioned by (keys, time, id), so a source with a third of all rows is spread over
+    many tasks; a place is the rank within the part plus the rows of the same keys in the parts before, a
+    prefix sum over one row per keys and part. Null keys are keys like others; repeated ids of one time
+    get places next to each other."""
+    narrow = rows.select(*keys, F.col(time_col).alias("_time"), F.col(id_col).alias("_id"))
+    by = [F.col("_time").desc_nulls_last(), F.col("_id").asc_nulls_last()]
+    parts = cut_lineage(narrow.repartitionByRange(*(F.col(k).asc_nulls_first() for k in keys), *by).withColumn("_part", F.spark_partition_id()))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = parts.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select(*(F.col(k).alias(f"_{i}") for i, k in enumerate(keys)), F.col("_part").alias("_p"),
+                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*by))
+    same = F.col("_part") == F.col("_p")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_{i}"))
+    placed = parts.withColumn("_rank", inside).join(offsets, same)
+    return placed.select(*keys, F.col("_id").alias(id_col), (F.col("_before") + F.col("_rank") - 1).alias("position"))
+
+
 def first_n_per_poll(rows: DataFrame, keys: list[str], order_col: str, n: Column | int, most: int | None = None) -> DataFrame:
     """SP7 / L2: the first ``n`` rows of each poll answer, ``n`` a number or a
     column of at most ``most``. ``row_number() <= most`` plans as a group limit:

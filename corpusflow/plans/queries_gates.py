@@ -12,6 +12,7 @@ from .. import schemas
 from ..functions import text as tx
 from ..operators import chunk as ch
 from ..operators import extract as X
+from ..operators import ingest as J
 from ..operators import qa as QA
 from ..session import checkpoint_dir, cut_lineage
 from ..sources import envelopes, registry, sinks
@@ -211,6 +212,37 @@ def ingest_inline(spark, sf):
     return run.select("source", "poll_no", "title", "publishdate", "content")
 
 
+# --- SP6 -----------------------------------------------------------------------------
+
+@query("poll_newest_first", """
+WITH a AS (SELECT 's' || (event_id % 3) AS source, CAST(floor(event_id / 40) AS INTEGER) AS poll_no, event_id,
+                  CASE WHEN event_id % 11 <> 0 THEN date_trunc('hour', ts) END AS t FROM events)
+SELECT source, poll_no, 'e' || event_id AS url, CAST(row_number() OVER (PARTITION BY source, poll_no
+       ORDER BY CASE WHEN source <> 's2' THEN t END DESC NULLS LAST, event_id) - 1 AS INTEGER) AS pos FROM a
+""")
+def poll_newest_first(spark, sf):
+    """SP6 on answers: two sources ask for the newest first, one takes what landed; the hour of an event is
+    its publish time, so many are equal, and every eleventh article has none."""
+    from . import ingest
+    time = F.when(F.col("event_id") % 11 != 0, F.date_format("ts", "yyyy-MM-dd'T'HH:00:00'Z'"))
+    stub = F.struct(F.lit("t").alias("title"), F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("url"), time.alias("publishedAt"))
+    polls = (table(spark, sf, "events")
+             .groupBy(F.concat(F.lit("s"), (F.col("event_id") % 3).cast("string")).alias("source"), F.floor(F.col("event_id") / 40).cast("int").alias("poll_no"))
+             .agg(F.transform(F.sort_array(F.collect_list(F.struct("event_id", stub.alias("s")))), lambda x: x["s"]).alias("articles"))
+             .select(F.lit("r").alias("run_id"), "source", "poll_no", F.lit(200).alias("status"), F.size("articles").cast("long").alias("totalResults"), "articles"))
+    sources = spark.createDataFrame([("s0", "newest"), ("s1", "publishedAt"), ("s2", "popularity")], "label string, sort string")
+    return ingest.landed(polls, newest=registry.newest_first_sources(sources))[0].select("source", "poll_no", "url", "pos")
+
+
+@query("newest_positions", """
+SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY date_trunc('day', ts) DESC NULLS LAST, event_id) - 1 AS position FROM events
+""")
+def newest_positions(spark, sf):
+    """SP6 over a whole table: the place of every event among those of its type, newest day first; most days are equal."""
+    events = table(spark, sf, "events").select("event_type", "event_id", F.date_trunc("day", "ts").alias("day"))
+    return J.newest_positions(events, ["event_type"], "day", "event_id")
+
+
 # --- V5 ------------------------------------------------------------------------------
 
 def _overlap_scorer():

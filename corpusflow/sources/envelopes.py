@@ -61,6 +61,23 @@ def read_polls_window(spark: SparkSession, root: str, run_date: str, days: int |
     return raw.withColumn("run_id", F.coalesce(F.col("run_id"), F.lit("")))
 
 
+def newest_first(raw: DataFrame, sources: list[str], shape: str = "newsapi") -> DataFrame:
+    """SP6: the answers of ``sources`` with their articles by publish time, newest first; articles of one
+    time keep the order in which they landed, and those without a readable time come last. An answer is
+    one row, so this is a sort within the row: no shuffle, and the positions that follow are the new order."""
+    if not sources:
+        return raw
+    items = F.col("response.results") if shape == "guardian" else F.col("articles")
+    time = "webPublicationDate" if shape == "guardian" else "publishedAt"
+    age = lambda a: F.coalesce(-F.unix_micros(F.try_to_timestamp(a[time])), F.lit((1 << 63) - 1))
+    keyed = F.transform(items, lambda a, i: F.struct(age(a).alias("age"), i.alias("i"), a.alias("a")))
+    ordered = F.transform(F.array_sort(keyed), lambda x: x["a"])
+    ordered = F.when(F.col("source").isin(sources), ordered).otherwise(items)
+    if shape == "guardian":
+        return raw.withColumn("response", F.when(F.col("response").isNotNull(), F.struct(ordered.alias("results"))))
+    return raw.withColumn("articles", ordered)
+
+
 def poll_table(raw: DataFrame, shape: str = "newsapi") -> DataFrame:
     """One row per poll, zero-article polls included (needed by W4); ``no_list``
     marks an answer of 200 without its ``articles`` key (SC3)."""

@@ -8,6 +8,7 @@ per site: adding a site is adding a row. Both tables are small config
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -165,6 +166,8 @@ REQUEST = {
     "sky sports": {"sort": "publishedAt"},
     "GNews": {"country": "us", "strict": True},
 }
+#: Values of ``sort`` that mean publish time, newest first.
+NEWEST_FIRST = ("newest", "publishedAt")
 # A source missing from the registry is fetched like the plain ones: all paragraphs of the page.
 DEFAULT_RULE = "X1"
 
@@ -186,6 +189,13 @@ def sources_df(spark: SparkSession, active_only: bool = True) -> DataFrame:
     return df.where("active") if active_only else df
 
 
+def newest_first_sources(sources: DataFrame) -> list[str]:
+    """Labels whose request asks for the newest articles first (SP6); settings rows, not data."""
+    if "sort" not in sources.columns:
+        return []
+    return sorted(r["label"] for r in sources.where(F.col("sort").isin(*NEWEST_FIRST)).select("label").distinct().collect())
+
+
 def request_windows() -> dict[str, int | None]:
     """Days each source's daily request reaches back (SP1); None: no limit."""
     return {s[0]: (DEFAULT_REQUEST | REQUEST.get(s[0], {}))["window_days"] for s in _S}

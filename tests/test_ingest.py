@@ -7,6 +7,7 @@ import tempfile
 
 import pytest
 
+from corpusflow import schemas
 from corpusflow.plans import ingest
 from corpusflow.sources import envelopes, registry
 from corpusflow.streaming import ingest as stream
@@ -112,6 +113,22 @@ def test_guardian_stream(spark):
     assert vec == [("2024-01-02", 4)]
 
 
+def test_newest_first_decides_what_a_full_answer_keeps(spark):
+    """An answer of more articles than its source's page, oldest first: the page cuts the last ones landed,
+    or, in the order the source asks for, the oldest; the same in the stream."""
+    tmp = tempfile.mkdtemp(prefix="cf-newest-")
+    day = lambda i: f"2024-01-01T{i // 60:02d}:{i % 60:02d}:00Z"
+    _land(os.path.join(tmp, "landing"), [[_guardian(0, [(day(i), f"h{i}", f"text {i}") for i in range(205)])]])
+    g = envelopes.read_polls(spark, os.path.join(tmp, "landing"), "guardian")
+    none, pages = spark.createDataFrame([], schemas.POLL_NEWSAPI), spark.createDataFrame([], schemas.PAGES)
+    kept = lambda **kw: {int(r.title[1:]) for r in ingest.collect_articles(spark, none, pages, guardian_raw=g, **kw).collect()}
+    assert kept() == set(range(200)) and kept(newest_first=True) == set(range(5, 205))
+    q = stream.start(spark, os.path.join(tmp, "landing"), os.path.join(tmp, "points"), os.path.join(tmp, "counts"), os.path.join(tmp, "ckpt"),
+                     "hashing", shape="guardian", run_date="2024-01-01", newest_first=True)
+    assert q.awaitTermination(240)
+    assert {int(r.title[1:]) for r in spark.read.parquet(os.path.join(tmp, "points")).collect()} == set(range(5, 205))
+
+
 def test_stream_equals_batch_for_page_sources(spark):
     """Polls in reverse order of landing, two a batch; the same points as the batch job."""
     tmp = tempfile.mkdtemp(prefix="cf-stream-")

@@ -170,3 +170,50 @@ def test_each_source_reads_its_own_window(spark, tmp_path):
     assert "landing_date" in filters and "source" in filters
     files = raw._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: []" not in files
+
+
+def test_answers_newest_first(spark):
+    from corpusflow.plans import ingest
+    stub = lambda u, t: {"title": u, "url": u, "publishedAt": t}
+    arts = [stub("old", "2024-01-01T00:00:00Z"), stub("x", None), stub("tie1", "2024-01-02T00:00:00Z"),
+            stub("y", "soon"), stub("tie2", "2024-01-02T01:00:00+01:00"), stub("new", "2024-01-03T00:00:00Z")]
+    poll = lambda source, n, **kw: {"run_id": "r", "source": source, "poll_no": n, "status": 200, **kw}
+    raw = envelopes.read_polls(spark, _land([poll("sky sports", 0, articles=arts), poll("BBC", 0, articles=arts),
+                                             poll("sky sports", 1), poll("sky sports", 2, articles=[])]))
+    newest = registry.newest_first_sources(registry.sources_df(spark))
+    assert newest == ["Guardian", "sky sports"]
+    stubs, polls = ingest.landed(raw, newest=newest)
+    got = {}
+    for r in sorted(stubs.collect(), key=lambda r: r.pos):
+        got.setdefault(r.source, []).append(r.url)
+    assert got == {"sky sports": ["new", "tie1", "tie2", "old", "x", "y"], "BBC": [a["url"] for a in arts]}
+    assert sorted((r.source, r.poll_no, r.no_list) for r in polls.collect()) == [
+        ("BBC", 0, False), ("sky sports", 0, False), ("sky sports", 1, True), ("sky sports", 2, False)]
+    plan = stubs._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan
+    items = [{"webPublicationDate": f"2024-01-0{d}T00:00:00Z", "fields": {"headline": str(d), "body": "b"}} for d in (1, 3, 2)]
+    raw = envelopes.read_polls(spark, _land([poll("Guardian", 0, response={"results": items}), poll("Guardian", 1), poll("Guardian", 2, response={})]), "guardian")
+    stubs, polls = ingest.landed(raw, "guardian", newest)
+    assert [r.title for r in sorted(stubs.collect(), key=lambda r: r.pos)] == ["3", "2", "1"] and polls.count() == 3
+    assert registry.newest_first_sources(registry.sources_df(spark).drop("sort")) == []
+
+
+def test_newest_positions_against_brute_force(spark):
+    import random
+    rng = random.Random(4)
+    rows = [("hot" if rng.random() < 0.5 else rng.choice(["a", "b", None]), rng.choice([None, *range(5)]), i) for i in range(3000)]
+    table = spark.createDataFrame(rows, "source string, t int, id long").repartition(7)
+    got = {r["id"]: (r["source"], r["position"]) for r in J.newest_positions(table, ["source"], "t", "id").collect()}
+    want = {}
+    for key in {r[0] for r in rows}:
+        mine = sorted((r for r in rows if r[0] == key), key=lambda r: (r[1] is None, -(r[1] or 0), r[2]))
+        want |= {r[2]: (key, k) for k, r in enumerate(mine)}
+    assert got == want
+    assert J.newest_positions(table.limit(0), ["source"], "t", "id").count() == 0
+    # a source of any size is dealt to many parts, each ranked by itself
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        spread = {r["id"]: (r["source"], r["position"]) for r in J.newest_positions(table, ["source"], "t", "id").collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spread == want
