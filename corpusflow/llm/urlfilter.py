@@ -7,8 +7,10 @@ the most specific pattern decides. A pattern is a domain (it covers its subdomai
 first path segment.
 
 The as-of join works on buckets of time: within a bucket a window carries the last entry forward,
-and what a bucket starts with comes from one summary row per pattern and bucket. So neither a host
-with a third of all captures nor a pattern with most entries meets in one task.
+and what a bucket starts with comes from one summary row per pattern and bucket. Buckets are minutes: a
+host with a third of all captures, or a pattern with most entries, is dealt to as many groups as its
+time range has minutes, also if all of it is one day's crawl, and the summary rows of a pattern, the
+only thing that meets in one task, are bounded by the time range (525,600 a year), not by captures.
 
 Defined results: a null or unparsable URL falls under no pattern, a null fetch time under no
 interval: both are allowed with no pattern. A host of more than 253 characters, which no domain name
@@ -25,6 +27,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .common import prepare
 
 RANK = {"remove": 0, "allow": 1, "block": 2}
+#: Unit of time of a bucket of the as-of join; any that ``date_trunc`` knows gives the same rows.
+BUCKET = "minute"
 
 
 def host_of(url: Column) -> Column:
@@ -38,7 +42,7 @@ def segment_of(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)", 1)
 
 
-def intervals(entries: DataFrame, bucket: str = "day") -> DataFrame:
+def intervals(entries: DataFrame, bucket: str = BUCKET) -> DataFrame:
     """Validity intervals (pattern, action, valid_from, valid_to) of dated entries (pattern, ts,
     action); ``valid_to`` is null while an entry still holds."""
     rank = F.when(F.col("action") == "block", 2).when(F.col("action") == "allow", 1).when(F.col("action") == "remove", 0)
@@ -68,7 +72,7 @@ def with_patterns(captures: DataFrame, url_col: str = "url") -> DataFrame:
 
 
 def evaluate(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", url_col: str = "url", time_col: str = "fetch_ts",
-             bucket: str = "day") -> DataFrame:
+             bucket: str = BUCKET) -> DataFrame:
     """Every capture with its verdict: id, url, fetch_ts, allowed, and the deciding interval's
     pattern, action and valid_from (null if none)."""
     prepare(captures.sparkSession)

@@ -33,9 +33,10 @@ def test_query_equals_its_sql(spark, name):
 
 # --- URL filters ---
 
-def test_url_filter_against_brute_force(spark):
+@pytest.mark.parametrize("step, bucket", [({"hours": 1}, "minute"), ({"hours": 1}, "day"), ({"seconds": 20}, "minute")])
+def test_url_filter_against_brute_force(spark, step, bucket):
     rng = random.Random(0)
-    at = lambda: dt.datetime(2024, 1, 1) + dt.timedelta(hours=rng.randrange(24 * 6))
+    at = lambda: dt.datetime(2024, 1, 1) + rng.randrange(24 * 6) * dt.timedelta(**step)
     hosts = ["a.example.com", "b.example.com", "example.com", "x.org", "y.x.org", "hot.net"]
     caps = [(i, f"https://{rng.choice(hosts + ['hot.net'] * 6)}/{rng.choice(['en', 'fr', ''])}", at()) for i in range(400)]
     caps += [(1000, None, at()), (1001, "not a url", at()), (1002, "http://hot.net/en", None), (None, "http://hot.net/en?x=1", at()), caps[0]]
@@ -45,7 +46,7 @@ def test_url_filter_against_brute_force(spark):
     entries += [(None, at(), "block"), ("x.org", None, "block"), ("x.org", at(), "other")]
     got = urlfilter.evaluate(
         spark.createDataFrame([(*c, "k", True) for c in caps], "page_id long, url string, fetch_ts timestamp, pattern string, allowed boolean"),
-        spark.createDataFrame([(*e, 1) for e in entries], "pattern string, ts timestamp, action string, valid_to int")).collect()
+        spark.createDataFrame([(*e, 1) for e in entries], "pattern string, ts timestamp, action string, valid_to int"), bucket=bucket).collect()
     latest = {}
     for p, ts, a in entries:
         if p and ts and a in urlfilter.RANK:
@@ -78,6 +79,18 @@ def test_url_filter_against_brute_force(spark):
     assert urlfilter.evaluate(none, listed).count() == 0
 
 
+def test_one_day_of_one_host_is_many_groups(spark):
+    """The windows of the as-of join deal rows by pattern and bucket, and by pattern only summary rows."""
+    F = queries.F
+    caps = spark.range(4000).select(F.col("id").alias("page_id"), F.lit("http://hot.net/en").alias("url"),
+                                    F.timestamp_seconds(1_700_000_000 + F.col("id") * 20).alias("fetch_ts"))
+    block = spark.createDataFrame([("hot.net", dt.datetime(2023, 1, 1), "block")], "pattern string, ts timestamp, action string")
+    got = urlfilter.evaluate(caps, block)
+    assert got.where("not allowed and pattern = 'hot.net'").count() == 4000
+    groups = caps.groupBy(F.date_trunc(urlfilter.BUCKET, "fetch_ts")).count().agg(F.count(F.lit(1)), F.max("count")).first()
+    assert groups[0] > 1300 and groups[1] <= 3
+
+
 # --- chat formatting ---
 
 def test_chat_reads_back_what_was_formatted(spark):
