@@ -9,8 +9,8 @@ first path segment.
 The as-of join works on buckets of time: within a bucket a window carries the last entry forward,
 and what a bucket starts with comes from one summary row per pattern and bucket. Buckets are minutes: a
 host with a third of all captures, or a pattern with most entries, is dealt to as many groups as its
-time range has minutes, also if all of it is one day's crawl, and the summary rows of a pattern, the
-only thing that meets in one task, are bounded by the time range (525,600 a year), not by captures.
+time range has minutes, also if all of it is one day's crawl. The summary rows are carried on within
+a day (1,440 at most), those of days within the pattern (365 a year): bounded by time, not by captures.
 
 Defined results: a null or unparsable URL falls under no pattern, a null fetch time under no
 interval: both are allowed with no pattern. A host of more than 253 characters, which no domain name
@@ -22,13 +22,17 @@ captures give no rows; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from .common import prepare
 
 RANK = {"remove": 0, "allow": 1, "block": 2}
 #: Unit of time of a bucket of the as-of join; any that ``date_trunc`` knows gives the same rows.
 BUCKET = "minute"
+#: Unit of time within which the buckets' summary rows of a pattern meet.
+SPAN = "day"
 
 
 def host_of(url: Column) -> Column:
@@ -50,7 +54,7 @@ def intervals(entries: DataFrame, bucket: str = BUCKET) -> DataFrame:
              .groupBy("pattern", "ts").agg(F.max("rank").alias("rank")).withColumn("bucket", F.date_trunc(bucket, "ts")))
     # the next entry: in the same bucket, else the first one of the pattern's next bucket
     summary = dated.groupBy("pattern", "bucket").agg(F.min("ts").alias("first_ts"))
-    after = summary.withColumn("later", F.lead("first_ts").over(Window.partitionBy("pattern").orderBy("bucket"))).drop("first_ts")
+    after = _beside(summary, "first_ts", F.min("first_ts"), F.lead("first_ts").over, "later").drop("first_ts")
     following = F.lead("ts").over(Window.partitionBy("pattern", "bucket").orderBy("ts"))
     return (dated.withColumn("following", following).join(after, ["pattern", "bucket"])
             .where("rank > 0")
@@ -58,6 +62,17 @@ def intervals(entries: DataFrame, bucket: str = BUCKET) -> DataFrame:
                     F.coalesce("following", "later").alias("valid_to")))
 
 
+def _beside(summary: DataFrame, value: str, of_span: Column, function: Callable[[WindowSpec], Column], name: str) -> DataFrame:
+    """``summary`` (pattern, bucket, ``value``) with ``name``: the ``value`` that ``function`` finds over a
+    pattern's buckets in order, in the bucket's own span, else over the spans, of which each stands for
+    its buckets by the aggregate ``of_span``."""
+    spanned = summary.withColumn("span", F.date_trunc(SPAN, "bucket"))
+    own = spanned.withColumn("own", function(Window.partitionBy("pattern", "span").orderBy("bucket")))
+    spans = spanned.groupBy("pattern", "span").agg(of_span.alias(value))
+    spans = spans.withColumn("far", function(Window.partitionBy("pattern").orderBy("span"))).drop(value)
+    return own.join(spans, ["pattern", "span"]).withColumn(name, F.coalesce("own", "far")).drop("span", "own", "far")
+
+
 def with_patterns(captures: DataFrame, url_col: str = "url") -> DataFrame:
     """``captures`` with one row for each pattern its URL falls under (a null one if there is none):
     its host and parent domains of at least two labels, and host/first segment; ``specific``
@@ -90,8 +105,9 @@ def evaluate(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", u
     asof = both.withColumn("last", F.last("held", ignorenulls=True).over(inside)).where("held is null").drop("held")
     # what a bucket starts with: the last interval that starts in an earlier bucket of the pattern
     starts = (both.groupBy("pattern", "bucket").agg(F.max_by("held", F.when(F.col("held").isNotNull(), F.col("ts"))).alias("latest")))
-    before = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = starts.select("pattern", "bucket", F.last("latest", ignorenulls=True).over(before).alias("carried"))
+    newest = F.max_by("latest", F.when(F.col("latest").isNotNull(), F.col("bucket")))
+    carried = _beside(starts, "latest", newest, lambda w: F.last("latest", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)),
+                      "carried").drop("latest")
     active = (asof.join(carried, ["pattern", "bucket"]).withColumn("held", F.coalesce("last", "carried"))
               .where("held is not null and (held.valid_to is null or ts < held.valid_to)")
               .select("pattern", F.col("ts").alias("fetch_ts"), "held"))
