@@ -80,15 +80,14 @@ def main(argv=None):
     spark = get_spark(args.master)
     if args.cmd == "ingest":
         from .plans import ingest
-        from .sources import envelopes
+        from .sources import envelopes, registry
         if args.by_day:
-            from .sources import registry
             raw = envelopes.read_polls_window(spark, args.polls, args.run_date, registry.DEFAULT_REQUEST["window_days"], windows=registry.request_windows())
         else:
             raw = envelopes.read_polls(spark, args.polls)
         g = envelopes.read_polls(spark, args.guardian, "guardian") if args.guardian else None
         ingest.run_ingest(spark, raw, spark.read.parquet(args.pages), args.run_date, args.points, args.counts,
-                          args.embedder, guardian_raw=g, budget=args.budget, counter=ch.counter(args.counter) if args.counter else None, newest_first=args.newest_first)
+                          args.embedder, guardian_raw=g, budget=args.budget, counter=ch.counter(args.counter) if args.counter else None, newest=registry.newest_first_labels() if args.newest_first else ())
     elif args.cmd == "pages":
         from .operators import vectors
         from .sources import sinks

@@ -32,7 +32,7 @@ from ..sources import envelopes, registry, sinks
 POLICY = ["rule_id", "null_policy", "stop_variant", "status_policy", "page_size", "window_days", "strict"]
 
 
-def landed(raw: DataFrame, shape: str = "newsapi", newest: list[str] = ()) -> tuple[DataFrame, DataFrame]:
+def landed(raw: DataFrame, shape: str = "newsapi", newest: list[str] | tuple = ()) -> tuple[DataFrame, DataFrame]:
     """(stubs, polls) of landed answers: stubs ``run_id, source, poll_no, pos, title,
     url, publishdate, inline``; polls with ``no_list`` (200 without the articles key).
     Answers of the sources ``newest`` are put in order of publish time first (SP6)."""
@@ -105,18 +105,18 @@ def resume(arts: DataFrame, polls: DataFrame, before: DataFrame, seen: DataFrame
 
 def collect_articles(spark: SparkSession, polls_raw: DataFrame, pages: DataFrame,
                      guardian_raw: DataFrame | None = None, sources: DataFrame | None = None,
-                     run_date: str | None = None, newest_first: bool = False) -> DataFrame:
+                     run_date: str | None = None, newest: list[str] | tuple = ()) -> DataFrame:
     """Accepted articles of one run: ``run_id, source, poll_no, pos, title,
-    url, publishdate, content`` (content = cleaned body). ``newest_first``: answers of
-    sources that ask for the newest first are put in that order, else all stay as landed."""
-    return _collect(spark, polls_raw, pages, guardian_raw, sources, run_date, newest_first)[0]
+    url, publishdate, content`` (content = cleaned body). Answers of the
+    sources ``newest`` (``registry.newest_first_labels()``: those that ask for it) are put in that
+    order, all others stay as landed."""
+    return _collect(spark, polls_raw, pages, guardian_raw, sources, run_date, newest)[0]
 
 
-def _collect(spark, polls_raw, pages, guardian_raw=None, sources=None, run_date=None, newest_first=False):
+def _collect(spark, polls_raw, pages, guardian_raw=None, sources=None, run_date=None, newest=()):
     """(accepted articles, polls that were read, polls set aside, failed extractions)."""
     ship_package(spark)
     sources = sources if sources is not None else registry.sources_df(spark, active_only=False)
-    newest = registry.newest_first_sources(sources) if newest_first else []
     stubs, polls = landed(polls_raw, newest=newest)
     if guardian_raw is not None:
         g_stubs, g_polls = landed(guardian_raw, "guardian", newest)
@@ -144,12 +144,12 @@ def run_ingest(spark: SparkSession, polls_raw: DataFrame, pages: DataFrame, run_
                points_path: str, counts_root: str, embedder=None,
                guardian_raw: DataFrame | None = None, budget: int = ch.DEFAULT_BUDGET,
                id_mode: str = "content", counter=None, sources: DataFrame | None = None,
-               newest_first: bool = False) -> dict:
+               newest: list[str] | tuple = ()) -> dict:
     """Run one ingest; returns the written frames (new points, daily counts), the polls
     set aside for their missing list and the pages whose extraction failed."""
     EM.resolve(embedder)  # before any work
     sources = sources if sources is not None else registry.sources_df(spark, active_only=False)
-    arts, polls, aside, failed = _collect(spark, polls_raw, pages, guardian_raw, sources, run_date, newest_first)
+    arts, polls, aside, failed = _collect(spark, polls_raw, pages, guardian_raw, sources, run_date, newest)
     batch = cut_lineage(sinks.with_point_id(to_points(arts, embedder, budget, counter), id_mode))
     new = cut_lineage(sinks.unstored(batch, points_path, id_mode))
     if not new.isEmpty():  # a first run without an article leaves no store, not a folder that cannot be read

@@ -230,8 +230,7 @@ def poll_newest_first(spark, sf):
              .groupBy(F.concat(F.lit("s"), (F.col("event_id") % 3).cast("string")).alias("source"), F.floor(F.col("event_id") / 40).cast("int").alias("poll_no"))
              .agg(F.transform(F.sort_array(F.collect_list(F.struct("event_id", stub.alias("s")))), lambda x: x["s"]).alias("articles"))
              .select(F.lit("r").alias("run_id"), "source", "poll_no", F.lit(200).alias("status"), F.size("articles").cast("long").alias("totalResults"), "articles"))
-    sources = spark.createDataFrame([("s0", "newest"), ("s1", "publishedAt"), ("s2", "popularity")], "label string, sort string")
-    return ingest.landed(polls, newest=registry.newest_first_sources(sources))[0].select("source", "poll_no", "url", "pos")
+    return ingest.landed(polls, newest=["s0", "s1"])[0].select("source", "poll_no", "url", "pos")
 
 
 @query("newest_positions", """

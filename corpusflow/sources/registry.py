@@ -8,7 +8,6 @@ per site: adding a site is adding a row. Both tables are small config
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -189,11 +188,9 @@ def sources_df(spark: SparkSession, active_only: bool = True) -> DataFrame:
     return df.where("active") if active_only else df
 
 
-def newest_first_sources(sources: DataFrame) -> list[str]:
-    """Labels whose request asks for the newest articles first (SP6); settings rows, not data."""
-    if "sort" not in sources.columns:
-        return []
-    return sorted(r["label"] for r in sources.where(F.col("sort").isin(*NEWEST_FIRST)).select("label").distinct().collect())
+def newest_first_labels() -> list[str]:
+    """Sources whose request asks for the newest articles first (SP6)."""
+    return [s[0] for s in _S if (DEFAULT_REQUEST | REQUEST.get(s[0], {}))["sort"] in NEWEST_FIRST]
 
 
 def request_windows() -> dict[str, int | None]:

@@ -114,12 +114,12 @@ def as_of(runs: DataFrame) -> DataFrame:
 
 def points_sink(pages_path: str | None, points_path: str, counts_root: str, state_root: str, embedder,
                 shape: str = "newsapi", run_date: str | None = None, budget: int = ch.DEFAULT_BUDGET, counter=None,
-                newest_first: bool = False):
+                newest: list[str] | tuple = ()):
     """ST2 + ST3: a ``foreachBatch`` function from landed answers to points and counts.
 
     Daily counts (K5) are keyed by publish day; with ``run_date`` that day's
-    collection totals (K4 per source, K3 overall) are upserted too. ``newest_first`` as in
-    the batch job: answers are put in their source's order as they land.
+    collection totals (K4 per source, K3 overall) are upserted too. ``newest`` as in the
+    batch job: answers of these sources are put in order as they land.
     """
 
     def run(raw: DataFrame, epoch: int) -> None:
@@ -129,7 +129,7 @@ def points_sink(pages_path: str | None, points_path: str, counts_root: str, stat
         pages = (spark.read.parquet(pages_path).select("url", "status", "html") if pages_path
                  else spark.createDataFrame([], schemas.PAGES))
         raw = cut_lineage(raw)
-        stubs, polls = plan.landed(raw, shape, registry.newest_first_sources(sources) if newest_first else [])
+        stubs, polls = plan.landed(raw, shape, newest)
         polls = cut_lineage(one_answer(plan.with_policy(polls, sources).withColumn("set_aside", F.expr("strict and no_list"))))
         stubs = stubs.dropDuplicates([*POLL, "pos"])
         rows = cut_lineage(plan.with_bodies(plan.requested(stubs, polls, run_date), pages))
@@ -206,11 +206,11 @@ def counts(spark: SparkSession, state: State, counts_root: str, epoch: int, run_
 
 def start(spark: SparkSession, landing: str, points_path: str, counts_root: str, checkpoint: str, embedder,
           shape: str = "newsapi", pages_path: str | None = None, run_date: str | None = None,
-          budget: int = ch.DEFAULT_BUDGET, counter=None, files_per_batch: int | None = None, newest_first: bool = False):
+          budget: int = ch.DEFAULT_BUDGET, counter=None, files_per_batch: int | None = None, newest: list[str] | tuple = ()):
     """Run the stream over what has landed (availableNow) and return the query. The
     state tables live beside the stream's checkpoint."""
     ship_package(spark)
     EM.resolve(embedder)
-    sink = points_sink(pages_path, points_path, counts_root, os.path.join(checkpoint, "run-state"), embedder, shape, run_date, budget, counter, newest_first)
+    sink = points_sink(pages_path, points_path, counts_root, os.path.join(checkpoint, "run-state"), embedder, shape, run_date, budget, counter, newest)
     return (landing_stream(spark, landing, shape, files_per_batch).writeStream.foreachBatch(sink).option("checkpointLocation", os.path.join(checkpoint, "stream"))
             .trigger(availableNow=True).start())

@@ -122,9 +122,9 @@ def test_newest_first_decides_what_a_full_answer_keeps(spark):
     g = envelopes.read_polls(spark, os.path.join(tmp, "landing"), "guardian")
     none, pages = spark.createDataFrame([], schemas.POLL_NEWSAPI), spark.createDataFrame([], schemas.PAGES)
     kept = lambda **kw: {int(r.title[1:]) for r in ingest.collect_articles(spark, none, pages, guardian_raw=g, **kw).collect()}
-    assert kept() == set(range(200)) and kept(newest_first=True) == set(range(5, 205))
+    assert kept() == set(range(200)) and kept(newest=registry.newest_first_labels()) == set(range(5, 205))
     q = stream.start(spark, os.path.join(tmp, "landing"), os.path.join(tmp, "points"), os.path.join(tmp, "counts"), os.path.join(tmp, "ckpt"),
-                     "hashing", shape="guardian", run_date="2024-01-01", newest_first=True)
+                     "hashing", shape="guardian", run_date="2024-01-01", newest=registry.newest_first_labels())
     assert q.awaitTermination(240)
     assert {int(r.title[1:]) for r in spark.read.parquet(os.path.join(tmp, "points")).collect()} == set(range(5, 205))
 
