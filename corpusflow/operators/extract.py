@@ -1,7 +1,7 @@
 """X0-X26 / XO1-XO10: article body extraction with a rule table.
 
-Only tree selection runs in Python: an Arrow ``pandas_udf`` parses each page
-once (stdlib ``html.parser``), whatever the number of rules asked of it, and
+Only tree selection runs in Python: an Arrow UDF parses each page once (stdlib
+``html.parser``), whatever the number of rules asked of it, and
 returns for every rule the text *pieces* it selects (paragraph texts, or one
 text per container) plus which container matched. Elements are numbered in
 document order and kept by tag, so a selector looks at the elements of its tag
@@ -34,11 +34,13 @@ from html.entities import html5 as _HTML5
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as tx
+from ..functions.batches import sliced
 
 VOID = frozenset("area base br col embed hr img input keygen link meta param source track wbr".split())
 HIDDEN_STRINGS = frozenset(("script", "style", "template", "rt", "rp"))
@@ -265,11 +267,13 @@ def select_pieces(page: Node | str, rule: dict):
 
 SELECTED = T.ArrayType(T.StructType([T.StructField("rule_id", T.StringType()), T.StructField("level", T.IntegerType()),
                                      T.StructField("pieces", T.ArrayType(T.StringType())), T.StructField("error", T.StringType())]))
+_SELECTED = pa.list_(pa.struct([("rule_id", pa.string()), ("level", pa.int32()), ("pieces", pa.list_(pa.string())), ("error", pa.string())]))
 
 
 def pieces_udf(rules: dict[str, dict]):
-    """Arrow UDF ``(html, rule ids) -> array of (rule_id, level, pieces, error)``: one parse a
-    page. The rule dict is small config shipped with the function."""
+    """Pandas UDF ``(html, rule ids) -> array of (rule_id, level, pieces, error)``: one parse a
+    page, whose tree goes before the next one. The rule dict is small config shipped with the
+    function."""
 
     def select(page, rule_id):
         rule = rules.get(rule_id)
@@ -295,6 +299,8 @@ def pieces_udf(rules: dict[str, dict]):
         for h, ids in zip(html, asked):
             page = parsed(h)
             out.append([select(page, i) for i in ids])
+            if isinstance(page, Node):
+                page.by_tag.clear()  # every element refers to this index: without it no cycle holds the tree
         return pd.Series(out, dtype=object)
 
     return _pieces
@@ -354,7 +360,7 @@ def extract_all(pages: DataFrame, rules: dict[str, dict], asked_col: str = "rule
     ship_package(pages.sparkSession)
     keep = [c for c in pages.columns if c not in ("html", asked_col)]
     asked = F.coalesce(F.col(asked_col), F.array().cast("array<string>"))
-    one = pages.select(*keep, F.col("html").isNotNull().alias("_landed"), pieces_udf(rules)(F.col("html"), asked).alias("_all"))
+    one = pages.select(*keep, F.col("html").isNotNull().alias("_landed"), sliced(pieces_udf(rules), _SELECTED)(F.col("html"), asked).alias("_all"))
     rows = one.select(*keep, "_landed", F.explode("_all").alias("_x"))
     rows = rows.withColumn("_r", F.try_element_at(rules_map(rules), F.col("_x.rule_id")))
     status = F.col(status_col) if status_col in pages.columns else None
@@ -369,7 +375,7 @@ def extract_bodies(pages: DataFrame, rules: dict[str, dict],
     from ..session import ship_package
     ship_package(pages.sparkSession)
     j = pages.withColumn("_r", F.try_element_at(rules_map(rules), F.col(rule_col)))
-    j = j.withColumn("_x", F.get(pieces_udf(rules)(F.col("html"), F.array(rule_col)), 0))
+    j = j.withColumn("_x", F.get(sliced(pieces_udf(rules), _SELECTED)(F.col("html"), F.array(rule_col)), 0))
     status = F.col(status_col) if status_col in pages.columns else None
     return (j.withColumn("content", _body(F.col("_r"), F.col("_x"), status, F.col("html").isNotNull()))
              .withColumn("extract_error", F.col("_x.error"))

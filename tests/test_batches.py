@@ -1,5 +1,6 @@
-"""What a Python worker holds of a batch: Python objects of a slice, one run a row."""
+"""What a Python worker holds of a batch: Python objects of a slice, one tree, one run a row."""
 
+import gc
 import sys
 
 import pandas as pd
@@ -9,6 +10,11 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions import batches as B
 from corpusflow.operators import chunk as ch
+from corpusflow.operators import extract as X
+from corpusflow.sources import registry
+
+RULES = {"all": {**registry._DEFAULTS, "container": {"tag": "body"}, "text_mode": "all", "status_policy": "none"},
+         "p": {**registry._DEFAULTS, "container": {"tag": "body"}, "joiner": "|", "status_policy": "none"}}
 
 
 @pytest.mark.parametrize("rows,size", [(1, 1 << 20), (3, 1 << 20), (256, 5), (4, 7), (1000, 1 << 20)])
@@ -59,6 +65,23 @@ def test_token_chunks_hold_a_slice(spark):
 
 def test_python_runs_once_a_row(spark):
     texts = spark.createDataFrame([(1, "a. b"), (2, None)], "id int, content string")
-    df = ch.token_chunks(texts, "content", ["id"], 3, ch.counter("bytes"))
-    assert df.count() == 2
-    assert df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    pages = spark.createDataFrame([(1, "<body><p>a</p><p>b</p></body>", ["p", "all"]), (2, None, ["p"])], "id int, html string, rules array<string>")
+    for df, n in ((ch.token_chunks(texts, "content", ["id"], 3, ch.counter("bytes")), 2), (X.extract_all(pages, RULES), 3)):
+        assert df.count() == n
+        assert df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_trees_go_with_their_page():
+    def alive():
+        return sum(isinstance(o, X.Node) for o in gc.get_objects())
+
+    pages = pd.Series(["<body><div><p>a<p>b</div><span>c" * 5, None, ""] * 20)
+    gc.collect()
+    gc.disable()
+    try:
+        before = alive()
+        out = X.pieces_udf(RULES).func(pages, pd.Series([["p", "all", "p"]] * len(pages)))
+        assert alive() == before
+    finally:
+        gc.enable()
+    assert out[0] == out[3] and out[0][0] == out[0][2] and out[0][1]["pieces"] == ["abc" * 5] and out[1][0]["level"] == 0
